@@ -1,47 +1,69 @@
-"""Link recognition and the eight-way classification rule."""
+"""Link recognition and the eight-way classification rule.
+
+Recognition is one regular expression that captures the site, and one that
+captures the id; everything after that is a lookup. The expressions mention their
+input once, so they stay small when Catalyst copies them into a pushed filter.
+"""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rollcall import settings as S
-from rollcall.functions.text import normalize_link, strip
+from rollcall.functions.text import clean_display, strip
 
 
-def _link_id(url: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(url, pattern, 1), F.lit(""))
+def _site_pattern() -> str:
+    """Captures the site of a link if what has to follow it does."""
+    supported = [
+        f"{re.escape(site)}(?={path}{S.LINK_ID})" for _, site, path in S.LINK_SITES
+    ]
+    known = [f"{re.escape(site)}(?={path})" for _, site, path in S.UNSUPPORTED_SITES]
+    return f"{S.LINK_SCHEME}({'|'.join(supported + known)})"
 
 
-def url_kind(url: Column) -> Column:
-    """struct(kind, id) of a normalized link."""
-    doc, file, folder = (
-        _link_id(url, p) for p in (S.DOC_URL, S.FILE_URL, S.FOLDER_URL)
-    )
+def _id_pattern() -> str:
+    heads = "|".join(re.escape(site) + path for _, site, path in S.LINK_SITES)
+    return f"{S.LINK_SCHEME}(?:{heads})({S.LINK_ID})"
 
-    def found(kind, id_=None):
-        id_col = F.lit(None).cast("string") if id_ is None else id_
-        return F.struct(F.lit(kind).alias("kind"), id_col.alias("id"))
 
-    return (
-        F.when(url == "", found("empty"))
-        .when(url.rlike(S.DOC_URL), found("doc", doc))
-        .when(url.rlike(S.FILE_URL), found("file", file))
-        .when(url.rlike(S.FOLDER_URL), found("folder", folder))
-        .when(url.rlike(S.SHEET_URL), found("F_sheet"))
-        .when(url.rlike(S.REDIRECT_URL), found("F_redirect"))
-        .otherwise(found("F_other"))
-    )
+def _lookup(table: dict[str, str], key: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
+
+
+_KIND_OF_SITE = {site: kind for kind, site, _ in S.LINK_SITES + S.UNSUPPORTED_SITES} | {
+    "": S.UNSUPPORTED_OTHER
+}
+# Case by kind of transcript link; `=` marks a video link equal to it.
+_CASES = {
+    "empty": "E", "empty=": "E", "doc": "A", "doc=": "D3", "file": "B", "file=": "D2",
+    "folder": "C", "folder=": "D1",
+}
+
+
+def kind_of(url: Column) -> Column:
+    """Kind of a trimmed link; a null link is `empty`."""
+    site = F.regexp_extract(url, _site_pattern(), 1)
+    return F.coalesce(_lookup(_KIND_OF_SITE, site), F.lit("empty"))
+
+
+def id_of(url: Column) -> Column:
+    """Id a supported link points to, else null."""
+    return F.nullif(F.regexp_extract(url, _id_pattern(), 1), F.lit(""))
+
+
+def url_kind(url: Column) -> Column:
+    """struct(kind, id) of a link; empty text and null are `empty`."""
+    link = F.nullif(url, F.lit(""))
+    return F.struct(kind_of(link).alias("kind"), id_of(link).alias("id"))
 
 
 def case_of(kind: Column, same: Column) -> Column:
-    return (
-        F.when(kind == "empty", "E")
-        .when(kind == "doc", F.when(same, "D3").otherwise("A"))
-        .when(kind == "file", F.when(same, "D2").otherwise("B"))
-        .when(kind == "folder", F.when(same, "D1").otherwise("C"))
-        .otherwise("F")
-    )
+    key = F.concat(kind, F.when(same, "=").otherwise(""))
+    return F.coalesce(_lookup(_CASES, key), F.lit("F"))
 
 
 def is_folder_case(case: Column) -> Column:
@@ -58,29 +80,29 @@ def is_doc_case(case: Column) -> Column:
 
 def with_case(df, transcript="transcriptLink", video="videoLink"):
     """Add only `drive_case` (enough for counting and sampling)."""
-    t, v = normalize_link(F.col(transcript)), normalize_link(F.col(video))
-    return df.withColumn("drive_case", case_of(url_kind(t)["kind"], t == v))
+    t, v = clean_display(F.col(transcript)), clean_display(F.col(video))
+    return df.withColumn("drive_case", case_of(kind_of(t), t == v))
 
 
 def with_link(df, transcript="transcriptLink", video="videoLink"):
     """Add the `link` struct: case, file_id, mime, transcript_url, folder_id,
     sub_variant, diagnostic. Folder contents are not looked at here."""
-    t, v = normalize_link(F.col(transcript)), normalize_link(F.col(video))
-    df = df.withColumn("_t", t).withColumn("_kind", url_kind(F.col("_t")))
-    kind, id_ = F.col("_kind.kind"), F.col("_kind.id")
-    df = df.withColumn("_case", case_of(kind, F.col("_t") == v))
-    case = F.col("_case")
-    raw = F.coalesce(strip(F.col(transcript)), F.lit(""))
+    t, v = clean_display(F.col(transcript)), clean_display(F.col(video))
+    df = df.withColumn("_t", t).withColumns(
+        {"_kind": kind_of(F.col("_t")), "_id": id_of(F.col("_t"))}
+    )
+    df = df.withColumn("_case", case_of(F.col("_kind"), F.col("_t") == v))
+    case, kind, id_ = F.col("_case"), F.col("_kind"), F.col("_id")
     link = F.struct(
         case.alias("case"),
         F.when(is_doc_case(case) | is_file_case(case), id_).alias("file_id"),
         F.when(is_doc_case(case), F.lit(S.GOOGLE_DOC)).alias("mime"),
-        F.when(case == "E", raw).otherwise(F.col("_t")).alias("transcript_url"),
+        F.coalesce(F.col("_t"), strip(F.col(transcript)), F.lit("")).alias("transcript_url"),
         F.when(is_folder_case(case), id_).alias("folder_id"),
         F.when(case == "F", kind).alias("sub_variant"),
         link_diagnostic(case, kind).alias("diagnostic"),
     )
-    return df.withColumn("link", link).drop("_t", "_kind", "_case")
+    return df.withColumn("link", link).drop("_t", "_kind", "_id", "_case")
 
 
 def link_diagnostic(case: Column, kind: Column) -> Column:

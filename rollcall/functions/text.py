@@ -79,7 +79,7 @@ def slug(col: Column) -> Column:
     """Upper-case ASCII words joined by hyphens; UNKNOWN when nothing is left."""
     words = F.regexp_replace(ascii_fold(col), r"[^A-Za-z0-9]+", "-")
     text = F.upper(F.btrim(words, F.lit("-")))
-    return F.when(text.isNull() | (text == ""), F.lit("UNKNOWN")).otherwise(text)
+    return F.coalesce(F.nullif(text, F.lit("")), F.lit("UNKNOWN"))
 
 
 def header_fold(col: Column) -> Column:
@@ -100,8 +100,7 @@ def is_missing_word(col: Column) -> Column:
 
 def clean_display(col: Column) -> Column:
     """Trimmed text; null when empty or the missing-word in any case."""
-    text = strip(col)
-    return F.when((text == "") | is_missing_word(col), F.lit(None)).otherwise(text)
+    return F.nullif(F.when(~is_missing_word(col), strip(col)), F.lit(""))
 
 
 def normalize_link(col: Column) -> Column:

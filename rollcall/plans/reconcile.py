@@ -81,7 +81,8 @@ def reconcile(
     rows = rows.withColumn("ends", ends)
     # Step 3: keep rows with no end strictly before them; the last one decides.
     ended_before = F.coalesce(F.max("ends").over(earlier), F.lit(False))
-    kept = rows.withColumn("_n", F.row_number().over(window)).where(~ended_before)
+    rows = rows.withColumns({"ended_before": ended_before, "_n": F.row_number().over(window)})
+    kept = rows.where(~F.col("ended_before"))
     decided = kept.groupBy(*keys).agg(F.max(_result(timeout_hours)).alias("r"))
     if chunked.any_cut:
         decided = _first_end(decided)

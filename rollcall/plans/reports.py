@@ -63,8 +63,8 @@ def write_annotated(
     writer = annotated.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.options(
-            header=True, escape='"', emptyValue="",
-            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+            header=True, escape='"', ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
         )
     writer.save(path)
     if provenance_row is not None:

@@ -46,12 +46,21 @@ DOCX = "application/vnd.openxmlformats-officedocument.wordprocessingml.document"
 PLAIN_TEXT = "text/plain"
 MP4 = "video/mp4"
 
-# ---- fixed values: link patterns (anchored at the start only) --------------
-DOC_URL = r"^https?://docs\.google\.com/document(?:/u/\d+)?/d/([A-Za-z0-9_-]+)"
-FILE_URL = r"^https?://drive\.google\.com/file(?:/u/\d+)?/d/([A-Za-z0-9_-]+)"
-FOLDER_URL = r"^https?://drive\.google\.com/drive(?:/u/\d+)?/folders/([A-Za-z0-9_-]+)"
-SHEET_URL = r"^https?://docs\.google\.com/spreadsheets/"
-REDIRECT_URL = r"^https?://(?:www\.)?google\.com/url\?"
+# ---- fixed values: links, as (kind, site and path, what has to follow) -------
+# Patterns are anchored at the start only.
+LINK_SCHEME = r"^https?://"
+LINK_ID = r"[A-Za-z0-9_-]+"
+LINK_SITES = [
+    ("doc", "docs.google.com/document", r"(?:/u/\d+)?/d/"),
+    ("file", "drive.google.com/file", r"(?:/u/\d+)?/d/"),
+    ("folder", "drive.google.com/drive", r"(?:/u/\d+)?/folders/"),
+]
+UNSUPPORTED_SITES = [
+    ("F_sheet", "docs.google.com/spreadsheets", r"/"),
+    ("F_redirect", "google.com/url", r"\?"),
+    ("F_redirect", "www.google.com/url", r"\?"),
+]
+UNSUPPORTED_OTHER = "F_other"
 
 # ---- fixed values: link cases, in the order a pilot run lists them ---------
 CASES = ["A", "B", "C", "D1", "D2", "D3", "F", "E"]

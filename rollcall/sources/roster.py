@@ -76,7 +76,11 @@ def read_roster_file(
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "csv":
-        df = reader.csv(path, header=True, inferSchema=False, escape='"', emptyValue="", multiLine=multi_line)
+        # An unquoted empty cell reads as the null text, which no real cell holds.
+        df = reader.csv(
+            path, header=True, inferSchema=False, escape='"', nullValue="\0", emptyValue="",
+            multiLine=multi_line,
+        )
     elif fmt == "parquet":
         df = reader.parquet(path)
     else:

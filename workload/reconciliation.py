@@ -18,8 +18,7 @@ from workload.registry import query
 def outcome(t):
     meaning = response_outcome(F.col("status"), F.col("body"), F.col("delivery_failed"))
     rows = t("response_log").withColumn("o", meaning)
-    shown = rows.select("seq", "event_id", "o.state", "o.attempts_added", "o.error", "o.url")
-    return shown.withColumn("url", F.when(F.col("state").isin("completed"), F.col("url")))
+    return rows.select("seq", "event_id", "o.state", "o.attempts_added", "o.error", "o.url")
 
 
 @query(

@@ -188,7 +188,7 @@ TERMINAL = (
 REPORT_URL = f"CASE WHEN status = 200 THEN nullif({json_field('$.url')}, '') END"
 
 OUTCOMES = f"""outcomes AS (
-  SELECT event_id, seq, ts, url,
+  SELECT event_id, seq, ts, CASE WHEN NOT delivery_failed THEN url END AS url,
     CASE WHEN url IS NOT NULL AND delivery_failed THEN 'failed_drive_upload'
       WHEN url IS NOT NULL THEN 'completed'
       WHEN terminal THEN 'failed_pdf_analysis'
