@@ -72,26 +72,33 @@ class StateLog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._start()
-
-    # ---- facts ----------------------------------------------------------------
-    def _start(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/meta")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
+        if not self._exists(f"{self.root}/meta"):
             self._note(0, "start", dt.datetime(1970, 1, 1))
 
+    def _exists(self, path: str) -> bool:
+        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+    # ---- facts ----------------------------------------------------------------
     def _note(self, generation, kind, at, path=None, digest=None, rows=None, target=None, note=None):
         row = [(generation, kind, at, path, digest, rows, target, note)]
         facts = self.spark.createDataFrame(row, META_SCHEMA).coalesce(1)
         facts.write.mode("append").parquet(f"{self.root}/meta")
 
     def facts(self) -> DataFrame:
+        """One row per source, phase end, reset and snapshot: a few per run."""
         return self.spark.read.schema(META_SCHEMA).parquet(f"{self.root}/meta")
 
+    def _facts_now(self) -> tuple[int, dict]:
+        """The running generation, and its newest fact of each kind."""
+        rows = self.facts().collect()
+        generation = max(row["generation"] for row in rows)
+        mine = [row for row in rows if row["generation"] == generation]
+        return generation, {row["kind"]: row for row in sorted(mine, key=lambda r: (r["rows"] or 0, r["at"]))}
+
     @property
     def generation(self) -> int:
-        return self.facts().agg(F.max("generation")).first()[0]
+        return self._facts_now()[0]
 
     def source_facts(self) -> DataFrame:
         """The registered source of this generation, with the phase-1 end if any."""
@@ -107,8 +114,8 @@ class StateLog:
         """Lock the state to one roster: true when this call registered it, false
         when the same roster is registered already; another roster is refused."""
         found = fingerprint.first()
-        generation = self.generation
-        known = self.facts().where((F.col("generation") == generation) & (F.col("kind") == "source")).first()
+        generation, facts = self._facts_now()
+        known = facts.get("source")
         if known is None:
             self._note(generation, "source", as_of, path, found["source_digest"], found["source_rows"], target)
             return True
@@ -132,20 +139,21 @@ class StateLog:
     # ---- log --------------------------------------------------------------------
     def append(self, rows: DataFrame, writer: str, batch: int) -> None:
         """Append images as one batch of one writer; repeating it replaces it."""
-        path = f"{self.root}/log/generation={self.generation}/writer={writer}/batch={batch}"
+        path = f"{self._log_path(self.generation)}/writer={writer}/batch={batch}"
         rows.select(*LOG_COLUMNS).write.mode("overwrite").parquet(path)
 
     def next_batch(self, writer: str) -> int:
         rows = self.log().where(F.col("writer") == writer)
         return (rows.agg(F.max("batch")).first()[0] or 0) + 1
 
-    def log(self) -> DataFrame:
-        """All images of this generation, with `writer` and `batch`."""
-        path = f"{self.root}/log/generation={self.generation}"
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _log_path(self, generation: int) -> str:
+        return f"{self.root}/log/generation={generation}"
+
+    def log(self, generation: int | None = None) -> DataFrame:
+        """All images of a generation, this one by default, with `writer` and `batch`."""
+        path = self._log_path(self.generation if generation is None else generation)
         schema = LOG_SCHEMA + ", writer string, batch bigint"
-        if not fs.exists(jvm_path):
+        if not self._exists(path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
@@ -155,36 +163,28 @@ class StateLog:
         `before=(writer, batch)` leaves out that batch and later ones of the writer:
         what a repeated batch has to start from.
         """
-        rows = self._after_snapshot()
+        generation, facts = self._facts_now()
+        snapshot = facts.get("snapshot")
+        rows = self._uncovered(generation, snapshot)
         if before is not None:
             writer, batch = before
             rows = rows.where((F.col("writer") != writer) | (F.col("batch") < batch))
-        return self._latest(rows)
+        return self._latest(rows, snapshot)
 
-    def _after_snapshot(self) -> DataFrame:
-        rows = self.log()
-        for writer, batch in self._covered().items():
+    def _uncovered(self, generation: int, snapshot) -> DataFrame:
+        """Images the snapshot does not hold; whole directories are left out."""
+        rows = self.log(generation)
+        for writer, batch in _covered(snapshot).items():
             rows = rows.where((F.col("writer") != writer) | (F.col("batch") > batch))
         return rows
 
-    def _latest(self, rows: DataFrame) -> DataFrame:
-        rows, fact = rows.select(*LOG_COLUMNS), self._snapshot_fact()
-        if fact is not None:
-            rows = rows.unionByName(self.spark.read.schema(LOG_SCHEMA).parquet(fact["path"]))
+    def _latest(self, rows: DataFrame, snapshot) -> DataFrame:
+        rows = rows.select(*LOG_COLUMNS)
+        if snapshot is not None:
+            rows = rows.unionByName(self.spark.read.schema(LOG_SCHEMA).parquet(snapshot["path"]))
         return current_state(rows)
 
     # ---- compaction -------------------------------------------------------------
-    def _snapshot_fact(self):
-        generation = self.generation
-        facts = self.facts().where((F.col("generation") == generation) & (F.col("kind") == "snapshot"))
-        return facts.orderBy(F.desc("rows")).first()
-
-    def _covered(self) -> dict[str, int]:
-        fact = self._snapshot_fact()
-        note = "" if fact is None else fact["note"]
-        pairs = (item.rsplit("=", 1) for item in note.split(",") if item)
-        return {writer: int(batch) for writer, batch in pairs}
-
     def compact(self, as_of) -> None:
         """Write a snapshot, then point to it. Readers use the old one until the
         pointer is written; no path in use is overwritten.
@@ -192,15 +192,23 @@ class StateLog:
         The newest batch of each writer stays out: a restarted query may repeat it,
         and must find the state as it was before.
         """
-        last = self._snapshot_fact()
+        generation, facts = self._facts_now()
+        last = facts.get("snapshot")
         number = 1 if last is None else last["rows"] + 1
-        path = f"{self.root}/snapshot/generation={self.generation}/id={number}"
-        newest = self.log().groupBy("writer").agg(F.max("batch").alias("batch")).collect()
+        path = f"{self.root}/snapshot/generation={generation}/id={number}"
+        newest = self.log(generation).groupBy("writer").agg(F.max("batch").alias("batch")).collect()
         newest = {row["writer"]: row["batch"] for row in newest}
-        rows = self._after_snapshot()
+        rows = self._uncovered(generation, last)
         for writer, batch in newest.items():
             rows = rows.where((F.col("writer") != writer) | (F.col("batch") < batch))
-        self._latest(rows).write.mode("overwrite").parquet(path)
-        covered = self._covered() | {writer: batch - 1 for writer, batch in newest.items()}
+        self._latest(rows, last).write.mode("overwrite").parquet(path)
+        covered = _covered(last) | {writer: batch - 1 for writer, batch in newest.items()}
         note = ",".join(f"{writer}={batch}" for writer, batch in sorted(covered.items()))
-        self._note(self.generation, "snapshot", as_of, path=path, rows=number, note=note)
+        self._note(generation, "snapshot", as_of, path=path, rows=number, note=note)
+
+
+def _covered(snapshot) -> dict[str, int]:
+    """Newest batch of each writer that a snapshot holds."""
+    note = "" if snapshot is None else snapshot["note"]
+    pairs = (item.rsplit("=", 1) for item in note.split(",") if item)
+    return {writer: int(batch) for writer, batch in pairs}

@@ -17,7 +17,6 @@ replaces, and reads leave out the batch itself, so a restart changes nothing.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,7 +81,9 @@ class Collector:
     def apply(self, responses: DataFrame, batch: int) -> None:
         fresh = responses.dropDuplicates(["event_id", "seq"])
         fresh = self._save(fresh, "responses", batch)
-        clock = fresh.agg(F.max("ts")).first()[0]
+        self._save(fresh.agg(F.max("ts").alias("newest")), "clock", batch)
+        clocks = self._saved("clock", "newest timestamp_ntz, batch bigint")
+        clock = clocks.where(F.col("batch") <= batch).agg(F.max("newest")).first()[0]
         if clock is None:
             return
         current = self.log.current(before=(WRITER, batch))
@@ -168,10 +169,14 @@ class Collector:
         trigger = {"availableNow": True} if once else {"processingTime": f"{poll_seconds} seconds"}
         return writer.trigger(**trigger).start()
 
-    def run_until_drained(self, start: Callable[[], StreamingQuery], check_seconds: float = 1.0) -> None:
-        """Run a started query until nothing is polled any more, then stop it."""
-        query = start()
-        while query.isActive and not self.drained:
-            time.sleep(check_seconds)
+    def run_until_drained(
+        self, query: StreamingQuery, *, check_seconds: float = 1.0, at_most_seconds: float | None = None
+    ) -> bool:
+        """Wait until nothing is polled any more, then stop the query. True when
+        drained, false when the time was up first; a failed query raises."""
+        started = time.monotonic()
+        while not self.drained and not query.awaitTermination(check_seconds):
+            if at_most_seconds is not None and time.monotonic() - started > at_most_seconds:
+                break
         query.stop()
-        query.awaitTermination()
+        return self.drained
