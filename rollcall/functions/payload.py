@@ -11,10 +11,6 @@ from rollcall import settings as S
 from rollcall.functions import ids
 from rollcall.functions.text import clean_display, empty_to_null, or_default
 
-# An escape in JSON text that is not itself behind an odd number of backslashes.
-_ESCAPE = r"(?<=(?<!\\)(?:\\\\){0,40})(?=\\u[0-9A-F]{4})"
-
-
 def payload_struct(
     event: Column,
     recorded_at: Column,
@@ -50,22 +46,18 @@ def compact_json(struct: Column) -> Column:
     """JSON without blanks, ASCII only, null fields left out.
 
     Spark writes the hex digits of escapes in upper case; consumers that check a
-    signature over the bytes expect lower case, so escapes are rewritten (only in
-    the values that hold any).
+    signature over the bytes expect lower case. Doubled backslashes are set aside
+    meanwhile as a control character, which JSON text never holds: what then reads
+    as an escape is one. Each step mentions its input once, so the JSON is built
+    once per row, and all of them compile to code.
     """
     text = F.to_json(struct, {"writeNonAsciiCharacterAsCodePoint": "true"})
     text = F.replace(text, F.lit("\x7f"), F.lit("\\u007F"))
-    lowered = F.array_join(
-        F.transform(
-            F.split(text, _ESCAPE),
-            lambda part: F.when(
-                part.startswith("\\u"),
-                F.concat(F.lower(F.substring(part, 1, 6)), part.substr(F.lit(7), F.length(part))),
-            ).otherwise(part),
-        ),
-        "",
-    )
-    return F.when(text.contains("\\u"), lowered).otherwise(text)
+    text = F.replace(text, F.lit("\\\\"), F.lit("\x01"))
+    for digit in "ABCDEF":
+        in_escape = digit + r"(?<=\\u[0-9A-Fa-f]{0,3}" + digit + ")"
+        text = F.regexp_replace(text, in_escape, digit.lower())
+    return F.replace(text, F.lit("\x01"), F.lit("\\\\"))
 
 
 def _pads(secret: str) -> tuple[bytearray, bytearray]:

@@ -40,7 +40,7 @@ def _ascii_folds() -> tuple[dict[str, str], dict[str, str]]:
 
 
 def _char_class(chars) -> str:
-    """A regex class of the given characters, with runs written as ranges."""
+    """A regex for one of the given characters, with runs written as ranges."""
     codes = sorted(ord(c) for c in chars)
     parts, start = [], 0
     for i, code in enumerate(codes):
@@ -48,7 +48,8 @@ def _char_class(chars) -> str:
             continue
         parts.append("\\x{%x}-\\x{%x}" % (codes[start], code))
         start = i + 1
-    return "[" + "".join(parts) + "]"
+    # Most text is ASCII: leave those characters before trying the ranges.
+    return r"(?=[^\x00-\x7F])[" + "".join(parts) + "]"
 
 
 def ascii_fold(col: Column) -> Column:
@@ -59,7 +60,8 @@ def ascii_fold(col: Column) -> Column:
     per-character lookup, the rest is one `translate` and one delete.
     """
     single, several = _ascii_folds()
-    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    pairs = "\x1e".join(f"{char}\x1f{ascii_part}" for char, ascii_part in several.items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\x1e"), F.lit("\x1f"))
     expanded = F.array_join(
         F.transform(F.split(col, ""), lambda ch: F.coalesce(F.element_at(table, ch), ch)), ""
     )

@@ -31,8 +31,10 @@ def folder_picks(catalog: DataFrame) -> DataFrame:
 
 
 def file_mimes(catalog: DataFrame) -> DataFrame:
-    """(file_id, mime), one row per file."""
-    return catalog.groupBy("file_id").agg(F.max("mime").alias("mime"))
+    """(file_id, mime), one row per file: a file listed in several folders has one
+    type. Grouping by both hashes, where an aggregate over text would sort; and the
+    partitioning by file serves the joins that follow."""
+    return catalog.select("file_id", "mime").repartition("file_id").distinct()
 
 
 def usable_assets(catalog: DataFrame, content: DataFrame) -> DataFrame:
@@ -41,13 +43,9 @@ def usable_assets(catalog: DataFrame, content: DataFrame) -> DataFrame:
     `content` is (file_id, content_id). Links to files find `file:<id>`, links to
     folders `folder:<id>`. All joins and groups here are on unique ids.
     """
-    blank = F.lit(None).cast("string")
-    listed = file_mimes(catalog).select("file_id", "mime", F.lit(None).cast("bigint").alias("content_id"))
-    stored = content.select("file_id", blank.alias("mime"), F.col("content_id").cast("bigint"))
-    files = listed.unionByName(stored).groupBy("file_id").agg(
-        F.max("mime").alias("mime"), F.max("content_id").alias("content_id")
-    )
-    picks = folder_picks(catalog).join(content.select("file_id", "content_id"), "file_id", "left")
+    stored = content.select("file_id", "content_id")
+    files = file_mimes(catalog).join(stored, "file_id", "full_outer")
+    picks = folder_picks(catalog).join(stored, "file_id", "left")
     by_file = files.select(
         F.concat(F.lit("file:"), "file_id").alias("asset_key"), "file_id", "mime", "content_id"
     )

@@ -45,9 +45,13 @@ class SourceChanged(RuntimeError):
     """The roster differs from the one this state was started with."""
 
 
-def current_state(log: DataFrame) -> DataFrame:
-    """Latest image per event."""
-    return latest_per_key(log, "event_id", LOG_ORDER)
+def current_state(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Latest image per event. Name the columns wanted: the rest (row snapshots
+    above all) is then neither read nor shuffled."""
+    if columns is None:
+        return latest_per_key(log, "event_id", LOG_ORDER)
+    needed = list(dict.fromkeys(["event_id", *LOG_ORDER, *columns]))
+    return latest_per_key(log.select(*needed), "event_id", LOG_ORDER).select(*columns)
 
 
 def images(changed: DataFrame, as_of, **fields) -> DataFrame:
@@ -157,7 +161,9 @@ class StateLog:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def current(self, *, before: tuple[str, int] | None = None) -> DataFrame:
+    def current(
+        self, columns: list[str] | None = None, *, before: tuple[str, int] | None = None
+    ) -> DataFrame:
         """Latest image per event, starting from the newest snapshot if there is one.
 
         `before=(writer, batch)` leaves out that batch and later ones of the writer:
@@ -169,7 +175,7 @@ class StateLog:
         if before is not None:
             writer, batch = before
             rows = rows.where((F.col("writer") != writer) | (F.col("batch") < batch))
-        return self._latest(rows, snapshot)
+        return self._latest(rows, snapshot, columns)
 
     def _uncovered(self, generation: int, snapshot) -> DataFrame:
         """Images the snapshot does not hold; whole directories are left out."""
@@ -178,11 +184,11 @@ class StateLog:
             rows = rows.where((F.col("writer") != writer) | (F.col("batch") > batch))
         return rows
 
-    def _latest(self, rows: DataFrame, snapshot) -> DataFrame:
+    def _latest(self, rows: DataFrame, snapshot, columns: list[str] | None = None) -> DataFrame:
         rows = rows.select(*LOG_COLUMNS)
         if snapshot is not None:
             rows = rows.unionByName(self.spark.read.schema(LOG_SCHEMA).parquet(snapshot["path"]))
-        return current_state(rows)
+        return current_state(rows, columns)
 
     # ---- compaction -------------------------------------------------------------
     def compact(self, as_of) -> None:

@@ -66,6 +66,7 @@ class Collector:
         self.max_attempts = max_attempts
         self.timeout_hours = timeout_hours
         self.compact_every = compact_every
+        self.watch = False
         self.drained = False
 
     # ---- tables kept next to the log ------------------------------------------
@@ -116,7 +117,8 @@ class Collector:
         self.log.append(self._swept(changed, clock).unionByName(rest), WRITER, batch)
         if self.compact_every and batch and batch % self.compact_every == 0:
             self.log.compact(clock)
-        self.drained = self.remaining() == 0
+        if self.watch:
+            self.drained = self.remaining() == 0
 
     def _fold(self, current, fresh, spans, known, batch, clock) -> DataFrame:
         limits = {"max_attempts": self.max_attempts, "timeout_hours": self.timeout_hours}
@@ -159,7 +161,8 @@ class Collector:
         return rows.withColumns(fields).select(*LOG_COLUMNS)
 
     def remaining(self) -> int:
-        return pending_remaining(self.log.current(), self.max_attempts).first()[0]
+        state = self.log.current(["state", "attempts"])
+        return pending_remaining(state, self.max_attempts).first()[0]
 
     # ---- running -------------------------------------------------------------------
     def start(self, responses: DataFrame, checkpoint: str, *, once: bool = False,
@@ -174,7 +177,7 @@ class Collector:
     ) -> bool:
         """Wait until nothing is polled any more, then stop the query. True when
         drained, false when the time was up first; a failed query raises."""
-        started = time.monotonic()
+        self.watch, started = True, time.monotonic()
         while not self.drained and not query.awaitTermination(check_seconds):
             if at_most_seconds is not None and time.monotonic() - started > at_most_seconds:
                 break

@@ -169,9 +169,11 @@ def assets(t):
     return catalog.usable_assets(t("asset_catalog"), t("content_index"))
 
 
-def state_now(t):
-    return statelog.current_state(t("state_log").select(*statelog.LOG_COLUMNS))
+def state_now(t, *columns):
+    """Current state; only the named columns if any are."""
+    log = t("state_log").select(*statelog.LOG_COLUMNS)
+    return statelog.current_state(log, list(columns) or None)
 
 
 def gated(t):
-    return submit.gate(prepared(t), state_now(t), assets(t))
+    return submit.gate(prepared(t), state_now(t, "event_id", "state"), assets(t))

@@ -2,8 +2,8 @@
 
 Fixture views (roster, catalog, logs, warehouse star) are SQL over the given
 tables, written once in words both engines understand. In Spark a table name is
-replaced by its Parquet file or by the view's text; in the check SQL views become
-common table expressions.
+replaced by its Parquet file or by the view's text, and the view is written once as
+a table; in the check SQL views become common table expressions.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollcall.operators.scratch import new_path
 from workload.fixtures import VIEWS
 
 GIVEN = {
@@ -23,6 +24,7 @@ _TABLE = re.compile(r"\b(FROM|JOIN)\s+([a-z_]+)\b")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
+_VIEW_PATHS: dict[tuple[str, str, str], str] = {}
 
 
 def _names(sql: str) -> list[str]:
@@ -39,7 +41,18 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         if name in GIVEN:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self.spark.sql(self._inlined(VIEWS[name]))
+        return self._written(name)
+
+    def _written(self, name: str) -> DataFrame:
+        """A view is computed once per session and folder, as a Parquet table, so
+        that queries scan it like the tables they are meant for."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _VIEW_PATHS:
+            path = new_path(self.spark, f"view-{name}")
+            rows = self.spark.sql(self._inlined(VIEWS[name]))
+            rows.repartition(self.spark.sparkContext.defaultParallelism).write.parquet(path)
+            _VIEW_PATHS[key] = path
+        return self.spark.read.parquet(_VIEW_PATHS[key])
 
     def _inlined(self, sql: str) -> str:
         def table(match):

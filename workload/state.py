@@ -28,7 +28,8 @@ _RETRYABLE = "('failed_drive_read', 'failed_gcs_upload', 'failed_webhook', 'fail
     FROM state_now WHERE state IN {_RETRYABLE}""",
 )
 def select_retryable(t):
-    rows = transitions.select_retryable(state_now(t), R.roster_schema())
+    state = state_now(t, "event_id", "state", "attempts", "excel_row_json")
+    rows = transitions.select_retryable(state, R.roster_schema())
     return rows.select("event_id", "state", "attempts", S.POSITION, "teacher", "grade", "section")
 
 
@@ -38,8 +39,8 @@ def select_retryable(t):
     WHERE state IN ('failed_pdf_fetch', 'failed_webhook') AND attempts < 5""",
 )
 def fetch_by_state(t):
-    rows = transitions.fetch_by_state(state_now(t), [S.FAILED_FETCH, S.FAILED_WEBHOOK], 5)
-    return rows.select(S.POSITION, "event_id", "state", "attempts")
+    state = state_now(t, S.POSITION, "event_id", "state", "attempts")
+    return transitions.fetch_by_state(state, [S.FAILED_FETCH, S.FAILED_WEBHOOK], 5)
 
 
 @query(
@@ -49,7 +50,9 @@ def fetch_by_state(t):
     FROM state_now WHERE starts_with(state, 'failed_')""",
 )
 def failures_listing(t):
-    return reports.failures_listing(state_now(t))
+    return reports.failures_listing(
+        state_now(t, S.POSITION, "event_id", "state", "attempts", "last_error")
+    )
 
 
 @query(
@@ -73,7 +76,7 @@ def inspect_row(t):
     FROM state_now GROUP BY state""",
 )
 def status_summary(t):
-    return reports.status_summary(state_now(t))
+    return reports.status_summary(state_now(t, "state"))
 
 
 @query(
@@ -82,8 +85,8 @@ def status_summary(t):
     ORDER BY log_ts DESC, log_seq DESC LIMIT 20""",
 )
 def ordered_listings(t):
-    rows = state_now(t).orderBy(F.desc("log_ts"), F.desc("log_seq")).limit(20)
-    return rows.select("state", S.POSITION, "event_id", "log_seq")
+    state = state_now(t, "state", S.POSITION, "event_id", "log_seq", "log_ts")
+    return state.orderBy(F.desc("log_ts"), F.desc("log_seq")).limit(20).drop("log_ts")
 
 
 _POOL = """state IN ('submitted', 'failed_pdf_404') OR (state = 'failed_pdf_fetch' AND attempts < 5)"""
@@ -96,12 +99,12 @@ _POOL = """state IN ('submitted', 'failed_pdf_404') OR (state = 'failed_pdf_fetc
     WHERE state = 'failed_pdf_fetch' AND attempts < 5""",
 )
 def collect_pool(t):
-    return transitions.collect_pool(state_now(t)).select("event_id", "state", "attempts")
+    return transitions.collect_pool(state_now(t, "event_id", "state", "attempts"))
 
 
 @query("pending_remaining", f"SELECT count(*) AS remaining FROM state_now WHERE {_POOL}")
 def pending_remaining(t):
-    return transitions.pending_remaining(state_now(t))
+    return transitions.pending_remaining(state_now(t, "state", "attempts"))
 
 
 @query(
@@ -112,7 +115,7 @@ def pending_remaining(t):
     FROM state_now s LEFT JOIN classes c ON c.state = s.state GROUP BY ALL""",
 )
 def state_retry_class(t):
-    return reports.retry_classes(state_now(t))
+    return reports.retry_classes(state_now(t, "state"))
 
 
 # ---- transitions ------------------------------------------------------------------
@@ -194,6 +197,7 @@ def attempts_accounting(t):
 
 
 # ---- phase 3 ------------------------------------------------------------------------
+_ANNOTATED = [S.POSITION, "event_id", "state", "last_error", "pdf_drive_link"]
 _STATUS = """CASE WHEN state = 'completed' OR starts_with(state, 'skipped_') THEN state
       ELSE state || ': ' || left(coalesce(last_error, ''), 200) END"""
 
@@ -205,7 +209,7 @@ _STATUS = """CASE WHEN state = 'completed' OR starts_with(state, 'skipped_') THE
       {_STATUS} AS backfill_status FROM state_now""",
 )
 def annotation_status(t):
-    return reports.annotations(state_now(t))
+    return reports.annotations(state_now(t, *_ANNOTATED))
 
 
 @query(
@@ -217,7 +221,7 @@ def annotation_status(t):
     FROM roster r LEFT JOIN state_now s ON s.row_position = r.row_position""",
 )
 def annotated_roster(t):
-    rows = reports.annotate(prepared(t), state_now(t))
+    rows = reports.annotate(prepared(t), state_now(t, *_ANNOTATED))
     return rows.select(S.POSITION, "school", "teacher", "transcriptLink", *S.ANNOTATION_COLUMNS)
 
 
@@ -227,7 +231,7 @@ def annotated_roster(t):
     FROM roster r LEFT JOIN state_now s ON s.row_position = r.row_position""",
 )
 def roster_state_join(t):
-    state = state_now(t).select(S.POSITION, "event_id", "state")
+    state = state_now(t, S.POSITION, "event_id", "state")
     return t("roster").select(S.POSITION, "school").join(state, S.POSITION, "left")
 
 

@@ -33,18 +33,19 @@ def seeded_log(t) -> statelog.StateLog:
     return log
 
 
-def response_files(t, files: int = 4) -> str:
+def response_files(t, files: int) -> str:
     """The response log as files of consecutive responses."""
     path = new_path(t.spark, "response-files")
     t("response_log").repartitionByRange(files, "seq").write.parquet(path)
     return path
 
 
-def collected(t, *, lateness: bool = False) -> statelog.StateLog:
+def collected(t, files: int) -> statelog.StateLog:
+    """The state log after all responses, in as many micro-batches as files."""
     log = seeded_log(t)
     work = new_path(t.spark, "collect")
     collector = collect.Collector(log, f"{work}/history")
-    stream = R.stream_responses(t.spark, response_files(t), files_per_batch=1)
+    stream = R.stream_responses(t.spark, response_files(t, files), files_per_batch=1)
     query_ = collector.start(stream, f"{work}/checkpoint", once=True)
     query_.awaitTermination()
     return log
@@ -67,7 +68,7 @@ closed AS (
 
 @query("stream_collect", f"WITH {_CLOSED} SELECT event_id, state, attempts, last_error FROM closed")
 def stream_collect(t):
-    return collected(t).current().select("event_id", "state", "attempts", "last_error")
+    return collected(t, 3).current(["event_id", "state", "attempts", "last_error"])
 
 
 @query(
@@ -76,8 +77,8 @@ def stream_collect(t):
     WHERE state = 'failed_timeout_pending_analysis'""",
 )
 def stream_timeout(t):
-    rows = collected(t).current().where(F.col("state") == S.FAILED_TIMEOUT)
-    return rows.select("event_id", "last_error")
+    state = collected(t, 2).current(["event_id", "state", "last_error"])
+    return state.where(F.col("state") == S.FAILED_TIMEOUT).drop("state")
 
 
 @query(
@@ -88,7 +89,7 @@ def stream_timeout(t):
 def stream_drain(t):
     from rollcall.plans.transitions import pending_remaining
 
-    return pending_remaining(collected(t).current())
+    return pending_remaining(collected(t, 2).current(["state", "attempts"]))
 
 
 @query(

@@ -68,7 +68,7 @@ def position_difference(t):
 )
 def already_submitted(t):
     rows = submit.with_event_id(t("roster").select(S.POSITION))
-    return submit.not_submitted(rows, state_now(t))
+    return submit.not_submitted(rows, state_now(t, "event_id", "state"))
 
 
 @query(
@@ -79,7 +79,7 @@ def already_submitted(t):
 )
 def insert_or_ignore(t):
     rows = submit.with_event_id(prepared(t))
-    new = submit.new_images(rows, state_now(t), AT)
+    new = submit.new_images(rows, state_now(t, "event_id"), AT)
     cells = [
         F.get_json_object("excel_row_json", f"$.{c}").alias(c)
         for c in ("grade", "teacher", "transcriptLink")
@@ -195,4 +195,4 @@ def gate_images(t):
       FROM delivered d JOIN state_now s ON d.name = 'reporte_' || s.event_id || '.pdf') x WHERE rn = 1""",
 )
 def report_existing(t):
-    return reports.existing_reports(state_now(t), t("delivered"))
+    return reports.existing_reports(state_now(t, "event_id"), t("delivered"))
