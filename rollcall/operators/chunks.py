@@ -18,9 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rollcall.operators.latest import first_n_per_key
 from rollcall.operators.scratch import shuffle_partitions
 
+# Rows looked at per cut point, and the range hashes are compared in.
+_SAMPLED_PER_CUT = 64
+_HASH_RANGE = 1 << 40
+
 
 @dataclass
 class Chunked:
@@ -68,16 +71,16 @@ def cut_hot_groups(
     *,
     share: float | None = None,
     min_rows: int = 1_000_000,
-    chunks: int | None = None,
-    sample_rows: int | None = None,
+    chunk_rows: int | None = None,
 ) -> Chunked:
-    """Find groups holding more than `share` of all rows and cut them.
-
-    The search is one pass with a frequent-items sketch over the key column (no
-    shuffle of keys, one row out). Cut points are quantiles of a fixed number of
-    rows per hot group, picked by hash. Both results are small by construction:
-    1/share groups at most, `chunks - 1` cut points each. They are fetched and put
-    back as constants, so that a recomputed stage cuts in the same places.
+    """Find groups holding more than `share` of all rows and cut them into chunks
+    of about `chunk_rows` (default: what one task would get if all were even).
+
+    The search is one pass with a frequent-items sketch over the key column: no
+    shuffle of keys, one row out. Cut points are quantiles of a small share of the
+    hot rows, picked by hash. What reaches the driver is bounded whatever the data:
+    1/share groups at most, and as many cut points in all as there are tasks. It is
+    put back as constants, so that a recomputed stage cuts in the same places.
     """
     spark = df.sparkSession
     parts = shuffle_partitions(spark)
@@ -87,22 +90,31 @@ def cut_hot_groups(
         F.count("*").alias("n"), F.expr(f"approx_top_k({group}, {most})").alias("top")
     ).first()
     limit = max(share * found["n"], min_rows)
-    hot = [(row["item"],) for row in (found["top"] or []) if row["count"] >= limit]
-    if not hot:
+    counts = [(r["item"], r["count"]) for r in (found["top"] or []) if r["count"] >= limit]
+    if not counts:
         return Chunked(df.withColumn("chunk", F.lit(0)), group, None)
 
-    chunks = chunks or max(2, parts // 2)
-    sample_rows = sample_rows or 8 * chunks
+    chunk_rows = chunk_rows or max(1, found["n"] // parts)
+    hot = [(key, max(2, -(-count // chunk_rows))) for key, count in counts]
     key_type = df.schema[group].dataType.simpleString()
-    hot_keys = spark.createDataFrame(hot, f"{group} {key_type}")
-    hot_rows = df.select(group, *order).join(F.broadcast(hot_keys), group, "left_semi")
-    picked = first_n_per_key(hot_rows, [group], [F.xxhash64(*order), *map(F.col, order)], sample_rows)
-    sampled = picked.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(*order))).alias("s"))
-    places = F.transform(
-        F.sequence(F.lit(1), F.lit(chunks - 1)),
-        lambda i: F.element_at("s", F.greatest(F.lit(1), F.floor(i * F.size("s") / chunks)).cast("int")),
+    hot_groups = spark.createDataFrame(hot, f"{group} {key_type}, _chunks int")
+    places = sum(chunks for _, chunks in hot)
+    rate = min(1.0, _SAMPLED_PER_CUT * places / sum(count for _, count in counts))
+    picked = F.pmod(F.xxhash64(*order), F.lit(_HASH_RANGE)) < int(rate * _HASH_RANGE)
+    sampled = (
+        df.select(group, *order)
+        .where(picked)
+        .join(F.broadcast(hot_groups), group)
+        .groupBy(group, "_chunks")
+        .agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_s"))
+    )
+    cut_points = F.transform(
+        F.sequence(F.lit(1), F.col("_chunks") - 1),
+        lambda i: F.element_at(
+            "_s", F.greatest(F.lit(1), F.floor(i * F.size("_s") / F.col("_chunks"))).cast("int")
+        ),
     )
-    cuts = sampled.select(group, F.array_distinct(places).alias("cuts"))
+    cuts = sampled.select(group, F.array_distinct(cut_points).alias("cuts"))
     cuts = spark.createDataFrame(cuts.collect(), cuts.schema)
 
     key = F.struct(*[F.col(c) for c in order])

@@ -11,6 +11,7 @@ from rollcall.functions import links as L
 from rollcall.functions import payload as P
 from rollcall.functions.text import truncate
 from rollcall.operators.ordering import dense_index_by_ordinal
+from rollcall.operators.scratch import materialize
 from rollcall.plans.classify import resolve_links
 from rollcall.sources.roster import snapshot
 from rollcall.sources.statelog import LOG_COLUMNS, images
@@ -268,9 +269,13 @@ def release_schedule(
     bucket_rows: int = 1 << 16,
 ) -> DataFrame:
     """When each posting row may go out: consecutive rows 1/rps seconds apart, in
-    position order. Only rows that post take a slot."""
+    position order. Only rows that post take a slot.
+
+    Numbering reads its input twice, so the two columns it needs are written once
+    rather than gating the roster again.
+    """
     rate = max(requests_per_second, S.MIN_REQUESTS_PER_SECOND)
-    rows = posting.select(S.POSITION, "event_id")
+    rows = materialize(posting.select(S.POSITION, "event_id"), "posting")
     indexed = dense_index_by_ordinal(rows, S.POSITION, "slot", bucket_rows=bucket_rows)
     at = F.lit(start).cast("timestamp_ntz")
     return indexed.select(

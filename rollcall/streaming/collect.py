@@ -25,9 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rollcall import settings as S
 from rollcall.operators.latest import latest_per_key
 from rollcall.plans.reconcile import reconcile, reconciled_images
-from rollcall.plans.transitions import (
-    collect_pool, overdue, pending_remaining, polled, timeout_message,
-)
+from rollcall.plans.transitions import overdue, pending_remaining, polled, timeout_message
 from rollcall.sources.responses import RESPONSE_SCHEMA
 from rollcall.sources.statelog import LOG_COLUMNS, StateLog
 
@@ -80,72 +78,67 @@ class Collector:
 
     # ---- one micro-batch ---------------------------------------------------------
     def apply(self, responses: DataFrame, batch: int) -> None:
-        fresh = responses.dropDuplicates(["event_id", "seq"])
-        fresh = self._save(fresh, "responses", batch)
-        self._save(fresh.agg(F.max("ts").alias("newest")), "clock", batch)
-        clocks = self._saved("clock", "newest timestamp_ntz, batch bigint")
-        clock = clocks.where(F.col("batch") <= batch).agg(F.max("newest")).first()[0]
+        fresh = self._save(responses.dropDuplicates(["event_id", "seq"]), "responses", batch)
+        clock = self._clock(fresh, batch)
         if clock is None:
             return
-        current = self.log.current(before=(WRITER, batch))
+        # The state rows this batch can change: those polled, those heard from. The
+        # current state is worked out once, every later step reads this table.
         spans = fresh.groupBy("event_id").agg(F.min("ts").alias("_oldest"))
+        current = self.log.current(before=(WRITER, batch)).join(spans, "event_id", "left")
+        heard, open_ = F.col("_oldest").isNotNull(), polled(self.max_attempts)
+        active = self._save(current.where(heard | open_), "active", batch)
 
-        # Where polling of an event started, kept for folding it again later.
-        pool = collect_pool(current, self.max_attempts)
-        heard = pool.join(spans, "event_id", "left_semi")
-        silent = pool.where(overdue(clock, self.timeout_hours)).join(spans, "event_id", "left_anti")
-        started = heard.unionByName(silent).select(*BASE_COLUMNS)
-        known = None
-        if batch > 0:
-            known = self._saved("base", BASE_SCHEMA).where(F.col("batch") < batch)
-            same = ["event_id", "webhook_submitted_at"]
-            known_keys = known.select(*same)
-            started = started.join(
-                known_keys,
-                (started.event_id == known_keys.event_id)
-                & started.webhook_submitted_at.eqNullSafe(known_keys.webhook_submitted_at),
-                "left_anti",
-            )
-        self._save(started, "base", batch)
-
-        changed = self._fold(current, fresh, spans, known, batch, clock)
-        timed_out = overdue(clock, self.timeout_hours)
-        rest = current.where(polled(self.max_attempts) & timed_out).join(
-            spans, "event_id", "left_anti"
-        )
-        rest = self._swept(rest, clock, stamp=True)
-        self.log.append(self._swept(changed, clock).unionByName(rest), WRITER, batch)
+        late = overdue(clock, self.timeout_hours)
+        known = self._started(active.where(open_ & (heard | late)), batch)
+        changed = self._fold(active, fresh, known, batch, clock)
+        silent = active.where(~heard & open_ & late)
+        images = self._swept(changed, clock).unionByName(self._swept(silent, clock, stamp=True))
+        self.log.append(images, WRITER, batch)
         if self.compact_every and batch and batch % self.compact_every == 0:
             self.log.compact(clock)
         if self.watch:
             self.drained = self.remaining() == 0
 
-    def _fold(self, current, fresh, spans, known, batch, clock) -> DataFrame:
+    def _clock(self, fresh: DataFrame, batch: int):
+        """Newest response of this batch and all earlier ones."""
+        self._save(fresh.agg(F.max("ts").alias("newest")), "clock", batch)
+        clocks = self._saved("clock", "newest timestamp_ntz, batch bigint")
+        return clocks.where(F.col("batch") <= batch).agg(F.max("newest")).first()[0]
+
+    def _started(self, rows: DataFrame, batch: int) -> DataFrame | None:
+        """Record where polling of the given rows starts, unless that is recorded
+        already: it is needed to fold an event again. Returns the earlier records."""
+        rows, known = rows.select(*BASE_COLUMNS), None
+        if batch > 0:
+            known = self._saved("base", BASE_SCHEMA).where(F.col("batch") < batch)
+            keys = known.select("event_id", "webhook_submitted_at")
+            same_start = rows.webhook_submitted_at.eqNullSafe(keys.webhook_submitted_at)
+            rows = rows.join(keys, (rows.event_id == keys.event_id) & same_start, "left_anti")
+        self._save(rows, "base", batch)
+        return known
+
+    def _fold(self, active, fresh, known, batch, clock) -> DataFrame:
         limits = {"max_attempts": self.max_attempts, "timeout_hours": self.timeout_hours}
         if known is None:
-            return reconciled_images(current, reconcile(current, fresh, **limits), clock)
-        bases = latest_per_key(known, "event_id", ["batch"])
-        out_of_order = (
-            bases.join(spans, "event_id")
-            .join(current.select("event_id", "last_attempt_at"), "event_id")
-            .where(F.col("_oldest") <= F.col("last_attempt_at"))
-            .select(*BASE_COLUMNS, F.col("batch").alias("_since"))
-        )
-        again = self._save(out_of_order, "again", batch)
-        in_order = fresh.join(again.select("event_id"), "event_id", "left_anti")
-        folded = reconcile(current, in_order, **limits)
+            return reconciled_images(active, reconcile(active, fresh, **limits), clock)
+        disordered = active.where(F.col("_oldest") <= F.col("last_attempt_at")).select("event_id")
+        again = latest_per_key(known, "event_id", ["batch"]).join(disordered, "event_id")
+        again = self._save(again.withColumnRenamed("batch", "_since"), "again", batch)
         since = again.agg(F.min("_since")).first()[0]
-        if since is not None:
-            history = self._saved("responses", RESPONSE_SCHEMA + ", batch bigint")
-            whole = (
-                history.where(F.col("batch").between(since, batch))
-                .join(again.select("event_id", "_since"), "event_id")
-                .where(F.col("batch") >= F.col("_since"))
-                .drop("_since", "batch")
-                .dropDuplicates(["event_id", "seq"])
-            )
-            folded = folded.unionByName(reconcile(again, whole, **limits))
-        return reconciled_images(current, folded, clock)
+        if since is None:
+            return reconciled_images(active, reconcile(active, fresh, **limits), clock)
+        in_order = fresh.join(again.select("event_id"), "event_id", "left_anti")
+        history = self._saved("responses", RESPONSE_SCHEMA + ", batch bigint")
+        whole = (
+            history.where(F.col("batch").between(since, batch))
+            .join(again.select("event_id", "_since"), "event_id")
+            .where(F.col("batch") >= F.col("_since"))
+            .drop("_since", "batch")
+            .dropDuplicates(["event_id", "seq"])
+        )
+        folded = reconcile(active, in_order, **limits).unionByName(reconcile(again, whole, **limits))
+        return reconciled_images(active, folded, clock)
 
     def _swept(self, rows: DataFrame, clock, *, stamp: bool = False) -> DataFrame:
         """Time out overdue rows among images; `stamp` makes images of state rows."""

@@ -84,7 +84,7 @@ def test_fold_with_a_hot_event(spark, seed, quiet):
             (10_000_001 + i, end + dt.timedelta(minutes=i), "studio-row-0", 500, "late", False) for i in range(1, 200)
         ]
     state, responses = frames(spark, states, rows)
-    cutting = {"share": 0.2, "min_rows": 1, "chunks": 7, "sample_rows": 70}
+    cutting = {"share": 0.2, "min_rows": 1, "chunk_rows": 90}
     chunked = cut_hot_groups(responses, "event_id", ["ts", "seq"], **cutting)
     assert chunked.any_cut
     sizes = [r["count"] for r in chunked.rows.where("event_id = 'studio-row-0'").groupBy("chunk").count().collect()]
@@ -97,7 +97,7 @@ def test_hot_event_of_one_instant(spark):
     states = {"studio-row-0": ("submitted", 0, None, T0), "studio-row-1": ("submitted", 0, None, T0)}
     rows = [(i, T0, "studio-row-0", 404 if i < 300 else 500, None, False) for i in range(500)]
     rows.append((1000, T0, "studio-row-1", 404, None, False))
-    cutting = {"share": 0.2, "min_rows": 1, "chunks": 5}
+    cutting = {"share": 0.2, "min_rows": 1, "chunk_rows": 100}
     state, responses = frames(spark, states, rows)
     chunked = cut_hot_groups(responses, "event_id", ["ts", "seq"], **cutting)
     assert chunked.rows.where("event_id = 'studio-row-0'").select("chunk").distinct().count() > 2
@@ -109,7 +109,7 @@ def test_previous_state(spark, share):
     _, rows = scenario(5, events=30, hot=400)
     log = spark.createDataFrame(rows, RESPONSE_SCHEMA).repartition(3)
     found = with_previous(
-        log, "event_id", ["ts", "seq"], "status", "before", share=share, min_rows=1, chunks=6
+        log, "event_id", ["ts", "seq"], "status", "before", share=share, min_rows=1, chunk_rows=70
     )
     assert "chunk" not in found.columns
     got = {r["seq"]: r["before"] for r in found.collect()}
