@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rollcall import settings as S
@@ -85,9 +86,10 @@ def existing_reports(state: DataFrame, delivered: DataFrame) -> DataFrame:
 
 # ---- summaries and listings -----------------------------------------------------------
 def status_summary(state: DataFrame) -> DataFrame:
-    """Rows and percent per state, most frequent first."""
+    """Rows and percent per state, most frequent first. The total is taken over
+    the counts, one row per state."""
     counts = state.groupBy("state").agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
+    total = F.sum("n").over(W.partitionBy())
     return counts.select(
         "state", "n", F.round(F.col("n") * 100 / total, 1).alias("percent")
     ).orderBy(F.desc("n"), "state")

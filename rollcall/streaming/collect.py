@@ -130,13 +130,16 @@ class Collector:
             return reconciled_images(active, reconcile(active, fresh, **limits), clock)
         in_order = fresh.join(again.select("event_id"), "event_id", "left_anti")
         history = self._saved("responses", RESPONSE_SCHEMA + ", batch bigint")
-        whole = (
-            history.where(F.col("batch").between(since, batch))
-            .join(again.select("event_id", "_since"), "event_id")
-            .where(F.col("batch") >= F.col("_since"))
-            .drop("_since", "batch")
-            .dropDuplicates(["event_id", "seq"])
+        # Repeats are dropped by (event, seq) before the rows meet by event: a hot
+        # event is then never gathered in one task.
+        history = history.where(F.col("batch").between(since, batch))
+        delivery = F.max(F.struct("batch", "ts", "status", "body", "delivery_failed"))
+        once = history.groupBy("event_id", "seq").agg(delivery.alias("d")).select(
+            "event_id", "seq", "d.*"
         )
+        whole = once.join(again.select("event_id", "_since"), "event_id").where(
+            F.col("batch") >= F.col("_since")
+        ).drop("_since", "batch")
         folded = reconcile(active, in_order, **limits).unionByName(reconcile(again, whole, **limits))
         return reconciled_images(active, folded, clock)
 

@@ -22,7 +22,7 @@ class Ingestor:
 
     def apply(self, rows: DataFrame, batch: int) -> None:
         events = with_event_id(rows, self.prefix).dropDuplicates(["event_id"])
-        known = self.log.current(before=(WRITER, batch))
+        known = self.log.current(["event_id"], before=(WRITER, batch))
         self.log.append(new_images(events, known, self.as_of), WRITER, batch)
 
     def start(self, rows: DataFrame, checkpoint: str) -> StreamingQuery:

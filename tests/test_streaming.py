@@ -84,6 +84,17 @@ def test_repeated_batch_changes_nothing(spark, folder):
     assert log.log().groupBy("event_id", "writer", "batch").count().where("count > 1").count() == 0
 
 
+def test_repeated_responses_count_once(spark, folder):
+    """The same responses arrive in every batch."""
+    states, rows = scenario(25, events=25)
+    log = seeded(spark, folder, states)
+    collector = collect.Collector(log, f"{folder}/history")
+    parts = batches(spark, rows, shuffled)
+    for number, part in enumerate([parts[0], parts[1].union(parts[0]), parts[2].union(parts[1])]):
+        collector.apply(part, number)
+    assert found(log) == expected(states, rows)
+
+
 def test_stream_until_drained(spark, folder):
     states, rows = scenario(23, events=25)
     rows.append((999_999, T0 + dt.timedelta(days=60), "studio-row-unknown", 404, None, False))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from rollcall import settings as S
@@ -10,8 +12,10 @@ from rollcall.operators.scratch import new_path
 from rollcall.plans import reports, submit
 from rollcall.sources import catalog, fingerprint, responses, roster, statelog
 from workload import sqltext as Q
+from workload.fixtures import AS_OF
 from workload.registry import query
 
+AT = dt.datetime.fromisoformat(AS_OF)
 SPANISH = [
     "Código de Infraestructura", "ESCUELA", " Departamento ", "distrito", "Docente", "Coach",
     "Asignatura", "GRADO", "Sección", "Turno", "Enlace  de  video", "enlace de transcripción",
@@ -128,24 +132,87 @@ def state_current(t):
 _PRINT_COLUMNS = ["row_position", "school", "teacher", "grade", "transcriptLink", "videoLink"]
 
 
-@query(
-    "source_fingerprint",
-    f"""SELECT count(*) AS source_rows,
-    CAST(sum(CAST('0x' || substr(sha256(row_text), 1, 15) AS BIGINT)) AS STRING) AS source_digest
+_PRINT = f"""prints AS (
+    SELECT count(*) AS source_rows,
+      CAST(sum(CAST('0x' || substr(sha256(row_text), 1, 15) AS BIGINT)) AS STRING) AS source_digest
     FROM (SELECT coalesce(CAST(row_position AS STRING), '\\N') || chr(31) || coalesce(school, '\\N')
       || chr(31) || coalesce(teacher, '\\N') || chr(31) || coalesce({Q.denumbered('grade')}, '\\N')
       || chr(31) || coalesce(transcriptLink, '\\N') || chr(31) || coalesce(videoLink, '\\N') AS row_text
-      FROM roster) x""",
-)
+      FROM roster) x)"""
+
+
+def roster_print(t):
+    return fingerprint.table_fingerprint(roster.repair_numbers(t("roster")), _PRINT_COLUMNS)
+
+
+@query("source_fingerprint", f"WITH {_PRINT} SELECT source_rows, source_digest FROM prints")
 def source_fingerprint(t):
-    rows = roster.repair_numbers(t("roster"))
-    return fingerprint.table_fingerprint(rows, _PRINT_COLUMNS)
+    return roster_print(t)
 
 
-@query("output_provenance")
+@query(
+    "output_provenance",
+    f"""WITH {_PRINT} SELECT 'roster.parquet' AS source_path, source_digest, source_rows,
+    'rollcall' AS generated_by FROM prints""",
+)
 def output_provenance(t):
-    rows = roster.repair_numbers(t("roster"))
-    return reports.provenance("roster.parquet", fingerprint.table_fingerprint(rows, _PRINT_COLUMNS))
+    return reports.provenance("roster.parquet", roster_print(t))
+
+
+@query(
+    "phase_finish",
+    f"""WITH {_PRINT} SELECT 'roster.parquet' AS path, source_digest AS digest, source_rows AS rows,
+    TIMESTAMP '{AS_OF}' AS phase_1_started_at,
+    TIMESTAMP '{AS_OF}' + INTERVAL 1 HOUR AS phase_1_finished_at, 'queue' AS target FROM prints""",
+)
+def phase_finish(t):
+    """Registration and end of phase 1 over the whole roster, in a new state root."""
+    log = statelog.StateLog(t.spark, new_path(t.spark, "state"))
+    log.register_source("roster.parquet", roster_print(t), AT, "queue")
+    log.finish_phase_1(AT + dt.timedelta(hours=1))
+    return log.source_facts()
+
+
+@query(
+    "source_lock",
+    """SELECT step, outcome, CASE WHEN step = 3 THEN 1 ELSE 0 END + (SELECT count(*) FROM roster) AS offered
+    FROM (VALUES (1, 'registered'), (2, 'known'), (3, 'refused')) v(step, outcome)""",
+)
+def source_lock(t):
+    """The whole roster registered, offered again, and offered with one row twice."""
+    log = statelog.StateLog(t.spark, new_path(t.spark, "state"))
+    rows = t("roster").select(*_PRINT_COLUMNS)
+    first = rows.where(F.col(S.POSITION) == rows.agg(F.min(S.POSITION)).scalar())
+    steps = []
+    for step, offered in enumerate([rows, rows.repartition(3), rows.unionByName(first)], 1):
+        found = fingerprint.table_fingerprint(offered)
+        try:
+            outcome = "registered" if log.register_source("roster.parquet", found, AT) else "known"
+        except statelog.SourceChanged:
+            outcome = "refused"
+        steps.append((step, outcome, found.first()["source_rows"]))
+    return t.spark.createDataFrame(steps, "step int, outcome string, offered bigint")
+
+
+@query(
+    "reset_state",
+    """SELECT 0 AS generation, count(*) AS events FROM state_now
+    UNION ALL SELECT 1, 0 UNION ALL SELECT 1, count(*) FROM state_now WHERE state = 'completed'""",
+)
+def reset_state(t):
+    """Events known before a reset, after it, and after starting again."""
+    log = statelog.StateLog(t.spark, new_path(t.spark, "state"))
+
+    def known():
+        return log.generation, log.current(["event_id"]).count()
+
+    log.append(t("state_log"), "submit", 1)
+    steps = [known()]
+    log.reset(AT, confirm=True)
+    steps.append(known())
+    log.append(state_now(t).where(F.col("state") == S.COMPLETED), "submit", 1)
+    steps.append(known())
+    return t.spark.createDataFrame(steps, "generation int, events bigint")
 
 
 @query(

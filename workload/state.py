@@ -10,7 +10,6 @@ from rollcall import settings as S
 from rollcall.functions import ids
 from rollcall.plans import reports, transitions
 from rollcall.sources import roster as R
-from rollcall.sources import statelog
 from workload.fixtures import AS_OF
 from workload.ingestion import prepared, state_now
 from workload.registry import query
@@ -233,15 +232,3 @@ def annotated_roster(t):
 def roster_state_join(t):
     state = state_now(t, S.POSITION, "event_id", "state")
     return t("roster").select(S.POSITION, "school").join(state, S.POSITION, "left")
-
-
-@query("phase_finish")
-def phase_finish(t):
-    """Registration and end of phase 1 over the whole roster, in a new state root."""
-    from rollcall.operators.scratch import new_path
-    from rollcall.sources.fingerprint import table_fingerprint
-
-    log = statelog.StateLog(t.spark, new_path(t.spark, "state"))
-    log.register_source("roster.parquet", table_fingerprint(prepared(t)), AT, "queue")
-    log.finish_phase_1(AT + dt.timedelta(hours=1))
-    return log.source_facts()
