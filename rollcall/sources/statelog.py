@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,12 +77,17 @@ class StateLog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        if not self._exists(f"{self.root}/meta"):
+        if self._table(f"{self.root}/meta", META_SCHEMA) is None:
             self._note(0, "start", dt.datetime(1970, 1, 1))
 
-    def _exists(self, path: str) -> bool:
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    def _table(self, path: str, schema: str) -> DataFrame | None:
+        """A written table, or None where nothing was written yet."""
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as problem:
+            if problem.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
     # ---- facts ----------------------------------------------------------------
     def _note(self, generation, kind, at, path=None, digest=None, rows=None, target=None, note=None):
@@ -157,9 +163,8 @@ class StateLog:
         """All images of a generation, this one by default, with `writer` and `batch`."""
         path = self._log_path(self.generation if generation is None else generation)
         schema = LOG_SCHEMA + ", writer string, batch bigint"
-        if not self._exists(path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        rows = self._table(path, schema)
+        return self.spark.createDataFrame([], schema) if rows is None else rows
 
     def current(
         self, columns: list[str] | None = None, *, before: tuple[str, int] | None = None
