@@ -124,10 +124,11 @@ class Collector:
             return reconciled_images(active, reconcile(active, fresh, **limits), clock)
         disordered = active.where(F.col("_oldest") <= F.col("last_attempt_at")).select("event_id")
         again = latest_per_key(known, "event_id", ["batch"]).join(disordered, "event_id")
-        again = self._save(again.withColumnRenamed("batch", "_since"), "again", batch)
+        again = again.withColumnRenamed("batch", "_since")
         since = again.agg(F.min("_since")).first()[0]
         if since is None:
             return reconciled_images(active, reconcile(active, fresh, **limits), clock)
+        again = self._save(again, "again", batch)
         in_order = fresh.join(again.select("event_id"), "event_id", "left_anti")
         history = self._saved("responses", RESPONSE_SCHEMA + ", batch bigint")
         # Repeats are dropped by (event, seq) before the rows meet by event: a hot
