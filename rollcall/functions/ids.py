@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,6 +41,21 @@ def report_name(event: Column) -> Column:
     return F.concat(F.lit("reporte_"), event, F.lit(".pdf"))
 
 
+def _utc(as_of: dt.datetime | str) -> dt.datetime:
+    """A point in time without zone, which stands for UTC."""
+    at = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    return at if at.tzinfo is None else at.astimezone(dt.timezone.utc).replace(tzinfo=None)
+
+
+def moment(as_of: dt.datetime | str) -> Column:
+    """A point in time as a column; session and machine time zones play no part."""
+    return F.lit(_utc(as_of).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def epoch_seconds(as_of: dt.datetime | str) -> int:
+    return int(_utc(as_of).replace(tzinfo=dt.timezone.utc).timestamp())
+
+
 def hours_before(ts: Column, hours: int) -> Column:
     return ts - F.make_dt_interval(F.lit(0), F.lit(hours))
 

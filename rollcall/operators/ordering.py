@@ -59,15 +59,16 @@ def dense_index_by_ordinal(
     """1-based dense position in the order of a unique integer column.
 
     The ordinal itself says which bucket of at most `bucket_rows` rows a row is
-    in, so nothing is sampled and nothing needs to be written: rank within the
-    bucket plus the rows in earlier buckets. The running total over buckets is
-    taken in two levels, so no task sees more than `group_buckets` of them.
+    in, so nothing is sampled and the rows need not be written: rank within the
+    bucket plus the rows in earlier buckets. Only the row counts are written, one
+    per bucket, so that the input is read twice and no more. The running total
+    over buckets is taken in two levels: no task sees more than `group_buckets`.
     """
     bucketed = df.withColumn("_b", F.floor(F.col(ordinal) / F.lit(bucket_rows)))
     local = F.row_number().over(W.partitionBy("_b").orderBy(ordinal))
     ranked = bucketed.withColumn("_local", local)
 
-    counts = bucketed.groupBy("_b").agg(F.count("*").alias("_n"))
+    counts = materialize(bucketed.groupBy("_b").agg(F.count("*").alias("_n")), "buckets")
     counts = counts.withColumn("_g", F.floor(F.col("_b") / F.lit(group_buckets)))
     groups = counts.groupBy("_g").agg(F.sum("_n").alias("_gn"))
     earlier_groups = W.orderBy("_g").rowsBetween(W.unboundedPreceding, -1)

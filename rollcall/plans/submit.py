@@ -77,7 +77,7 @@ def new_images(rows: DataFrame, state: DataFrame, as_of) -> DataFrame:
 
 
 def pending_images(rows: DataFrame, cells: list[str], as_of) -> DataFrame:
-    text, at = F.lit(None).cast("string"), F.lit(as_of).cast("timestamp_ntz")
+    text, at = F.lit(None).cast("string"), ids.moment(as_of)
     blank = {c: text for c in LOG_COLUMNS if c not in (S.POSITION, "event_id")}
     return rows.select(
         S.POSITION,
@@ -215,8 +215,8 @@ def outbox(
     """One row per eligible row: where the transcript goes, the body to send, its
     signature and headers. Signing storage URLs is left to the storage service: by
     default the body carries the plain object URI."""
-    at = F.lit(as_of).cast("timestamp_ntz")
-    seconds = F.unix_timestamp(at.cast("timestamp"))
+    at = ids.moment(as_of)
+    seconds = F.lit(ids.epoch_seconds(as_of))
     rows = gated.where(F.col("outcome") == ELIGIBLE)
     uri = ids.blob_uri(F.col("event_id"), L.extension(F.col("asset_mime")), bucket, blob_prefix)
     rows = rows.withColumn("transcript_gcs_uri", uri)
@@ -277,7 +277,7 @@ def release_schedule(
     rate = max(requests_per_second, S.MIN_REQUESTS_PER_SECOND)
     rows = materialize(posting.select(S.POSITION, "event_id"), "posting")
     indexed = dense_index_by_ordinal(rows, S.POSITION, "slot", bucket_rows=bucket_rows)
-    at = F.lit(start).cast("timestamp_ntz")
+    at = ids.moment(start)
     return indexed.select(
         S.POSITION,
         "event_id",

@@ -68,7 +68,7 @@ def retry_rows(state: DataFrame, events: list[str] | DataFrame, as_of) -> DataFr
 
 def overdue(as_of, hours: int = S.TIMEOUT_HOURS) -> Column:
     """Submitted, and longer ago than the limit."""
-    cutoff = ids.hours_before(F.lit(as_of).cast("timestamp_ntz"), hours)
+    cutoff = ids.hours_before(ids.moment(as_of), hours)
     return (F.col("state") == S.SUBMITTED) & F.coalesce(
         F.col("webhook_submitted_at") < cutoff, F.lit(False)
     )

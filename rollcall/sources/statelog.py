@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall import settings as S
+from rollcall.functions.ids import moment
 from rollcall.operators.latest import latest_per_key
 
 STATE_COLUMNS = [
@@ -62,7 +63,7 @@ def images(changed: DataFrame, as_of, **fields) -> DataFrame:
     An image always sorts after the one it was made from, whatever the clocks of
     the writers say.
     """
-    at = F.lit(as_of).cast("timestamp_ntz")
+    at = moment(as_of)
     stamped = {
         "last_attempt_at": at,
         "log_ts": F.greatest(F.col("log_ts"), at),

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollcall import settings as S
+from rollcall.functions.ids import moment
 from rollcall.operators.latest import latest_per_key
 from rollcall.plans.reconcile import reconcile, reconciled_images
 from rollcall.plans.transitions import overdue, pending_remaining, polled, timeout_message
@@ -147,7 +148,7 @@ class Collector:
     def _swept(self, rows: DataFrame, clock, *, stamp: bool = False) -> DataFrame:
         """Time out overdue rows among images; `stamp` makes images of state rows."""
         late = overdue(clock, self.timeout_hours)
-        at = F.lit(clock).cast("timestamp_ntz")
+        at = moment(clock)
         fields = {
             "last_error": F.when(late, timeout_message(self.timeout_hours)).otherwise(F.col("last_error")),
             "last_attempt_at": F.when(late, at).otherwise(F.col("last_attempt_at")),

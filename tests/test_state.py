@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall import settings as S
 from rollcall.functions import payload
+from rollcall.functions.ids import moment
 from rollcall.plans import submit, transitions
 from rollcall.sources import catalog, fingerprint, roster, statelog
 
@@ -52,7 +53,7 @@ def run_phase_1(spark, log, now, *, accept=True, post=True, prefix=S.EVENT_ID_PR
     results = box.select(
         "event_id", F.lit(True).alias("published"), F.lit(None).cast("string").alias("publish_error"),
         F.lit(202 if accept else 500).alias("status"), F.lit("m").alias("message_id"),
-        F.lit("no" * 400).alias("body"), F.lit(now).cast("timestamp_ntz").alias("sent_at"),
+        F.lit("no" * 400).alias("body"), moment(now).alias("sent_at"),
     )
     log.append(submit.apply_submissions(log.current(), box, results, now, post=post), "submit", batch + 2)
     return events
@@ -227,3 +228,23 @@ def test_outbox_files(spark, folder):
     assert {(r["blob_path"], r["content"], r["extension"]) for r in blobs.collect()} == {
         ("p/studio-row-1/transcript.docx", "uno", "docx"), ("p/studio-row-2/transcript.txt", "dos", "txt"),
     }
+
+
+def test_time_zones_play_no_part(spark, folder):
+    """Signature time, release times and cut-offs under a session zone far from UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+    try:
+        log = statelog.StateLog(spark, folder)
+        gated = submit.gate(submit.with_event_id(make_roster(spark)), log.current(), make_assets(spark))
+        box = submit.outbox(gated, T0, payload.secret_pads(spark, "k"), bucket="b", blob_prefix="p")
+        row = box.select("headers.X-Webhook-Timestamp", "body", F.col("url_expires_at").cast("string").alias("u")).first()
+        run_phase_1(spark, log, T0)
+        swept = transitions.timeout_sweep(log.current(), T0 + 48 * HOUR).count()
+        aware = T0.replace(tzinfo=dt.timezone(dt.timedelta(hours=-6)))
+        later = transitions.timeout_sweep(log.current(), aware + 43 * HOUR).count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert row["X-Webhook-Timestamp"] == "1704067200" and row["u"] == "2024-01-01 06:00:00"
+    assert '"recorded_at":"2024-01-01T00:00:00+00:00"' in row["body"]
+    assert (swept, later) == (0, 2)
