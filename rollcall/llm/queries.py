@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import exact, prepare, rules, sharding
+from rollcall.llm import exact, packing, prepare, rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -28,6 +29,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def vocabulary(name: str) -> str:
+    """A public vocabulary's file, from the folder that ROLLCALL_VOCABULARIES names."""
+    folder = os.environ.get("ROLLCALL_VOCABULARIES", "/opt/tokenizers")
+    return os.path.join(folder, name)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -52,6 +59,14 @@ def op3(spark, folder):
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+@query("op4_min_slack_packing")
+def op4(spark, folder):
+    rows = packing.pack_documents(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
 @query("op5_lpt_shards")
 def op5(spark, folder):
     rows = sharding.shard_groups(table(spark, folder, "documents"), shards=16)
