@@ -83,6 +83,7 @@ class BytePairs:
             special_tokens={x["content"]: x["id"] for x in spec["added_tokens"]},
         )
         self._known: dict[bytes, bytes] = {}
+        self._counted: dict[bytes, bytes] = {}
         self._fits: dict[tuple[int, int], bool] = {}
         self._guesses: dict[tuple[int, int], tuple[int, int]] = {}
 
@@ -159,6 +160,26 @@ class BytePairs:
         known.update(zip(new, self._encoded(new)))
         return [known[w] for w in words]
 
+    def counts_of(self, words: list[bytes]) -> list[bytes]:
+        """Token counts of every prefix of each distinct word, byte by byte, as
+        little-endian unsigned 32-bit integers. A cut inside a special string counts
+        all of it; a cut contraction is an apostrophe and a letter."""
+        known = self._counted
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > CACHE_WORDS:
+            known.clear()
+            new = words
+        plain = sorted(w for w in new if w not in self.special)
+        for word, (_, count) in zip(plain, self.prefixes(plain)):
+            known[word] = np.array(count[1:], "<u4").tobytes()
+        for word in set(new).difference(plain):
+            known[word] = np.ones(len(word), "<u4").tobytes()
+        for letters in CONTRACTIONS:
+            word = b"'" + letters.encode()
+            if len(letters) == 2 and word in known:
+                known[word] = np.array([1, 2, len(self.merged(word))], "<u4").tobytes()
+        return [known[w] for w in words]
+
     def _encoded(self, words: list[bytes]) -> list[bytes]:
         """Words without line breaks go as lines of one text: a line break between two
         of them is a word and a token of its own, where the ids are cut again."""

@@ -78,6 +78,7 @@ def exact_duplicates(
     again = hashed.where("again")
     first = F.struct((-F.col("points")).alias("p"), F.col("id").isNull().alias("nothing"), F.col("id").alias("id"))
     groups = again.groupBy("digest").agg(F.count("*").alias("group_size"), F.min(first)["id"].alias("keep_id"))
+    groups = materialize(groups, "dedup-groups")  # apart from the join, so that the join can be split
     alone = hashed.where("NOT again").select(
         "id", "points", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
     )

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import exact, packing, prepare, rules, sharding
+from rollcall.llm import exact, packing, pieces, prepare, rules, sharding, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -115,3 +115,18 @@ def op6(spark, folder):
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         rules.rejected("base").alias("base_failed"), (~rules.rejected("2")).alias("kept"),
     )
+
+
+@query("op7_prefix_token_counts")
+def op7(spark, folder):
+    rows = tokencounts.token_index(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), prefixes=False)
+    return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+@query("op8_sentencepiece")
+def op8(spark, folder):
+    rows = pieces.round_trip(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "n_pieces", F.col("ids_crc").alias("ids_crc32"),
+        F.col("text_crc").alias("decoded_crc32"), F.col("same").alias("round_trip"),
+    )

@@ -91,12 +91,18 @@ class Tiled:
     def expanded(self, of_word: list[bytes], dtype) -> tuple[np.ndarray, np.ndarray]:
         """Items of all texts in order, given the items of each distinct word as bytes;
         and where each text's items start and end."""
-        size = np.dtype(dtype).itemsize
-        sizes = np.array([len(x) // size for x in of_word], np.int64)
-        flat = np.frombuffer(b"".join(of_word), dtype)
-        begins = np.concatenate([[0], np.cumsum(sizes)])[:-1] if len(sizes) else sizes
-        n = sizes[self.index]
-        ends = np.cumsum(n)
-        take = np.repeat(begins[self.index] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        total = np.concatenate([[0], ends])
-        return flat[take], total[self.offsets]
+        flat, total = gathered(of_word, self.index, dtype)
+        return flat, total[self.offsets]
+
+
+def gathered(parts: list[bytes], index: np.ndarray, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """parts[k] for each k of index, end to end, and where each begins and the last ends."""
+    size = np.dtype(dtype).itemsize
+    sizes = np.array([len(x) for x in parts], np.int64) // size
+    flat = np.frombuffer(b"".join(parts), dtype)
+    begins = np.cumsum(sizes) - sizes
+    n = sizes[index]
+    total = np.zeros(len(n) + 1, np.int64)
+    np.cumsum(n, out=total[1:])
+    take = np.repeat(begins[index] - total[:-1], n) + np.arange(total[-1])
+    return flat[take], total
