@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import exact, packing, pieces, prepare, rules, sharding, tokencounts
+from rollcall.llm import exact, packing, pieces, prepare, rules, sharding, simhash, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -39,6 +39,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op2_simhash_anchors")
+def op2(spark, folder):
+    rows = simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, bits=4)
+    return rows.select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 @query(
     "op3_exact_dedup",
     """
