@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import exact, packing, pieces, prepare, rules, sharding, simhash, tokencounts
+from rollcall.llm import chat, exact, langid, packing, pieces, prepare, rules, sharding, simhash, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -139,3 +141,63 @@ def op8(spark, folder):
         F.col("id").alias("doc_id"), "n_pieces", F.col("ids_crc").alias("ids_crc32"),
         F.col("text_crc").alias("decoded_crc32"), F.col("same").alias("round_trip"),
     )
+
+
+@query("op9_kneser_ney_language")
+def op9(spark, folder):
+    rows = langid.identify(table(spark, folder, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "held_out", "lang_pred", "score", "entropy", "rejected")
+
+
+def _digests(batches):
+    """What is read back from formatted conversations."""
+    for batch in batches:
+        out = []
+        for formatted, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            turns = chat.read_back(formatted)
+            told = "".join(f"{role}\n{text}\n" for role, text, _, _ in turns)
+            loss = "".join(chat.unescape(formatted[s["start"] : s["end"]]) for s in spans)
+            out.append((len(turns), _sha256(told), len(loss), _sha256(loss), len(formatted)))
+        columns = [pa.array(list(c)) for c in zip(*out)] if out else []
+        if out:
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], _CHAT_COLUMNS)
+
+
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+_CHAT_COLUMNS = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+_ESCAPED = (
+    "regexp_replace(replace({0}, '\\', '\\\\'), "
+    "'(<)(\\||/?s>|<SYS>>|</SYS>>)|(\\[)(/?INST\\])', '\\1\\3\\\\\\2\\4', 'g')"
+)
+
+
+@query(
+    "op10_reply_trees",
+    f"""
+    WITH turns AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+    ), told AS (
+      SELECT conv_id, count(*) AS n_turns,
+             sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+             coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss,
+             sum(length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}) + 17) AS formatted_chars
+      FROM turns GROUP BY conv_id
+    )
+    SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+           CAST(formatted_chars AS BIGINT) AS formatted_chars
+    FROM told
+    """,
+)
+def op10(spark, folder):
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    ok = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", ok), (-1, 1, "assistant", ok)], given.schema)
+    formatted = chat.format_trees(chat.thread_tree(given.unionByName(probe)))
+    return formatted.select("conv", "formatted", "loss").mapInArrow(
+        _digests,
+        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
+    )
