@@ -43,7 +43,7 @@ def _hit(bits: Column, position: Column) -> Column:
 
 def exact_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 64,
-    digest_all: bool = False,
+    digest_all: bool = False, carry: bool = False,
 ) -> DataFrame:
     """One row per row of `docs`: id, points (code points of the text), digest (SHA-256
     of the squeezed text), keep_id, group_size, kept.
@@ -58,29 +58,32 @@ def exact_duplicates(
     Of equal texts the one with most code points in the original, then the smallest
     id, stays; null ids come last. Rows repeated under one id are counted each in
     group_size and share one decision. An empty table gives an empty result; other
-    columns of `docs` are not looked at.
+    columns of `docs` are not looked at, but with `carry` the whole row goes along as
+    `doc`: then the texts of groups are shuffled too.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    extra = ["doc"] * carry
+    whole = [F.struct("*").alias("doc")] if carry else []
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *whole)
     text = squeezed(F.col("text"))
     probe = [F.char_length(text).alias("n"), F.xxhash64(F.substring(text, 1, prefix_chars)).alias("p")]
     filters = materialize(surviving_filter(rows.select(*probe)), "dedup-filter")
 
     found = rows.select(
-        "id", F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("points"), text.alias("text"), *probe
+        "id", *extra, F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("points"), text.alias("text"), *probe
     ).withColumn("bucket", F.bitmap_bucket_number(_filter_bit()))
     found = found.join(F.broadcast(filters), "bucket", "left").withColumn(
         "again", _hit(F.col("bits"), F.bitmap_bit_position(_filter_bit()))
     )
     wanted = F.lit(True) if digest_all else F.col("again")
     hashed = materialize(
-        found.select("id", "points", "again", F.when(wanted, F.sha2("text", 256)).alias("digest")), "dedup-hashed"
+        found.select("id", *extra, "points", "again", F.when(wanted, F.sha2("text", 256)).alias("digest")), "dedup-hashed"
     )
     again = hashed.where("again")
     first = F.struct((-F.col("points")).alias("p"), F.col("id").isNull().alias("nothing"), F.col("id").alias("id"))
     groups = again.groupBy("digest").agg(F.count("*").alias("group_size"), F.min(first)["id"].alias("keep_id"))
     groups = materialize(groups, "dedup-groups")  # apart from the join, so that the join can be split
     alone = hashed.where("NOT again").select(
-        "id", "points", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
+        "id", *extra, "points", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
     )
-    together = again.join(groups, "digest").select("id", "points", "digest", "keep_id", "group_size")
+    together = again.join(groups, "digest").select("id", *extra, "points", "digest", "keep_id", "group_size")
     return alone.unionByName(together).withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, exact, langid, packing, pieces, prepare, rules, sharding, simhash, tokencounts
+from rollcall.llm import chat, exact, langid, licenses, packing, pieces, prepare, rules, sharding, simhash, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -41,6 +41,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_license_scan")
+def op1(spark, folder):
+    return licenses.license_matches(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op2_simhash_anchors")
 def op2(spark, folder):
     rows = simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, bits=4)
@@ -70,14 +75,18 @@ def op3(spark, folder):
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-@query("op4_min_slack_packing")
-def op4(spark, folder):
-    rows = packing.pack_documents(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    rows = packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"))
     return rows.select(
         F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset"
     )
 
 
+@query("op4_min_slack_packing")
+def op4(spark, folder):
+    return packed_pieces(table(spark, folder, "documents"))
+
+
 @query("op5_lpt_shards")
 def op5(spark, folder):
     rows = sharding.shard_groups(table(spark, folder, "documents"), shards=16)

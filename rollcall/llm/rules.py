@@ -81,26 +81,28 @@ def _line_measures(lines: Column) -> Column:
     return F.struct(n.alias("n_lines"), (n - F.size(F.array_distinct(lines))).alias("n_dup_lines"))
 
 
-def ledger(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ledger(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """One row per row of `docs`: id, the measurements, and `failures`, a bit per rule.
 
     A null text has no words. Windows of words are compared by 64-bit hash within one
     text. A scan and a projection, nothing is shuffled and no row waits for another;
     sorting inside a long text is n log n. Rows repeated in `docs` are repeated here;
-    other columns are not looked at.
+    other columns are not looked at, but with `carry` the whole row goes along as `doc`.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = F.array_remove(F.split(text, WORD_GAP), "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     points = F.char_length(text).cast("long")
+    whole = [F.struct("*").alias("doc")] if carry else []
     measured = docs.select(
         F.col(id_col).alias("id"),
+        *whole,
         F.char_length(F.regexp_replace(text, WORD_GAP, "")).cast("long").alias("word_chars"),
         (points - F.char_length(F.regexp_replace(text, SYMBOLS, ""))).alias("n_symbols"),
         (points - F.char_length(F.regexp_replace(text, r"\p{Lu}+", ""))).alias("n_capitals"),
         _let(words, _word_measures).alias("w"),
         _let(lines, _line_measures).alias("l"),
-    ).select("id", "w.*", "l.*", "word_chars", "n_symbols", "n_capitals")
+    ).select("id", *["doc"] * carry, "w.*", "l.*", "word_chars", "n_symbols", "n_capitals")
     bits = [F.when(rule(), F.lit(1 << BIT[name])).otherwise(F.lit(0)) for name, rule in RULES]
     failures = bits[0]
     for bit in bits[1:]:

@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.llm.components import components
 from rollcall.operators.scratch import materialize
@@ -83,17 +84,23 @@ def _ones(digests: bytes) -> np.ndarray:
     return total
 
 
-def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """Rows (id, fp): the fingerprint of every row's whole text as a signed long."""
+def fingerprints(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, carry: bool = False
+) -> DataFrame:
+    """Rows (id, fp): the fingerprint of every row's whole text as a signed long; with
+    `carry` also `doc`, the whole row."""
 
     def work(batches):
         for batch in batches:
             found = b"".join([fingerprint(t or b"", shingle) for t in batch.column(1).to_pylist()])
             fps = np.frombuffer(found, ">i8").astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["id", "fp"])
+            columns = [batch.column(0), pa.array(fps), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "fp", *["doc"] * carry])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(work, "id long, fp long")
+    whole = [F.struct("*").alias("doc")] if carry else []
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"), *whole)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("fp", T.LongType()), *rows.schema.fields[2:]])
+    return rows.mapInArrow(work, schema)
 
 
 def _syndromes() -> np.ndarray:
@@ -243,7 +250,7 @@ def _link_batch(key, fps, home, bits) -> pa.RecordBatch:
 
 def near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, bits: int = 4,
-    anchor_rows: int = ANCHOR_ROWS,
+    anchor_rows: int = ANCHOR_ROWS, carry: bool = False,
 ) -> DataFrame:
     """One row per row of `docs`: id, fp (a signed long), component (the smallest id that
     links lead to, its own included).
@@ -252,9 +259,10 @@ def near_duplicates(
     components are worked out over distinct fingerprints and joined back to narrow
     rows. A null text counts as empty and has fingerprint zero like any text without
     words. A null id links like others and is never a component's name unless all are
-    null. Repeated rows share a component; no rows, no result.
+    null. Repeated rows share a component; no rows, no result. With `carry` the whole row
+    goes along as `doc`, through the last join too.
     """
-    rows = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "fingerprints")
+    rows = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle, carry=carry), "fingerprints")
     nodes = materialize(rows.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
     roots = components(near_links(nodes, bits=bits, anchor_rows=anchor_rows))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
@@ -263,4 +271,4 @@ def near_duplicates(
     rooted = materialize(rooted, "rooted")
     names = materialize(rooted.groupBy("root").agg(F.min("least").alias("component")), "names")
     named = materialize(rooted.join(names, "root").select("fp", "component"), "named")
-    return rows.join(named, "fp").select("id", "fp", "component")
+    return rows.join(named, "fp").select("id", "fp", "component", *["doc"] * carry)
