@@ -122,7 +122,7 @@ def _pairs() -> np.ndarray:
 
 def segments(bits: int) -> list[tuple[int, int]]:
     """(lowest bit, width) of segments, one of which holds at most one of `bits` differences."""
-    n = bits // 2 + 1
+    n = max(2, bits // 2 + 1)
     if not 0 <= bits <= 7:
         raise ValueError("distances from 0 to 7 bits can be covered")
     borders = [64 * k // n for k in range(n + 1)]
@@ -131,14 +131,14 @@ def segments(bits: int) -> list[tuple[int, int]]:
 
 def replicas(fps: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """(anchor keys, fingerprints, whether that is their home) for unsigned fingerprints."""
-    syndromes, pairs = _syndromes(), _pairs()
-    for k, (low, width) in enumerate(segments(bits)):
+    syndromes, pairs, parts = _syndromes(), _pairs(), segments(bits)
+    for k, (low, width) in enumerate(parts):
         value = (fps >> np.uint64(low) & np.uint64((1 << width) - 1)).astype(np.int64)
         s = syndromes[value & (1 << _CODE) - 1]
         home = value ^ np.where(s, 1 << np.maximum(s - 1, 0), 0)
         base = k << 40
         yield base | home, fps, True
-        if bits > 1:
+        if bits // len(parts):  # else some segment is the same
             off = s > 0  # a code word has no other within distance 2
             near = value[off, None] ^ pairs[s[off]]
             yield base | near.ravel(), np.repeat(fps[off], 7), False
