@@ -82,8 +82,9 @@ def _blank(word: bytes) -> bool:
 
 
 def tokens_of_prefix(counts: Column, points: Column) -> Column:
-    """Tokens of a text cut to its first `points` code points."""
-    return F.when(points <= 0, F.lit(0)).otherwise(F.element_at(counts, F.least(points, F.size(counts)).cast("int")))
+    """Tokens of a text cut to its first `points` code points; 0 for an empty text."""
+    last = F.least(points, F.size(counts)).cast("int") - 1
+    return F.when(last < 0, F.lit(0)).otherwise(F.get(counts, last))
 
 
 def longest_prefix(counts: Column, budget: Column) -> Column:
