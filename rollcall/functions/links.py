@@ -1,42 +1,18 @@
-"""Link recognition and the eight-way classification rule.
-
-Recognition is one regular expression that captures the site, and one that
-captures the id; everything after that is a lookup. The expressions mention their
-input once, so they stay small when Catalyst copies them into a pushed filter.
-"""
+"""Link recognition and the eight-way classification rule."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rollcall import settings as S
-from rollcall.functions.text import clean_display, strip
-
-
-def _site_pattern() -> str:
-    """Captures the site of a link if what has to follow it does."""
-    supported = [
-        f"{re.escape(site)}(?={path}{S.LINK_ID})" for _, site, path in S.LINK_SITES
-    ]
-    known = [f"{re.escape(site)}(?={path})" for _, site, path in S.UNSUPPORTED_SITES]
-    return f"{S.LINK_SCHEME}({'|'.join(supported + known)})"
-
-
-def _id_pattern() -> str:
-    heads = "|".join(re.escape(site) + path for _, site, path in S.LINK_SITES)
-    return f"{S.LINK_SCHEME}(?:{heads})({S.LINK_ID})"
+from rollcall.functions.text import clean_display, filled, strip
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
 
 
-_KIND_OF_SITE = {site: kind for kind, site, _ in S.LINK_SITES + S.UNSUPPORTED_SITES} | {
-    "": S.UNSUPPORTED_OTHER
-}
 # Case by kind of transcript link; `=` marks a video link equal to it.
 _CASES = {
     "empty": "E", "empty=": "E", "doc": "A", "doc=": "D3", "file": "B", "file=": "D2",
@@ -46,13 +22,18 @@ _CASES = {
 
 def kind_of(url: Column) -> Column:
     """Kind of a trimmed link; a null link is `empty`."""
-    site = F.regexp_extract(url, _site_pattern(), 1)
-    return F.coalesce(_lookup(_KIND_OF_SITE, site), F.lit("empty"))
+    kind = F.when(url.isNull(), F.lit("empty"))
+    for name, pattern in S.LINK_PATTERNS + S.UNSUPPORTED_PATTERNS:
+        kind = kind.when(url.rlike(pattern), F.lit(name))
+    return kind.otherwise(F.lit(S.UNSUPPORTED_OTHER))
 
 
 def id_of(url: Column) -> Column:
-    """Id a supported link points to, else null."""
-    return F.nullif(F.regexp_extract(url, _id_pattern(), 1), F.lit(""))
+    """Id a supported link points to, else null. The patterns exclude one another, so
+    they are alternatives of one expression with a group each, of which one matches."""
+    whole = "|".join(f"(?:{pattern})" for _, pattern in S.LINK_PATTERNS)
+    groups = [F.regexp_extract(url, whole, k + 1) for k in range(len(S.LINK_PATTERNS))]
+    return F.nullif(F.concat(*groups), F.lit(""))
 
 
 def url_kind(url: Column) -> Column:
@@ -118,7 +99,7 @@ def folder_diagnostic(folder_id: Column, picked_file: Column) -> Column:
     """Skip reason of a folder link once its children are known."""
     return F.when(
         picked_file.isNull(),
-        F.concat(F.lit("folder "), folder_id, F.lit(" has no Doc/.docx/.txt child")),
+        F.concat(*filled(S.DIAG_NO_CHILD, folder=folder_id)),
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import sys
 import unicodedata
 
@@ -130,8 +131,15 @@ def empty_to_null(col: Column) -> Column:
 
 
 def full_name(first: Column, last: Column) -> Column:
-    """First and last name with a blank between; null when blank after trimming."""
-    return F.nullif(F.trim(F.concat_ws(" ", first, last)), F.lit(""))
+    """First and last name with a blank between; null when blank after trimming, or when
+    either half is null."""
+    return F.nullif(F.trim(F.concat(first, F.lit(" "), last)), F.lit(""))
+
+
+def filled(template: str, **parts: Column) -> list[Column]:
+    """The pieces of a text with `{name}` places, to be concatenated."""
+    pieces = re.split(r"\{(\w+)\}", template)
+    return [parts[p] if k % 2 else F.lit(p) for k, p in enumerate(pieces) if p]
 
 
 def truncate(col: Column, chars: int) -> Column:

@@ -1,12 +1,14 @@
 """Ordered work on groups of any size.
 
-A window over `partitionBy(group)` puts each group in one task. That is fine until
-one group holds a third of the table. Here the few groups above a share of all
-rows are cut into chunks along their order, (group, chunk) takes the place of the
-group in the window, and what a chunk needs from the earlier ones (a running
-count, the last value) is carried over in a small table.
-
-Which groups are cut, and where, affects speed only, never results: a chunk
+A window over `partitionBy(group)` puts each group in one task, which fails when one
+group holds a third of the table. Here the rows are first laid out in ranges of (group,
+order), as many as there are shuffle partitions: a group then lies in one range, or in
+neighbouring ones if it is large, whatever its size. (group, chunk) takes the place of
+the group in windows, the chunk being the range for groups that lie in several, and
+what a chunk needs from earlier ones (a running count, the last value) is carried over
+in a small table.
+
+There is one plan for all inputs. Where the ranges are cut affects speed only: a chunk
 number that grows with the order is all the callers rely on.
 """
 
@@ -18,111 +20,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rollcall.operators.scratch import shuffle_partitions
-
-# Rows looked at per cut point, and the range hashes are compared in.
-_SAMPLED_PER_CUT = 64
-_HASH_RANGE = 1 << 40
+from rollcall.operators.scratch import materialize, shuffle_partitions
 
 
 @dataclass
 class Chunked:
-    """Rows with a `chunk` column, and the cut points of the cut groups."""
+    """Rows with a `chunk` column, 0 for groups that lie in one range; and (group,
+    chunk) of the groups that lie in several."""
 
     rows: DataFrame
     group: str
-    cuts: DataFrame | None  # (group, cuts array) of the cut groups; None if none
-
-    @property
-    def any_cut(self) -> bool:
-        return self.cuts is not None
+    cuts: DataFrame
 
     def spread(self, per_group: DataFrame) -> DataFrame:
         """Copy one-row-per-group data to every chunk, so that it can be joined on
         (group, chunk). Only the cut groups get more than one copy."""
-        if not self.any_cut:
-            return per_group.withColumn("chunk", F.lit(0))
-        sizes = self.cuts.select(self.group, F.size("cuts").alias("_last"))
-        return (
-            per_group.join(F.broadcast(sizes), self.group, "left")
-            .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.coalesce("_last", F.lit(0)))))
-            .drop("_last")
-        )
+        copies = self.cuts.select(F.col(self.group).alias("_group"), "chunk")
+        joined = per_group.join(F.broadcast(copies), F.col(self.group) == F.col("_group"), "left")
+        return joined.withColumn("chunk", F.coalesce("chunk", F.lit(0))).drop("_group")
 
     def window(self, *order: Column | str):
         """All rows of a chunk in order."""
-        keys = [self.group, "chunk"] if self.any_cut else [self.group]
-        return W.partitionBy(*keys).orderBy(*order)
+        return W.partitionBy(self.group, "chunk").orderBy(*order)
 
-    def carry(self, **summaries: Column) -> DataFrame | None:
+    def carry(self, **summaries: Column) -> DataFrame:
         """Per chunk of the cut groups: the given aggregates of that chunk."""
-        if not self.any_cut:
-            return None
-        hot = self.rows.join(F.broadcast(self.cuts.select(self.group)), self.group, "left_semi")
-        return hot.groupBy(self.group, "chunk").agg(
-            *[c.alias(name) for name, c in summaries.items()]
+        return (
+            self.rows.where("chunk > 0").groupBy(self.group, "chunk")
+            .agg(*[c.alias(name) for name, c in summaries.items()])
         )
 
 
 def cut_hot_groups(
-    df: DataFrame,
-    group: str,
-    order: list[str],
-    *,
-    share: float | None = None,
-    min_rows: int = 1_000_000,
-    chunk_rows: int | None = None,
+    df: DataFrame, group: str, order: list[str], *, partitions: int | None = None
 ) -> Chunked:
-    """Find groups holding more than `share` of all rows and cut them into chunks
-    of about `chunk_rows` (default: what one task would get if all were even).
-
-    The search is one pass with a frequent-items sketch over the key column: no
-    shuffle of keys, one row out. Cut points are quantiles of a small share of the
-    hot rows, picked by hash. What reaches the driver is bounded whatever the data:
-    1/share groups at most, and as many cut points in all as there are tasks. It is
-    put back as constants, so that a recomputed stage cuts in the same places.
+    """Lay the rows out in ranges and find the groups that lie in several.
+
+    The ranges are written once, because their sampled bounds must not be drawn
+    again. A group in several ranges is the last of one and the first of the next, so
+    the groups are found from the first and last of every range: two rows per range
+    at most, which is the bound of what is broadcast. `partitions` is the number of
+    ranges, by default that of shuffle partitions. Null is a group like any other.
     """
-    spark = df.sparkSession
-    parts = shuffle_partitions(spark)
-    share = share or 2.0 / parts
-    most = min(1000, int(1 / share) + 1)
-    found = df.where(F.col(group).isNotNull()).agg(
-        F.count("*").alias("n"), F.expr(f"approx_top_k({group}, {most})").alias("top")
-    ).first()
-    limit = max(share * found["n"], min_rows)
-    counts = [(r["item"], r["count"]) for r in (found["top"] or []) if r["count"] >= limit]
-    if not counts:
-        return Chunked(df.withColumn("chunk", F.lit(0)), group, None)
-
-    chunk_rows = chunk_rows or max(1, found["n"] // parts)
-    hot = [(key, max(2, -(-count // chunk_rows))) for key, count in counts]
-    key_type = df.schema[group].dataType.simpleString()
-    hot_groups = spark.createDataFrame(hot, f"{group} {key_type}, _chunks int")
-    places = sum(chunks for _, chunks in hot)
-    rate = min(1.0, _SAMPLED_PER_CUT * places / sum(count for _, count in counts))
-    picked = F.pmod(F.xxhash64(*order), F.lit(_HASH_RANGE)) < int(rate * _HASH_RANGE)
-    sampled = (
-        df.select(group, *order)
-        .where(picked)
-        .join(F.broadcast(hot_groups), group)
-        .groupBy(group, "_chunks")
-        .agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_s"))
-    )
-    cut_points = F.transform(
-        F.sequence(F.lit(1), F.col("_chunks") - 1),
-        lambda i: F.element_at(
-            "_s", F.greatest(F.lit(1), F.floor(i * F.size("_s") / F.col("_chunks"))).cast("int")
-        ),
+    n = partitions or shuffle_partitions(df.sparkSession)
+    key = F.struct(F.col(group).alias("g"))
+    placed = materialize(
+        df.repartitionByRange(n, group, *order).withColumn("_range", F.spark_partition_id() + 1), "ranges"
     )
-    cuts = sampled.select(group, F.array_distinct(cut_points).alias("cuts"))
-    cuts = spark.createDataFrame(cuts.collect(), cuts.schema)
-
-    key = F.struct(*[F.col(c) for c in order])
-    chunk = F.when(
-        F.col("cuts").isNotNull(), F.size(F.filter("cuts", lambda cut: cut < key))
-    ).otherwise(F.lit(0))
-    rows = df.join(F.broadcast(cuts), group, "left").withColumn("chunk", chunk).drop("cuts")
-    return Chunked(rows, group, cuts)
+    ends = placed.groupBy("_range").agg(F.array(F.min(key), F.max(key)).alias("e"))
+    ends = ends.select("_range", F.explode("e").alias("e")).distinct()
+    several = ends.groupBy("e").agg(F.collect_list("_range").alias("r")).where(F.size("r") > 1)
+    cuts = materialize(several.select(F.col("e.g").alias(group), F.explode("r").alias("chunk")), "cuts")
+    cut = cuts.select(F.col(group).alias("_group"), "chunk")
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("chunk"))
+    rows = placed.join(F.broadcast(cut), same, "left").withColumn("chunk", F.coalesce("chunk", F.lit(0)))
+    return Chunked(rows.drop("_group", "_range"), group, cuts)
 
 
 def with_previous(
@@ -131,19 +83,18 @@ def with_previous(
     """`lag(value)` within the group, for groups of any size."""
     chunked = cut_hot_groups(df, group, order, **cutting)
     window = chunked.window(*order)
-    rows = chunked.rows.withColumn(name, F.lag(value).over(window))
-    if not chunked.any_cut:
-        return rows.drop("chunk")
+    rows = chunked.rows.withColumns(
+        {name: F.lag(value).over(window), "_first": F.row_number().over(window) == 1}
+    )
     last = chunked.carry(_last=F.max(F.struct(*order, F.col(value).alias("_v"))))
     before = W.partitionBy(group).orderBy("chunk")
-    # Empty chunks have no row here, so the previous one is the previous non-empty.
     carried = last.select(
-        group, "chunk", F.lag(F.col("_last")["_v"]).over(before).alias("_carried")
+        F.col(group).alias("_group"), F.col("chunk").alias("_chunk"),
+        F.lag(F.col("_last")["_v"]).over(before).alias("_carried"),
     )
-    first = F.row_number().over(window) == 1
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("chunk") == F.col("_chunk"))
     return (
-        rows.withColumn("_first", first)
-        .join(F.broadcast(carried), [group, "chunk"], "left")
+        rows.join(F.broadcast(carried), same, "left")
         .withColumn(name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col(name)))
-        .drop("_first", "_carried", "chunk")
+        .drop("_first", "_carried", "_group", "_chunk", "chunk")
     )

@@ -49,40 +49,19 @@ def dense_index(
 
 
 def dense_index_by_ordinal(
-    df: DataFrame,
-    ordinal: str,
-    name: str,
-    *,
-    bucket_rows: int = 1 << 16,
-    group_buckets: int = 1 << 12,
+    df: DataFrame, ordinal: str, name: str, *, partitions: int | None = None
 ) -> DataFrame:
-    """1-based dense position in the order of a unique integer column.
+    """1-based dense position in the order of an integer column, without moving whole
+    rows more than once.
 
-    The ordinal itself says which bucket of at most `bucket_rows` rows a row is
-    in, so nothing is sampled and the rows need not be written: rank within the
-    bucket plus the rows in earlier buckets. Only the row counts are written, one
-    per bucket, so that the input is read twice and no more. The running total
-    over buckets is taken in two levels: no task sees more than `group_buckets`.
+    Only the ordinals are numbered (`dense_index`, however far apart they lie), and
+    joined back. A null or repeated ordinal gives no position and is refused: the
+    query fails with its value.
     """
-    bucketed = df.withColumn("_b", F.floor(F.col(ordinal) / F.lit(bucket_rows)))
-    local = F.row_number().over(W.partitionBy("_b").orderBy(ordinal))
-    ranked = bucketed.withColumn("_local", local)
-
-    counts = materialize(bucketed.groupBy("_b").agg(F.count("*").alias("_n")), "buckets")
-    counts = counts.withColumn("_g", F.floor(F.col("_b") / F.lit(group_buckets)))
-    groups = counts.groupBy("_g").agg(F.sum("_n").alias("_gn"))
-    earlier_groups = W.orderBy("_g").rowsBetween(W.unboundedPreceding, -1)
-    groups = groups.select(
-        "_g", F.coalesce(F.sum("_gn").over(earlier_groups), F.lit(0)).alias("_gstart")
-    )
-    earlier = W.partitionBy("_g").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    starts = (
-        counts.withColumn("_in", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .join(groups, "_g")
-        .select("_b", (F.col("_gstart") + F.col("_in")).alias("_start"))
-    )
-    return (
-        ranked.join(starts, "_b")
-        .withColumn(name, F.col("_start") + F.col("_local"))
-        .drop("_b", "_local", "_start")
-    )
+    kind = df.schema[ordinal].dataType
+    counted = df.groupBy(ordinal).agg(F.count("*").alias("_n"))
+    value = F.coalesce(F.col(ordinal).cast("string"), F.lit("null"))
+    fault = F.raise_error(F.concat(F.lit(f"{ordinal} must be unique and not null, not: "), value))
+    checked = F.when(F.col(ordinal).isNull() | (F.col("_n") > 1), fault.cast(kind)).otherwise(F.col(ordinal))
+    places = dense_index(counted.select(checked.alias(ordinal)), [ordinal], name, partitions=partitions)
+    return df.join(places, ordinal)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rollcall import settings as S
 from rollcall.functions import links as L
 from rollcall.operators.latest import first_n_per_key
+from rollcall.sources.catalog import Assets, stored_content
 
 
 def case_distribution(roster: DataFrame) -> DataFrame:
@@ -40,35 +41,34 @@ def pilot_suggestion(roster: DataFrame) -> DataFrame:
     return firsts.agg(text.alias("suggested_rows"))
 
 
-def resolve_links(roster: DataFrame, assets: DataFrame) -> DataFrame:
-    """Add `link` and what it resolves to: `asset_file_id`, `asset_mime`,
-    `content_id`, `asset_found`.
+def resolve_links(roster: DataFrame, assets: Assets, asking: DataFrame | None = None) -> DataFrame:
+    """Add `link` and what it resolves to: `asset_file_id`, `asset_mime`, `content_id`.
 
-    All eight cases use one left join on one key; rows without a usable link have
-    a null key, which is salted so that they do not pile up in one partition.
-    `assets` is unique per key.
+    `asking` holds at least the links of `roster` (by default it is the roster): file
+    and folder ids are taken from it, and only what they ask for is looked up in the
+    listing. Content comes last, by the file found. Rows without a key have a salted
+    one, so that they do not pile up in one partition; both lookups are unique per key.
     """
+    links = (roster if asking is None else asking).select("transcriptLink", "videoLink")
+    asked = L.with_link(links).select("link.case", "link.file_id", "link.folder_id")
+    files = asked.where(L.is_file_case(F.col("case"))).select("file_id").distinct()
+    folders = asked.where(L.is_folder_case(F.col("case"))).select("folder_id").distinct()
+    found = assets.wanted(files, folders).select(
+        F.col("asset_key").alias("_key"), F.col("file_id").alias("_file"), F.col("mime").alias("_mime")
+    )
     rows = L.with_link(roster)
     case = F.col("link.case")
-    key = F.when(
-        L.is_folder_case(case), F.concat(F.lit("folder:"), F.col("link.folder_id"))
-    ).when(F.col("link.file_id").isNotNull(), F.concat(F.lit("file:"), F.col("link.file_id")))
-    no_key = F.concat(F.lit("none:"), F.pmod(F.xxhash64(S.POSITION), F.lit(4096)).cast("string"))
-    rows = rows.withColumn("_key", F.coalesce(key, no_key))
-    found = assets.select(
-        F.col("asset_key").alias("_key"),
-        F.col("file_id").alias("asset_file_id"),
-        F.col("mime").alias("asset_mime"),
-        "content_id",
-        F.lit(True).alias("_found"),
+    key = F.when(L.is_folder_case(case), F.concat(F.lit("folder:"), F.col("link.folder_id"))).when(
+        L.is_file_case(case), F.concat(F.lit("file:"), F.col("link.file_id"))
     )
-    joined = rows.join(found, "_key", "left")
-    file_id = F.when(L.is_folder_case(case), F.col("asset_file_id")).otherwise(F.col("link.file_id"))
-    mime = F.coalesce(F.col("link.mime"), F.col("asset_mime"))
-    return joined.withColumns(
+    no_key = F.concat(F.lit("none:"), F.pmod(F.xxhash64(S.POSITION), F.lit(4096)).cast("string"))
+    rows = rows.withColumn("_key", F.coalesce(key, no_key)).join(found, "_key", "left")
+    rows = rows.withColumns(
         {
-            "asset_found": F.coalesce("_found", F.lit(False)),
-            "asset_mime": mime,
-            "asset_file_id": file_id,
+            "asset_file_id": F.when(L.is_folder_case(case), F.col("_file")).otherwise(F.col("link.file_id")),
+            "asset_mime": F.coalesce(F.col("link.mime"), F.col("_mime")),
         }
-    ).drop("_key", "_found")
+    ).drop("_key", "_file", "_mime")
+    stored = stored_content(assets.content).withColumnRenamed("file_id", "_stored")
+    by_file = rows.withColumn("_file", F.coalesce("asset_file_id", no_key))
+    return by_file.join(stored, F.col("_file") == F.col("_stored"), "left").drop("_file", "_stored")

@@ -10,8 +10,8 @@ Rules, per event in (ts, seq) order:
 
 Every response before the end was applied, so the true state before a response is
 just the last implied one, and attempts are a running count: no row needs the
-result of another, and one window per event does it. Events of extreme size are
-cut into chunks first (see `operators.chunks`).
+result of another, and one window per event does it, or one per chunk of an event
+that is too large for a task (see `operators.chunks`).
 """
 
 from __future__ import annotations
@@ -54,8 +54,8 @@ def reconcile(
     )
     chunked = cut_hot_groups(with_outcome(responses), "event_id", ORDER, **cutting)
     start = _carried(chunked, chunked.spread(pool))
-    keys = ["event_id", "chunk"] if chunked.any_cut else ["event_id"]
-    rows = chunked.rows.join(start.drop(*([] if chunked.any_cut else ["chunk"])), keys)
+    keys = ["event_id", "chunk"]
+    rows = chunked.rows.join(start, keys)
 
     # Step 1: state and error before each response, attempts with it.
     window = chunked.window(*ORDER)
@@ -84,8 +84,7 @@ def reconcile(
     rows = rows.withColumns({"ended_before": ended_before, "_n": F.row_number().over(window)})
     kept = rows.where(~F.col("ended_before"))
     decided = kept.groupBy(*keys).agg(F.max(_result(timeout_hours)).alias("r"))
-    if chunked.any_cut:
-        decided = _first_end(decided)
+    decided = _first_end(decided)
     return decided.select(
         "event_id",
         "r.state",
@@ -120,8 +119,6 @@ def _result(timeout_hours: int) -> Column:
 
 def _carried(chunked: Chunked, start: DataFrame) -> DataFrame:
     """Starting values per chunk: those of the event, moved on by earlier chunks."""
-    if not chunked.any_cut:
-        return start
     place = [F.col(c) for c in ORDER]
     sums = chunked.carry(
         _st=F.max(F.when(F.col("st").isNotNull(), F.struct(*place, F.col("st").alias("v")))),

@@ -32,10 +32,19 @@ def annotations(state: DataFrame) -> DataFrame:
     )
 
 
-def annotate(roster: DataFrame, state: DataFrame) -> DataFrame:
+def annotate(roster: DataFrame, state: DataFrame, prefix: str = S.EVENT_ID_PREFIX) -> DataFrame:
     """The roster with the three result columns, empty where nothing is known.
-    Joined on position, so blank source rows cannot shift anything."""
-    return roster.join(annotations(state), S.POSITION, "left").fillna("", subset=S.ANNOTATION_COLUMNS)
+
+    Joined on the event a row has under `prefix`: positions are counted after blank
+    rows are dropped, so those cannot shift anything, and a state that also holds
+    events of other prefixes gives each row one result.
+    """
+    event = S.ANNOTATION_COLUMNS[0]
+    found = annotations(state).drop(S.POSITION).withColumnRenamed(event, "_event")
+    rows = roster.withColumn("_row_event", ids.event_id(F.col(S.POSITION), prefix))
+    joined = rows.join(found, F.col("_row_event") == F.col("_event"), "left")
+    named = joined.withColumn(event, F.col("_event")).select(*roster.columns, *S.ANNOTATION_COLUMNS)
+    return named.fillna("", subset=S.ANNOTATION_COLUMNS)
 
 
 def provenance(source_path: str, fingerprint: DataFrame, generator: str = "rollcall") -> DataFrame:

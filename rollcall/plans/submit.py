@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall import settings as S
 from rollcall.functions import ids
 from rollcall.functions import links as L
 from rollcall.functions import payload as P
-from rollcall.functions.text import truncate
+from rollcall.functions.text import filled, truncate
+from rollcall.operators.latest import latest_per_key
 from rollcall.operators.ordering import dense_index_by_ordinal
 from rollcall.operators.scratch import materialize
 from rollcall.plans.classify import resolve_links
+from rollcall.sources.catalog import Assets
 from rollcall.sources.roster import snapshot
 from rollcall.sources.statelog import LOG_COLUMNS, images
 
 ELIGIBLE = "eligible"
+BLOB_SCHEMA = "event_id string, blob_path string, extension string, content string, run string"
 
 
 # ---- which rows ---------------------------------------------------------------
@@ -118,34 +121,24 @@ def with_outcome(resolved: DataFrame) -> DataFrame:
             case == "F",
             result(
                 S.SKIP_FORMAT,
-                F.lit("["), F.col("link.sub_variant"), F.lit("] transcript no soportado: "),
-                F.col("link.transcript_url"),
+                *filled(S.MESSAGE_FORMAT, variant=F.col("link.sub_variant"), url=F.col("link.transcript_url")),
             ),
         )
         .when(
             L.is_folder_case(case) & file_id.isNull(),
-            result(
-                S.SKIP_EMPTY_FOLDER,
-                F.lit("carpeta "), F.col("link.folder_id"), F.lit(" no contiene Doc/.docx/.txt"),
-            ),
+            result(S.SKIP_EMPTY_FOLDER, *filled(S.MESSAGE_EMPTY_FOLDER, folder=F.col("link.folder_id"))),
         )
         .when(
             L.is_file_case(case) & (mime == S.MP4),
-            result(
-                S.SKIP_NO_TRANSCRIPT,
-                F.lit("file/d is video/mp4 (case "), case, F.lit("), no transcript"),
-            ),
+            result(S.SKIP_NO_TRANSCRIPT, *filled(S.MESSAGE_VIDEO, case=case)),
         )
         .when(
             mime.isNotNull() & L.content_type(mime).isNull(),
-            result(
-                S.FAILED_READ,
-                F.lit("Unsupported mime for transcript: "), mime, F.lit(" (file "), file_id, F.lit(")"),
-            ),
+            result(S.FAILED_READ, *filled(S.MESSAGE_MIME, mime=mime, file=file_id)),
         )
         .when(
             mime.isNull() | F.col("content_id").isNull(),
-            result(S.FAILED_READ, F.lit("file "), file_id, F.lit(" cannot be read")),
+            result(S.FAILED_READ, *filled(S.MESSAGE_UNREADABLE, file=file_id)),
         )
         .otherwise(result(ELIGIBLE))
     )
@@ -156,10 +149,10 @@ def with_outcome(resolved: DataFrame) -> DataFrame:
     )
 
 
-def gate(roster: DataFrame, state: DataFrame, assets: DataFrame, **guard) -> DataFrame:
+def gate(roster: DataFrame, state: DataFrame, assets: Assets, **guard) -> DataFrame:
     """The whole of phase-1 gating as one plan: guard, classify, resolve, decide."""
     rows = roster if "event_id" in roster.columns else with_event_id(roster)
-    return with_outcome(resolve_links(not_submitted(rows, state, **guard), assets))
+    return with_outcome(resolve_links(not_submitted(rows, state, **guard), assets, asking=roster))
 
 
 def gated_images(gated: DataFrame, state: DataFrame, as_of) -> DataFrame:
@@ -247,9 +240,9 @@ def write_outbox(box: DataFrame, path: str, run: str, fmt: str = "parquet") -> N
     box.write.mode("overwrite").format(fmt).save(f"{path}/run={run}")
 
 
-def write_transcripts(gated: DataFrame, documents: DataFrame, path: str, blob_prefix: str) -> None:
-    """Publish the text of every eligible row at its fixed path: one directory per
-    content type, replaced as a whole when repeated."""
+def write_transcripts(gated: DataFrame, documents: DataFrame, path: str, blob_prefix: str, run: str) -> None:
+    """Publish the text of every eligible row under its fixed path. One directory per
+    run: repeating a run replaces it, and what other runs have published stays."""
     rows = gated.where(F.col("outcome") == ELIGIBLE).select(
         "event_id",
         ids.blob_path(F.col("event_id"), L.extension(F.col("asset_mime")), blob_prefix).alias("blob_path"),
@@ -257,8 +250,16 @@ def write_transcripts(gated: DataFrame, documents: DataFrame, path: str, blob_pr
         "content_id",
     )
     texts = rows.join(documents.select("content_id", "content"), "content_id").drop("content_id")
-    writer = texts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("extension").parquet(path)
+    texts.write.mode("overwrite").parquet(f"{path}/run={run}")
+
+
+def published_transcripts(spark: SparkSession, path: str) -> DataFrame:
+    """(event_id, blob_path, extension, content, run): what is published now. An event
+    published by several runs has the text of the one whose name sorts last; which
+    that is comes from narrow columns, the texts are joined to it."""
+    every = spark.read.schema(BLOB_SCHEMA).parquet(path)
+    newest = every.groupBy("event_id").agg(F.max("run").alias("run"))
+    return every.join(newest, ["event_id", "run"], "left_semi")
 
 
 def release_schedule(
@@ -266,7 +267,6 @@ def release_schedule(
     start,
     *,
     requests_per_second: float = S.REQUESTS_PER_SECOND,
-    bucket_rows: int = 1 << 16,
 ) -> DataFrame:
     """When each posting row may go out: consecutive rows 1/rps seconds apart, in
     position order. Only rows that post take a slot.
@@ -276,7 +276,7 @@ def release_schedule(
     """
     rate = max(requests_per_second, S.MIN_REQUESTS_PER_SECOND)
     rows = materialize(posting.select(S.POSITION, "event_id"), "posting")
-    indexed = dense_index_by_ordinal(rows, S.POSITION, "slot", bucket_rows=bucket_rows)
+    indexed = dense_index_by_ordinal(rows, S.POSITION, "slot")
     at = ids.moment(start)
     return indexed.select(
         S.POSITION,
@@ -298,7 +298,9 @@ def apply_submissions(
     state: DataFrame, box: DataFrame, results: DataFrame, as_of, *, post: bool = True
 ) -> DataFrame:
     """Images after dispatch. `results` is (event_id, published, publish_error,
-    status, message_id, body, sent_at); rows without a result stay as they are.
+    status, message_id, body, sent_at); rows without a result stay as they are. Of
+    several results of an event the one sent last counts (ties: the greatest status,
+    then message), and one that does not say it was published was not.
 
     With `post=False` only publishing counts and rows rest as uploaded.
     """
@@ -308,9 +310,13 @@ def apply_submissions(
         F.col("transcript_file_id").alias("_file"),
         F.col("transcript_gcs_uri").alias("_uri"),
     )
-    result = results.select(
-        "event_id", "published", "publish_error", "status", "message_id",
-        F.col("body").alias("_body"), "sent_at",
+    result = latest_per_key(
+        results.select(
+            "event_id", F.coalesce("published", F.lit(False)).alias("published"), "publish_error", "status",
+            "message_id", F.col("body").alias("_body"), "sent_at",
+        ),
+        "event_id",
+        ["sent_at", "status", "message_id"],
     )
     rows = state.join(sent, "event_id").join(result, "event_id")
     published = F.col("published")

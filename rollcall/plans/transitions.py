@@ -49,9 +49,13 @@ def select_retryable(state: DataFrame, roster_schema: T.StructType) -> DataFrame
     )
 
 
+def retryable() -> Column:
+    return F.col("state").isin(*S.RETRYABLE_STATES)
+
+
 def retry_failed(state: DataFrame, as_of) -> DataFrame:
     """Retryable rows back to pending; their attempts keep counting."""
-    rows = state.where(F.col("state").isin(*S.RETRYABLE_STATES))
+    rows = state.where(retryable())
     return images(rows, as_of, state=F.lit(S.PENDING), last_error=F.lit(None).cast("string"))
 
 
@@ -103,16 +107,22 @@ def state_history(log: DataFrame, **cutting) -> DataFrame:
     return with_previous(rows, "event_id", LOG_ORDER, "state", "previous_state", **cutting)
 
 
-def attempts_spent(log: DataFrame) -> DataFrame:
-    """Attempts counted per event: every failed image adds one, retries of listed
-    rows aside. A plain partial sum."""
-    return log.groupBy("event_id").agg(F.sum("attempts_added").cast("int").alias("attempts"))
+def attempts_spent(log: DataFrame, **cutting) -> DataFrame:
+    """(event_id, spent, attempts): failed tries over an event's whole log, and those
+    that count now. What an image adds to the one before it was spent; a retry that
+    sets the count back spends nothing and forgets nothing."""
+    rows = log.select("event_id", "attempts", *LOG_ORDER)
+    steps = with_previous(rows, "event_id", LOG_ORDER, "attempts", "_before", **cutting)
+    added = F.greatest(F.col("attempts") - F.coalesce("_before", F.lit(0)), F.lit(0))
+    last = F.max(F.struct(*LOG_ORDER, "attempts"))["attempts"]
+    return steps.groupBy("event_id").agg(F.sum(added).cast("int").alias("spent"), last.alias("attempts"))
 
 
 def dim_patch(base: DataFrame, patch: DataFrame, key: list[str]) -> DataFrame:
-    """`base` with the non-null values of `patch` in place of its own, by key."""
+    """`base` with the non-null values of `patch` in place of its own, by key. Of several
+    patches of a key, each column takes its greatest value."""
     named = [c for c in patch.columns if c not in key]
-    new = patch.select(*key, *[F.col(c).alias(f"_new_{c}") for c in named])
+    new = patch.groupBy(*key).agg(*[F.max(c).alias(f"_new_{c}") for c in named])
     joined = base.join(new, key, "left")
     return joined.select(
         *[F.coalesce(f"_new_{c}", c).alias(c) if c in named else F.col(c) for c in base.columns]

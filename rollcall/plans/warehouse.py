@@ -23,6 +23,17 @@ def session_by_event(sessions: DataFrame, event: str) -> DataFrame:
     )
 
 
+OPERATIONAL_COLUMNS = [
+    "id", EVENT, "school_code", "teacher_code", "coach_code", "grade", "subject",
+    "pipeline_status", "status", "recorded_at", "created_at",
+]
+
+
+def operational_session(sessions: DataFrame, event: str) -> DataFrame:
+    """The operational copy of one session; the key filter reaches the scan."""
+    return sessions.where(F.col(EVENT) == event).select(*OPERATIONAL_COLUMNS)
+
+
 def dims_by_prefix(dim: DataFrame, code: str, prefix: str) -> DataFrame:
     return dim.where(F.col(code).startswith(prefix))
 
@@ -37,7 +48,7 @@ def failed_sessions(sessions: DataFrame, prefix: str = S.EVENT_ID_PREFIX) -> Dat
     """Sessions that failed in either status, newest first."""
     failed = (F.col("pipeline_status") == "failed") | (F.col("session_status") == "failed")
     rows = sessions.where(of_prefix(prefix) & failed)
-    return rows.select(EVENT, "pipeline_status", "session_status", "updated_at").orderBy(
+    return rows.select(EVENT, "pipeline_status", "session_status", "error_message", "updated_at").orderBy(
         F.desc("updated_at"), EVENT
     )
 

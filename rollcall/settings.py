@@ -46,19 +46,17 @@ DOCX = "application/vnd.openxmlformats-officedocument.wordprocessingml.document"
 PLAIN_TEXT = "text/plain"
 MP4 = "video/mp4"
 
-# ---- fixed values: links, as (kind, site and path, what has to follow) -------
-# Patterns are anchored at the start only.
-LINK_SCHEME = r"^https?://"
-LINK_ID = r"[A-Za-z0-9_-]+"
-LINK_SITES = [
-    ("doc", "docs.google.com/document", r"(?:/u/\d+)?/d/"),
-    ("file", "drive.google.com/file", r"(?:/u/\d+)?/d/"),
-    ("folder", "drive.google.com/drive", r"(?:/u/\d+)?/folders/"),
+# ---- fixed values: link patterns by kind, anchored at the start only ---------
+# Supported kinds, in the order they are tried; the group is the id.
+LINK_PATTERNS = [
+    ("doc", r"^https?://docs\.google\.com/document(?:/u/\d+)?/d/([A-Za-z0-9_-]+)"),
+    ("file", r"^https?://drive\.google\.com/file(?:/u/\d+)?/d/([A-Za-z0-9_-]+)"),
+    ("folder", r"^https?://drive\.google\.com/drive(?:/u/\d+)?/folders/([A-Za-z0-9_-]+)"),
 ]
-UNSUPPORTED_SITES = [
-    ("F_sheet", "docs.google.com/spreadsheets", r"/"),
-    ("F_redirect", "google.com/url", r"\?"),
-    ("F_redirect", "www.google.com/url", r"\?"),
+# Known kinds that are not supported.
+UNSUPPORTED_PATTERNS = [
+    ("F_sheet", r"^https?://docs\.google\.com/spreadsheets/"),
+    ("F_redirect", r"^https?://(?:www\.)?google\.com/url\?"),
 ]
 UNSUPPORTED_OTHER = "F_other"
 
@@ -115,6 +113,12 @@ RETRY_CLASS = [
 DIAG_EMPTY = "transcript_link is empty or 'Sin dato'"
 DIAG_UNSUPPORTED = "transcript host/path not supported: "
 DIAG_NO_CATALOG = "classification only — drive client not provided"
+DIAG_NO_CHILD = "folder {folder} has no Doc/.docx/.txt child"
+MESSAGE_FORMAT = "[{variant}] transcript no soportado: {url}"
+MESSAGE_EMPTY_FOLDER = "carpeta {folder} no contiene Doc/.docx/.txt"
+MESSAGE_VIDEO = "file/d is video/mp4 (case {case}), no transcript"
+MESSAGE_MIME = "Unsupported mime for transcript: {mime} (file {file})"
+MESSAGE_UNREADABLE = "file {file} cannot be read"
 ERROR_404 = "not in BQ yet"
 ERROR_TERMINAL = "terminal: "
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,28 +33,39 @@ def folder_picks(catalog: DataFrame) -> DataFrame:
 
 
 def file_mimes(catalog: DataFrame) -> DataFrame:
-    """(file_id, mime), one row per file: a file listed in several folders has one
-    type. Grouping by both hashes, where an aggregate over text would sort; and the
-    partitioning by file serves the joins that follow."""
-    return catalog.select("file_id", "mime").repartition("file_id").distinct()
+    """(file_id, mime), one row per file. A file may be listed several times, and its
+    type may have changed: a listing that is not trashed counts first, then listing
+    order, folder and type."""
+    ranking = [F.col(c) for c in ("trashed", "list_order", "folder_id", "mime")]
+    return best_per_key(catalog, "file_id", ranking, F.col("mime")).withColumnRenamed("best", "mime")
 
 
-def usable_assets(catalog: DataFrame, content: DataFrame) -> DataFrame:
-    """(asset_key, file_id, mime, content_id): everything a link can resolve to.
+def stored_content(content: DataFrame) -> DataFrame:
+    """(file_id, content_id), one row per file: the smallest content id."""
+    return content.groupBy("file_id").agg(F.min("content_id").alias("content_id"))
 
-    `content` is (file_id, content_id). Links to files find `file:<id>`, links to
-    folders `folder:<id>`. All joins and groups here are on unique ids.
-    """
-    stored = content.select("file_id", "content_id")
-    files = file_mimes(catalog).join(stored, "file_id", "full_outer")
-    picks = folder_picks(catalog).join(stored, "file_id", "left")
-    by_file = files.select(
-        F.concat(F.lit("file:"), "file_id").alias("asset_key"), "file_id", "mime", "content_id"
-    )
-    by_folder = picks.select(
-        F.concat(F.lit("folder:"), "folder_id").alias("asset_key"), "file_id", "mime", "content_id"
-    )
-    return by_file.unionByName(by_folder)
+
+@dataclass(frozen=True)
+class Assets:
+    """What links can resolve to: the listing and the content index, as they are."""
+
+    listing: DataFrame
+    content: DataFrame
+
+    def wanted(self, files: DataFrame, folders: DataFrame) -> DataFrame:
+        """(asset_key, file_id, mime) for the given file and folder ids: `file:<id>` and
+        `folder:<id>`. The listing meets the ids that are asked for before anything
+        is grouped, so the cost follows the links and not the catalog."""
+        types = file_mimes(self.listing.join(files, "file_id", "left_semi"))
+        picks = folder_picks(self.listing.join(folders, "folder_id", "left_semi"))
+        by_file = types.select(F.concat(F.lit("file:"), "file_id").alias("asset_key"), "file_id", "mime")
+        by_folder = picks.select(F.concat(F.lit("folder:"), "folder_id").alias("asset_key"), "file_id", "mime")
+        return by_file.unionByName(by_folder)
+
+
+def usable_assets(catalog: DataFrame, content: DataFrame) -> Assets:
+    """`catalog` is a listing, `content` is (file_id, content_id)."""
+    return Assets(catalog, content)
 
 
 def content_digests(documents: DataFrame) -> DataFrame:

@@ -50,14 +50,18 @@ def drop_blank(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.dropna(how="all", subset=columns or df.columns)
 
 
-def repair_numbers(df: DataFrame) -> DataFrame:
-    """Integral doubles to text without `.0`, in the two columns that need it."""
-    kinds = dict(df.dtypes)
-    repaired = {
-        c: denumber(F.col(c))
-        for c in S.NUMERIC_TEXT_COLUMNS
-        if kinds.get(c) in ("double", "float")
-    }
+def repair_numbers(df: DataFrame, *, numeric_text: bool = False) -> DataFrame:
+    """The two columns that need it as text: integral doubles without `.0`, integers and
+    decimals as they print. With `numeric_text`, for sources that have no types, a text
+    of digits followed by `.0` loses it too."""
+    repaired = {}
+    for c, kind in df.select(*[c for c in S.NUMERIC_TEXT_COLUMNS if c in df.columns]).dtypes:
+        if kind in ("double", "float"):
+            repaired[c] = denumber(F.col(c))
+        elif kind != "string":
+            repaired[c] = F.col(c).cast("string")
+        elif numeric_text:
+            repaired[c] = F.regexp_replace(c, r"^(-?[0-9]+)\.0+$", "$1")
     return df.withColumns(repaired) if repaired else df
 
 
@@ -94,27 +98,34 @@ def read_roster_file(
 
 
 def read_roster(
-    spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    schema: T.StructType | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A ready roster from a file: canonical columns, blank rows dropped, numeric
-    text repaired, `row_position` in file order."""
-    raw = read_roster_file(spark, path, fmt, schema)
+    text repaired (CSV has no types: `numeric_text`), `row_position` in file order.
+    Cells with line breaks need `multi_line`."""
+    raw = read_roster_file(spark, path, fmt, schema, multi_line)
     places = raw.select(*SOURCE_ORDER).columns
     cells = [c for c in raw.columns if c not in places]
     keep = [F.col(f"`{c}`") for c in cells]
     named = canonicalize(raw.select(*keep, *places))
-    return prepare(named, SOURCE_ORDER, drop_order=True)
+    return prepare(named, SOURCE_ORDER, drop_order=True, numeric_text=fmt == "csv")
 
 
-def prepare(df: DataFrame, order: list[str], *, drop_order: bool = False) -> DataFrame:
+def prepare(
+    df: DataFrame, order: list[str], *, drop_order: bool = False, numeric_text: bool = False
+) -> DataFrame:
     """Validate, clean and number a roster whose columns are canonical already.
 
-    `order` is a total order of the source rows. A single integer column takes
-    the path without a materialized exchange.
+    `order` is a total order of the source rows. With a single integer column only
+    that is numbered; nulls and repeats in it are refused.
     """
     require_columns(df)
     cells = [c for c in df.columns if c not in order]
-    rows = repair_numbers(drop_blank(df, cells))
+    rows = repair_numbers(drop_blank(df, cells), numeric_text=numeric_text)
     kind = dict(rows.dtypes)[order[0]]
     if len(order) == 1 and kind in ("bigint", "int"):
         numbered = dense_index_by_ordinal(rows, order[0], S.POSITION)

@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall import settings as S
@@ -56,6 +56,19 @@ def current_state(log: DataFrame, columns: list[str] | None = None) -> DataFrame
     return latest_per_key(log.select(*needed), "event_id", LOG_ORDER).select(*columns)
 
 
+def current_where(log: DataFrame, columns: list[str], condition: Column) -> DataFrame:
+    """Whole current images of the events that meet a condition over a few columns.
+
+    Which image is the latest, and whether it meets the condition, comes from those
+    columns alone; the wide ones (row snapshots above all) are then fetched for the
+    events found. An event, time and sequence number name one image.
+    """
+    order = ["event_id", *LOG_ORDER]
+    found = current_state(log, list(dict.fromkeys([*order, *columns]))).where(condition).select(*order)
+    same = [log[c].eqNullSafe(found[c]) for c in order]
+    return log.join(found, same[0] & same[1] & same[2], "left_semi")
+
+
 def images(changed: DataFrame, as_of, **fields) -> DataFrame:
     """Full images from current-state rows: given columns replaced, the change
     stamped. A field set to null becomes null; fields not named stay.
@@ -72,6 +85,21 @@ def images(changed: DataFrame, as_of, **fields) -> DataFrame:
     return changed.withColumns(stamped | fields).select(*LOG_COLUMNS)
 
 
+def table_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A written table, or None where nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    found = table_or_none(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
 class StateLog:
     """Reader and writer of one state root."""
 
@@ -82,13 +110,7 @@ class StateLog:
             self._note(0, "start", dt.datetime(1970, 1, 1))
 
     def _table(self, path: str, schema: str) -> DataFrame | None:
-        """A written table, or None where nothing was written yet."""
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        return table_or_none(self.spark, path, schema)
 
     # ---- facts ----------------------------------------------------------------
     def _note(self, generation, kind, at, path=None, digest=None, rows=None, target=None, note=None):
@@ -164,8 +186,7 @@ class StateLog:
         """All images of a generation, this one by default, with `writer` and `batch`."""
         path = self._log_path(self.generation if generation is None else generation)
         schema = LOG_SCHEMA + ", writer string, batch bigint"
-        rows = self._table(path, schema)
-        return self.spark.createDataFrame([], schema) if rows is None else rows
+        return table_or_empty(self.spark, path, schema)
 
     def current(
         self, columns: list[str] | None = None, *, before: tuple[str, int] | None = None

@@ -28,9 +28,10 @@ from rollcall.operators.latest import latest_per_key
 from rollcall.plans.reconcile import reconcile, reconciled_images
 from rollcall.plans.transitions import overdue, pending_remaining, polled, timeout_message
 from rollcall.sources.responses import RESPONSE_SCHEMA
-from rollcall.sources.statelog import LOG_COLUMNS, StateLog
+from rollcall.sources.statelog import LOG_COLUMNS, StateLog, table_or_empty
 
 WRITER = "collect"
+DELIVERY = ["ts", "status", "body", "delivery_failed"]
 BASE_COLUMNS = ["event_id", "state", "attempts", "last_error", "webhook_submitted_at"]
 BASE_SCHEMA = (
     "event_id string, state string, attempts int, last_error string, "
@@ -38,8 +39,16 @@ BASE_SCHEMA = (
 )
 
 
-def deduplicated(responses: DataFrame, lateness: str = "7 days") -> DataFrame:
-    """Drop repeated deliveries of a response within the watermark."""
+def deduplicated(responses: DataFrame, lateness: str | None = None) -> DataFrame:
+    """Drop repeated deliveries of a response.
+
+    By default nothing else is dropped, however late it comes, and the stream remembers
+    the key of every response. With a `lateness` it forgets keys older than that, and
+    responses that come later still are dropped by the watermark. (`Collector` needs
+    neither: it takes repeats as they come.)
+    """
+    if lateness is None:
+        return responses.dropDuplicates(["event_id", "seq"])
     timed = responses.withColumn("event_time", F.col("ts").cast("timestamp"))
     once = timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(
         ["event_id", "seq"]
@@ -47,6 +56,15 @@ def deduplicated(responses: DataFrame, lateness: str = "7 days") -> DataFrame:
     return once.drop("event_time")
 
 
+def first_delivery(responses: DataFrame) -> DataFrame:
+    """One row per response. Of deliveries that differ the first counts: by batch, and
+    within one by time, status, body and delivery. The fold over a history goes by the
+    same order, so which way a response is applied makes no difference."""
+    first = F.min(F.struct(*DELIVERY))
+    once = responses.groupBy("event_id", "seq").agg(first.alias("d")).select("event_id", "seq", "d.*")
+    return once.select(*responses.columns)
+
+
 class Collector:
     """Applies micro-batches of responses to a state log."""
 
@@ -57,7 +75,7 @@ class Collector:
         *,
         max_attempts: int = S.MAX_ATTEMPTS,
         timeout_hours: int = S.TIMEOUT_HOURS,
-        compact_every: int | None = None,
+        compact_every: int | None = 20,
     ):
         self.log = log
         self.spark = log.spark
@@ -75,11 +93,12 @@ class Collector:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _saved(self, table: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.history}/{table}")
+        """All batches of a table; none yet is an empty one."""
+        return table_or_empty(self.spark, f"{self.history}/{table}", schema)
 
     # ---- one micro-batch ---------------------------------------------------------
     def apply(self, responses: DataFrame, batch: int) -> None:
-        fresh = self._save(responses.dropDuplicates(["event_id", "seq"]), "responses", batch)
+        fresh = self._save(first_delivery(responses), "responses", batch)
         clock = self._clock(fresh, batch)
         if clock is None:
             return
@@ -135,7 +154,7 @@ class Collector:
         # Repeats are dropped by (event, seq) before the rows meet by event: a hot
         # event is then never gathered in one task.
         history = history.where(F.col("batch").between(since, batch))
-        delivery = F.max(F.struct("batch", "ts", "status", "body", "delivery_failed"))
+        delivery = F.min(F.struct("batch", *DELIVERY))
         once = history.groupBy("event_id", "seq").agg(delivery.alias("d")).select(
             "event_id", "seq", "d.*"
         )

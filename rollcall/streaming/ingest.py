@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollcall import settings as S
@@ -21,7 +22,11 @@ class Ingestor:
         self.prefix = prefix
 
     def apply(self, rows: DataFrame, batch: int) -> None:
-        events = with_event_id(rows, self.prefix).dropDuplicates(["event_id"])
+        # Of rows of one event in a batch the first by its cells counts, as earlier
+        # batches count before later ones.
+        events = with_event_id(rows, self.prefix)
+        first = F.min(F.struct(*rows.columns))
+        events = events.groupBy("event_id").agg(first.alias("r")).select("r.*", "event_id")
         known = self.log.current(["event_id"], before=(WRITER, batch))
         self.log.append(new_images(events, known, self.as_of), WRITER, batch)
 

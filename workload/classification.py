@@ -9,7 +9,6 @@ from rollcall.functions import links
 from rollcall.plans import classify
 from rollcall.sources import catalog
 from workload import sqltext as Q
-from workload.ingestion import assets
 from workload.registry import query
 
 
@@ -43,10 +42,12 @@ def classify_links(t):
     FROM cases LEFT JOIN picks ON kind = 'folder' AND folder_id = link_id""",
 )
 def link_diagnostics(t):
-    rows = t("roster").select(S.POSITION, "transcriptLink", "videoLink")
-    found = classify.resolve_links(rows, assets(t))
+    rows = links.with_link(t("roster").select(S.POSITION, "transcriptLink", "videoLink"))
+    asked = rows.select(F.col("link.folder_id").alias("folder_id")).distinct()
+    picks = catalog.folder_picks(t("asset_catalog").join(asked, "folder_id", "left_semi"))
+    found = rows.join(picks, F.col("link.folder_id") == picks["folder_id"], "left")
     case = F.col("link.case")
-    after = links.folder_diagnostic(F.col("link.folder_id"), F.col("asset_file_id"))
+    after = links.folder_diagnostic(F.col("link.folder_id"), F.col("file_id"))
     return found.select(
         S.POSITION,
         F.col("link.diagnostic").alias("before_listing"),
@@ -61,15 +62,17 @@ def pick_folder_transcript(t):
 
 @query(
     "probe_mime",
-    f"""WITH {Q.CASES} SELECT row_position, drive_case, link_id AS file_id, mime
-    FROM cases LEFT JOIN asset_catalog ON file_id = link_id WHERE drive_case IN ('B', 'D2')""",
+    f"""WITH {Q.CASES}, {Q.TYPES} SELECT row_position, drive_case, link_id AS file_id, mime
+    FROM cases LEFT JOIN types ON file_id = link_id WHERE drive_case IN ('B', 'D2')""",
 )
 def probe_mime(t):
     rows = links.with_link(t("roster").select(S.POSITION, "transcriptLink", "videoLink"))
     files = rows.where(links.is_file_case(F.col("link.case"))).select(
         S.POSITION, F.col("link.case").alias("drive_case"), F.col("link.file_id").alias("file_id")
     )
-    return files.join(catalog.file_mimes(t("asset_catalog")), "file_id", "left")
+    asked = files.select("file_id").distinct()
+    types = catalog.file_mimes(t("asset_catalog").join(asked, "file_id", "left_semi"))
+    return files.join(types, "file_id", "left")
 
 
 @query(

@@ -70,7 +70,7 @@ FROM roster
 """
 
 # Files behind links, and children of folders: some trashed, some unusable. Files
-# of cheap orders are missing.
+# of cheap orders are missing; some are listed again in a folder, under another type.
 VIEWS["asset_catalog"] = f"""
 SELECT 'FILE' || CAST(o_orderkey AS STRING) AS file_id, CAST(NULL AS STRING) AS folder_id,
   'f' || CAST(o_orderkey AS STRING) AS name,
@@ -86,6 +86,11 @@ SELECT 'CH' || CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING)
     ELSE 'video/mp4' END,
   l_returnflag = 'R', CAST(l_partkey * 1000 + l_suppkey AS BIGINT)
 FROM lineitem
+UNION ALL
+SELECT 'FILE' || CAST(o_orderkey AS STRING), 'SHELF' || CAST(o_orderkey % 90 AS STRING), 'again',
+  CASE WHEN o_orderkey % 3 = 0 THEN 'text/plain' ELSE 'video/mp4' END,
+  o_orderkey % 5 = 0, CAST(o_orderkey % 2 AS BIGINT)
+FROM orders WHERE o_orderkey % 4 < 2
 """
 
 # Which stored text a file holds. Documents of very expensive orders are unreadable.
@@ -98,6 +103,10 @@ SELECT 'FILE' || CAST(o_orderkey AS STRING),
   CAST(o_orderkey % (SELECT count(*) FROM documents) AS BIGINT)
 FROM orders
 UNION ALL
+SELECT 'FILE' || CAST(o_orderkey AS STRING),
+  CAST(o_orderkey * 7 % (SELECT count(*) FROM documents) AS BIGINT)
+FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL
 SELECT 'CH' || CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING) || '_'
     || CAST(l_partkey AS STRING) || '_' || CAST(l_suppkey AS STRING),
   CAST(l_partkey % (SELECT count(*) FROM documents) AS BIGINT)
@@ -212,14 +221,25 @@ SELECT CAST(o_orderkey AS STRING) AS session_id,
   o_orderpriority AS subject, c_mktsegment AS shift,
   CASE o_orderstatus WHEN 'F' THEN 'failed' WHEN 'O' THEN 'processed' ELSE 'submitted' END AS pipeline_status,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 'failed' ELSE 'ok' END AS session_status,
-  o_orderpriority = '5-LOW' AS is_deleted, o_orderdate AS updated_at
+  o_orderpriority = '5-LOW' AS is_deleted, o_orderdate AS updated_at,
+  CASE WHEN o_orderstatus = 'F' AND o_orderkey % 4 > 0
+    THEN 'step ' || CAST(o_orderkey % 4 AS STRING) || ' failed' ELSE NULL END AS error_message
 FROM orders JOIN customer ON o_custkey = c_custkey
 """
 
+# The operational copy of the sessions.
+VIEWS["operational_sessions"] = """
+SELECT 'op-' || session_id AS id, scheduling_app_event_id, school_code, teacher_code, coach_code,
+  grade, subject, pipeline_status, session_status AS status, updated_at AS recorded_at,
+  updated_at AS created_at
+FROM sessions
+"""
+
 VIEWS["users"] = """
 SELECT 'T' || CAST(c_custkey AS STRING) AS code,
   CASE WHEN c_custkey % 50 = 0 THEN ' ' ELSE c_name END AS first_name,
-  CASE WHEN c_custkey % 50 = 0 THEN '' WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS last_name,
+  CASE WHEN c_custkey % 50 = 0 THEN '' WHEN c_custkey % 3 = 0 THEN '' WHEN c_custkey % 7 = 0 THEN NULL
+    ELSE c_mktsegment END AS last_name,
   'teacher' AS role, 'studio-school-' || CAST(c_nationkey AS STRING) AS school_code,
   '2024-01-' || lpad(CAST(c_custkey % 28 + 1 AS STRING), 2, '0') AS created_at
 FROM customer

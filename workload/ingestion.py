@@ -55,12 +55,12 @@ def roster_drop_blank(t):
 
 @query(
     "roster_positions",
-    """SELECT src_ord, school, CAST(row_number() OVER (ORDER BY src_ord) AS BIGINT) AS row_position
+    f"""SELECT src_ord, {Q.denumbered('infrastructureCode')} AS infrastructureCode,
+    {Q.denumbered('grade')} AS grade, {Q.CELLS}, CAST(row_number() OVER (ORDER BY src_ord) AS BIGINT) AS row_position
     FROM roster_with_blanks WHERE school IS NOT NULL""",
 )
 def roster_positions(t):
-    rows = roster.prepare(t("roster_with_blanks"), ["src_ord"])
-    return rows.select("src_ord", "school", S.POSITION)
+    return roster.prepare(t("roster_with_blanks"), ["src_ord"])
 
 
 @query(
@@ -84,16 +84,36 @@ def roster_denumber(t):
 
 @query(
     "roster_file_positions",
-    f"""SELECT row_position, CAST(infrastructureCode AS STRING) AS infrastructureCode,
-    CAST(grade AS STRING) AS grade, {Q.CELLS} FROM roster""",
+    f"""SELECT row_position, {Q.denumbered('infrastructureCode')} AS infrastructureCode,
+    {Q.denumbered('grade')} AS grade, {Q.CELLS},
+    'first line' || chr(10) || 'line ' || CAST(row_position AS STRING) AS remark FROM roster""",
 )
 def roster_file_positions(t):
-    """A whole CSV roster read and numbered in file order: the file is written in
-    roster order, so the positions found must be the positions it was written by."""
+    """A whole CSV roster, with a line break in one cell of every row, read and numbered
+    in file order: the file is written in roster order, so the positions found must be
+    the positions it was written by. Its numbers are texts that end in `.0`."""
     path = new_path(t.spark, "roster-file")
-    ordered = t("roster").orderBy(S.POSITION).drop(S.POSITION)
+    remark = F.concat(F.lit("first line\nline "), F.col(S.POSITION).cast("string"))
+    ordered = t("roster").withColumn("remark", remark).orderBy(S.POSITION).drop(S.POSITION)
     reports.write_annotated(ordered, path, "csv")
-    return roster.read_roster(t.spark, path, "csv")
+    return roster.read_roster(t.spark, path, "csv", multi_line=True)
+
+
+_MISSING = {"school": "Escuela", "shift": None, "videoLink": None, "grade": "Grado"}
+
+
+@query(
+    "roster_required_columns",
+    "SELECT 'shift' AS missing, count(*) AS n FROM roster UNION ALL SELECT 'videoLink', count(*) FROM roster",
+)
+def roster_required_columns(t):
+    """The given roster with columns renamed and taken away: those missing, by name."""
+    rows = t("roster")
+    for name, instead in _MISSING.items():
+        rows = rows.drop(name) if instead is None else rows.withColumnRenamed(name, instead)
+    names = roster.missing_columns(roster.canonicalize(rows))
+    missing = F.explode(F.array(*[F.lit(n) for n in names]))
+    return rows.agg(F.count("*").alias("n")).select(missing.alias("missing"), "n")
 
 
 @query("asset_catalog_scan", """SELECT file_id, folder_id, name, mime, list_order FROM asset_catalog
@@ -120,29 +140,35 @@ def response_log_scan(t):
 
 @query(
     "state_current",
-    """SELECT row_position, event_id, drive_case, transcript_file_id, transcript_gcs_uri,
-    webhook_message_id, pdf_drive_id, pdf_drive_link, state, last_error, attempts,
-    excel_row_json, log_seq FROM state_now""",
+    "SELECT * FROM state_now",
 )
 def state_current(t):
-    log = t("state_log").select(*statelog.LOG_COLUMNS)
-    return statelog.current_state(log).drop("webhook_submitted_at", "last_attempt_at", "log_ts")
+    return statelog.current_state(t("state_log").select(*statelog.LOG_COLUMNS))
 
 
-_PRINT_COLUMNS = ["row_position", "school", "teacher", "grade", "transcriptLink", "videoLink"]
+def _cell(x: str) -> str:
+    return f"coalesce(CAST(length({x}) AS STRING) || ':' || {x}, 'N')"
 
 
+_PRINTED = [
+    "CAST(row_position AS STRING)",
+    *[Q.denumbered(c) if c in S.NUMERIC_TEXT_COLUMNS else c for c in S.ROSTER_COLUMNS],
+]
+_LIMBS = " || '-' || ".join(
+    f"CAST(sum(CAST('0x' || substr(h, {k}, 16) AS UBIGINT)) AS STRING)" for k in (1, 17, 33, 49)
+)
 _PRINT = f"""prints AS (
-    SELECT count(*) AS source_rows,
-      CAST(sum(CAST('0x' || substr(sha256(row_text), 1, 15) AS BIGINT)) AS STRING) AS source_digest
-    FROM (SELECT coalesce(CAST(row_position AS STRING), '\\N') || chr(31) || coalesce(school, '\\N')
-      || chr(31) || coalesce(teacher, '\\N') || chr(31) || coalesce({Q.denumbered('grade')}, '\\N')
-      || chr(31) || coalesce(transcriptLink, '\\N') || chr(31) || coalesce(videoLink, '\\N') AS row_text
-      FROM roster) x)"""
+    SELECT count(*) AS source_rows, {_LIMBS} AS source_digest
+    FROM (SELECT sha256({" || ',' || ".join(_cell(f"({c})") for c in _PRINTED)}) AS h FROM roster) x)"""
+
+
+def printed(t):
+    """Every column of the roster, as ingestion leaves them."""
+    return roster.repair_numbers(t("roster")).select(S.POSITION, *S.ROSTER_COLUMNS)
 
 
 def roster_print(t):
-    return fingerprint.table_fingerprint(roster.repair_numbers(t("roster")), _PRINT_COLUMNS)
+    return fingerprint.table_fingerprint(printed(t))
 
 
 @query("source_fingerprint", f"WITH {_PRINT} SELECT source_rows, source_digest FROM prints")
@@ -181,7 +207,7 @@ def phase_finish(t):
 def source_lock(t):
     """The whole roster registered, offered again, and offered with one row twice."""
     log = statelog.StateLog(t.spark, new_path(t.spark, "state"))
-    rows = t("roster").select(*_PRINT_COLUMNS)
+    rows = printed(t)
     first = rows.where(F.col(S.POSITION) == rows.agg(F.min(S.POSITION)).scalar())
     steps = []
     for step, offered in enumerate([rows, rows.repartition(3), rows.unionByName(first)], 1):

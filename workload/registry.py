@@ -78,7 +78,7 @@ def _with_views(sql: str) -> str:
                     order.append(name)
 
     add(sql)
-    views = ",\n".join(f"{name} AS ({VIEWS[name].strip()})" for name in order)
+    views = ",\n".join(f"{name} AS MATERIALIZED ({VIEWS[name].strip()})" for name in order)
     body = sql.strip()
     if not views:
         return body

@@ -76,22 +76,30 @@ PICKS = f"""picks AS (
     WHERE folder_id IS NOT NULL AND NOT trashed AND mime IN ('{DOC}', '{DOCX}', 'text/plain')) x
   WHERE rn = 1)"""
 
+# One type per file: the listing that counts first.
+TYPES = """types AS (
+  SELECT file_id, mime FROM (SELECT file_id, mime, row_number() OVER (PARTITION BY file_id
+    ORDER BY trashed, list_order, folder_id NULLS FIRST, mime) AS rn FROM asset_catalog) x WHERE rn = 1)"""
+
 # All of phase-1 gating: `gated` has outcome and outcome_error per open row.
-GATED = f"""{CASES}, {PICKS},
+GATED = f"""{CASES}, {PICKS}, {TYPES},
+busy AS (
+  SELECT event_id FROM state_now WHERE state IN ('completed', 'submitted', 'pdf_in_drive', 'analyzed')),
 open_rows AS (
-  SELECT * FROM cases WHERE event_id NOT IN (
-    SELECT event_id FROM state_now WHERE state IN ('completed', 'submitted', 'pdf_in_drive', 'analyzed'))),
+  SELECT *, CASE WHEN drive_case IN ('C', 'D1') THEN link_id END AS folder_key,
+    CASE WHEN drive_case IN ('B', 'D2') THEN link_id END AS file_key
+  FROM cases WHERE NOT EXISTS (SELECT 1 FROM busy WHERE busy.event_id = cases.event_id)),
 found AS (
   SELECT o.*,
     CASE WHEN drive_case IN ('C', 'D1') THEN p.file_id WHEN kind IN ('doc', 'file') THEN link_id END AS asset_file_id,
-    CASE WHEN drive_case IN ('A', 'D3') THEN '{DOC}' WHEN drive_case IN ('C', 'D1') THEN p.mime
-      WHEN drive_case IN ('B', 'D2') THEN f.mime END AS asset_mime
+    CASE WHEN drive_case IN ('A', 'D3') THEN '{DOC}' ELSE coalesce(p.mime, f.mime) END AS asset_mime
   FROM open_rows o
-  LEFT JOIN picks p ON o.drive_case IN ('C', 'D1') AND p.folder_id = o.link_id
-  LEFT JOIN asset_catalog f ON o.drive_case IN ('B', 'D2') AND f.file_id = o.link_id),
+  LEFT JOIN picks p ON p.folder_id = o.folder_key
+  LEFT JOIN types f ON f.file_id = o.file_key),
+contents AS (SELECT file_id, min(content_id) AS content_id FROM content_index GROUP BY file_id),
 stored AS (
-  SELECT found.*, content_id FROM found LEFT JOIN content_index c ON c.file_id = found.asset_file_id),
-gated AS (
+  SELECT found.*, content_id FROM found LEFT JOIN contents c ON c.file_id = found.asset_file_id),
+gated AS MATERIALIZED (
   SELECT *, CASE
     WHEN drive_case = 'E' THEN 'skipped_no_link'
     WHEN drive_case = 'F' THEN 'skipped_unsupported_format'

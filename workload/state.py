@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from rollcall import settings as S
 from rollcall.functions import ids
-from rollcall.plans import reports, transitions
+from rollcall.operators.scratch import new_path
+from rollcall.plans import reports, submit, transitions
 from rollcall.sources import roster as R
+from rollcall.sources.statelog import LOG_COLUMNS, STATE_COLUMNS, StateLog, current_where
+from workload import sqltext as Q
 from workload.fixtures import AS_OF
 from workload.ingestion import prepared, state_now
 from workload.registry import query
@@ -18,6 +21,10 @@ AT = dt.datetime.fromisoformat(AS_OF)
 _RETRYABLE = "('failed_drive_read', 'failed_gcs_upload', 'failed_webhook', 'failed_phase1')"
 
 
+def log_of(t):
+    return t("state_log").select(*LOG_COLUMNS)
+
+
 @query(
     "select_retryable",
     f"""SELECT event_id, state, attempts, row_position,
@@ -56,16 +63,14 @@ def failures_listing(t):
 
 @query(
     "inspect_row",
-    """SELECT row_position, event_id, drive_case, state, attempts, last_error,
-      json_extract_string(excel_row_json, '$.teacher') AS teacher
+    """SELECT * EXCLUDE (log_ts, log_seq), json_extract_string(excel_row_json, '$.teacher') AS teacher,
+      json_extract_string(excel_row_json, '$.grade') AS grade
     FROM state_now WHERE event_id = 'studio-row-42'""",
 )
 def inspect_row(t):
     row = reports.inspect(state_now(t), "studio-row-42")
     source = R.from_snapshot(F.col("excel_row_json"), R.roster_schema())
-    return row.withColumn("r", source).select(
-        S.POSITION, "event_id", "drive_case", "state", "attempts", "last_error", "r.teacher"
-    )
+    return row.withColumn("r", source).select(*STATE_COLUMNS, "r.teacher", "r.grade")
 
 
 @query(
@@ -129,7 +134,8 @@ _IMAGE = ["row_position", "event_id", "state", "last_error", "attempts", "excel_
       AND webhook_submitted_at < TIMESTAMP '{AS_OF}' - INTERVAL 48 HOURS""",
 )
 def timeout_sweep(t):
-    return transitions.timeout_sweep(state_now(t), AT).select(*_IMAGE)
+    late = current_where(log_of(t), ["state", "webhook_submitted_at"], transitions.overdue(AT))
+    return transitions.timeout_sweep(late, AT).select(*_IMAGE)
 
 
 @query(
@@ -138,7 +144,8 @@ def timeout_sweep(t):
       attempts, excel_row_json, log_seq + 1 AS log_seq FROM state_now WHERE state IN {_RETRYABLE}""",
 )
 def retry_failed(t):
-    return transitions.retry_failed(state_now(t), AT).select(*_IMAGE)
+    failed = current_where(log_of(t), ["state"], transitions.retryable())
+    return transitions.retry_failed(failed, AT).select(*_IMAGE)
 
 
 _LISTED = "SELECT DISTINCT 'studio-row-' || CAST(user_id * 3 AS STRING) AS event_id FROM events WHERE event_type = 'error'"
@@ -156,7 +163,9 @@ def listed_events(t):
     WHERE event_id IN ({_LISTED})""",
 )
 def retry_rows(t):
-    return transitions.retry_rows(state_now(t), listed_events(t), AT).select(*_IMAGE)
+    listed = listed_events(t)
+    log = log_of(t).join(listed, "event_id", "left_semi")
+    return transitions.retry_rows(current_where(log, ["state"], F.lit(True)), listed, AT).select(*_IMAGE)
 
 
 @query(
@@ -173,7 +182,8 @@ def state_append(t):
         F.lit("patched").alias("drive_case"),
         F.lit(None).cast("string").alias("last_error"),
     )
-    new = transitions.patch_images(state_now(t), changes, AT)
+    log = log_of(t).join(changes, "event_id", "left_semi")
+    new = transitions.patch_images(current_where(log, ["state"], F.lit(True)), changes, AT)
     return new.select(*_IMAGE, "drive_case", "last_attempt_at")
 
 
@@ -189,10 +199,16 @@ def state_history(t):
 
 @query(
     "attempts_accounting",
-    "SELECT event_id, CAST(sum(attempts_added) AS INT) AS attempts FROM state_log GROUP BY event_id",
+    """SELECT event_id, CAST(sum(greatest(attempts - before, 0)) AS INT) AS spent,
+      last(attempts ORDER BY log_ts, log_seq) AS attempts
+    FROM (SELECT *, coalesce(lag(attempts) OVER (PARTITION BY event_id ORDER BY log_ts, log_seq), 0) AS before
+      FROM state_log) x GROUP BY event_id""",
 )
 def attempts_accounting(t):
-    return transitions.attempts_spent(t("state_log"))
+    """Over a log that the library has written."""
+    log = StateLog(t.spark, new_path(t.spark, "state"))
+    log.append(log_of(t), "submit", 1)
+    return transitions.attempts_spent(log.log())
 
 
 # ---- phase 3 ------------------------------------------------------------------------
@@ -213,15 +229,23 @@ def annotation_status(t):
 
 @query(
     "annotated_roster",
-    f"""SELECT r.row_position, r.school, r.teacher, r.transcriptLink,
-      coalesce(event_id, '') AS event_id_xai,
+    f"""SELECT r.row_position, {Q.denumbered('infrastructureCode')} AS infrastructureCode,
+      {Q.denumbered('grade')} AS grade, {Q.CELLS}, coalesce(event_id, '') AS event_id_xai,
       CASE WHEN state = 'completed' THEN coalesce(pdf_drive_link, '') ELSE '' END AS pdf_drive_link,
       coalesce({_STATUS}, '') AS backfill_status
     FROM roster r LEFT JOIN state_now s ON s.row_position = r.row_position""",
 )
 def annotated_roster(t):
-    rows = reports.annotate(prepared(t), state_now(t, *_ANNOTATED))
-    return rows.select(S.POSITION, "school", "teacher", "transcriptLink", *S.ANNOTATION_COLUMNS)
+    """The state also holds events of another prefix for the same rows."""
+    return reports.annotate(prepared(t), two_prefixes(t, *_ANNOTATED))
+
+
+def two_prefixes(t, *columns):
+    state = state_now(t, *columns)
+    other = state.withColumns(
+        {"event_id": ids.event_id(F.col(S.POSITION), "second-row"), "state": F.lit(S.PENDING)}
+    )
+    return state.unionByName(other)
 
 
 @query(
@@ -230,5 +254,6 @@ def annotated_roster(t):
     FROM roster r LEFT JOIN state_now s ON s.row_position = r.row_position""",
 )
 def roster_state_join(t):
-    state = state_now(t, S.POSITION, "event_id", "state")
-    return t("roster").select(S.POSITION, "school").join(state, S.POSITION, "left")
+    state = two_prefixes(t, S.POSITION, "event_id", "state").select(F.col("event_id").alias("_event"), "event_id", "state")
+    rows = submit.with_event_id(t("roster").select(S.POSITION, "school")).withColumnRenamed("event_id", "_event")
+    return rows.join(state, "_event", "left").drop("_event")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rollcall import settings as S
 from rollcall.operators.scratch import new_path
 from rollcall.plans import submit
+from rollcall.plans.transitions import collect_pool
 from rollcall.sources import responses as R
 from rollcall.sources import roster, statelog
 from rollcall.streaming import collect, ingest
@@ -40,14 +41,17 @@ def response_files(t, files: int) -> str:
     return path
 
 
-def collected(t, files: int) -> statelog.StateLog:
+def collected(t, files: int, drain: bool = False) -> statelog.StateLog:
     """The state log after all responses, in as many micro-batches as files."""
     log = seeded_log(t)
     work = new_path(t.spark, "collect")
     collector = collect.Collector(log, f"{work}/history")
     stream = R.stream_responses(t.spark, response_files(t, files), files_per_batch=1)
     query_ = collector.start(stream, f"{work}/checkpoint", once=True)
-    query_.awaitTermination()
+    if drain:
+        collector.run_until_drained(query_)
+    else:
+        query_.awaitTermination()
     return log
 
 
@@ -83,31 +87,34 @@ def stream_timeout(t):
 
 @query(
     "stream_drain",
-    f"""WITH {_CLOSED} SELECT count(*) AS remaining FROM closed
+    f"""WITH {_CLOSED} SELECT event_id, state, attempts FROM closed
     WHERE state IN ('submitted', 'failed_pdf_404') OR (state = 'failed_pdf_fetch' AND attempts < 5)""",
 )
 def stream_drain(t):
-    from rollcall.plans.transitions import pending_remaining
-
-    return pending_remaining(collected(t, 2).current(["state", "attempts"]))
+    """Collects until nothing is polled or nothing more comes; what is still polled."""
+    log = collected(t, 2, drain=True)
+    return collect_pool(log.current(["event_id", "state", "attempts"]))
 
 
 @query(
     "stream_ingest",
     f"""SELECT row_position, 'studio-row-' || CAST(row_position AS STRING) AS event_id,
-    'pending' AS state, {Q.denumbered('grade')} AS grade FROM roster""",
+    'pending' AS state, {Q.denumbered('grade')} AS grade, teacher, transcriptLink FROM roster""",
 )
 def stream_ingest(t):
-    """The roster arrives twice; every event is registered once."""
+    """The roster arrives twice, and once with another grade in the same files; every
+    event is registered once, as its first row has it (grades come first in the order)."""
     path = new_path(t.spark, "roster-files")
     rows = prepared(t).select(*roster.roster_schema().names)
-    rows.write.parquet(f"{path}/first")
-    rows.write.parquet(f"{path}/second")
+    other = rows.withColumn("transcriptLink", F.lit("~ later"))
+    both = rows.unionByName(other).repartition(3, S.POSITION)
+    both.write.parquet(f"{path}/first")
+    both.write.parquet(f"{path}/second")
     log = statelog.StateLog(t.spark, new_path(t.spark, "state"))
     stream = t.spark.readStream.schema(roster.roster_schema()).option("maxFilesPerTrigger", 4).parquet(f"{path}/*")
     ingest.Ingestor(log, AT).start(stream, f"{path}-checkpoint").awaitTermination()
-    grade = F.get_json_object("excel_row_json", "$.grade").alias("grade")
-    return log.log().select(S.POSITION, "event_id", "state", grade)
+    cells = [F.get_json_object("excel_row_json", f"$.{c}").alias(c) for c in ("grade", "teacher", "transcriptLink")]
+    return log.log().select(S.POSITION, "event_id", "state", *cells)
 
 
 @query("stream_dedup", "SELECT seq, event_id, status FROM response_log")
@@ -116,7 +123,7 @@ def stream_dedup(t):
     path = new_path(t.spark, "repeated")
     rows = t("response_log")
     rows.unionByName(rows).write.parquet(f"{path}/in")
-    once = collect.deduplicated(R.stream_responses(t.spark, f"{path}/in"), "60 days")
+    once = collect.deduplicated(R.stream_responses(t.spark, f"{path}/in"))
     sink = once.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint")
     sink.trigger(availableNow=True).start(f"{path}/out").awaitTermination()
     return t.spark.read.schema(R.RESPONSE_SCHEMA).parquet(f"{path}/out").select("seq", "event_id", "status")

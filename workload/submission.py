@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from rollcall import settings as S
 from rollcall.functions import payload
-from rollcall.plans import reports, submit
+from rollcall.operators.scratch import materialize, new_path
+from rollcall.plans import reports, submit, transitions
+from rollcall.sources import roster as R
 from workload import sqltext as Q
 from workload.fixtures import AS_OF, BLOB_PREFIX, BUCKET, SECRET, START
-from workload.ingestion import gated, prepared, state_now
+from workload.ingestion import assets, gated, prepared, state_now
 from workload.registry import query
 
 AT = dt.datetime.fromisoformat(AS_OF)
@@ -63,8 +65,8 @@ def position_difference(t):
 @query(
     "already_submitted",
     """SELECT r.row_position, 'studio-row-' || CAST(r.row_position AS STRING) AS event_id FROM roster r
-    WHERE 'studio-row-' || CAST(r.row_position AS STRING) NOT IN (SELECT event_id FROM state_now
-      WHERE state IN ('completed', 'submitted', 'pdf_in_drive', 'analyzed'))""",
+    WHERE NOT EXISTS (SELECT 1 FROM state_now s WHERE s.event_id = 'studio-row-' || CAST(r.row_position AS STRING)
+      AND s.state IN ('completed', 'submitted', 'pdf_in_drive', 'analyzed'))""",
 )
 def already_submitted(t):
     rows = submit.with_event_id(t("roster").select(S.POSITION))
@@ -74,15 +76,17 @@ def already_submitted(t):
 @query(
     "insert_or_ignore",
     f"""SELECT row_position, 'studio-row-' || CAST(row_position AS STRING) AS event_id, 'pending' AS state,
-      0 AS attempts, {Q.denumbered('grade')} AS grade, teacher, transcriptLink
-    FROM roster WHERE 'studio-row-' || CAST(row_position AS STRING) NOT IN (SELECT event_id FROM state_now)""",
+      0 AS attempts, {Q.denumbered('infrastructureCode')} AS infrastructureCode,
+      {Q.denumbered('grade')} AS grade, {Q.CELLS}
+    FROM roster r WHERE NOT EXISTS (
+      SELECT 1 FROM state_now s WHERE s.event_id = 'studio-row-' || CAST(r.row_position AS STRING))""",
 )
 def insert_or_ignore(t):
     rows = submit.with_event_id(prepared(t))
     new = submit.new_images(rows, state_now(t, "event_id"), AT)
     cells = [
         F.get_json_object("excel_row_json", f"$.{c}").alias(c)
-        for c in ("grade", "teacher", "transcriptLink")
+        for c in S.ROSTER_COLUMNS
     ]
     return new.select(S.POSITION, "event_id", "state", "attempts", *cells)
 
@@ -122,14 +126,61 @@ def outbox_of(t):
       CASE WHEN ext = 'txt' THEN 'text/plain' ELSE '{S.DOCX}' END AS content_type,
       uri AS transcript_gcs_uri, TIMESTAMP '2024-01-25 18:00:00' AS url_expires_at, body,
       'sha256=' || {Q.hmac(f"'{Q.AS_OF_EPOCH}.' || body")} AS signature,
-      '{Q.AS_OF_EPOCH}' AS header_timestamp FROM bodies""",
+      'application/json' AS header_type, '{Q.AS_OF_EPOCH}' AS header_timestamp,
+      'sha256=' || {Q.hmac(f"'{Q.AS_OF_EPOCH}.' || body")} AS header_signature FROM bodies""",
 )
 def outbox(t):
-    return outbox_of(t).withColumn(
-        "header_timestamp", F.col("headers")["X-Webhook-Timestamp"]
+    return outbox_of(t).withColumns(
+        {
+            "header_type": F.col("headers")["Content-Type"],
+            "header_timestamp": F.col("headers")["X-Webhook-Timestamp"],
+            "header_signature": F.col("headers")["X-Webhook-Signature"],
+        }
     ).drop("headers")
 
 
+@query(
+    "published_transcripts",
+    f"""WITH {Q.GATED} SELECT event_id, '{BLOB_PREFIX}/' || event_id || '/transcript.' || ext AS blob_path,
+      ext AS extension, sha256(content.content) AS content_sha256,
+      CASE WHEN row_position % 3 = 0 THEN 'run-1' ELSE 'run-2' END AS run
+    FROM gated JOIN content ON content.content_id = gated.content_id WHERE outcome = 'eligible'""",
+)
+def published_transcripts(t):
+    """Two runs publish their rows, some of them both: every text is read back, and one
+    published twice is the later run's."""
+    path = new_path(t.spark, "blobs")
+    rows = materialize(gated(t).where(F.col("outcome") == submit.ELIGIBLE), "eligible")
+    third = F.col(S.POSITION) % 3
+    for run, part in (("run-1", third <= 1), ("run-2", third >= 1)):
+        submit.write_transcripts(rows.where(part), t("content"), path, BLOB_PREFIX, run)
+    found = submit.published_transcripts(t.spark, path)
+    return found.withColumn("content_sha256", F.sha2(F.encode("content", "UTF-8"), 256)).drop("content")
+
+
+@query(
+    "retry_flow",
+    f"""WITH {Q.GATED} SELECT g.event_id, g.drive_case, {Q.URI.replace('event_id', 'g.event_id')} AS transcript_gcs_uri,
+      g.attempts_before
+    FROM (SELECT gated.*, s.attempts AS attempts_before FROM gated JOIN state_now s ON s.event_id = gated.event_id
+      WHERE s.state IN ('failed_drive_read', 'failed_gcs_upload', 'failed_webhook', 'failed_phase1')) g
+    WHERE g.outcome = 'eligible'""",
+)
+def retry_flow(t):
+    """Rows that failed, taken from the snapshots the state holds, through the gate into
+    the outbox. The snapshots are those that registering the roster has written."""
+    state = state_now(t, "event_id", "state", "attempts")
+    new = submit.pending_images(submit.with_event_id(prepared(t)), S.ROSTER_COLUMNS, AT)
+    saved = state.join(new.select("event_id", "excel_row_json"), "event_id")
+    rows = transitions.select_retryable(saved, R.roster_schema()).withColumnRenamed("attempts", "attempts_before")
+    again = submit.gate(rows.drop("state"), state, assets(t))
+    pads = payload.secret_pads(t.spark, SECRET)
+    box = submit.outbox(again, AT, pads, bucket=BUCKET, blob_prefix=BLOB_PREFIX)
+    return box.join(rows.select("event_id", "attempts_before"), "event_id").select(
+        "event_id", "drive_case", "transcript_gcs_uri", "attempts_before"
+    )
+
+
 @query(
     "release_schedule",
     f"""WITH {Q.GATED} SELECT row_position, event_id, slot,
