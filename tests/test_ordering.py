@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from rollcall.operators.latest import first_n_per_key, latest_per_key
@@ -26,20 +27,27 @@ def test_ordinal_index(spark):
     rng = random.Random(2)
     ordinals = sorted(rng.sample(range(-500, 100_000), 4000)) + [10**12, 10**12 + 5]
     df = spark.createDataFrame([(o,) for o in ordinals], "o long").repartition(6)
-    found = dense_index_by_ordinal(df, "o", "n", bucket_rows=64, group_buckets=8)
+    found = dense_index_by_ordinal(df, "o", "n", partitions=7)
     assert {r["o"]: r["n"] for r in found.collect()} == {o: n for n, o in enumerate(ordinals, 1)}
 
 
 def test_ordinal_index_never_gathers_rows(spark):
     df = spark.range(10_000).withColumnRenamed("id", "o")
     plan = dense_index_by_ordinal(df, "o", "n")._jdf.queryExecution().executedPlan().toString()
-    # The only single-partition step is the running total over groups of buckets.
+    # The only single-partition step is the running total over counts of ranges.
     single = [i for i, line in enumerate(plan.splitlines()) if "SinglePartition" in line]
     assert len(single) == 1
     below = plan.splitlines()[single[0] + 1]
     assert "HashAggregate" in below
 
 
+@pytest.mark.parametrize("ordinals, said", [([1, None, 3], "null"), ([1, 2, 2, 3], "not: 2")])
+def test_ordinals_that_give_no_position_are_refused(spark, ordinals, said):
+    df = spark.createDataFrame([(o,) for o in ordinals], "o long")
+    with pytest.raises(Exception, match=said):
+        dense_index_by_ordinal(df, "o", "n").collect()
+
+
 def test_first_n_per_key(spark):
     rng = random.Random(3)
     rows = [("hot" if rng.random() < 0.7 else rng.choice("abc"), i) for i in range(2000)]

@@ -75,7 +75,7 @@ def test_fold_parameters(spark, most, hours):
 
 @pytest.mark.parametrize("seed, quiet", [(11, True), (12, True), (13, False), (14, False)])
 def test_fold_with_a_hot_event(spark, seed, quiet):
-    """One event holds most rows. It is cut into chunks; the result is the same."""
+    """One event holds most rows. It lies in several ranges; the result is the same."""
     states, rows = scenario(seed, events=40, hot=600, quiet=quiet)
     if quiet:  # many kept rows, and an end far into the history
         end = T0 + dt.timedelta(hours=45)
@@ -84,9 +84,8 @@ def test_fold_with_a_hot_event(spark, seed, quiet):
             (10_000_001 + i, end + dt.timedelta(minutes=i), "studio-row-0", 500, "late", False) for i in range(1, 200)
         ]
     state, responses = frames(spark, states, rows)
-    cutting = {"share": 0.2, "min_rows": 1, "chunk_rows": 90}
+    cutting = {"partitions": 12}
     chunked = cut_hot_groups(responses, "event_id", ["ts", "seq"], **cutting)
-    assert chunked.any_cut
     sizes = [r["count"] for r in chunked.rows.where("event_id = 'studio-row-0'").groupBy("chunk").count().collect()]
     assert len(sizes) > 4 and max(sizes) < sum(sizes) / 2
     assert folded(reconcile(state, responses, **cutting)) == fold(states, rows)
@@ -97,20 +96,18 @@ def test_hot_event_of_one_instant(spark):
     states = {"studio-row-0": ("submitted", 0, None, T0), "studio-row-1": ("submitted", 0, None, T0)}
     rows = [(i, T0, "studio-row-0", 404 if i < 300 else 500, None, False) for i in range(500)]
     rows.append((1000, T0, "studio-row-1", 404, None, False))
-    cutting = {"share": 0.2, "min_rows": 1, "chunk_rows": 100}
+    cutting = {"partitions": 5}
     state, responses = frames(spark, states, rows)
     chunked = cut_hot_groups(responses, "event_id", ["ts", "seq"], **cutting)
     assert chunked.rows.where("event_id = 'studio-row-0'").select("chunk").distinct().count() > 2
     assert folded(reconcile(state, responses, **cutting)) == fold(states, rows)
 
 
-@pytest.mark.parametrize("share", [0.2, 0.9])
-def test_previous_state(spark, share):
+@pytest.mark.parametrize("partitions", [1, 9])
+def test_previous_state(spark, partitions):
     _, rows = scenario(5, events=30, hot=400)
     log = spark.createDataFrame(rows, RESPONSE_SCHEMA).repartition(3)
-    found = with_previous(
-        log, "event_id", ["ts", "seq"], "status", "before", share=share, min_rows=1, chunk_rows=70
-    )
+    found = with_previous(log, "event_id", ["ts", "seq"], "status", "before", partitions=partitions)
     assert "chunk" not in found.columns
     got = {r["seq"]: r["before"] for r in found.collect()}
     last, wanted = {}, {}
@@ -120,12 +117,20 @@ def test_previous_state(spark, share):
     assert got == wanted
 
 
-def test_no_cut_means_one_exchange_and_one_sort_order(spark):
+def test_rows_are_dealt_once_after_the_ranges(spark):
     states, rows = scenario(1)
     df = reconcile(*frames(spark, states, rows))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "SinglePartition" not in plan
-    assert plan.count("hashpartitioning(event_id") == 2  # one per join side, none after
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(event_id" in line and ", chunk" in line]
+    assert len(dealt) <= 4  # the two join sides and the carried values, not once per window
+
+
+def test_null_event_in_several_ranges(spark):
+    rows = [(i, T0 + dt.timedelta(minutes=i), None, 400 + i, None, False) for i in range(300)]
+    log = spark.createDataFrame(rows, RESPONSE_SCHEMA)
+    found = with_previous(log, "event_id", ["ts", "seq"], "status", "before", partitions=6)
+    assert {r["seq"]: r["before"] for r in found.collect()} == {i: 399 + i if i else None for i in range(300)}
 
 
 def test_wide_rows_do_not_travel(spark):

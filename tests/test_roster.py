@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall import settings as S
+from rollcall.functions.text import or_default
 from rollcall.plans import reports
 from rollcall.sources import fingerprint, roster
 
@@ -52,6 +53,23 @@ def test_positions_follow_file_order_over_many_splits(spark, folder):
     assert found == {f"s{i}": i for i in range(1, n + 1)}
 
 
+def test_csv_numbers_and_line_breaks(spark, folder):
+    rows = [row(i)[:11] + [f"https://x/{i}\nsecond, line"] for i in range(1, 5)]
+    rows[1][0], rows[2][0], rows[3][0] = "11769.00", "7.5", "A.0"
+    path = write_csv(folder, S.ROSTER_COLUMNS, rows)
+    found = roster.read_roster(spark, path, multi_line=True).orderBy(S.POSITION).collect()
+    assert [r["infrastructureCode"] for r in found] == ["1", "11769", "7.5", "A.0"]
+    assert [(r[S.POSITION], r["transcriptLink"]) for r in found] == [
+        (i, f"https://x/{i}\nsecond, line") for i in range(1, 5)
+    ]
+
+
+def test_integer_columns_become_text(spark):
+    df = spark.createDataFrame([(1, 3), (None, None)], "infrastructureCode int, grade long")
+    found = roster.repair_numbers(df).select("infrastructureCode", or_default(F.col("grade"), "none").alias("g"))
+    assert [tuple(r) for r in found.collect()] == [("1", "3"), (None, "none")]
+
+
 def test_parquet_roster_repairs_numbers(spark, folder):
     df = spark.createDataFrame([tuple(row(i)) for i in range(1, 4)], ", ".join(f"{c} string" for c in S.ROSTER_COLUMNS))
     df = df.withColumn("infrastructureCode", F.col("infrastructureCode").cast("double"))
@@ -79,15 +97,24 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
     assert fingerprint.table_fingerprint(df.union(df.limit(1))).first() != first
     nulls = df.withColumn("b", F.nullif("b", F.lit("")))
     assert fingerprint.table_fingerprint(nulls).first() != first
-    assert fingerprint.table_fingerprint(df.limit(0)).first()["source_digest"] == "0"
+    assert fingerprint.table_fingerprint(df.limit(0)).first()["source_digest"] == "0-0-0-0"
+
 
+def test_fingerprint_tells_cells_apart(spark):
+    """Null, the text of a null mark, and cells that run into one another."""
+    rows = [(None, "x"), ("N", "x"), ("\\N", "x"), ("", "x"), ("1:x", ""), ("", "1:x"), ("a,1:b", "c"), ("a", "b,1:c")]
+    prints = {
+        fingerprint.table_fingerprint(spark.createDataFrame([r], "a string, b string")).first()["source_digest"]
+        for r in rows
+    }
+    assert len(prints) == len(rows)
 
-def test_file_fingerprint(spark, folder):
-    import hashlib
 
-    path = write_csv(folder, ["a"], [["1"]])
-    found = fingerprint.file_fingerprint(spark, path).first()
-    assert found["sha256"] == hashlib.sha256(open(path, "rb").read()).hexdigest()
+def test_fingerprint_sees_every_column(spark):
+    df = spark.createDataFrame([tuple(row(i)) for i in range(3)], ", ".join(f"{c} string" for c in S.ROSTER_COLUMNS))
+    whole = fingerprint.table_fingerprint(df).first()
+    for c in S.ROSTER_COLUMNS:
+        assert fingerprint.table_fingerprint(df.withColumn(c, F.concat(F.coalesce(c, F.lit("")), F.lit("!")))).first() != whole
 
 
 def test_output_path():
@@ -102,14 +129,17 @@ def test_annotations_do_not_shift_after_blank_rows(spark, folder):
     path = write_csv(folder, S.ROSTER_COLUMNS, [row(1), blank, row(2)])
     rows = roster.read_roster(spark, path)
     state = spark.createDataFrame(
-        [(1, "e-1", "completed", None, "link1"), (2, "e-2", "failed_webhook", "x" * 500, None)],
+        [
+            (1, "studio-row-1", "completed", None, "link1"), (2, "studio-row-2", "failed_webhook", "x" * 500, None),
+            (1, "other-1", "pending", None, None), (2, "other-2", "pending", None, None),
+        ],
         "row_position long, event_id string, state string, last_error string, pdf_drive_link string",
     )
     out = reports.annotate(rows, state)
     found = {r["school"]: tuple(r[c] for c in S.ANNOTATION_COLUMNS) for r in out.collect()}
     assert found == {
-        "s1": ("e-1", "link1", "completed"),
-        "s2": ("e-2", "", "failed_webhook: " + "x" * 200),
+        "s1": ("studio-row-1", "link1", "completed"),
+        "s2": ("studio-row-2", "", "failed_webhook: " + "x" * 200),
     }
     print_ = fingerprint.table_fingerprint(rows)
     reports.write_annotated(out, f"{folder}/out", "csv", provenance_row=reports.provenance(path, print_))

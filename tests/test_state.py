@@ -208,7 +208,7 @@ def test_fetch(spark, folder):
 
 def test_release_schedule(spark):
     rows = spark.createDataFrame([(p, f"e{p}") for p in (9, 2, 70, 5)], "row_position long, event_id string")
-    found = submit.release_schedule(rows, T0, requests_per_second=0.2, bucket_rows=4).collect()
+    found = submit.release_schedule(rows, T0, requests_per_second=0.2).collect()
     got = {r["row_position"]: (r["slot"], (r["release_at"] - T0).total_seconds()) for r in found}
     assert got == {2: (0, 0.0), 5: (1, 5.0), 9: (2, 10.0), 70: (3, 15.0)}
     assert submit.projected_duration(rows, requests_per_second=0).first()["hours"] == round(4 / 0.0001 / 3600, 2)
@@ -222,12 +222,89 @@ def test_outbox_files(spark, folder):
     for _ in range(2):
         submit.write_outbox(box, f"{folder}/outbox", "r1")
         documents = spark.createDataFrame([(1, "uno"), (2, "dos")], "content_id long, content string")
-        submit.write_transcripts(gated, documents, f"{folder}/blobs", "p")
+        submit.write_transcripts(gated, documents, f"{folder}/blobs", "p", "r1")
     assert spark.read.parquet(f"{folder}/outbox").count() == 2
-    blobs = spark.read.parquet(f"{folder}/blobs")
-    assert {(r["blob_path"], r["content"], r["extension"]) for r in blobs.collect()} == {
-        ("p/studio-row-1/transcript.docx", "uno", "docx"), ("p/studio-row-2/transcript.txt", "dos", "txt"),
+    first = {
+        ("p/studio-row-1/transcript.docx", "uno", "docx", "r1"), ("p/studio-row-2/transcript.txt", "dos", "txt", "r1"),
     }
+    columns = ["blob_path", "content", "extension", "run"]
+
+    def published():
+        rows = submit.published_transcripts(spark, f"{folder}/blobs").select(columns).collect()
+        assert len(rows) == len(set(rows))
+        return set(map(tuple, rows))
+
+    assert published() == first
+    # A later run with one of the rows, and a new text: the other run's stay.
+    newer = spark.createDataFrame([(2, "DOS")], "content_id long, content string")
+    submit.write_transcripts(gated.where("content_id = 2"), newer, f"{folder}/blobs", "p", "r2")
+    assert published() == {x for x in first if x[1] == "uno"} | {("p/studio-row-2/transcript.txt", "DOS", "txt", "r2")}
+
+
+def test_files_listed_twice_are_submitted_once(spark, folder):
+    log = statelog.StateLog(spark, folder)
+    once = make_assets(spark)
+    again = spark.createDataFrame(
+        [("F1", "SHELF", "n", S.MP4, False, 5), ("F1", "SHELF", "n", S.DOCX, True, 0)], once.listing.schema
+    )
+    assets = catalog.usable_assets(once.listing.union(again), once.content.union(once.content))
+    gated = submit.gate(make_roster(spark), log.current(), assets)
+    assert sorted(r["event_id"] for r in gated.where("outcome = 'eligible'").collect()) == ["studio-row-1", "studio-row-2"]
+    assert gated.count() == 9
+    assert catalog.file_mimes(assets.listing).where("file_id = 'F1'").first()["mime"] == S.PLAIN_TEXT
+
+
+def test_gate_does_not_shuffle_the_whole_listing(spark, folder):
+    log = statelog.StateLog(spark, folder)
+    plan = submit.gate(make_roster(spark), log.current(), make_assets(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and plan.count("LeftSemi") >= 2
+
+
+def test_submission_results_of_one_event(spark, folder):
+    """The result sent last counts, and one that does not say it was published was not."""
+    log = statelog.StateLog(spark, folder)
+    rows = submit.with_event_id(make_roster(spark))
+    log.append(submit.new_images(rows, log.current(), T0), "submit", 1)
+    gated = submit.gate(rows, log.current(), make_assets(spark))
+    box = submit.outbox(gated, T0, payload.secret_pads(spark, "k"), bucket="b", blob_prefix="p")
+    results = spark.createDataFrame(
+        [
+            ("studio-row-1", True, None, 500, None, "no", T0), ("studio-row-1", True, None, 202, "m", None, T0 + HOUR),
+            ("studio-row-2", None, "lost", None, None, None, T0),
+        ],
+        "event_id string, published boolean, publish_error string, status int, message_id string, body string, sent_at timestamp_ntz",
+    )
+    new = submit.apply_submissions(log.current(), box, results, T0 + HOUR).collect()
+    assert sorted((r["event_id"], r["state"], r["last_error"]) for r in new) == [
+        ("studio-row-1", "submitted", None), ("studio-row-2", "failed_gcs_upload", "lost"),
+    ]
+
+
+def test_attempts_over_a_written_log(spark, folder):
+    log = statelog.StateLog(spark, folder)
+    run_phase_1(spark, log, T0)
+    run_phase_1(spark, log, T0 + HOUR)
+    log.append(transitions.retry_rows(log.current(), ["studio-row-6"], T0 + 2 * HOUR), "retry", 1)
+    run_phase_1(spark, log, T0 + 3 * HOUR)
+    found = {r["event_id"]: (r["spent"], r["attempts"]) for r in transitions.attempts_spent(log.log()).collect()}
+    assert found["studio-row-6"] == (3, 1) and found["studio-row-7"] == (3, 3) and found["studio-row-1"] == (0, 0)
+
+
+def test_current_where_is_current(spark, folder):
+    log = statelog.StateLog(spark, folder)
+    run_phase_1(spark, log, T0)
+    failed = F.col("state") == "failed_drive_read"
+    narrow = statelog.current_where(log.log().select(*statelog.LOG_COLUMNS), ["state"], failed)
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, log.current().where(failed).collect()))
+    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+    aggregates = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert aggregates and not any("excel_row_json" in line for line in aggregates)
+
+
+def test_patches_of_one_key(spark):
+    base = spark.createDataFrame([("a", "x", "y"), ("b", "x", "y")], "k string, p string, q string")
+    patch = spark.createDataFrame([("a", "1", None), ("a", None, "2"), ("a", "0", None)], "k string, p string, q string")
+    assert sorted(map(tuple, transitions.dim_patch(base, patch, ["k"]).collect())) == [("a", "1", "2"), ("b", "x", "y")]
 
 
 def test_time_zones_play_no_part(spark, folder):

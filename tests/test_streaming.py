@@ -84,6 +84,43 @@ def test_repeated_batch_changes_nothing(spark, folder):
     assert log.log().groupBy("event_id", "writer", "batch").count().where("count > 1").count() == 0
 
 
+@pytest.mark.parametrize("empty", [0, 1, 3])
+def test_empty_batches(spark, folder, empty):
+    states, rows = scenario(26, events=20)
+    log = seeded(spark, folder, states)
+    collector = collect.Collector(log, f"{folder}/history")
+    parts = batches(spark, rows, in_order)
+    parts.insert(empty, spark.createDataFrame([], R.RESPONSE_SCHEMA))
+    for number, part in enumerate(parts):
+        collector.apply(part, number)
+    assert found(log) == expected(states, rows)
+
+
+def test_late_and_repeated_responses_are_kept_once(spark, folder):
+    """By default nothing is too late."""
+    days = [40, 0, 39, 1, 40]
+    for i, day in enumerate(days):
+        row = (day, T0 + dt.timedelta(days=day), "studio-row-1", 404, None, False)
+        spark.createDataFrame([row], R.RESPONSE_SCHEMA).coalesce(1).write.parquet(f"{folder}/in/{i}")
+    once = collect.deduplicated(R.stream_responses(spark, f"{folder}/in/*", files_per_batch=1))
+    sink = once.writeStream.format("parquet").option("checkpointLocation", f"{folder}/check")
+    sink.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    assert sorted(r["seq"] for r in spark.read.parquet(f"{folder}/out").collect()) == [0, 1, 39, 40]
+
+
+def test_deliveries_that_differ(spark, folder):
+    """The first delivery counts, whichever way the batches are cut."""
+    states = {"studio-row-1": ("submitted", 0, None, T0)}
+    first = (1, T0, "studio-row-1", 404, None, False)
+    other = (1, T0, "studio-row-1", 500, "late", False)
+    for k, parts in enumerate([[[first, other]], [[first], [other]], [[other, first]]]):
+        log = seeded(spark, f"{folder}/{k}", states)
+        collector = collect.Collector(log, f"{folder}/{k}/history")
+        for number, part in enumerate(parts):
+            collector.apply(spark.createDataFrame(part, R.RESPONSE_SCHEMA), number)
+        assert found(log) == {"studio-row-1": ("failed_pdf_404", 0, "not in BQ yet")}
+
+
 def test_repeated_responses_count_once(spark, folder):
     """The same responses arrive in every batch."""
     states, rows = scenario(25, events=25)
