@@ -143,20 +143,26 @@ class StateLog:
             finished.alias("phase_1_finished_at"), "target",
         )
 
+    def offer(self, fingerprint: DataFrame) -> DataFrame:
+        """The fingerprint of a roster with `outcome`, what offering it now comes to:
+        `new` if none is registered, `known` if it is this one, else `refused`."""
+        source = self.facts().where((F.col("generation") == self.generation) & (F.col("kind") == "source"))
+        digest, rows = source.agg(F.max("digest")).scalar(), source.agg(F.max("rows")).scalar()
+        same = (F.col("source_digest") == digest) & (F.col("source_rows") == rows)
+        outcome = F.when(digest.isNull(), "new").when(same, "known").otherwise("refused")
+        return fingerprint.withColumn("outcome", outcome)
+
     def register_source(self, path: str, fingerprint: DataFrame, as_of, target: str = "") -> bool:
         """Lock the state to one roster: true when this call registered it, false
         when the same roster is registered already; another roster is refused."""
-        found = fingerprint.first()
-        generation, facts = self._facts_now()
-        known = facts.get("source")
-        if known is None:
-            self._note(generation, "source", as_of, path, found["source_digest"], found["source_rows"], target)
-            return True
-        if (known["digest"], known["rows"]) != (found["source_digest"], found["source_rows"]):
-            raise SourceChanged(
-                f"state belongs to a roster with digest {known['digest']}; reset it to start over"
+        found = self.offer(fingerprint).first()
+        if found["outcome"] == "refused":
+            raise SourceChanged("state belongs to another roster; reset it to start over")
+        if found["outcome"] == "new":
+            self._note(
+                self.generation, "source", as_of, path, found["source_digest"], found["source_rows"], target
             )
-        return False
+        return found["outcome"] == "new"
 
     def finish_phase_1(self, as_of) -> None:
         self._note(self.generation, "phase_1_finished", as_of)

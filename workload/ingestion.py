@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rollcall import settings as S
 from rollcall.operators.ordering import dense_index
-from rollcall.operators.scratch import new_path
+from rollcall.operators.scratch import materialize, new_path
 from rollcall.plans import reports, submit
 from rollcall.sources import catalog, fingerprint, responses, roster, statelog
 from workload import sqltext as Q
@@ -201,44 +201,53 @@ def phase_finish(t):
 
 @query(
     "source_lock",
-    """SELECT step, outcome, CASE WHEN step = 3 THEN 1 ELSE 0 END + (SELECT count(*) FROM roster) AS offered
-    FROM (VALUES (1, 'registered'), (2, 'known'), (3, 'refused')) v(step, outcome)""",
+    f"""WITH {_PRINT}
+    SELECT 1 AS step, 'new' AS outcome, source_rows AS offered, source_digest AS digest FROM prints
+    UNION ALL SELECT 2, 'known', source_rows, source_digest FROM prints
+    UNION ALL SELECT 3, 'refused', source_rows + 1, NULL FROM prints""",
 )
 def source_lock(t):
-    """The whole roster registered, offered again, and offered with one row twice."""
+    """The whole roster offered and registered, offered again in another order, and
+    offered with one row twice (whose digest is another one: shown as null)."""
     log = statelog.StateLog(t.spark, new_path(t.spark, "state"))
     rows = printed(t)
     first = rows.where(F.col(S.POSITION) == rows.agg(F.min(S.POSITION)).scalar())
-    steps = []
-    for step, offered in enumerate([rows, rows.repartition(3), rows.unionByName(first)], 1):
-        found = fingerprint.table_fingerprint(offered)
-        try:
-            outcome = "registered" if log.register_source("roster.parquet", found, AT) else "known"
-        except statelog.SourceChanged:
-            outcome = "refused"
-        steps.append((step, outcome, found.first()["source_rows"]))
-    return t.spark.createDataFrame(steps, "step int, outcome string, offered bigint")
+    prints = [fingerprint.table_fingerprint(r) for r in (rows, rows.repartition(3), rows.unionByName(first))]
+    steps = [materialize(log.offer(prints[0]), "offered")]
+    log.register_source("roster.parquet", prints[0], AT)
+    steps += [log.offer(p) for p in prints[1:]]
+    shown = [
+        s.select(
+            F.lit(step).alias("step"), "outcome", F.col("source_rows").alias("offered"),
+            F.when(F.col("outcome") != "refused", F.col("source_digest")).alias("digest"),
+        )
+        for step, s in enumerate(steps, 1)
+    ]
+    return shown[0].unionByName(shown[1]).unionByName(shown[2])
 
 
 @query(
     "reset_state",
-    """SELECT 0 AS generation, count(*) AS events FROM state_now
-    UNION ALL SELECT 1, 0 UNION ALL SELECT 1, count(*) FROM state_now WHERE state = 'completed'""",
+    """SELECT 0 AS generation, state, count(*) AS events FROM state_now GROUP BY state
+    UNION ALL SELECT 2, state, count(*) FROM state_now WHERE state = 'completed' GROUP BY state""",
 )
 def reset_state(t):
-    """Events known before a reset, after it, and after starting again."""
+    """Events by state before a reset, after it (none), and after a second one and a new
+    start with the completed ones."""
     log = statelog.StateLog(t.spark, new_path(t.spark, "state"))
 
     def known():
-        return log.generation, log.current(["event_id"]).count()
+        counts = log.current(["state"]).groupBy("state").agg(F.count("*").alias("events"))
+        return materialize(counts.select(F.lit(log.generation).alias("generation"), "state", "events"), "known")
 
     log.append(t("state_log"), "submit", 1)
     steps = [known()]
     log.reset(AT, confirm=True)
     steps.append(known())
+    log.reset(AT, confirm=True)
     log.append(state_now(t).where(F.col("state") == S.COMPLETED), "submit", 1)
     steps.append(known())
-    return t.spark.createDataFrame(steps, "generation int, events bigint")
+    return steps[0].unionByName(steps[1]).unionByName(steps[2])
 
 
 @query(
