@@ -148,8 +148,9 @@ def thread_tree(rows: DataFrame) -> DataFrame:
     """conversations(conv_id, turn, role, text) as a reply tree: conv, id, parent, score,
     role, text. Each turn answers the one before it; repeats of a turn follow one another
     in order of role and text. An id is the turn's place in its conversation, so gaps
-    and null turns (which come first) do no harm. The score, text length, only matters
-    where there are branches."""
+    and null turns (which come first) do no harm; a null conversation is one of its own.
+    The score, text length, only matters where there are branches. A conversation's
+    turns meet in one task, as its text has to be written by one anyway."""
     order = W.partitionBy("conv").orderBy("turn", "role", "text")
     place = F.row_number().over(order).cast("long")
     return rows.select(

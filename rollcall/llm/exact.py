@@ -59,7 +59,8 @@ def exact_duplicates(
     id, stays; null ids come last. Rows repeated under one id are counted each in
     group_size and share one decision. An empty table gives an empty result; other
     columns of `docs` are not looked at, but with `carry` the whole row goes along as
-    `doc`: then the texts of groups are shuffled too.
+    `doc`: then texts are hashed once more on the way out, instead of being written to
+    a table with their digests, and those of groups are shuffled.
     """
     extra = ["doc"] * carry
     whole = [F.struct("*").alias("doc")] if carry else []
@@ -75,13 +76,15 @@ def exact_duplicates(
         "again", _hit(F.col("bits"), F.bitmap_bit_position(_filter_bit()))
     )
     wanted = F.lit(True) if digest_all else F.col("again")
-    hashed = materialize(
-        found.select("id", *extra, "points", "again", F.when(wanted, F.sha2("text", 256)).alias("digest")), "dedup-hashed"
-    )
+    digest = F.when(wanted, F.sha2("text", 256)).alias("digest")
+    hashed = materialize(found.select("id", "points", "again", digest), "dedup-hashed")
     again = hashed.where("again")
     first = F.struct((-F.col("points")).alias("p"), F.col("id").isNull().alias("nothing"), F.col("id").alias("id"))
     groups = again.groupBy("digest").agg(F.count("*").alias("group_size"), F.min(first)["id"].alias("keep_id"))
     groups = materialize(groups, "dedup-groups")  # apart from the join, so that the join can be split
+    if carry:
+        hashed = found.select("id", "doc", "points", "again", digest)
+        again = hashed.where("again")
     alone = hashed.where("NOT again").select(
         "id", *extra, "points", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
     )

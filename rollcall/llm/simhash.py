@@ -19,7 +19,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rollcall.llm.components import components
 from rollcall.operators.scratch import materialize
@@ -85,22 +84,22 @@ def _ones(digests: bytes) -> np.ndarray:
 
 
 def fingerprints(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, carry: bool = False
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4
 ) -> DataFrame:
-    """Rows (id, fp): the fingerprint of every row's whole text as a signed long; with
-    `carry` also `doc`, the whole row."""
+    """Rows (id, hash, fp): a 64-bit hash of every row's text, which with the id names the
+    row, and the fingerprint of the whole text as a signed long."""
 
     def work(batches):
         for batch in batches:
             found = b"".join([fingerprint(t or b"", shingle) for t in batch.column(1).to_pylist()])
             fps = np.frombuffer(found, ">i8").astype(np.int64)
-            columns = [batch.column(0), pa.array(fps), *batch.columns[2:]]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "fp", *["doc"] * carry])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps)], ["id", "hash", "fp"])
 
-    whole = [F.struct("*").alias("doc")] if carry else []
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"), *whole)
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("fp", T.LongType()), *rows.schema.fields[2:]])
-    return rows.mapInArrow(work, schema)
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"),
+        F.xxhash64(text_col).alias("hash"),
+    )
+    return rows.mapInArrow(work, "id long, hash long, fp long")
 
 
 def _syndromes() -> np.ndarray:
@@ -260,9 +259,9 @@ def near_duplicates(
     rows. A null text counts as empty and has fingerprint zero like any text without
     words. A null id links like others and is never a component's name unless all are
     null. Repeated rows share a component; no rows, no result. With `carry` the whole row
-    goes along as `doc`, through the last join too.
+    goes along as `doc`: it is joined to the narrow result by id and text hash.
     """
-    rows = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle, carry=carry), "fingerprints")
+    rows = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "fingerprints")
     nodes = materialize(rows.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
     roots = components(near_links(nodes, bits=bits, anchor_rows=anchor_rows))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
@@ -271,4 +270,11 @@ def near_duplicates(
     rooted = materialize(rooted, "rooted")
     names = materialize(rooted.groupBy("root").agg(F.min("least").alias("component")), "names")
     named = materialize(rooted.join(names, "root").select("fp", "component"), "named")
-    return rows.join(named, "fp").select("id", "fp", "component", *["doc"] * carry)
+    decided = rows.join(named, "fp").select("id", "hash", "fp", "component")
+    if not carry:
+        return decided.drop("hash")
+    whole = docs.select(
+        F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash")
+    )
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    return whole.join(decided.distinct(), same).select("id", "fp", "component", "doc")
