@@ -17,7 +17,7 @@ import tiktoken
 from rollcall.llm.tiles import SPACE, Tiled, kinds
 
 #: Distinct words whose ids a worker keeps at hand.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 
 #: The vocabulary's pattern of words (a fixed value); word_starts() is the same over arrays.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

@@ -24,7 +24,7 @@ MARK = "▁"
 _MARK_BYTES = MARK.encode()
 
 #: Distinct words whose ids a worker keeps at hand.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 
 def word_starts(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
