@@ -28,18 +28,19 @@ def kind_of(url: Column) -> Column:
     return kind.otherwise(F.lit(S.UNSUPPORTED_OTHER))
 
 
-def id_of(url: Column) -> Column:
-    """Id a supported link points to, else null. The patterns exclude one another, so
-    they are alternatives of one expression with a group each, of which one matches."""
-    whole = "|".join(f"(?:{pattern})" for _, pattern in S.LINK_PATTERNS)
-    groups = [F.regexp_extract(url, whole, k + 1) for k in range(len(S.LINK_PATTERNS))]
-    return F.nullif(F.concat(*groups), F.lit(""))
+def id_of(url: Column, kind: Column) -> Column:
+    """Id a supported link of a known kind points to, else null."""
+    found = None
+    for name, pattern in S.LINK_PATTERNS:
+        part = F.regexp_extract(url, pattern, 1)
+        found = F.when(kind == name, part) if found is None else found.when(kind == name, part)
+    return found
 
 
 def url_kind(url: Column) -> Column:
     """struct(kind, id) of a link; empty text and null are `empty`."""
     link = F.nullif(url, F.lit(""))
-    return F.struct(kind_of(link).alias("kind"), id_of(link).alias("id"))
+    return F.struct(kind_of(link).alias("kind"), id_of(link, kind_of(link)).alias("id"))
 
 
 def case_of(kind: Column, same: Column) -> Column:
@@ -69,9 +70,8 @@ def with_link(df, transcript="transcriptLink", video="videoLink"):
     """Add the `link` struct: case, file_id, mime, transcript_url, folder_id,
     sub_variant, diagnostic. Folder contents are not looked at here."""
     t, v = clean_display(F.col(transcript)), clean_display(F.col(video))
-    df = df.withColumn("_t", t).withColumns(
-        {"_kind": kind_of(F.col("_t")), "_id": id_of(F.col("_t"))}
-    )
+    df = df.withColumn("_t", t).withColumn("_kind", kind_of(F.col("_t")))
+    df = df.withColumn("_id", id_of(F.col("_t"), F.col("_kind")))
     df = df.withColumn("_case", case_of(F.col("_kind"), F.col("_t") == v))
     case, kind, id_ = F.col("_case"), F.col("_kind"), F.col("_id")
     link = F.struct(

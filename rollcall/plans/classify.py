@@ -50,6 +50,7 @@ def resolve_links(roster: DataFrame, assets: Assets, asking: DataFrame | None =
     one, so that they do not pile up in one partition; both lookups are unique per key.
     """
     links = (roster if asking is None else asking).select("transcriptLink", "videoLink")
+    links = links.where(F.col("transcriptLink").contains(S.ASSET_SITE))
     asked = L.with_link(links).select("link.case", "link.file_id", "link.folder_id")
     files = asked.where(L.is_file_case(F.col("case"))).select("file_id").distinct()
     folders = asked.where(L.is_folder_case(F.col("case"))).select("folder_id").distinct()

@@ -53,6 +53,8 @@ LINK_PATTERNS = [
     ("file", r"^https?://drive\.google\.com/file(?:/u/\d+)?/d/([A-Za-z0-9_-]+)"),
     ("folder", r"^https?://drive\.google\.com/drive(?:/u/\d+)?/folders/([A-Za-z0-9_-]+)"),
 ]
+# What a link to a file or a folder holds in any case.
+ASSET_SITE = "://drive.google.com/"
 # Known kinds that are not supported.
 UNSUPPORTED_PATTERNS = [
     ("F_sheet", r"^https?://docs\.google\.com/spreadsheets/"),
