@@ -1,6 +1,7 @@
 """Operators over documents against plain definitions, with every odd case in the data."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -341,6 +342,17 @@ def test_language(docs):
             assert r.rejected or r.lang_pred != "und"
 
 
+def test_random_letters_are_rejected(spark):
+    """And prose in the languages learned is not, nor is it mistaken."""
+    r = random.Random(4)
+    rows = [(k, prose(100 + k, 60), "aa") for k in range(120)]
+    rows += [(k, prose(100 + k, 60)[::-1].replace("k", "q"), "bb") for k in range(120, 240)]
+    rows += [(1000 + k, "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(900)), None) for k in range(5)]
+    found = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {r.id for r in found if r.rejected} == set(range(1000, 1005))
+    assert all(r.lang_pred == ("aa" if r.id < 120 else "bb") for r in found if r.id < 1000)
+
+
 def test_nothing_to_learn_from(spark):
     rows = spark.createDataFrame([(1, "abc def", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in langid.identify(rows).collect()] == ["und"]
