@@ -56,35 +56,25 @@ def reply_paths(messages: DataFrame, *, branches: int = 1) -> DataFrame:
     known = messages.select("conv", "id")
     parents = known.select(F.col("conv").alias("c"), F.col("id").alias("p"))
     linked = messages.join(parents, (F.col("conv") == F.col("c")) & (F.col("parent") == F.col("p")), "left")
-    hops = [
-        materialize(
-            linked.select(
-                "conv", "id", F.col("p").alias("up"), F.lit(1).cast("long").alias("steps"),
-                F.coalesce("score", F.lit(0.0)).cast("double").alias("sum"),
-            ),
-            "hops",
-        )
-    ]
-    n = None
+    start = linked.select(
+        "conv", "id", F.col("p").alias("up"), F.lit(1).cast("long").alias("steps"),
+        F.coalesce("score", F.lit(0.0)).cast("double").alias("sum"),
+    )
+    hops, n = [materialize(start, "hops")], None
     while (left := hops[-1].where("up IS NOT NULL").count()) and left != n:
-        # As long as threads reach the root, fewer messages have something above them.
-        n = left
-        low, high = hops[-1], hops[-1]
-        high = high.select(
+        # As long as threads reach the root, fewer messages have something above them,
+        # and only those are joined; the others have their whole path.
+        n, now = left, hops[-1]
+        above = now.select(
             F.col("conv").alias("c"), F.col("id").alias("p"), F.col("up").alias("next"),
             F.col("steps").alias("more"), F.col("sum").alias("plus"),
         )
-        joined = low.join(high, (F.col("conv") == F.col("c")) & (F.col("up") == F.col("p")), "left")
-        hops.append(
-            materialize(
-                joined.select(
-                    "conv", "id", F.col("next").alias("up"),
-                    (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
-                    (F.col("sum") + F.coalesce("plus", F.lit(0.0))).alias("sum"),
-                ),
-                "hops",
-            )
+        under = now.where("up IS NOT NULL")
+        moved = under.join(above, (F.col("conv") == F.col("c")) & (F.col("up") == F.col("p"))).select(
+            "conv", "id", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"),
+            (F.col("sum") + F.col("plus")).alias("sum"),
         )
+        hops.append(materialize(now.where("up IS NULL").unionByName(moved), "hops"))
     whole = hops[-1].where("up IS NULL")
     inner = linked.where("p IS NOT NULL").select("conv", F.col("p").alias("id")).distinct()
     leaves = whole.join(inner, ["conv", "id"], "left_anti")
