@@ -48,8 +48,33 @@ TEMPLATES = {
         "that the following conditions are met: Redistributions of source code must retain the above copyright "
         "notice, this list of conditions and the following disclaimer."
     ),
+    "bsd-disclaimer": (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED."
+    ),
+    "isc-permission": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "mpl2-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+        "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "unlicense-notice": "This is free and unencumbered software released into the public domain.",
+    "cc-by-line": "Licensed under CC BY 4.0.",
+    "cc-by-sa-line": "Licensed under CC BY-SA 4.0.",
+    "spdx-apache": "SPDX-License-Identifier: Apache-2.0",
+    "spdx-bsd3": "SPDX-License-Identifier: BSD-3-Clause",
+    "spdx-gpl2": "SPDX-License-Identifier: GPL-2.0",
+    "spdx-gpl3": "SPDX-License-Identifier: GPL-3.0",
+    "spdx-isc": "SPDX-License-Identifier: ISC",
+    "spdx-mit": "SPDX-License-Identifier: MIT",
+    "spdx-mpl2": "SPDX-License-Identifier: MPL-2.0",
+    "all-rights-reserved": "All rights reserved.",
 }
 
+#: Words in a shingle; a shorter template is one shingle of all its words.
 SHINGLE = 5
 CONTAINMENT = 0.8
 #: With which probability a window that holds a template is retrieved, at least.
@@ -57,6 +82,7 @@ RETRIEVAL = 0.999
 #: Minima per band, and how much longer than a template its window may be.
 ROWS, SPREAD = 2, 1.1
 
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -65,19 +91,37 @@ def words_of(text: bytes) -> list[bytes]:
     return _WORD.findall(text.lower())
 
 
-def shingles_of(words: list[bytes]) -> list[bytes]:
-    if len(words) < SHINGLE:
+def shingles_of(words: list[bytes], width: int = SHINGLE) -> list[bytes]:
+    if len(words) < width:
         return []
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     begins = [0, *(ends[:-1] + 1).tolist()]
-    return [joined[a:b] for a, b in zip(begins, ends[SHINGLE - 1 :].tolist())]
+    return [joined[a:b] for a, b in zip(begins, ends[width - 1 :].tolist())]
 
 
 def hashes(shingles: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join([xxhash.xxh64_digest(s) for s in shingles]), ">u8").astype(np.uint64)
 
 
+def short_hashes(words: list[list[bytes]], widths: set[int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per width, hashes of the runs of so many words, made of the words' own hashes, and
+    the borders of each text's runs."""
+    if not widths:
+        return {}
+    own = hashes([w for text in words for w in text])
+    sizes = np.array([len(text) for text in words], np.int64)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(own))  # words to the text's end
+    out = {}
+    for width in widths:
+        runs = own[: max(0, len(own) - width + 1)].copy()
+        for k in range(1, width):
+            runs = runs * _MIX + own[k : k + len(runs)]
+        borders = np.concatenate([[0], np.cumsum(np.maximum(sizes - width + 1, 0))]).astype(np.int64)
+        out[width] = runs[left[: len(runs)] >= width], borders
+    return out
+
+
 def bands_needed(size: int, least: int, step: int) -> int:
     """Bands for windows of `size` shingles, `step` apart, over templates of `least` or
     more. The worst case: a template just contained enough, its window half a step off."""
@@ -92,6 +136,7 @@ def bands_needed(size: int, least: int, step: int) -> int:
 class WindowClass:
     """Templates of nearly the same length, and how windows are laid for them."""
 
+    width: int  # words in a shingle
     size: int
     step: int
     bands: int
@@ -101,25 +146,32 @@ class WindowClass:
 
 class Scanner:
     def __init__(self, templates: dict[str, str]):
-        self.shingles = {k: shingles_of(words_of(t.encode())) for k, t in templates.items()}
-        short = [k for k, s in self.shingles.items() if not s]
-        if short:
-            raise ValueError(f"templates of fewer than {SHINGLE} words: {short}")
+        words = {k: words_of(t.encode()) for k, t in templates.items()}
+        empty = [k for k, w in words.items() if not w]
+        if empty:
+            raise ValueError(f"templates without words: {empty}")
+        self.width = {k: min(SHINGLE, len(w)) for k, w in words.items()}
+        self.shingles = {k: shingles_of(w, self.width[k]) for k, w in words.items()}
         self.sets = {k: set(s) for k, s in self.shingles.items()}
         self.classes: list[WindowClass] = []
-        lengths = sorted({len(s) for s in self.shingles.values()}, reverse=True)
+        lengths = sorted({(self.width[k], len(s)) for k, s in self.shingles.items()}, reverse=True)
         while lengths:
-            size = lengths[0]
-            group = [n for n in lengths if n * SPREAD >= size]
+            width, size = lengths[0]
+            group = [x for x in lengths if x[0] == width and x[1] * SPREAD >= size]
             lengths = lengths[len(group) :]
             step = max(1, size // 16)
-            names = sorted(k for k, s in self.shingles.items() if len(s) in group)
-            self.classes.append(WindowClass(size, step, bands_needed(size, group[-1], step), names))
+            names = sorted(k for k, s in self.shingles.items() if (self.width[k], len(s)) in group)
+            self.classes.append(WindowClass(width, size, step, bands_needed(size, group[-1][1], step), names))
+        self.short = {c.width for c in self.classes if c.width < SHINGLE}
         functions = ROWS * max((c.bands for c in self.classes), default=0)
         # Odd multipliers; the upper half of the product is the hash.
         self.factors = np.array([xxhash.xxh64_intdigest(b"minhash", k) | 1 for k in range(functions)], np.uint64)
         for c in self.classes:
-            c.keys = np.array([self._template_keys(hashes(self.shingles[k]), c.bands) for k in c.names], np.uint64)
+            own = [
+                short_hashes([words[k]], {c.width})[c.width][0] if c.width in self.short else hashes(self.shingles[k])
+                for k in c.names
+            ]
+            c.keys = np.array([self._template_keys(x, c.bands) for x in own], np.uint64)
 
     def _hashed(self, values: np.ndarray, function: int) -> np.ndarray:
         return (values * self.factors[function] >> np.uint64(32)).astype(np.uint32)
@@ -128,42 +180,54 @@ class Scanner:
         least = [int(self._hashed(values, k).min()) for k in range(ROWS * bands)]
         return [_band([np.uint64(x) for x in least[ROWS * b : ROWS * b + ROWS]]) for b in range(bands)]
 
-    def candidates(self, values: np.ndarray, borders: np.ndarray) -> set[tuple[int, int, int, str]]:
+    def candidates(self, hashed: dict[int, tuple[np.ndarray, np.ndarray]]) -> set[tuple[int, int, int, str]]:
         """(text, first shingle, end, template) of windows that share a band with a
-        template. Text i has the shingles from borders[i] to borders[i + 1]."""
+        template. Per width of shingles, `hashed` has their values and borders: text i
+        has those from borders[i] to borders[i + 1]."""
         found: set[tuple[int, int, int, str]] = set()
-        for c in self.classes:
-            texts, begins, ends = _windows(borders, c.size, c.step)
-            if not len(begins):
+        for width, (values, borders) in hashed.items():
+            laid = [(c, *_windows(borders, c.size, c.step)) for c in self.classes if c.width == width]
+            if not len(values):
                 continue
-            for band in range(c.bands):
+            levels = [_levels(begins, ends) for _, _, begins, ends in laid]
+            for band in range(max((c.bands for c, *_ in laid), default=0)):
+                asked = [k for k, (c, *_) in enumerate(laid) if band < c.bands]
+                # A function's values and runs are the same for windows of every length.
                 least = [
-                    _minima(self._hashed(values, ROWS * band + k), begins, ends, c.size).astype(np.uint64)
-                    for k in range(ROWS)
+                    _minima(self._hashed(values, ROWS * band + row), [levels[k] for k in asked]) for row in range(ROWS)
                 ]
-                keys = _band(least)
-                for name, own in zip(c.names, c.keys[:, band]):
-                    for w in np.flatnonzero(keys == own).tolist():
-                        found.add((int(texts[w]), int(begins[w]), int(ends[w]), name))
+                for k, minima in zip(asked, zip(*least)):
+                    c, texts, begins, ends = laid[k]
+                    keys = _band([x.astype(np.uint64) for x in minima])
+                    for name, own in zip(c.names, c.keys[:, band]):
+                        for w in np.flatnonzero(keys == own).tolist():
+                            found.add((int(texts[w]), int(begins[w]), int(ends[w]), name))
         return found
 
     def scan(self, texts: list[bytes]) -> list[tuple[int, str, float, int, int, int]]:
         """(text, template, containment, first word, end word, places) per match; the
         place is the best one, the first of equals."""
-        shingled = [shingles_of(words_of(t)) for t in texts]
+        words = [words_of(t) for t in texts]
+        hashed = short_hashes(words, self.short)
+        shingled = [shingles_of(w) for w in words]
         borders = np.concatenate([[0], np.cumsum([len(s) for s in shingled])]).astype(np.int64)
-        values = hashes([s for own in shingled for s in own])
+        hashed[SHINGLE] = hashes([s for own in shingled for s in own]), borders
         best: dict[tuple[int, str], list] = {}
-        for text, begin, end, name in sorted(self.candidates(values, borders)):
-            wanted = self.sets[name]
-            margin = len(wanted) // 4 + 1
+        for text, begin, end, name in sorted(self.candidates(hashed)):
+            wanted, width = self.sets[name], self.width[name]
+            borders = hashed[width][1]
+            margin = len(wanted) // 4 + 1 if len(wanted) > 1 else 0
             first = max(borders[text], begin - margin) - borders[text]
-            own = shingled[text][first : min(borders[text + 1], end + margin) - borders[text]]
+            last = min(borders[text + 1], end + margin) - borders[text]
+            if width == SHINGLE:
+                own = shingled[text][first:last]
+            else:
+                own = shingles_of(words[text][first : last + width - 1], width)
             hits = [k for k, s in enumerate(own) if s in wanted]
             share = len({own[k] for k in hits}) / len(wanted)
             if share < CONTAINMENT:
                 continue
-            place = (int(first) + hits[0], int(first) + hits[-1] + SHINGLE)
+            place = (int(first) + hits[0], int(first) + hits[-1] + width)
             known = best.setdefault((text, name), [share, *place, 1, place[1]])
             if place[0] >= known[4]:
                 known[3], known[4] = known[3] + 1, place[1]
@@ -192,19 +256,26 @@ def _windows(borders: np.ndarray, size: int, step: int) -> tuple[np.ndarray, np.
     return texts, begins, np.minimum(begins + size, borders[texts + 1])
 
 
-def _minima(values: np.ndarray, begins: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
-    """Minimum of each window: of two overlapping runs of a power of two."""
-    out = np.empty(len(begins), values.dtype)
+def _levels(begins: np.ndarray, ends: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Windows by the power of two, 2^level, that two overlapping runs of cover each:
+    (level, which windows, where their first run begins, where their last one does)."""
     level = np.frexp(ends - begins)[1] - 1
+    out = []
+    for k in np.unique(level).tolist():
+        at = np.flatnonzero(level == k)
+        out.append((k, at, begins[at], ends[at] - (1 << k)))
+    return out
+
+
+def _minima(values: np.ndarray, groups: list[list[tuple]]) -> list[np.ndarray]:
+    """Per group of windows, the minimum of each window."""
+    out = [np.empty(sum(len(at) for _, at, _, _ in levels), values.dtype) for levels in groups]
     run, width = values, 1
-    for k in range(size.bit_length()):
-        at = level == k
-        if at.all():
-            return np.minimum(run[begins], run[ends - width])
-        if at.any():
-            out[at] = np.minimum(run[begins[at]], run[ends[at] - width])
-        if len(run) <= width:
-            break
+    for k in range(1 + max(levels[-1][0] for levels in groups)):
+        for minima, levels in zip(out, groups):
+            for level, at, first, last in levels:
+                if level == k:
+                    minima[at] = np.minimum(run[first], run[last])
         run, width = np.minimum(run[:-width], run[width:]), 2 * width
     return out
 
@@ -213,14 +284,15 @@ def license_matches(
     docs: DataFrame, templates: dict[str, str] | None = None, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per text and template found in it: id, license, containment (share of the
-    template's five-word shingles in one place), first_word, end_word, places.
+    template's five-word shingles in one place), first_word, end_word, places. A template
+    of fewer words is one shingle: its whole word sequence.
 
     A template is found if a stretch of the text holds CONTAINMENT of its shingles,
     compared as words, not by hash. The bands of each window length are so many that
     such a stretch is retrieved with probability RETRIEVAL at least; shingle sets that
     agree wholly always are. The templates are a fixed list that goes with the function.
     A map over partitions in chunks of bounded bytes, a longer text being a chunk of its
-    own; nothing is shuffled. Null and short texts match nothing; ids are longs;
+    own; nothing is shuffled. Null and empty texts match nothing; ids are longs;
     repeated rows match each.
     """
     wanted = dict(TEMPLATES if templates is None else templates)

@@ -437,6 +437,46 @@ def test_licenses_like_brute_force(docs):
     assert {(r.id, r.license) for r in licenses.license_matches(docs).collect()} == wanted
 
 
+def test_short_notices():
+    """Templates of one to four words, next to text borders and to each other."""
+    short = {"four": "SPDX-License-Identifier: MIT", "three": "All rights reserved.", "two": "public domain", "one": "copyleft"}
+    made = ["all", "rights", "reserved", "spdx", "license", "identifier", "mit", "public", "domain", "copyleft", "x"]
+    r = random.Random(8)
+    lines = [" ".join(r.choice(made) for _ in range(r.randint(0, 12))) for _ in range(400)]
+    lines += ["ALL RIGHTS\nRESERVED", "x all rights", "reserved x", "copyleft copyleft copyleft", *short.values()]
+    found = licenses.Scanner(short).scan([t.encode() for t in lines])
+    got = {(text, name): (share, first, end, places) for text, name, share, first, end, places in found}
+    wanted = {}
+    for k, line in enumerate(lines):
+        own = licenses.words_of(line.encode())
+        for name, template in short.items():
+            ws = licenses.words_of(template.encode())
+            at = [j for j in range(len(own)) if own[j : j + len(ws)] == ws]
+            if at:
+                wanted[k, name] = (1.0, at[0], at[0] + len(ws), len(at))
+    assert got == wanted and len({name for _, name in got}) == 4
+    with pytest.raises(ValueError):
+        licenses.Scanner({"none": "..."})
+
+
+def test_planted_lines_like_brute_force(spark):
+    """Every line about rights or licenses in the given documents, by its words."""
+    given_docs = queries.table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    found = {(r.id, r.license) for r in licenses.license_matches(given_docs).collect()}
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    wanted, kinds = set(), set()
+    for name, text in given_docs.collect():
+        kinds |= set(re.findall(r"(?im)^.*(?:licen[sc]|rights reserved).*$", text or ""))
+        own = licenses.words_of((text or "").encode())
+        sets = {w: set(licenses.shingles_of(own, w)) for w in set(scanner.width.values())}
+        for k, s in scanner.sets.items():
+            if len(sets[scanner.width[k]] & s) / len(s) >= 0.8:
+                wanted.add((name, k))
+    assert found == wanted
+    known = {tuple(licenses.words_of(t.encode())): k for k, t in licenses.TEMPLATES.items()}
+    assert len(kinds) == 5 and {known[tuple(licenses.words_of(x.encode()))] for x in kinds} == {k for _, k in found}
+
+
 # ---- no rows at all ---------------------------------------------------------------------
 DOCUMENT_QUERIES = [name for name in queries.QUERIES if name != "op10_reply_trees"]
 
