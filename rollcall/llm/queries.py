@@ -139,8 +139,15 @@ def op6(spark, folder):
 
 @query("op7_prefix_token_counts")
 def op7(spark, folder):
-    rows = tokencounts.token_index(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), prefixes=False)
-    return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+    rows = tokencounts.token_index(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+    points = F.size("counts")
+    rows = rows.select(
+        F.col("id").alias("doc_id"), "n_bytes",
+        tokencounts.tokens_of_prefix(F.col("counts"), points).cast("long").alias("n_tokens"),
+        tokencounts.longest_prefix(F.col("counts"), F.lit(512)).alias("points_within_limit"), "counts",
+    )
+    over = F.col("points_within_limit") < points
+    return rows.select("doc_id", "n_bytes", "n_tokens", over.alias("over_limit"), "points_within_limit", "counts")
 
 
 @query("op8_sentencepiece")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import bpe
-from rollcall.llm.tiles import SPACE, Tiled, kinds, text_chunks
+from rollcall.llm.tiles import SPACE, Tiled, gathered, kinds, text_chunks
 
 
 def token_index(
@@ -26,7 +26,7 @@ def token_index(
     A null text counts as empty and has an empty table. A map over partitions,
     nothing is shuffled; distinct words are worked out once per chunk of bounded
     bytes, a longer text being a chunk of its own. The id column is a long; repeated
-    rows are repeated.
+    rows are repeated. The table takes four bytes a code point.
     """
 
     def work(batches):
@@ -43,38 +43,49 @@ def token_index(
                     pa.array(tiled.sums(last)),
                 ]
                 if prefixes:
-                    columns.append(pa.array(_tables(texts, tiled, counts, last, pairs), pa.list_(pa.int64())))
+                    columns.append(_tables(tiled, counts, last, pairs))
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n_bytes", "n_tokens", "counts"][: len(columns)])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(work, "id long, n_bytes long, n_tokens long" + ", counts array<long>" * prefixes)
+    return rows.mapInArrow(work, "id long, n_bytes long, n_tokens long" + ", counts array<int>" * prefixes)
 
 
-def _tables(texts, tiled: Tiled, counts, last, pairs) -> list[np.ndarray]:
+def _tables(tiled: Tiled, counts, last, pairs) -> pa.ListArray:
     """Per text: tokens before a word, plus those of the word's prefix, at the end of
     every code point."""
-    out = []
-    of_word = last[tiled.index]
-    for k, text in enumerate(texts):
-        own = tiled.index[tiled.offsets[k] : tiled.offsets[k + 1]]
-        words = [tiled.words[i] for i in own]
-        ends = np.cumsum(of_word[tiled.offsets[k] : tiled.offsets[k + 1]])
-        table, at = np.zeros(len(text), np.int64), 0
-        for j, word in enumerate(words):
-            before = ends[j - 1] if j else 0
-            table[at : at + len(word)] = before + np.frombuffer(counts[own[j]], "<u4")
-            if j and _blank(words[j - 1]):
-                # A cut after white space ends the text with it, so all of it is one word.
-                size = len(word.decode("utf-8", "replace")[0].encode())
-                if _blank(word[:size]):
-                    run = words[j - 1] + word[:size]
-                    start = ends[j - 2] if j > 1 else 0
-                    table[at + size - 1] = start + int.from_bytes(pairs.counts_of([run])[0][-4:], "little")
-            at += len(word)
-        data = np.frombuffer(text, np.uint8)
-        inside = np.concatenate([data[1:] & 0xC0 == 0x80, [False]]) if len(data) else np.zeros(0, bool)
-        out.append(table[~inside])
-    return out
+    index = tiled.index
+    first = np.zeros(len(index) + 1, bool)
+    first[tiled.offsets] = True
+    ends = np.cumsum(last[index])  # tokens up to the end of each word, over all texts
+    before = np.concatenate([[0], ends])
+    of_text = np.repeat(before[tiled.offsets[:-1]], np.diff(tiled.offsets))
+    table, at = gathered(counts, index, "<u4")
+    table = table.astype(np.int32)
+    table += np.repeat((before[:-1] - of_text).astype(np.int32), np.diff(at))
+    # A cut after white space ends the text with it, so all of it is one word.
+    heads = [_first_point(w) for w in tiled.words]
+    blank_heads = {h for h in set(heads) if _blank(h)}
+    begins = np.array([h in blank_heads for h in heads], bool)
+    blank = np.array([h in blank_heads and _blank(w) for w, h in zip(tiled.words, heads)], bool)
+    after = np.flatnonzero(blank[index[:-1]] & begins[index[1:]] & ~first[1 : len(index)]) + 1 if len(index) else []
+    runs = [tiled.words[index[j - 1]] + heads[index[j]] for j in after]
+    distinct = sorted(set(runs))
+    of_run = dict(zip(distinct, [int.from_bytes(c[-4:], "little") for c in pairs.counts_of(distinct)]))
+    for j, run in zip(after, runs):
+        table[at[j] + len(heads[index[j]]) - 1] = before[j - 1] - of_text[j] + of_run[run]
+    inside = gathered(tiled.words, index, np.uint8)[0] & 0xC0 == 0x80
+    whole = np.ones(len(inside), bool)
+    whole[:-1] = ~inside[1:]
+    points = np.concatenate([[0], np.cumsum(whole)])[at[tiled.offsets]]
+    return pa.ListArray.from_arrays(pa.array(points.astype(np.int32)), pa.array(table[whole]))
+
+
+def _first_point(word: bytes) -> bytes:
+    """The bytes of a word's first code point."""
+    size = 1
+    while word[size : size + 1] and word[size] & 0xC0 == 0x80:
+        size += 1
+    return word[:size]
 
 
 def _blank(word: bytes) -> bool:

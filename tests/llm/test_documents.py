@@ -217,6 +217,28 @@ def test_every_prefix(spark, library):
         assert r.two == max([k + 1 for k, c in enumerate(r.counts) if c <= 2], default=0)
 
 
+def test_query_stores_every_prefix(spark, tmp_path, library):
+    """Long documents, runs of white space, contractions; many texts in one chunk."""
+    r = random.Random(7)
+    pieces_of = [" ", "  ", "\n", "\t\n ", "'re", "'l", "don't", "½", "日本", "\u3000", "12", "!?", "ab", "therefore", "'"]
+    made = [(100 + k, "".join(r.choice(pieces_of) for _ in range(n))) for k, n in enumerate([1, 2, 40, 41, 900, 5000])]
+    rows = [(name, text) for name, text in texts() if name is not None] + made
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    held = Counter()
+    for row in queries.QUERIES["op7_prefix_token_counts"](spark, given(spark, tmp_path, frame)).collect():
+        text = dict(rows)[row.doc_id] or ""
+        held[row.doc_id] += 1
+        assert len(row.counts) == len(text) and row.n_bytes == len(text.encode())
+        cuts = range(len(text)) if len(text) < 1000 else {len(text) - 1, *r.sample(range(len(text)), 25)}
+        special = re.search(re.escape("<|endoftext|>"), text)
+        for k in cuts:
+            if not special or not special.start() <= k < special.end() - 1:
+                assert row.counts[k] == len(library.encode(text[: k + 1], add_special_tokens=False).ids), (row.doc_id, k)
+        assert row.n_tokens == (row.counts[-1] if text else 0) and row.over_limit == (row.n_tokens > 512)
+        assert row.points_within_limit == max((k + 1 for k, c in enumerate(row.counts) if c <= 512), default=0)
+    assert held == Counter(name for name, _ in rows)
+
+
 def test_prefix_states_are_encodings():
     pairs = bpe.load(VOCABULARY)
     for word in [b" therefore", b"zzzzzzzz", "ñandú".encode(), b"      "]:
