@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.operators.scratch import materialize
+
 WORD_GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 
@@ -115,6 +117,15 @@ def rejected(version: str) -> Column:
     return F.col("failures").bitwiseAND(F.lit(mask(version))) != 0
 
 
+def written(docs: DataFrame, version: str) -> tuple[DataFrame, DataFrame]:
+    """The ledger of `docs` and the ablations of a policy, as tables: the ledger with all
+    measurements and failure bits is written once (rule-ledger-*), and the ablations are
+    counted from what was written (rule-ablations-*). Another policy, or the ablations of
+    one, is read from the written ledger without looking at a text again."""
+    rows = materialize(ledger(docs), "rule-ledger")
+    return rows, materialize(ablations(rows, version), "rule-ablations")
+
+
 def ablations(rows: DataFrame, version: str) -> DataFrame:
     """For each rule of a policy: texts that fail it, that only it rejects (they would
     stay without it), and that the policy keeps. The ledger is first reduced to one

@@ -15,6 +15,7 @@ from rollcall.llm import (
     bpe, components, exact, langid, licenses, numbering, packing, pieces, prepare, queries, rules, sharding, simhash,
     tokencounts,
 )
+from rollcall.operators import scratch
 from tests.llm.data import documents, given, nothing, prose, texts
 
 GAP = re.compile(r"[\x20\x09-\x0D]+")
@@ -100,6 +101,23 @@ def test_ablations(docs):
         assert r.kept == sum(1 for f in failures if not f & mask)
 
 
+def test_query_writes_ledger_and_ablations(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_folder", lambda spark: f"{tmp_path}/scratch")
+    rows = queries.QUERIES["op6_rule_ledger"](spark, given(spark, tmp_path)).collect()
+    kept = spark.read.parquet(f"{tmp_path}/scratch/rollcall/rule-ledger-*")
+    assert {"id", "failures", "n_lines", "n_capitals", "n_words", "word_chars", "n_symbols"} <= set(kept.columns)
+    failures = [r.failures for r in kept.collect()]
+    assert len(failures) == len(rows) == len(texts())
+    assert Counter(kept.select("id", "n_words").collect()) == Counter((r.doc_id, r.n_words) for r in rows)
+    found = {r.rule: r for r in spark.read.parquet(f"{tmp_path}/scratch/rollcall/rule-ablations-*").collect()}
+    assert set(found) == set(rules.POLICIES["2"])
+    for name, r in found.items():
+        bit = 1 << rules.BIT[name]
+        assert r.failed == sum(1 for f in failures if f & bit)
+        assert r.kept_without == sum(1 for f in failures if f == bit)
+        assert r.kept == sum(x.kept for x in rows)
+
+
 # ---- near duplicates ------------------------------------------------------------------
 def plain_fingerprint(text):
     ws = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
