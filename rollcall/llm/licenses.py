@@ -290,7 +290,11 @@ def license_matches(
     A template is found if a stretch of the text holds CONTAINMENT of its shingles,
     compared as words, not by hash. The bands of each window length are so many that
     such a stretch is retrieved with probability RETRIEVAL at least; shingle sets that
-    agree wholly always are. The templates are a fixed list that goes with the function.
+    agree wholly always are. This holds for an unbroken stretch only: a notice interrupted
+    by other words is looked for in windows of the template's length and a quarter more on
+    each side. With random words in the middle of the 87-word mit-permission (300 texts
+    each) 1.00 were found at 10 words, 0.99 at 30, 0.90 at 40, 0.57 at 50, none at 60,
+    though the text's shingles hold 0.95 of the template's. The templates are a fixed list that goes with the function.
     A map over partitions in chunks of bounded bytes, a longer text being a chunk of its
     own; nothing is shuffled. Null and empty texts match nothing; ids are longs;
     repeated rows match each.
