@@ -6,11 +6,12 @@ import hashlib
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, exact, langid, licenses, packing, pieces, prepare, rules, sharding, simhash, tokencounts
+from rollcall.llm import alignment, chat, exact, langid, licenses, packing, pieces, prepare, rules, sharding, simhash, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -32,9 +33,9 @@ def query(name: str, sql: str | None = None):
 
 
 def vocabulary(name: str) -> str:
-    """A public vocabulary's file, from the folder that ROLLCALL_VOCABULARIES names."""
-    folder = os.environ.get("ROLLCALL_VOCABULARIES", "/opt/tokenizers")
-    return os.path.join(folder, name)
+    """A public vocabulary's file, or one of that name in ROLLCALL_VOCABULARIES if set."""
+    folder = os.environ.get("ROLLCALL_VOCABULARIES")
+    return os.path.join(folder, name) if folder else public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -217,3 +218,11 @@ def op10(spark, folder):
         _digests,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )
+
+
+@query("op12_tokenizer_alignment")
+def op12(spark, folder):
+    rows = alignment.align(
+        table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    )
+    return rows.withColumnRenamed("id", "doc_id")
