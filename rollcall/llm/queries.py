@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import alignment, chat, exact, langid, licenses, packing, pieces, prepare, rules, sharding, simhash, tokencounts
+from rollcall.llm import alignment, chat, exact, langid, licenses, mixing, mixsql, packing, pieces, prepare, rules, sharding, simhash, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -220,6 +220,12 @@ def op10(spark, folder):
     )
 
 
+@query("op11_pareto_mix", mixsql.mix_sql((5, 2, 1), 3, mixing.CLASSES, "mix"))
+def op11(spark, folder):
+    rows = mixing.mix(table(spark, folder, "documents"), weights=(5, 2, 1), share=1.0, limit=3)
+    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
+
+
 @query("op12_tokenizer_alignment")
 def op12(spark, folder):
     rows = alignment.align(
