@@ -1,7 +1,7 @@
 """Cross-tokenizer alignment: where the tokens of two vocabularies end together.
 
-A is a byte-level vocabulary of `tokenizers`, B a `sentencepiece` model that puts a space
-first. Both begin anew at a space that follows something else, whatever stands on either
+A is a byte-level vocabulary, B a `sentencepiece` model that puts a space first; both are
+encoded by libraries. Both begin anew at a space that follows something else, whatever stands on either
 side, so a text is a row of units, each of which begins with such a space and is encoded
 and aligned by itself; distinct units are worked out once per chunk of texts.
 
@@ -16,27 +16,29 @@ together by a tree.
 from __future__ import annotations
 
 import hashlib
-import os
 from dataclasses import dataclass, field
 from functools import lru_cache, reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.tiles import SPACE, Tiled, gathered, kinds, text_chunks
+from rollcall.llm import bpe
+from rollcall.llm.tiles import SPACE, Tiled, kinds, text_chunks
 from rollcall.operators.scratch import materialize, shuffle_partitions
 
 MARK = "▁"
 
 #: Longer texts are cut into ranges of about this many bytes.
 RANGE_BYTES = 1 << 16
+#: Bytes of texts whose distinct units are worked out together.
+CHUNK_BYTES = 2 << 20
 #: Fragments composed by one task in a round of the tree.
 FAN = 16
-#: Distinct units, of at most so many bytes, that a worker keeps at hand.
-CACHE_UNITS, CACHE_UNIT_BYTES = 60_000, 64
 
 
 def unit_starts(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -45,30 +47,13 @@ def unit_starts(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return first | ((codes == 0x20) & (kinds()[before] != SPACE) & (before != ord(MARK)))
 
 
-def _signs() -> dict[str, int]:
-    """The byte of each sign of a byte-level vocabulary: printable bytes are themselves,
-    the others follow from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
-
-
 class Aligner:
     """Two vocabularies, and the pairs of their entries that can end together."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.a.no_padding()
-        self.a.no_truncation()
+        self.a = bpe.load(path_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        sign = _signs()
-        entries = self.a.get_vocab(with_added_tokens=False)
-        self.bytes_a = {i: bytes(sign[c] for c in t) for t, i in entries.items() if all(c in sign for c in t)}
+        self.bytes_a = self.a.token
         self.bytes_b = {}
         for k in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(k)
@@ -80,7 +65,15 @@ class Aligner:
                 self.bytes_b[k] = piece.replace(MARK, " ").encode()
         self.size_b, self.lone = self.b.get_piece_size(), self.b.piece_to_id(MARK)
         self.pairs = self._pairs()
-        self._known: dict[bytes, tuple] = {}
+        # Bytes of the entries of A, then of B; and how a digest spells them: an id, and what
+        # follows it within a group, or at its side's end.
+        self.first_b = max(self.bytes_a) + 1
+        entries = [self.bytes_a.get(k, b"") for k in range(self.first_b)]
+        entries += [self.bytes_b.get(k, b"") for k in range(self.size_b)]
+        self.entries = Spans(entries)
+        inner = [b"%d," % k for k in (*range(self.first_b), *range(self.size_b))]
+        ends = [b"%d|" % k for k in range(self.first_b)] + [b"%d;" % k for k in range(self.size_b)]
+        self.spelled = Spans(inner + ends)
 
     def _pairs(self) -> np.ndarray:
         """Codes of all pairs that can end together, ascending: one entry's bytes end the
@@ -100,45 +93,103 @@ class Aligner:
                 codes.update(a * self.size_b + b for a in of_a.get(data[k:], ()))
         return np.array(sorted(codes), np.int64)
 
-    def _aligned(self, unit: bytes, ids_a: list[int], ids_b: list[int]) -> tuple:
-        """(tokens of A, of B, groups, their digest text, codes of the linked pairs), or
-        nothing in place of the text if a vocabulary does not give the unit's bytes back."""
-        data_a = [self.bytes_a.get(k, b"") for k in ids_a]
-        data_b = [self.bytes_b.get(k, b"") for k in ids_b]
-        if b"".join(data_a) != unit or b"".join(data_b) != unit:
-            return 0, 0, 0, None, b""
-        told, linked = [], []
-        i = j = from_a = from_b = end_a = end_b = 0
-        while i < len(ids_a) or j < len(ids_b):
-            if end_a <= end_b:
-                end_a += len(data_a[i])
-                i += 1
-            else:
-                end_b += len(data_b[j])
-                j += 1
-            if end_a == end_b:
-                told.append(f"{','.join(map(str, ids_a[from_a:i]))}|{','.join(map(str, ids_b[from_b:j]))}")
-                linked.append(ids_a[i - 1] * self.size_b + ids_b[j - 1])
-                from_a, from_b = i, j
-        places = np.searchsorted(self.pairs, np.array(linked, np.int64)).astype("<i4").tobytes()
-        return len(ids_a), len(ids_b), len(told), ";".join(told).encode(), places
-
-    def units(self, found: list[bytes]) -> list[tuple]:
-        """Each distinct unit, aligned; all begin with a space, which B adds by itself."""
-        known = self._known
-        new = [u for u in found if u not in known]
-        if len(known) + len(new) > CACHE_UNITS:
-            known.clear()
-            new = found
-        texts = [u.decode() for u in new]
-        ids_a = [x.ids for x in self.a.encode_batch(texts, add_special_tokens=False)]
+    def ids_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids of A, special strings being plain text. Most units go as lines of one text,
+        in which the line breaks are words and tokens of their own."""
+        out: list[list[int]] = [[]] * len(texts)
+        lines = [
+            k for k, t in enumerate(texts)
+            if len(t) > 1 and not t[1].isspace() and not t[-1].isspace() and "\n" not in t
+        ]
+        break_ = self.a.ids[b"\n"]
+        joined = np.array(self.a.library.encode_ordinary("\n".join([texts[k] for k in lines])), np.int64)
+        cuts = np.flatnonzero(joined == break_)
+        if len(cuts) + 1 != max(1, len(lines)):
+            raise ValueError("a unit holds the token of a line break")
+        flat = joined.tolist()
+        for k, start, end in zip(lines, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(flat)]):
+            out[k] = flat[start:end]
+        for k in set(range(len(texts))).difference(lines):
+            out[k] = self.a.library.encode_ordinary(texts[k])
+        return out
+
+    def units(self, found: list[bytes]) -> "Units":
+        """Distinct units, aligned; all begin with a space, which B adds by itself."""
+        texts = [u.decode() for u in found]
+        ids_a = self.ids_a(texts)
         ids_b = self.b.encode([t[1:] for t in texts], num_threads=1) if texts else []
         ids_b = [ids or [self.lone] for ids in ids_b]  # a space at the end of a text
-        own = {u: self._aligned(u, a, b) for u, a, b in zip(new, ids_a, ids_b)}
-        out = [own[u] if u in own else known[u] for u in found]
-        if len(known) + len(own) <= CACHE_UNITS:
-            known.update((u, x) for u, x in own.items() if len(u) <= CACHE_UNIT_BYTES)
-        return out
+        flat_a, of_a = _flat(ids_a)
+        flat_b, of_b = _flat(ids_b)
+        flat_b += self.first_b
+        given = Spans(found)
+        good = np.ones(len(found), bool)
+        for flat, of in ((flat_a, of_a), (flat_b, of_b)):
+            good &= np.bincount(of, self.entries.sizes[flat], len(found)) == given.sizes
+        for flat, of in ((flat_a, of_a), (flat_b, of_b)):
+            own = np.flatnonzero(good)
+            back, wanted = self.entries.take(flat[good[of]])[0], given.take(own)[0]
+            owner = np.repeat(own, given.sizes[own])
+            good[owner[back != wanted]] = False
+        flat_a, of_a, flat_b, of_b = flat_a[good[of_a]], of_a[good[of_a]], flat_b[good[of_b]], of_b[good[of_b]]
+        end_a, end_b = (np.cumsum(self.entries.sizes[x]) for x in (flat_a, flat_b))
+        marks = np.zeros((2, int(end_a[-1]) + 1 if len(end_a) else 1), bool)
+        marks[0, end_a], marks[1, end_b] = True, True
+        last_a, last_b = marks[1, end_a], marks[0, end_b]  # tokens that end a group
+        group_a, group_b = (np.cumsum(x) - x for x in (last_a, last_b))
+        links = np.searchsorted(self.pairs, flat_a[last_a] * self.size_b + flat_b[last_b] - self.first_b)
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        size = self.first_b + self.size_b
+        spelled = np.concatenate([flat_a + size * last_a, flat_b + size * last_b])[order]
+        data, at = self.spelled.take(spelled)
+        owner = np.concatenate([of_a, of_b])[order]
+        borders = at[np.searchsorted(owner, np.arange(len(found) + 1))].tolist()
+        data = data.tobytes()
+        return Units(
+            *(np.bincount(x, minlength=len(found)) for x in (of_a, of_b, of_a[last_a])), good,
+            [data[a:b] for a, b in zip(borders, borders[1:])], links.astype(np.int32),
+        )
+
+
+class Spans:
+    """Byte strings end to end."""
+
+    def __init__(self, parts: list[bytes]):
+        self.flat = np.frombuffer(b"".join(parts), np.uint8)
+        self.sizes = np.array([len(x) for x in parts], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+
+    def take(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the chosen strings, and where each begins and the last ends."""
+        return _taken(self.flat, self.begins, self.sizes, index)
+
+
+@dataclass
+class Units:
+    """Per unit: tokens of A and B, groups, whether both vocabularies give its bytes back
+    (if not, the rest is empty), its digest text with a `;` after each group; and the links
+    of all units in order, as places in Aligner.pairs."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    good: np.ndarray
+    told: list[bytes]
+    links: np.ndarray
+
+
+def _taken(flat, begins, sizes, index):
+    n = sizes[index]
+    at = np.zeros(len(n) + 1, np.int64)
+    np.cumsum(n, out=at[1:])
+    return flat[np.repeat(begins[index] - at[:-1], n) + np.arange(at[-1])], at
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All items, and the list each comes from."""
+    sizes = np.array([len(x) for x in lists], np.int64)
+    flat = np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
+    return flat, np.repeat(np.arange(len(lists)), sizes)
 
 
 @lru_cache(maxsize=2)
@@ -169,15 +220,13 @@ def tell(aligner: Aligner, texts: list[bytes]) -> Told:
 def _told(aligner: Aligner, tiled: Tiled) -> Told:
     units = aligner.units(tiled.words)
     index, offsets, n = tiled.index, tiled.offsets, len(tiled.offsets) - 1
-    bad = np.array([u[3] is None for u in units], bool)
-    broken = tiled.sums(bad.astype(np.int64)) > 0
-    sums = [tiled.sums(np.array([u[k] for u in units], np.int64)) for k in range(3)]
-    texts = [u[3] or b"" for u in units]
+    broken = tiled.sums((~units.good).astype(np.int64)) > 0
+    sums = [tiled.sums(x) for x in (units.n_a, units.n_b, units.n_groups)]
     told = [
-        None if broken[k] else b";".join([texts[i] for i in index[offsets[k] : offsets[k + 1]].tolist()])
+        None if broken[k] else b"".join([units.told[i] for i in index[offsets[k] : offsets[k + 1]].tolist()])[:-1]
         for k in range(n)
     ]
-    flat, at = gathered([u[4] for u in units], index, "<i4")
+    flat, at = _taken(units.links, np.cumsum(units.n_groups) - units.n_groups, units.n_groups, index)
     owner = np.repeat(np.arange(n), np.diff(at[offsets]))
     both, times = np.unique((owner << 32) | flat, return_counts=True)
     both, times = both[~broken[both >> 32]], times[~broken[both >> 32]]
@@ -314,7 +363,7 @@ def align(
         base = TaskContext.get().partitionId() << 33
         for batch in batches:
             names = batch.column(0)
-            for start, texts in text_chunks(batch.column(1)):
+            for start, texts in text_chunks(batch.column(1), CHUNK_BYTES):
                 whole = [b" " + t if t else b"" for t in texts]
                 short = [k for k, t in enumerate(whole) if len(t) <= range_bytes]
                 if short:

@@ -183,7 +183,7 @@ class BytePairs:
     def _encoded(self, words: list[bytes]) -> list[bytes]:
         """Words without line breaks go as lines of one text: a line break between two
         of them is a word and a token of its own, where the ids are cut again."""
-        lines = [k for k, w in enumerate(words) if w not in self.special and not w[-1:].isspace() and b"\n" not in w]
+        lines = [k for k, w in enumerate(words) if w not in self.special and not _ends_blank(w) and b"\n" not in w]
         text = b"\n".join([words[k] for k in lines]).decode("utf-8", "replace")
         out: list[bytes] = [b""] * len(words)
         joined = np.array(self.library.encode_ordinary(text), "<u4")
@@ -230,6 +230,12 @@ class BytePairs:
         return tiled
 
 
+def _ends_blank(word: bytes) -> bool:
+    """Whether a word's last character is white space, of any script."""
+    last = word[-1:]
+    return last.isspace() if last < b"\x80" else word.decode("utf-8", "replace")[-1:].isspace()
+
+
 def _around(text: bytes, mark: bytes, marks: list[bytes]) -> list[bytes]:
     if text in marks:
         return [text]

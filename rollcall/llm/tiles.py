@@ -31,12 +31,12 @@ def kinds() -> np.ndarray:
     return table
 
 
-def text_chunks(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+def text_chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts) of a binary column in chunks of bounded bytes; null is empty."""
     first, texts, held = 0, [], 0
     for row, text in enumerate(column.to_pylist()):
         text = text or b""
-        if texts and held + len(text) > CHUNK_BYTES:
+        if texts and held + len(text) > size:
             yield first, texts
             first, texts, held = row, [], 0
         texts.append(text)

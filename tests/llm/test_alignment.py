@@ -151,3 +151,17 @@ def test_pairs_are_bounded_by_the_vocabularies():
 
 def test_nothing(spark):
     assert alignment.align(nothing(spark), A, B).collect() == []
+
+
+def test_byte_pairs_with_any_white_space():
+    """White space beyond ASCII next to line breaks, special strings and contractions."""
+    import numpy as np
+
+    from rollcall.llm import bpe
+
+    pairs, library = bpe.load(A), Tokenizer.from_file(A)
+    for _, text in odd_texts():
+        tiled = pairs.tiled([text.encode()])
+        ids = pairs.ids_of(tiled.words)
+        got = [i for k in tiled.index for i in np.frombuffer(ids[k], "<u4").tolist()]
+        assert got == library.encode(text, add_special_tokens=False).ids, repr(text)
