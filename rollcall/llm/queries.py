@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import alignment, chat, exact, langid, licenses, mixing, mixsql, packing, pieces, prepare, rules, sharding, simhash, tokencounts
+from rollcall.llm import alignment, chat, divergence, exact, langid, licenses, mixing, mixsql, packing, pieces, prepare, rules, sharding, simhash, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -232,3 +232,48 @@ def op12(spark, folder):
         table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
     )
     return rows.withColumnRenamed("id", "doc_id")
+
+
+@query(
+    "op13_source_divergence",
+    """
+    WITH words AS (
+      SELECT doc, lang, source, unnest(terms) AS term FROM (
+        SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents)
+    ), kept AS (
+      SELECT lang, term, count(*) OVER (PARTITION BY lang) AS v
+      FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+    ), sources AS (
+      SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+    ), counted AS (
+      SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL
+    ), dense AS (
+      SELECT s.lang, s.source, k.term, k.v, coalesce(c.n, 0)::HUGEINT AS n,
+             (sum(coalesce(c.n, 0)) OVER (PARTITION BY s.lang, s.source))::HUGEINT AS total,
+             (sum(coalesce(c.n, 0)) OVER (PARTITION BY s.lang, k.term))::HUGEINT AS n_lang,
+             (sum(coalesce(c.n, 0)) OVER (PARTITION BY s.lang))::HUGEINT AS total_lang
+      FROM sources s JOIN kept k USING (lang) LEFT JOIN counted c USING (lang, source, term)
+    ), shares AS (
+      SELECT lang, source, term, n, 1 + 1000000000 * (n + 1) // (total + v) AS p,
+             1 + 1000000000 * (n_lang + 1) // (total_lang + v) AS q
+      FROM dense
+    ), pairs AS (
+      SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ), parts AS (
+      SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+      FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE n > 0 AND p > q
+    ), ranked AS (
+      SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM parts
+    )
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+    """,
+)
+def op13(spark, folder):
+    return divergence.audit(table(spark, folder, "documents"))
