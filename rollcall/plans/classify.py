@@ -1,4 +1,4 @@
-"""Reports on how the links of a roster classify."""
+"""How the links of a roster classify, and what they resolve to."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from rollcall import settings as S
 from rollcall.functions import links as L
 from rollcall.operators.latest import first_n_per_key
-from rollcall.sources.catalog import Assets, stored_content
+from rollcall.operators.scratch import materialize
+from rollcall.sources.catalog import Assets, file_key, folder_key
 
 
 def case_distribution(roster: DataFrame) -> DataFrame:
@@ -41,35 +42,41 @@ def pilot_suggestion(roster: DataFrame) -> DataFrame:
     return firsts.agg(text.alias("suggested_rows"))
 
 
-def resolve_links(roster: DataFrame, assets: Assets, asking: DataFrame | None = None) -> DataFrame:
-    """Add `link` and what it resolves to: `asset_file_id`, `asset_mime`, `content_id`.
+def resolved_links(rows: DataFrame, assets: Assets, keep: list[str]) -> DataFrame:
+    """The columns `keep` of each row, its `link`, and what that resolves to:
+    `asset_file_id`, `asset_mime`, `content_id`.
 
-    `asking` holds at least the links of `roster` (by default it is the roster): file
-    and folder ids are taken from it, and only what they ask for is looked up in the
-    listing. Content comes last, by the file found. Rows without a key have a salted
-    one, so that they do not pile up in one partition; both lookups are unique per key.
+    Links are recognised once and written with the columns to keep, which should be
+    narrow; all that follows reads that table. Only links to files and folders meet the
+    listing, only rows with a file meet the content index, and both are reduced to what
+    is asked for where they are read; other rows are not moved. What is found is written
+    before it is joined, one row per key, so that a key that many rows ask for can be
+    split (or what is found broadcast, if it is small).
     """
-    links = (roster if asking is None else asking).select("transcriptLink", "videoLink")
-    links = links.where(F.col("transcriptLink").contains(S.ASSET_SITE))
-    asked = L.with_link(links).select("link.case", "link.file_id", "link.folder_id")
-    files = asked.where(L.is_file_case(F.col("case"))).select("file_id").distinct()
-    folders = asked.where(L.is_folder_case(F.col("case"))).select("folder_id").distinct()
-    found = assets.wanted(files, folders).select(
-        F.col("asset_key").alias("_key"), F.col("file_id").alias("_file"), F.col("mime").alias("_mime")
-    )
-    rows = L.with_link(roster)
     case = F.col("link.case")
-    key = F.when(L.is_folder_case(case), F.concat(F.lit("folder:"), F.col("link.folder_id"))).when(
-        L.is_file_case(case), F.concat(F.lit("file:"), F.col("link.file_id"))
+    listed = L.is_file_case(case) | L.is_folder_case(case)
+    key = F.when(L.is_folder_case(case), folder_key(F.col("link.folder_id"))).otherwise(file_key(F.col("link.file_id")))
+    narrow = L.with_link(rows.select(*keep, "transcriptLink", "videoLink")).select(*keep, "link")
+    narrow = materialize(narrow.withColumn("asset_key", F.when(listed, key)), "links")
+
+    asking = narrow.where("asset_key IS NOT NULL")
+    found = materialize(assets.wanted(asking), "found-files")
+    known = F.when(L.is_folder_case(case), F.col("found_file")).otherwise(F.col("link.file_id"))
+    by_key = asking.join(found, "asset_key", "left").select(
+        *keep, "link", known.alias("asset_file_id"), F.col("found_mime").alias("asset_mime")
+    )
+    direct = narrow.where("asset_key IS NULL").select(
+        *keep, "link", F.col("link.file_id").alias("asset_file_id"), F.col("link.mime").alias("asset_mime")
     )
-    no_key = F.concat(F.lit("none:"), F.pmod(F.xxhash64(S.POSITION), F.lit(4096)).cast("string"))
-    rows = rows.withColumn("_key", F.coalesce(key, no_key)).join(found, "_key", "left")
-    rows = rows.withColumns(
-        {
-            "asset_file_id": F.when(L.is_folder_case(case), F.col("_file")).otherwise(F.col("link.file_id")),
-            "asset_mime": F.coalesce(F.col("link.mime"), F.col("_mime")),
-        }
-    ).drop("_key", "_file", "_mime")
-    stored = stored_content(assets.content).withColumnRenamed("file_id", "_stored")
-    by_file = rows.withColumn("_file", F.coalesce("asset_file_id", no_key))
-    return by_file.join(stored, F.col("_file") == F.col("_stored"), "left").drop("_file", "_stored")
+    placed = direct.unionByName(materialize(by_key, "placed"))
+
+    stored = materialize(assets.content_of(placed), "found-content").withColumnRenamed("file_id", "asset_file_id")
+    held = placed.where("asset_file_id IS NOT NULL").join(stored, "asset_file_id", "left")
+    nothing = placed.where("asset_file_id IS NULL").withColumn("content_id", F.lit(None).cast(stored.schema["content_id"].dataType))
+    return held.unionByName(nothing).select(*keep, "link", "asset_file_id", "asset_mime", "content_id")
+
+
+def resolve_links(roster: DataFrame, assets: Assets, key: str = S.POSITION) -> DataFrame:
+    """The rows of `roster`, one per key, with what `resolved_links` finds: it works on
+    the links and the key alone, and the wide rows are joined to it once."""
+    return roster.join(resolved_links(roster, assets, [key]), key)

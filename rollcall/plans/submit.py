@@ -11,15 +11,17 @@ from rollcall.functions import links as L
 from rollcall.functions import payload as P
 from rollcall.functions.text import filled, truncate
 from rollcall.operators.latest import latest_per_key
+from rollcall.operators.lookup import look_up
 from rollcall.operators.ordering import dense_index_by_ordinal
 from rollcall.operators.scratch import materialize
-from rollcall.plans.classify import resolve_links
+from rollcall.plans.classify import resolved_links
 from rollcall.sources.catalog import Assets
 from rollcall.sources.roster import snapshot
-from rollcall.sources.statelog import LOG_COLUMNS, images
+from rollcall.sources.statelog import LOG_COLUMNS, images, table_or_empty
 
 ELIGIBLE = "eligible"
-BLOB_SCHEMA = "event_id string, blob_path string, extension string, content string, run string"
+BLOB_SCHEMA = "event_id string, blob_path string, extension string, content string, publication bigint"
+MANIFEST_SCHEMA = "publication bigint, run string, published_at timestamp_ntz"
 
 
 # ---- which rows ---------------------------------------------------------------
@@ -107,7 +109,7 @@ def pending_images(rows: DataFrame, cells: list[str], as_of) -> DataFrame:
 def with_outcome(resolved: DataFrame) -> DataFrame:
     """Add `outcome` (a final state, or `eligible`) and `outcome_error`.
 
-    Cheap reasons come first. Rows are the output of `resolve_links`.
+    Cheap reasons come first. Rows are those of `resolved_links`.
     """
     case, file_id, mime = F.col("link.case"), F.col("asset_file_id"), F.col("asset_mime")
 
@@ -149,10 +151,20 @@ def with_outcome(resolved: DataFrame) -> DataFrame:
     )
 
 
+def outcomes(roster: DataFrame, state: DataFrame, assets: Assets, **guard) -> DataFrame:
+    """Phase-1 gating: guard, classify, resolve, decide. Per row that is not already under
+    way its position, event_id, link, what that resolves to, and the outcome. Reads the
+    links of the roster only; one row per event."""
+    rows = roster if "event_id" in roster.columns else with_event_id(roster)
+    narrow = rows.select(S.POSITION, "event_id", "transcriptLink", "videoLink")
+    return with_outcome(resolved_links(not_submitted(narrow, state, **guard), assets, [S.POSITION, "event_id"]))
+
+
 def gate(roster: DataFrame, state: DataFrame, assets: Assets, **guard) -> DataFrame:
-    """The whole of phase-1 gating as one plan: guard, classify, resolve, decide."""
+    """The rows of the roster that are not already under way, with their outcomes: the
+    wide cells meet the decision once."""
     rows = roster if "event_id" in roster.columns else with_event_id(roster)
-    return with_outcome(resolve_links(not_submitted(rows, state, **guard), assets, asking=roster))
+    return rows.join(outcomes(rows, state, assets, **guard).drop(S.POSITION), "event_id")
 
 
 def gated_images(gated: DataFrame, state: DataFrame, as_of) -> DataFrame:
@@ -182,7 +194,9 @@ def gated_images(gated: DataFrame, state: DataFrame, as_of) -> DataFrame:
 # ---- outbox ---------------------------------------------------------------------------
 def transcripts(gated: DataFrame, digests: DataFrame) -> DataFrame:
     """Per eligible row: file, published type and extension, digest and size. The
-    text itself stays where it is; many rows may point to one text."""
+    text itself stays where it is; many rows may point to one text. `digests` have one
+    row per text, of several the smallest counts; a row whose text is not among them
+    has none to send and is left out."""
     eligible = gated.where(F.col("outcome") == ELIGIBLE)
     rows = eligible.select(
         "event_id",
@@ -191,7 +205,19 @@ def transcripts(gated: DataFrame, digests: DataFrame) -> DataFrame:
         L.extension(F.col("asset_mime")).alias("extension"),
         "content_id",
     )
-    return rows.join(digests, "content_id", "left").drop("content_id")
+    values = [c for c in digests.columns if c != "content_id"]
+    return look_up(rows, digests, "content_id", values=values).drop("content_id")
+
+
+def addressed(gated: DataFrame, bucket: str, blob_prefix: str) -> DataFrame:
+    """(event_id, drive_case, transcript_file_id, transcript_gcs_uri) of the eligible
+    rows: what the state records of a submission."""
+    return gated.where(F.col("outcome") == ELIGIBLE).select(
+        "event_id",
+        F.col("link.case").alias("drive_case"),
+        F.col("asset_file_id").alias("transcript_file_id"),
+        ids.blob_uri(F.col("event_id"), L.extension(F.col("asset_mime")), bucket, blob_prefix).alias("transcript_gcs_uri"),
+    )
 
 
 def outbox(
@@ -240,26 +266,48 @@ def write_outbox(box: DataFrame, path: str, run: str, fmt: str = "parquet") -> N
     box.write.mode("overwrite").format(fmt).save(f"{path}/run={run}")
 
 
-def write_transcripts(gated: DataFrame, documents: DataFrame, path: str, blob_prefix: str, run: str) -> None:
-    """Publish the text of every eligible row under its fixed path. One directory per
-    run: repeating a run replaces it, and what other runs have published stays."""
+def write_transcripts(
+    gated: DataFrame, documents: DataFrame, path: str, blob_prefix: str, run: str, as_of
+) -> int:
+    """Publish the text of every eligible row under its fixed path, as one numbered
+    publication, and return its number. A text stored several times under one content id
+    is published once (the smallest); a text that many rows point to is dealt over tasks.
+
+    Texts go to a folder of their own, then the manifest names it: a publication that
+    was cut short is not read, and the next one replaces what it left.
+    """
+    spark = gated.sparkSession
     rows = gated.where(F.col("outcome") == ELIGIBLE).select(
         "event_id",
         ids.blob_path(F.col("event_id"), L.extension(F.col("asset_mime")), blob_prefix).alias("blob_path"),
         L.extension(F.col("asset_mime")).alias("extension"),
         "content_id",
     )
-    texts = rows.join(documents.select("content_id", "content"), "content_id").drop("content_id")
-    texts.write.mode("overwrite").parquet(f"{path}/run={run}")
+    texts = look_up(rows, documents, "content_id", values=["content"], label="publishing").drop("content_id")
+    number = (publications(spark, path).agg(F.max("publication")).first()[0] or 0) + 1
+    texts.write.mode("overwrite").parquet(f"{path}/texts/publication={number}")
+    entry = spark.createDataFrame([(number, run)], "publication bigint, run string")
+    entry = entry.withColumn("published_at", ids.moment(as_of)).coalesce(1)
+    entry.write.mode("append").parquet(f"{path}/manifest")
+    return number
+
+
+def publications(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest: (publication, run, published_at), in the order of publication. A run
+    that publishes again has several. One writer at a time publishes to a path."""
+    return table_or_empty(spark, f"{path}/manifest", MANIFEST_SCHEMA)
 
 
 def published_transcripts(spark: SparkSession, path: str) -> DataFrame:
-    """(event_id, blob_path, extension, content, run): what is published now. An event
-    published by several runs has the text of the one whose name sorts last; which
-    that is comes from narrow columns, the texts are joined to it."""
-    every = spark.read.schema(BLOB_SCHEMA).parquet(path)
-    newest = every.groupBy("event_id").agg(F.max("run").alias("run"))
-    return every.join(newest, ["event_id", "run"], "left_semi")
+    """(event_id, blob_path, extension, content, run): what is published now. As with
+    files that are written over, the publication made last counts for an event, whatever
+    its run is called, and none takes back what it does not hold itself. Which one that
+    is comes from narrow columns; the texts are joined to it."""
+    listed = publications(spark, path).select("publication", "run")
+    every = table_or_empty(spark, f"{path}/texts", BLOB_SCHEMA)
+    numbers = every.select("event_id", "publication").join(listed.select("publication"), "publication", "left_semi")
+    newest = numbers.groupBy("event_id").agg(F.max("publication").alias("publication"))
+    return every.join(newest, ["event_id", "publication"], "left_semi").join(listed, "publication").drop("publication")
 
 
 def release_schedule(
@@ -297,7 +345,7 @@ def projected_duration(posting: DataFrame, *, requests_per_second: float = S.REQ
 def apply_submissions(
     state: DataFrame, box: DataFrame, results: DataFrame, as_of, *, post: bool = True
 ) -> DataFrame:
-    """Images after dispatch. `results` is (event_id, published, publish_error,
+    """Images after dispatch. `box` is an outbox, or what `addressed` gives; `results` is (event_id, published, publish_error,
     status, message_id, body, sent_at); rows without a result stay as they are. Of
     several results of an event the one sent last counts (ties: the greatest status,
     then message), and one that does not say it was published was not.

@@ -92,13 +92,25 @@ def timeout_sweep(state: DataFrame, as_of, hours: int = S.TIMEOUT_HOURS) -> Data
     )
 
 
-def patch_images(state: DataFrame, changes: DataFrame, as_of) -> DataFrame:
-    """Images from a table of changes: every column of `changes` besides the event
-    replaces the stored one, nulls included. Unknown events do nothing."""
-    named = [c for c in changes.columns if c != "event_id"]
-    new = changes.select("event_id", *[F.col(c).alias(f"_new_{c}") for c in named])
+def patch_images(state: DataFrame, changes: DataFrame, as_of, *, order: list[str] | None = None) -> DataFrame:
+    """Images from a table of changes: every column of `changes` besides the event and the
+    order replaces the stored one, nulls included. Unknown events do nothing.
+
+    An event gets one image, so that its time and sequence number name it: of several
+    changes the last by `order` counts. Changes that differ without an order between
+    them are refused: the query fails with the event's id.
+    """
+    order = order or []
+    named = [c for c in changes.columns if c not in ("event_id", *order)]
+    said = F.struct(*named)
+    places = changes.groupBy("event_id", *order).agg(F.min(said).alias("_least"), F.max(said).alias("_said"))
+    fault = F.raise_error(F.concat(F.lit("changes that differ without an order between them: "), F.col("event_id")))
+    kind = places.schema["_said"].dataType
+    told = F.when(F.col("_least").eqNullSafe(F.col("_said")), F.col("_said")).otherwise(fault.cast(kind))
+    last = F.max(F.struct(*order, told.alias("_said")))["_said"]
+    new = places.groupBy("event_id").agg(last.alias("_new"))
     rows = state.join(new, "event_id")
-    return images(rows, as_of, **{c: F.col(f"_new_{c}") for c in named})
+    return images(rows, as_of, **{c: F.col(f"_new.{c}") for c in named})
 
 
 def state_history(log: DataFrame, **cutting) -> DataFrame:
@@ -118,11 +130,16 @@ def attempts_spent(log: DataFrame, **cutting) -> DataFrame:
     return steps.groupBy("event_id").agg(F.sum(added).cast("int").alias("spent"), last.alias("attempts"))
 
 
-def dim_patch(base: DataFrame, patch: DataFrame, key: list[str]) -> DataFrame:
-    """`base` with the non-null values of `patch` in place of its own, by key. Of several
-    patches of a key, each column takes its greatest value."""
-    named = [c for c in patch.columns if c not in key]
-    new = patch.groupBy(*key).agg(*[F.max(c).alias(f"_new_{c}") for c in named])
+def dim_patch(base: DataFrame, patch: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """`base` with the values of `patch` in place of its own, by key, as if the patches of
+    a key were applied one after the other: each column has its last non-null value by
+    `order` (of equal places, the greatest value), or keeps its own if there is none."""
+    named = [c for c in patch.columns if c not in (*key, *order)]
+
+    def last(c: str) -> Column:
+        return F.max(F.when(F.col(c).isNotNull(), F.struct(*order, c)))[c]
+
+    new = patch.groupBy(*key).agg(*[last(c).alias(f"_new_{c}") for c in named])
     joined = base.join(new, key, "left")
     return joined.select(
         *[F.coalesce(f"_new_{c}", c).alias(c) if c in named else F.col(c) for c in base.columns]

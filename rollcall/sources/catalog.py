@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import links as L
+from rollcall.operators.keyfilter import KeyFilter
 from rollcall.operators.latest import best_per_key
 
 
@@ -45,23 +46,42 @@ def stored_content(content: DataFrame) -> DataFrame:
     return content.groupBy("file_id").agg(F.min("content_id").alias("content_id"))
 
 
+def file_key(file_id: Column) -> Column:
+    return F.concat(F.lit("file:"), file_id)
+
+
+def folder_key(folder_id: Column) -> Column:
+    return F.concat(F.lit("folder:"), folder_id)
+
+
 @dataclass(frozen=True)
 class Assets:
-    """What links can resolve to: the listing and the content index, as they are."""
+    """What links can resolve to: the listing and the content index, as they are.
+
+    Neither is grouped or shuffled as a whole: rows that no link asks for are dropped
+    where they are read, by a filter of the keys that are asked for.
+    """
 
     listing: DataFrame
     content: DataFrame
 
-    def wanted(self, files: DataFrame, folders: DataFrame) -> DataFrame:
-        """(asset_key, file_id, mime) for the given file and folder ids: `file:<id>` and
-        `folder:<id>`. The listing meets the ids that are asked for before anything
-        is grouped, so the cost follows the links and not the catalog."""
-        types = file_mimes(self.listing.join(files, "file_id", "left_semi"))
-        picks = folder_picks(self.listing.join(folders, "folder_id", "left_semi"))
-        by_file = types.select(F.concat(F.lit("file:"), "file_id").alias("asset_key"), "file_id", "mime")
-        by_folder = picks.select(F.concat(F.lit("folder:"), "folder_id").alias("asset_key"), "file_id", "mime")
+    def wanted(self, keys: DataFrame) -> DataFrame:
+        """(asset_key, found_file, found_mime) for at least the given keys (column
+        `asset_key` of a written table): `file:<id>` and `folder:<id>`."""
+        asked = KeyFilter(keys, "asset_key")
+        types = file_mimes(asked.passing(self.listing, file_key(F.col("file_id"))))
+        picks = folder_picks(asked.passing(children(self.listing), folder_key(F.col("folder_id"))))
+        found = ["file_id AS found_file", "mime AS found_mime"]
+        by_file = types.selectExpr("concat('file:', file_id) AS asset_key", *found)
+        by_folder = picks.selectExpr("concat('folder:', folder_id) AS asset_key", *found)
         return by_file.unionByName(by_folder)
 
+    def content_of(self, files: DataFrame) -> DataFrame:
+        """(file_id, content_id) for at least the given files (column `asset_file_id` of a
+        written table), one row per file."""
+        asked = KeyFilter(files, "asset_file_id")
+        return stored_content(asked.passing(self.content, F.col("file_id")))
+
 
 def usable_assets(catalog: DataFrame, content: DataFrame) -> Assets:
     """`catalog` is a listing, `content` is (file_id, content_id)."""

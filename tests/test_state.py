@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rollcall import settings as S
 from rollcall.functions import payload
 from rollcall.functions.ids import moment
+from rollcall.operators.lookup import look_up
 from rollcall.plans import submit, transitions
 from rollcall.sources import catalog, fingerprint, roster, statelog
 
@@ -222,7 +223,7 @@ def test_outbox_files(spark, folder):
     for _ in range(2):
         submit.write_outbox(box, f"{folder}/outbox", "r1")
         documents = spark.createDataFrame([(1, "uno"), (2, "dos")], "content_id long, content string")
-        submit.write_transcripts(gated, documents, f"{folder}/blobs", "p", "r1")
+        submit.write_transcripts(gated, documents.union(documents), f"{folder}/blobs", "p", "r1", T0)
     assert spark.read.parquet(f"{folder}/outbox").count() == 2
     first = {
         ("p/studio-row-1/transcript.docx", "uno", "docx", "r1"), ("p/studio-row-2/transcript.txt", "dos", "txt", "r1"),
@@ -237,10 +238,51 @@ def test_outbox_files(spark, folder):
     assert published() == first
     # A later run with one of the rows, and a new text: the other run's stay.
     newer = spark.createDataFrame([(2, "DOS")], "content_id long, content string")
-    submit.write_transcripts(gated.where("content_id = 2"), newer, f"{folder}/blobs", "p", "r2")
+    assert submit.write_transcripts(gated.where("content_id = 2"), newer, f"{folder}/blobs", "p", "r2", T0) == 3
     assert published() == {x for x in first if x[1] == "uno"} | {("p/studio-row-2/transcript.txt", "DOS", "txt", "r2")}
 
 
+def test_the_last_publication_counts(spark, folder):
+    """Whatever runs are called; one that was cut short before the manifest is not read."""
+    rows = spark.createDataFrame(
+        [("e1", submit.ELIGIBLE, S.PLAIN_TEXT, 1), ("e2", submit.ELIGIBLE, S.DOCX, 1), ("e3", "skipped", None, None)],
+        "event_id string, outcome string, asset_mime string, content_id long",
+    )
+    path = f"{folder}/blobs"
+    assert submit.published_transcripts(spark, path).collect() == []
+
+    def publish(run, part="true"):
+        text = spark.createDataFrame([(1, f"by {run}"), (9, "not asked for")], "content_id long, content string")
+        return submit.write_transcripts(rows.where(part), text, path, "p", run, T0)
+
+    for n in range(1, 13):
+        assert publish(f"run-{n}") == n
+    got = {r.event_id: (r.content, r.run) for r in submit.published_transcripts(spark, path).collect()}
+    assert got == {"e1": ("by run-12", "run-12"), "e2": ("by run-12", "run-12")}
+    assert publish("run-9", "event_id = 'e2'") == 13
+    got = {r.event_id: r.run for r in submit.published_transcripts(spark, path).collect()}
+    assert got == {"e1": "run-12", "e2": "run-9"}
+    spark.createDataFrame([("e1", "x", "txt", "half")], "event_id string, blob_path string, extension string, content string").write.parquet(
+        f"{path}/texts/publication=14"
+    )
+    assert {r.event_id: r.run for r in submit.published_transcripts(spark, path).collect()} == got
+    assert publish("run-13") == 14
+    assert {r.run for r in submit.published_transcripts(spark, path).collect()} == {"run-13"}
+    assert [r.run for r in submit.publications(spark, path).where("publication = 13").collect()] == ["run-9"]
+
+
+def test_many_rows_to_one_text(spark):
+    """A text that most rows ask for is dealt over tasks; rows and texts stay whole."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 1).when(F.col("id") % 30 > 0, F.col("id")).alias("k"), "id")
+    table = spark.range(5000).select(F.col("id").alias("k"), F.concat(F.lit("t"), "id").alias("text"))
+    found = look_up(rows, table.union(table), "k", values=["text"], asking=100)
+    got = {r.id: r.text for r in found.collect()}
+    assert got == {n: "t1" if n % 3 else f"t{n}" for n in range(3000) if n % 3 or n % 30}
+    # 2000 rows ask for one text, 100 a copy
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(sequence" in plan and found.count() == len(got)
+
+
 def test_files_listed_twice_are_submitted_once(spark, folder):
     log = statelog.StateLog(spark, folder)
     once = make_assets(spark)
@@ -254,10 +296,35 @@ def test_files_listed_twice_are_submitted_once(spark, folder):
     assert catalog.file_mimes(assets.listing).where("file_id = 'F1'").first()["mime"] == S.PLAIN_TEXT
 
 
-def test_gate_does_not_shuffle_the_whole_listing(spark, folder):
+def test_only_what_links_ask_for_is_grouped(spark, folder):
+    """Listing and content index are dropped where they are read, before any exchange, but
+    for the rows that links ask for; and no row that is asked for is dropped."""
+    listing = spark.range(20_000).selectExpr(
+        "concat('F', id) AS file_id", "IF(id % 2 = 0, concat('D', id % 50), NULL) AS folder_id", "'n' AS name",
+        "'text/plain' AS mime", "false AS trashed", "id AS list_order",
+    )
+    content = spark.range(20_000).selectExpr("concat('F', id) AS file_id", "id AS content_id")
+    assets = catalog.usable_assets(listing, content)
+    keys = spark.createDataFrame([("file:F7",), ("folder:D4",), (None,), ("file:GONE",)], "asset_key string")
+    found = {r.asset_key: r.found_file for r in assets.wanted(keys).collect()}
+    assert found["file:F7"] == "F7" and found["folder:D4"] == "F4" and len(found) < 60
+    files = spark.createDataFrame([(f"F{k}",) for k in range(0, 20_000, 100)], "asset_file_id string")
+    stored = assets.content_of(files)
+    rows = {r.file_id: r.content_id for r in stored.collect()}
+    assert all(rows[f"F{k}"] == k for k in range(0, 20_000, 100)) and len(rows) < 1000
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("hashpartitioning(file_id") :]
+    assert below.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan
+    log = statelog.StateLog(spark, folder)
+    final = submit.outcomes(make_roster(spark), log.current(), make_assets(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "teacher" not in final and "Aggregate" not in final  # what it is made of is written
+
+
+def test_wide_rows_meet_their_outcome_once(spark, folder):
     log = statelog.StateLog(spark, folder)
-    plan = submit.gate(make_roster(spark), log.current(), make_assets(spark))._jdf.queryExecution().executedPlan().toString()
-    assert "FullOuter" not in plan and plan.count("LeftSemi") >= 2
+    plan = submit.gate(make_roster(spark), log.current(), make_assets(spark))._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    assert text.count("teacher") == 2 or text.count("LogicalRDD") == 1  # the roster, once
 
 
 def test_submission_results_of_one_event(spark, folder):
@@ -303,8 +370,26 @@ def test_current_where_is_current(spark, folder):
 
 def test_patches_of_one_key(spark):
     base = spark.createDataFrame([("a", "x", "y"), ("b", "x", "y")], "k string, p string, q string")
-    patch = spark.createDataFrame([("a", "1", None), ("a", None, "2"), ("a", "0", None)], "k string, p string, q string")
-    assert sorted(map(tuple, transitions.dim_patch(base, patch, ["k"]).collect())) == [("a", "1", "2"), ("b", "x", "y")]
+    rows = [("a", "1", None, 1), ("a", None, "2", 2), ("a", "0", None, 3), ("a", None, None, 4)]
+    patch = spark.createDataFrame(rows, "k string, p string, q string, n int")
+    assert sorted(map(tuple, transitions.dim_patch(base, patch, ["k"], ["n"]).collect())) == [("a", "0", "2"), ("b", "x", "y")]
+
+
+def test_several_changes_of_one_event(spark, folder):
+    log = statelog.StateLog(spark, folder)
+    run_phase_1(spark, log, T0)
+    rows = [("studio-row-6", "A", "x", 1), ("studio-row-6", None, "y", 3), ("studio-row-6", "B", None, 2), ("gone", "A", "x", 1)]
+    changes = spark.createDataFrame(rows, "event_id string, drive_case string, last_error string, n int")
+    new = transitions.patch_images(log.current(), changes, T0 + HOUR, order=["n"]).collect()
+    assert [(r.event_id, r.drive_case, r.last_error) for r in new] == [("studio-row-6", None, "y")]
+    same = changes.where("n = 1").union(changes.where("n = 1")).drop("n")
+    assert transitions.patch_images(log.current(), same, T0 + HOUR).count() == 1
+    for unclear, order in ((changes.drop("n"), None), (changes.withColumn("n", F.lit(1)), ["n"])):
+        with pytest.raises(Exception, match="studio-row-6"):
+            transitions.patch_images(log.current(), unclear, T0 + HOUR, order=order).collect()
+    log.append(transitions.patch_images(log.current(), changes, T0 + HOUR, order=["n"]), "patch", 1)
+    named = log.log().groupBy("event_id", "log_ts", "log_seq").count()
+    assert named.where("count > 1").count() == 0
 
 
 def test_time_zones_play_no_part(spark, folder):

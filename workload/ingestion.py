@@ -259,7 +259,7 @@ def reset_state(t):
     FROM gated JOIN content ON content.content_id = gated.content_id WHERE outcome = 'eligible'""",
 )
 def transcript_resolve(t):
-    return submit.transcripts(gated(t), catalog.content_digests(t("content")))
+    return submit.transcripts(outcomes(t), catalog.content_digests(t("content")))
 
 
 def prepared(t):
@@ -278,4 +278,10 @@ def state_now(t, *columns):
 
 
 def gated(t):
+    """Whole roster rows with their outcome."""
     return submit.gate(prepared(t), state_now(t, "event_id", "state"), assets(t))
+
+
+def outcomes(t):
+    """Outcomes alone: no cell of the roster but the links is read."""
+    return submit.outcomes(prepared(t), state_now(t, "event_id", "state"), assets(t))

@@ -168,22 +168,31 @@ def retry_rows(t):
     return transitions.retry_rows(current_where(log, ["state"], F.lit(True)), listed, AT).select(*_IMAGE)
 
 
+_CHANGED = """SELECT 'studio-row-' || CAST(user_id * 3 AS STRING) AS event_id, 'change ' || CAST(event_id AS STRING) AS drive_case,
+      CASE WHEN event_id % 2 = 0 THEN 'said at ' || CAST(event_id AS STRING) END AS last_error,
+      row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n
+    FROM events WHERE event_type = 'error'"""
+
+
 @query(
     "state_append",
-    f"""SELECT row_position, event_id, 'failed_phase1' AS state, CAST(NULL AS STRING) AS last_error,
-      attempts, excel_row_json, log_seq + 1 AS log_seq, 'patched' AS drive_case,
+    f"""SELECT s.row_position, s.event_id, 'failed_phase1' AS state, c.last_error,
+      s.attempts, s.excel_row_json, s.log_seq + 1 AS log_seq, c.drive_case,
       TIMESTAMP '{AS_OF}' AS last_attempt_at
-    FROM state_now WHERE event_id IN ({_LISTED})""",
+    FROM state_now s JOIN ({_CHANGED}) c ON c.event_id = s.event_id WHERE c.n = 1""",
 )
 def state_append(t):
-    changes = listed_events(t).select(
-        "event_id",
+    """Many changes of an event in one table: the last one makes its image."""
+    seq = F.col("event_id")
+    changes = t("events").where(F.col("event_type") == "error").select(
+        ids.event_id(F.col("user_id") * 3).alias("event_id"),
         F.lit(S.FAILED_PHASE_1).alias("state"),
-        F.lit("patched").alias("drive_case"),
-        F.lit(None).cast("string").alias("last_error"),
+        F.concat(F.lit("change "), seq.cast("string")).alias("drive_case"),
+        F.when(seq % 2 == 0, F.concat(F.lit("said at "), seq.cast("string"))).alias("last_error"),
+        "ts", seq.alias("change"),
     )
-    log = log_of(t).join(changes, "event_id", "left_semi")
-    new = transitions.patch_images(current_where(log, ["state"], F.lit(True)), changes, AT)
+    log = log_of(t).join(changes.select("event_id"), "event_id", "left_semi")
+    new = transitions.patch_images(current_where(log, ["state"], F.lit(True)), changes, AT, order=["ts", "change"])
     return new.select(*_IMAGE, "drive_case", "last_attempt_at")
 
 

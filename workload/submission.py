@@ -13,7 +13,7 @@ from rollcall.plans import reports, submit, transitions
 from rollcall.sources import roster as R
 from workload import sqltext as Q
 from workload.fixtures import AS_OF, BLOB_PREFIX, BUCKET, SECRET, START
-from workload.ingestion import assets, gated, prepared, state_now
+from workload.ingestion import assets, gated, outcomes, prepared, state_now
 from workload.registry import query
 
 AT = dt.datetime.fromisoformat(AS_OF)
@@ -96,7 +96,7 @@ def insert_or_ignore(t):
     f"WITH {Q.GATED} SELECT event_id, drive_case, outcome, outcome_error FROM gated",
 )
 def submit_outcome(t):
-    return gated(t).select(
+    return outcomes(t).select(
         "event_id", F.col("link.case").alias("drive_case"), "outcome", "outcome_error"
     )
 
@@ -107,7 +107,7 @@ def submit_outcome(t):
     FROM gated WHERE outcome = 'eligible'""",
 )
 def outbox_eligibility(t):
-    rows = gated(t).where(F.col("outcome") == submit.ELIGIBLE)
+    rows = outcomes(t).where(F.col("outcome") == submit.ELIGIBLE)
     return rows.select(
         "event_id", F.col("asset_file_id").alias("file_id"), F.col("asset_mime").alias("mime"), "content_id"
     )
@@ -139,21 +139,34 @@ def outbox(t):
     ).drop("headers")
 
 
+RUNS = 12
+
+
 @query(
     "published_transcripts",
     f"""WITH {Q.GATED} SELECT event_id, '{BLOB_PREFIX}/' || event_id || '/transcript.' || ext AS blob_path,
-      ext AS extension, sha256(content.content) AS content_sha256,
-      CASE WHEN row_position % 3 = 0 THEN 'run-1' ELSE 'run-2' END AS run
-    FROM gated JOIN content ON content.content_id = gated.content_id WHERE outcome = 'eligible'""",
+      ext AS extension, sha256(run || ': ' || content.content) AS content_sha256, run
+    FROM (SELECT *, 'run-' || CASE row_position % {RUNS} WHEN 0 THEN '{RUNS}' WHEN 2 THEN '2'
+        ELSE CAST(row_position % {RUNS} + 1 AS STRING) END AS run FROM gated) g
+    JOIN content ON content.content_id = g.content_id WHERE outcome = 'eligible'""",
 )
 def published_transcripts(t):
-    """Two runs publish their rows, some of them both: every text is read back, and one
-    published twice is the later run's."""
+    """Twelve runs publish texts of their own, each event by two runs; then the second
+    run publishes some of its events again. Every event has the text that was published
+    last, by whatever run. Each text is stored twice."""
     path = new_path(t.spark, "blobs")
-    rows = materialize(gated(t).where(F.col("outcome") == submit.ELIGIBLE), "eligible")
-    third = F.col(S.POSITION) % 3
-    for run, part in (("run-1", third <= 1), ("run-2", third >= 1)):
-        submit.write_transcripts(rows.where(part), t("content"), path, BLOB_PREFIX, run)
+    rows = materialize(outcomes(t).where(F.col("outcome") == submit.ELIGIBLE), "eligible")
+    turn = F.col(S.POSITION) % RUNS
+    texts = t("content")
+
+    def publish(run: int, part) -> None:
+        name = f"run-{run}"
+        own = texts.unionByName(texts).withColumn("content", F.concat(F.lit(f"{name}: "), "content"))
+        submit.write_transcripts(rows.where(part), own, path, BLOB_PREFIX, name, AT)
+
+    for run in range(1, RUNS + 1):
+        publish(run, turn.isin(run - 1, run % RUNS))
+    publish(2, turn == 2)
     found = submit.published_transcripts(t.spark, path)
     return found.withColumn("content_sha256", F.sha2(F.encode("content", "UTF-8"), 256)).drop("content")
 
@@ -189,7 +202,7 @@ def retry_flow(t):
       FROM gated WHERE outcome = 'eligible') x""",
 )
 def release_schedule(t):
-    rows = gated(t).where(F.col("outcome") == submit.ELIGIBLE)
+    rows = outcomes(t).where(F.col("outcome") == submit.ELIGIBLE)
     return submit.release_schedule(rows, dt.datetime.fromisoformat(START))
 
 
@@ -199,7 +212,7 @@ def release_schedule(t):
     FROM gated WHERE outcome = 'eligible'""",
 )
 def projected_duration(t):
-    return submit.projected_duration(gated(t).where(F.col("outcome") == submit.ELIGIBLE))
+    return submit.projected_duration(outcomes(t).where(F.col("outcome") == submit.ELIGIBLE))
 
 
 _APPLIED = f"""WITH {Q.GATED}
@@ -218,7 +231,8 @@ _APPLIED = f"""WITH {Q.GATED}
 
 @query("apply_submissions", _APPLIED)
 def apply_submissions(t):
-    new = submit.apply_submissions(state_now(t), outbox_of(t), t("submission_results"), AT)
+    box = submit.addressed(outcomes(t), BUCKET, BLOB_PREFIX)
+    new = submit.apply_submissions(state_now(t), box, t("submission_results"), AT)
     return new.select(
         "event_id", "state", "last_error", "attempts", "webhook_message_id",
         "webhook_submitted_at", "transcript_gcs_uri",
@@ -234,7 +248,7 @@ def apply_submissions(t):
     FROM gated g JOIN state_now s ON s.event_id = g.event_id WHERE outcome <> 'eligible'""",
 )
 def gate_images(t):
-    new = submit.gated_images(gated(t), state_now(t), AT)
+    new = submit.gated_images(outcomes(t), state_now(t), AT)
     return new.select("event_id", "state", "last_error", "attempts", "drive_case")
 
 

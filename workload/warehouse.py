@@ -152,16 +152,20 @@ def diag_incomplete(t):
     """SELECT u.code, coalesce(p.first_name, u.first_name) AS first_name,
       coalesce(p.last_name, u.last_name) AS last_name, u.role, u.school_code, u.created_at
     FROM users u LEFT JOIN (SELECT 'T' || CAST(o_custkey AS STRING) AS code, 'teacher' AS role,
-        'Patched ' || CAST(min(o_orderkey) AS STRING) AS first_name, '' AS last_name
-      FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey) p
+        last('Patched ' || CAST(o_orderkey AS STRING) ORDER BY o_orderdate, o_orderkey)
+          FILTER (o_orderkey % 3 > 0) AS first_name,
+        last(o_orderstatus ORDER BY o_orderdate, o_orderkey) FILTER (o_orderkey % 2 = 0) AS last_name
+      FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY o_custkey) p
     ON p.code = u.code AND p.role = u.role""",
 )
 def dim_patch(t):
-    urgent = t("orders").where(F.col("o_orderpriority") == "1-URGENT")
-    patch = urgent.groupBy("o_custkey").agg(F.min("o_orderkey").alias("k")).select(
+    """Every urgent order is a patch: some set one name, some the other, some both or none."""
+    key, urgent = F.col("o_orderkey"), F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    patch = t("orders").where(urgent).select(
         F.concat(F.lit("T"), F.col("o_custkey").cast("string")).alias("code"),
         F.lit("teacher").alias("role"),
-        F.concat(F.lit("Patched "), F.col("k").cast("string")).alias("first_name"),
-        F.lit("").alias("last_name"),
+        F.when(key % 3 > 0, F.concat(F.lit("Patched "), key.cast("string"))).alias("first_name"),
+        F.when(key % 2 == 0, F.col("o_orderstatus")).alias("last_name"),
+        "o_orderdate", "o_orderkey",
     )
-    return transitions.dim_patch(t("users"), patch, ["code", "role"])
+    return transitions.dim_patch(t("users"), patch, ["code", "role"], ["o_orderdate", "o_orderkey"])
