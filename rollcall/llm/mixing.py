@@ -160,6 +160,7 @@ def mix(
         left.where(F.abs(F.col("missing") - F.col("size")) < F.col("missing"))
         .groupBy("place").agg(F.min(best).alias("last")).select(F.col("place").alias("_place"), "last")
     )
+    last = materialize(last, "mix-last")  # small where it is joined: no row is moved for it
     final = chosen.join(last, F.col("place") == F.col("_place"), "left")
     closing = (
         (F.col("v") == F.col("last.v")) & (F.col("digest") == F.col("last.digest"))
