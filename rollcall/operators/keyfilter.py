@@ -5,50 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.operators.scratch import materialize
+#: Words of 64 bits that a filter has at most (8 MB of them and their numbers).
+WORDS = 1 << 19
 
-#: Bits for each key; a filter has at least one bitmap, and at most MOST_BITS (16 MB).
-BITS_EACH, MOST_BITS = 16, 1 << 27
-_BITMAP_BITS = 1 << 15  # of Spark's bitmaps
 
+def _mark(key: Column) -> list[Column]:
+    """The word of a key, and its two bits."""
+    code = F.xxhash64(key)
+    places = [F.shiftright(code, by).bitwiseAND(F.lit(63)).cast("int") for by in (0, 6)]
+    bits = [F.call_function("shiftleft", F.lit(1).cast("bigint"), p) for p in places]
+    word = F.pmod(F.shiftright(code, 12), F.lit(WORDS).cast("bigint"))
+    return [word.alias("_word"), bits[0].bitwiseOR(bits[1]).alias("_mark")]
 
-class KeyFilter:
-    """Which of the rows of a table may have one of the given keys (text).
 
-    Built by aggregation: a key sets two bits, and bits are gathered in bitmaps of
-    4 KB. Those are what is broadcast, 16 MB at most however many keys there are;
-    beyond some ten million keys more rows pass that need not. No row that has one of
-    the keys is ever dropped, so what follows has to be right without the filter.
-    """
+def passing(df: DataFrame, key: Column, keys: DataFrame, column: str) -> DataFrame:
+    """The rows of `df` whose key (text) may be among `keys`; no exchange of rows.
 
-    def __init__(self, keys: DataFrame, column: str):
-        """`keys` should be a written table: it is read twice."""
-        n = keys.where(F.col(column).isNotNull()).count()
-        self.bits = _BITMAP_BITS
-        while self.bits < min(BITS_EACH * n, MOST_BITS):
-            self.bits *= 2
-        places = keys.where(F.col(column).isNotNull()).select(F.explode(F.array(*self._places(F.col(column)))).alias("at"))
-        bitmaps = places.groupBy(F.bitmap_bucket_number("at").alias("_bitmap")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bits")
-        )
-        self.bitmaps = materialize(bitmaps, "key-filter")
-
-    def _places(self, key: Column) -> list[Column]:
-        """Two places, counted from 1 as bitmaps are."""
-        code = F.xxhash64(key)
-        return [F.pmod(x, F.lit(self.bits)) + 1 for x in (code, F.shiftright(code, 32))]
-
-    def passing(self, df: DataFrame, key: Column) -> DataFrame:
-        """The rows of `df` whose key may be among the keys; no exchange of rows."""
-        first, second = self._places(F.col("_key"))
-        rows = df.withColumn("_key", key).withColumns({"_at": first, "_at2": second})
-        for place in ("_at", "_at2"):
-            rows = rows.withColumn("_bitmap", F.bitmap_bucket_number(place))
-            rows = rows.join(F.broadcast(self.bitmaps), "_bitmap").where(_is_set(F.col("_bits"), F.bitmap_bit_position(place)))
-            rows = rows.drop("_bitmap", "_bits")
-        return rows.select(*df.columns)
-
-
-def _is_set(bits: Column, position: Column) -> Column:
-    byte = F.conv(F.hex(F.substr(bits, (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.getbit(byte, (position % 8).cast("int")) == 1
+    The filter is built by aggregation: a key belongs to one word and sets two of its
+    bits. Only words with a bit are broadcast, one a key and WORDS at most, however many
+    keys there are: up to two million keys one row in sixty passes that need not, beyond
+    more do. No row that has one of the keys is ever dropped, so what follows has to be
+    right without the filter.
+    """
+    marks = keys.where(F.col(column).isNotNull()).select(*_mark(F.col(column)))
+    words = marks.groupBy("_word").agg(F.bit_or("_mark").alias("_bits"))
+    marked = df.select("*", *_mark(key)).join(F.broadcast(words), "_word")
+    return marked.where(F.col("_bits").bitwiseAND(F.col("_mark")) == F.col("_mark")).select(*df.columns)

@@ -68,7 +68,7 @@ def resolved_links(rows: DataFrame, assets: Assets, keep: list[str]) -> DataFram
     direct = narrow.where("asset_key IS NULL").select(
         *keep, "link", F.col("link.file_id").alias("asset_file_id"), F.col("link.mime").alias("asset_mime")
     )
-    placed = direct.unionByName(materialize(by_key, "placed"))
+    placed = direct.unionByName(by_key)
 
     stored = materialize(assets.content_of(placed), "found-content").withColumnRenamed("file_id", "asset_file_id")
     held = placed.where("asset_file_id IS NOT NULL").join(stored, "asset_file_id", "left")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import links as L
-from rollcall.operators.keyfilter import KeyFilter
+from rollcall.operators.keyfilter import passing
 from rollcall.operators.latest import best_per_key
 
 
@@ -54,6 +54,18 @@ def folder_key(folder_id: Column) -> Column:
     return F.concat(F.lit("folder:"), folder_id)
 
 
+def _as_file_and_child() -> list[Column]:
+    """A listing's row under the key of its file, and under that of its folder if it is a
+    usable child; ranked as `file_mimes` and `folder_picks` do."""
+    rank = L.transcript_rank(F.col("mime"))
+    usable = F.col("folder_id").isNotNull() & ~F.col("trashed") & rank.isNotNull()
+    key, first, tie = (lambda c: c.alias("asset_key")), (lambda c: c.alias("first")), (lambda c: c.alias("tie"))
+    return [
+        F.struct(key(file_key(F.col("file_id"))), first(F.col("trashed").cast("int")), tie(F.col("folder_id"))),
+        F.struct(key(F.when(usable, folder_key(F.col("folder_id")))), first(rank), tie(F.col("file_id"))),
+    ]
+
+
 @dataclass(frozen=True)
 class Assets:
     """What links can resolve to: the listing and the content index, as they are.
@@ -67,20 +79,20 @@ class Assets:
 
     def wanted(self, keys: DataFrame) -> DataFrame:
         """(asset_key, found_file, found_mime) for at least the given keys (column
-        `asset_key` of a written table): `file:<id>` and `folder:<id>`."""
-        asked = KeyFilter(keys, "asset_key")
-        types = file_mimes(asked.passing(self.listing, file_key(F.col("file_id"))))
-        picks = folder_picks(asked.passing(children(self.listing), folder_key(F.col("folder_id"))))
-        found = ["file_id AS found_file", "mime AS found_mime"]
-        by_file = types.selectExpr("concat('file:', file_id) AS asset_key", *found)
-        by_folder = picks.selectExpr("concat('folder:', folder_id) AS asset_key", *found)
-        return by_file.unionByName(by_folder)
+        `asset_key`): `file:<id>` and `folder:<id>`."""
+        listed = self.listing.select(
+            "file_id", "mime", "list_order", F.explode(F.array(*_as_file_and_child())).alias("x")
+        )
+        listed = listed.where("x.asset_key IS NOT NULL").select("file_id", "mime", "list_order", "x.*")
+        asked = passing(listed, F.col("asset_key"), keys, "asset_key")
+        ranking = [F.col(c) for c in ("first", "list_order", "tie", "mime")]
+        best = best_per_key(asked, "asset_key", ranking, F.struct("file_id", "mime"))
+        return best.select("asset_key", F.col("best.file_id").alias("found_file"), F.col("best.mime").alias("found_mime"))
 
     def content_of(self, files: DataFrame) -> DataFrame:
-        """(file_id, content_id) for at least the given files (column `asset_file_id` of a
-        written table), one row per file."""
-        asked = KeyFilter(files, "asset_file_id")
-        return stored_content(asked.passing(self.content, F.col("file_id")))
+        """(file_id, content_id) for at least the given files (column
+        `asset_file_id`), one row per file."""
+        return stored_content(passing(self.content, F.col("file_id"), files, "asset_file_id"))
 
 
 def usable_assets(catalog: DataFrame, content: DataFrame) -> Assets:
