@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import bpe
-from rollcall.llm.tiles import SPACE, Tiled, kinds, text_chunks
+from rollcall.llm.tiles import SPACE, Spans, Tiled, kinds, taken, text_chunks
 from rollcall.operators.scratch import materialize, shuffle_partitions
 
 MARK = "▁"
@@ -151,19 +151,6 @@ class Aligner:
         )
 
 
-class Spans:
-    """Byte strings end to end."""
-
-    def __init__(self, parts: list[bytes]):
-        self.flat = np.frombuffer(b"".join(parts), np.uint8)
-        self.sizes = np.array([len(x) for x in parts], np.int64)
-        self.begins = np.cumsum(self.sizes) - self.sizes
-
-    def take(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes of the chosen strings, and where each begins and the last ends."""
-        return _taken(self.flat, self.begins, self.sizes, index)
-
-
 @dataclass
 class Units:
     """Per unit: tokens of A and B, groups, whether both vocabularies give its bytes back
@@ -178,13 +165,6 @@ class Units:
     links: np.ndarray
 
 
-def _taken(flat, begins, sizes, index):
-    n = sizes[index]
-    at = np.zeros(len(n) + 1, np.int64)
-    np.cumsum(n, out=at[1:])
-    return flat[np.repeat(begins[index] - at[:-1], n) + np.arange(at[-1])], at
-
-
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """All items, and the list each comes from."""
     sizes = np.array([len(x) for x in lists], np.int64)
@@ -226,7 +206,7 @@ def _told(aligner: Aligner, tiled: Tiled) -> Told:
         None if broken[k] else b"".join([units.told[i] for i in index[offsets[k] : offsets[k + 1]].tolist()])[:-1]
         for k in range(n)
     ]
-    flat, at = _taken(units.links, np.cumsum(units.n_groups) - units.n_groups, units.n_groups, index)
+    flat, at = taken(units.links, np.cumsum(units.n_groups) - units.n_groups, units.n_groups, index)
     owner = np.repeat(np.arange(n), np.diff(at[offsets]))
     both, times = np.unique((owner << 32) | flat, return_counts=True)
     both, times = both[~broken[both >> 32]], times[~broken[both >> 32]]

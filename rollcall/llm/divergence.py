@@ -18,15 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rollcall.llm.tiles import text_chunks
+from rollcall.llm.tiles import Spans, text_chunks
 from rollcall.operators.scratch import materialize
 
 #: Shares are counted in billionths.
 UNIT = 1_000_000_000
 #: Bytes of the prefixes that are counted, before whole terms are.
 LEVELS = (4, 12, 36)
-#: Bytes of text, and terms of documents, that a task works out together.
-CHUNK_BYTES, CHUNK_TERMS = 4 << 20, 1 << 20
+#: Bytes of text, bytes of documents' terms, and pairs of sources, that a task works out together.
+CHUNK_BYTES, CHUNK_TERMS, PAIRS = 2 << 20, 12 << 20, 1 << 20
 #: The filter of surviving prefixes has so many bits for each, and at most MOST_BITS (16 MB).
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 15, 1 << 27
 #: Parts into which what belongs to one language is dealt where sources meet each other.
@@ -37,9 +37,10 @@ _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8
 
 
 # ---- terms of documents -----------------------------------------------------------------
-def document_terms(texts: list[bytes]) -> tuple[pa.ListArray, pa.ListArray]:
-    """The distinct terms of each text, and how often each occurs: runs of ASCII letters
-    and of bytes beyond ASCII, A-Z in lower case."""
+def document_terms(texts: list[bytes]) -> tuple[pa.BinaryArray, pa.BinaryArray]:
+    """Of each text its distinct terms, in the order of their bytes, each with a line break
+    behind it; and how often each occurs, as unsigned 32-bit numbers. Terms are runs of
+    ASCII letters and of bytes beyond ASCII, A-Z in lower case."""
     raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     letter = _LETTER[raw]
     starts = letter.copy()
@@ -49,81 +50,103 @@ def document_terms(texts: list[bytes]) -> tuple[pa.ListArray, pa.ListArray]:
     document = np.searchsorted(begins, where, side="right") - 1
     data = _LOWER[raw[letter]]
     borders = np.append((np.cumsum(letter) - 1)[where], len(data)).astype(np.int32)
-    words = pa.BinaryArray.from_buffers(
-        pa.binary(), len(where), [None, pa.py_buffer(borders), pa.py_buffer(data)]
-    ).dictionary_encode()
-    both, times = np.unique((document << 32) | words.indices.to_numpy(), return_counts=True)
-    lists = np.searchsorted(both >> 32, np.arange(len(texts) + 1)).astype(np.int32)
-    terms = words.dictionary.take(pa.array(both & 0xFFFFFFFF))
-    return pa.ListArray.from_arrays(lists, terms), pa.ListArray.from_arrays(lists, pa.array(times.astype(np.int64)))
+    words = _binary(borders, data).dictionary_encode()
+    order = pc.sort_indices(words.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    both, times = np.unique((document << 32) | rank[words.indices.to_numpy()], return_counts=True)
+    lists = np.searchsorted(both >> 32, np.arange(len(texts) + 1))
+    lines = Spans([t + b"\n" for t in words.dictionary.take(pa.array(order)).to_pylist()])
+    flat, at = lines.take(both & 0xFFFFFFFF)
+    return _binary(at[lists].astype(np.int32), flat), _binary((4 * lists).astype(np.int32), times.astype("<u4"))
+
+
+def _binary(borders: np.ndarray, data: np.ndarray) -> pa.BinaryArray:
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(borders) - 1, [None, pa.py_buffer(borders), pa.py_buffer(np.ascontiguousarray(data))]
+    )
+
+
+_TERMS = "lang string, source string, terms binary, times binary"
 
 
 def _write_terms(batches):
     for batch in batches:
         for first, texts in text_chunks(batch.column(2), CHUNK_BYTES):
-            lists = document_terms(texts)
+            found = document_terms(texts)
             keys = [batch.column(k).slice(first, len(texts)) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*keys, *lists], ["lang", "source", "terms", "times"])
+            yield pa.RecordBatch.from_arrays([*keys, *found], ["lang", "source", "terms", "times"])
 
 
 class _Chunk:
-    """Some documents' terms: per item its document, group, distinct (group, term) pair."""
+    """Some documents' terms. Items are terms of documents, in order; `pair` is the
+    distinct (group, term) of each."""
 
-    def __init__(self, groups: list[pa.Array], terms: pa.ListArray):
-        keys = pa.StructArray.from_arrays(groups, [str(k) for k in range(len(groups))])
-        coded = [g.dictionary_encode() for g in groups]
-        code = np.zeros(len(keys), np.int64)
-        for one in coded:
+    def __init__(self, groups: list[pa.Array], terms: list[bytes]):
+        code = np.zeros(len(terms), np.int64)
+        for one in (g.dictionary_encode() for g in groups):
             code = code * max(1, len(one.dictionary)) + one.indices.to_numpy()
         _, at, of_document = np.unique(code, return_index=True, return_inverse=True)
-        self.groups = keys.take(pa.array(at, pa.int64()))
-        sizes = pc.list_value_length(terms).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.document = np.repeat(np.arange(len(sizes)), sizes)
-        words = terms.flatten().dictionary_encode()
+        self.names = [tuple(g[k].as_py() for g in groups) for k in at.tolist()]
+        data = np.frombuffer(b"".join(terms), np.uint8)
+        ends = np.flatnonzero(data == 10)
+        borders = np.append([0], ends - np.arange(len(ends))).astype(np.int32)
+        words = _binary(borders, data[data != 10]).dictionary_encode()
+        sizes = np.diff(np.searchsorted(ends, np.cumsum([0, *map(len, terms)])))
+        self.document = np.repeat(np.arange(len(terms)), sizes)
         self.terms, n = words.dictionary, max(1, len(at))
-        pairs = words.indices.to_numpy().astype(np.int64) * n + of_document[self.document]
-        both, self.pair = np.unique(pairs, return_inverse=True)
+        both, self.pair = _compact(words.indices.to_numpy() * n + of_document[self.document], n * len(words.dictionary))
         self.term, self.group = both // n, both % n
 
-    def field(self, k: int) -> pa.Array:
-        return self.groups.field(k)
 
+def _compact(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes below `size`, ascending, and the place of each among them."""
+    if size > 1 << 23:
+        return np.unique(codes, return_inverse=True)
+    seen = np.zeros(size, bool)
+    seen[codes] = True
+    place = np.cumsum(seen, dtype=np.int32) - 1
+    return np.flatnonzero(seen), place[codes]
 
-def _chunks(batches, groups: int) -> Iterator[tuple[_Chunk, pa.Array]]:
-    """(chunk, the column after the terms) of batches (group columns, terms, ...)."""
+
+def _chunks(batches, groups: int) -> Iterator[tuple[_Chunk, pa.Table]]:
+    """Chunks of batches (group columns, terms, ...) of about CHUNK_TERMS bytes of terms."""
     held, n = [], 0
 
     def done():
         table = pa.Table.from_batches(held).combine_chunks()
-        columns = [c.chunk(0) if c.num_chunks else pa.nulls(0, c.type) for c in table.columns]
-        return _Chunk(columns[:groups], columns[groups]), columns[-1]
+        return _Chunk([table.column(k).chunk(0) for k in range(groups)], table.column(groups).to_pylist()), table
 
     for batch in batches:
         held.append(batch)
-        n += len(batch.column(groups).flatten())
+        n += batch.column(groups).nbytes
         if n >= CHUNK_TERMS:
             yield done()
             held, n = [], 0
-    if n:
+    if sum(len(b) for b in held):
         yield done()
 
 
 # ---- a filter of what has survived -------------------------------------------------------
-def _hashes(langs: list, parts: list) -> np.ndarray:
-    return np.array(
-        [xxhash.xxh64_intdigest(part, seed=xxhash.xxh32_intdigest(lang)) for lang, part in zip(langs, parts)], np.uint64
-    )
+OPEN, DONE = b"0", b"1"
 
 
-def _positions(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _key(kind: bytes, part: bytes, lang: bytes) -> bytes:
+    """What prefixes (open) and terms (done) of a language are counted by; a part holds no
+    line break."""
+    return kind + part + b"\n" + lang
+
+
+def _places(keys: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    hashes = np.array([xxhash.xxh64_intdigest(k) for k in keys], np.uint64)
     low, high = hashes & np.uint64(0xFFFFFFFF), hashes >> np.uint64(32)
     return (low % np.uint64(bits)).astype(np.int64), (high % np.uint64(bits)).astype(np.int64)
 
 
 class Filter:
-    """Says of (lang, part) whether it may be among the written ones; never no for one
-    that is. Its size follows their number up to MOST_BITS; beyond, more of what has not
-    survived passes, and is counted and discarded a level later."""
+    """Says of a key whether it may be among the written ones; never no for one that is.
+    Its size follows their number up to MOST_BITS; beyond, more of what has not survived
+    passes, and is counted and discarded a level later."""
 
     def __init__(self, survivors: DataFrame, n: int):
         self.bits = bits = LEAST_BITS
@@ -132,11 +155,9 @@ class Filter:
 
         def place(batches):
             for batch in batches:
-                langs = [x.encode() for x in batch.column(0).to_pylist()]
-                found = np.concatenate(_positions(_hashes(langs, batch.column(1).to_pylist()), bits))
-                yield pa.RecordBatch.from_arrays([pa.array(found)], ["at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_places(batch.column(0).to_pylist(), bits)))], ["at"])
 
-        placed = survivors.select("lang", "part").mapInArrow(place, "at long")
+        placed = survivors.select("key").mapInArrow(place, "at long")
         # bitmap positions count from 1 in Spark
         rows = placed.groupBy(F.bitmap_bucket_number(F.col("at") + 1).alias("b")).agg(
             F.bitmap_construct_agg(F.bitmap_bit_position(F.col("at") + 1)).alias("bits")
@@ -145,17 +166,17 @@ class Filter:
         for row in rows.toLocalIterator():  # at most MOST_BITS / 32768 rows of 4 KB
             self.bytes[(row["b"] - 1) * 4096 : row["b"] * 4096] = np.frombuffer(row["bits"], np.uint8)
 
-    def may_hold(self, langs: list, parts: list) -> np.ndarray:
-        hit = np.ones(len(parts), bool)
-        for at in _positions(_hashes(langs, parts), self.bits):
+    def may_hold(self, keys: list[bytes]) -> np.ndarray:
+        hit = np.ones(len(keys), bool)
+        for at in _places(keys, self.bits):
             hit &= (self.bytes[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         return hit
 
 
 # ---- refinement ------------------------------------------------------------------------------
 def kept_terms(terms: DataFrame, threshold: int, levels: Sequence[int] = LEVELS) -> tuple[DataFrame, int]:
-    """(lang, part): the terms in at least `threshold` documents of their language, and
-    how many there are. `terms` is a written table (lang, source, terms, times).
+    """(key): the terms in at least `threshold` documents of their language, and how many
+    there are. `terms` is a written table (lang, source, terms, times).
 
     At each length a term that is longer counts for its prefix, one that ends for itself,
     both once a document; the next length looks only at longer terms whose prefix has
@@ -163,12 +184,10 @@ def kept_terms(terms: DataFrame, threshold: int, levels: Sequence[int] = LEVELS)
     a whole. Partial counts are summed per task before they are shuffled."""
     kept, alive, before, total = None, None, 0, 0
     for length in (*levels, None):
-        counted = terms.select("lang", "terms").mapInArrow(
-            _counted(before, length, alive), "lang string, part binary, done boolean, docs long"
-        )
-        survivors = counted.groupBy("lang", "part", "done").agg(F.sum("docs").alias("docs"))
-        survivors = materialize(survivors.where(F.col("docs") >= threshold), "prefixes")
-        done = survivors.where("done").select("lang", "part")
+        counted = terms.select("lang", "terms").mapInArrow(_counted(before, length, alive), "key binary, docs long")
+        survivors = counted.groupBy("key").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= threshold)
+        survivors = materialize(survivors.withColumn("done", F.expr("substring(key, 1, 1) = X'31'")), "prefixes")
+        done = survivors.where("done").select("key")
         kept = done if kept is None else kept.unionByName(done)
         counts = {r["done"]: r["n"] for r in survivors.groupBy("done").agg(F.count("*").alias("n")).collect()}
         total += counts.get(True, 0)
@@ -181,58 +200,74 @@ def kept_terms(terms: DataFrame, threshold: int, levels: Sequence[int] = LEVELS)
 def _counted(before: int, length: int | None, alive: Filter | None):
     def work(batches):
         for chunk, _ in _chunks(batches, 1):
+            langs = [x.encode() for x, in chunk.names]
             sizes = pc.binary_length(chunk.terms).to_numpy(zero_copy_only=False)[chunk.term]
-            open_ = np.flatnonzero(sizes > before)
-            langs = chunk.field(0)
-            words, group = chunk.terms.take(pa.array(chunk.term[open_])), chunk.group[open_]
+            longer = np.flatnonzero(sizes > before)
+            words, group = chunk.terms.take(pa.array(chunk.term[longer])), chunk.group[longer]
             if alive is not None:
-                names = [x.encode() for x in langs.to_pylist()]
                 parts = pc.binary_slice(words, 0, before).to_pylist()
-                hit = alive.may_hold([names[g] for g in group.tolist()], parts)
-                open_, words, group = open_[hit], words.filter(pa.array(hit)), group[hit]
-            done = np.ones(len(open_), bool) if length is None else sizes[open_] <= length
+                hit = alive.may_hold([_key(OPEN, part, langs[g]) for part, g in zip(parts, group.tolist())])
+                longer, words, group = longer[hit], words.filter(pa.array(hit)), group[hit]
+            done = np.ones(len(longer), bool) if length is None else sizes[longer] <= length
             parts = (words if length is None else pc.binary_slice(words, 0, length)).dictionary_encode()
-            n = max(1, len(chunk.groups))
+            n = max(1, len(langs))
             code = (parts.indices.to_numpy().astype(np.int64) * 2 + done) * n + group
-            found, of_pair = np.unique(code, return_inverse=True)
+            found, of_pair = _compact(code, 2 * n * len(parts.dictionary))
             key = np.full(len(chunk.term), -1, np.int64)
-            key[open_] = of_pair
+            key[longer] = of_pair
             of_item = key[chunk.pair]
             chosen = of_item >= 0
-            once = np.unique((chunk.document[chosen] << 32) | of_item[chosen]) & 0xFFFFFFFF
-            yield pa.RecordBatch.from_arrays(
-                [
-                    langs.take(pa.array(found % n)), parts.dictionary.take(pa.array(found // n // 2)),
-                    pa.array(found // n % 2 == 1), pa.array(np.bincount(once, minlength=len(found)).astype(np.int64)),
-                ],
-                ["lang", "part", "done", "docs"],
-            )
+            of_item, document = of_item[chosen], chunk.document[chosen]
+            # A document's terms are in order, so those of one prefix are neighbours.
+            once = np.ones(len(of_item), bool)
+            once[1:] = (of_item[1:] != of_item[:-1]) | (document[1:] != document[:-1])
+            docs = np.bincount(of_item[once], minlength=len(found)).astype(np.int64)
+            names = parts.dictionary.to_pylist()
+            keys = [
+                _key(DONE if x // n % 2 else OPEN, names[x // n // 2], langs[x % n]) for x in found.tolist()
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(docs)], ["key", "docs"])
 
     return work
 
 
-def term_counts(terms: DataFrame, kept: DataFrame, n_kept: int) -> DataFrame:
-    """(lang, part, source, n): how often each kept term occurs in each source. What may
-    be kept is summed per task; the kept terms themselves are joined, not shared."""
+def term_counts(terms: DataFrame, kept: DataFrame, n_kept: int, threshold: int) -> DataFrame:
+    """(lang, part, source, n, first): how often each kept term occurs in each source;
+    `first` marks one row of each term. What may be kept is summed per chunk, and its
+    documents once more, which tells those that are not kept from those that are: the
+    kept terms need not be joined. One exchange, by term."""
     may = Filter(kept, n_kept)
 
     def work(batches):
-        for chunk, times in _chunks(batches, 2):
-            langs = chunk.field(0)
-            names = [x.encode() for x in langs.to_pylist()]
-            words = chunk.terms.take(pa.array(chunk.term))
-            hit = may.may_hold([names[g] for g in chunk.group.tolist()], words.to_pylist())
-            n = np.zeros(len(chunk.term), np.int64)
-            np.add.at(n, chunk.pair, times.flatten().to_numpy())
-            group, rows = pa.array(chunk.group[hit]), pa.array(hit)
+        for chunk, table in _chunks(batches, 2):
+            langs = [x.encode() for x, _ in chunk.names]
+            words = chunk.terms.take(pa.array(chunk.term)).to_pylist()
+            keys = [_key(DONE, word, langs[g]) for word, g in zip(words, chunk.group.tolist())]
+            hit = may.may_hold(keys)
+            times = np.frombuffer(b"".join(table.column(3).to_pylist()), "<u4").astype(np.int64)
+            n = np.zeros(len(keys), np.int64)
+            np.add.at(n, chunk.pair, times)
+            docs = np.bincount(chunk.pair, minlength=len(keys)).astype(np.int64)
+            chosen = np.flatnonzero(hit).tolist()
             yield pa.RecordBatch.from_arrays(
-                [langs.take(group), words.filter(rows), chunk.field(1).take(group), pa.array(n[hit])],
-                ["lang", "part", "source", "n"],
+                [
+                    pa.array([keys[k] for k in chosen], pa.binary()),
+                    pa.array([chunk.names[g][1] for g in chunk.group[hit].tolist()], pa.string()),
+                    pa.array(n[hit]), pa.array(docs[hit]),
+                ],
+                ["key", "source", "n", "docs"],
             )
 
-    found = terms.mapInArrow(work, "lang string, part binary, source string, n long")
-    summed = found.groupBy("lang", "part", "source").agg(F.sum("n").alias("n"))
-    return summed.join(kept, ["lang", "part"], "left_semi")
+    found = terms.mapInArrow(work, "key binary, source string, n long, docs long").repartition("key")
+    summed = found.groupBy("key", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    of_term = W.partitionBy("key")
+    counted = summed.withColumns({
+        "all": F.sum("docs").over(of_term), "first": F.row_number().over(of_term.orderBy("source")) == 1
+    }).where(F.col("all") >= threshold)
+    text = F.decode(F.substring("key", 2, 1 << 30), "UTF-8")
+    part = F.substring_index(text, "\n", 1)
+    lang = F.substr(text, (F.char_length(part) + 2).cast("int"))
+    return counted.select(lang.alias("lang"), part.alias("part"), "source", "n", "first")
 
 
 # ---- divergence -------------------------------------------------------------------------------
@@ -276,13 +311,11 @@ def audit(
         F.coalesce(F.col(lang_col), blank).alias("lang"), F.coalesce(F.col(source_col), blank).alias("source"),
         F.coalesce(F.col(text_col), blank).cast("binary").alias("text"),
     )
-    terms = materialize(
-        rows.mapInArrow(_write_terms, "lang string, source string, terms array<binary>, times array<long>"), "terms"
-    )
+    terms = materialize(rows.mapInArrow(_write_terms, _TERMS), "terms")
     kept, n_kept = kept_terms(terms, threshold, levels)
-    counts = materialize(term_counts(terms, kept, n_kept), "term-counts")
+    counts = materialize(term_counts(terms, kept, n_kept, threshold), "term-counts")
 
-    of_lang = kept.groupBy("lang").agg(F.count("*").alias("v"))
+    of_lang = counts.where("first").groupBy("lang").agg(F.count("*").alias("v"))
     sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
     groups = terms.select("lang", "source").distinct().join(sums, ["lang", "source"], "left").join(of_lang, "lang", "left")
     groups = groups.na.fill(0, ["total", "own", "v"]).withColumn("zero", _share(F.lit(0), F.col("total"), F.col("v")))
@@ -304,20 +337,14 @@ def _terms(groups: DataFrame, by_term: DataFrame, top: int) -> DataFrame:
     rows = by_term.join(whole, "lang").withColumn("q", _share(F.col("n"), F.col("total"), F.col("v")))
     each = rows.select("lang", "part", "q", F.explode("here").alias("x")).where("x.p > q").select(
         "lang", F.col("x.source").alias("source"), F.lit("term").alias("part"),
-        F.col("part").cast("string").alias("item"), _f(F.col("x.p"), F.col("q")).alias("value"),
+        F.col("part").alias("item"), _f(F.col("x.p"), F.col("q")).alias("value"),
     )
     return _ranked(each).where(F.col("rank") <= top)
 
 
 def _pairs(groups: DataFrame, by_term: DataFrame) -> DataFrame:
     # Terms that both hold, less what is counted for them below as if one lacked them.
-    p, q = F.col("a.p"), F.col("b.p")
-    p0, q0 = F.col("a.zero"), F.col("b.zero")
-    two = by_term.select("lang", "here", F.explode("here").alias("a")).select("lang", "a", F.explode("here").alias("b"))
-    both = two.where("a.source <> b.source").select(
-        "lang", F.col("a.source").alias("source"), F.col("b.source").alias("item"),
-        (_f(p, q) - _f(p, q0) - _f(p0, q) + _f(p0, q0)).alias("value"),
-    )
+    both = by_term.select("lang", "here").mapInArrow(_both, "lang string, source string, item string, value long")
     both = both.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
     # Terms of one source by their share, against what any other source gives a term it lacks.
@@ -343,3 +370,41 @@ def _pairs(groups: DataFrame, by_term: DataFrame) -> DataFrame:
     every = none.unionByName(one).unionByName(both)
     summed = every.groupBy("lang", "source", "item").agg(F.sum("value").cast("long").alias("value"))
     return _ranked(summed.withColumn("part", F.lit("pair"))).select("lang", "source", "part", "item", "value", "rank")
+
+
+def _both(batches):
+    """For each pair of sources the sum over terms that both hold, a block of pairs at a
+    time: each source of a term meets the others, and sums per pair are what goes on."""
+    for batch in batches:
+        here = batch.column(1)
+        langs = batch.column(0).dictionary_encode()
+        flat = here.flatten()
+        sources = flat.field("source").dictionary_encode()
+        p, zero = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("p", "zero"))
+        sizes = pc.list_value_length(here).to_numpy(zero_copy_only=False).astype(np.int64)
+        begin = np.repeat(np.cumsum(sizes) - sizes, sizes)  # per item: its term's first item
+        size = np.repeat(sizes, sizes)
+        lang = np.repeat(langs.indices.to_numpy(), sizes).astype(np.int64)
+        source, n = sources.indices.to_numpy().astype(np.int64), max(1, len(sources.dictionary))
+        block = np.cumsum(size) // PAIRS
+        codes, values = [], []
+        for cut in np.split(np.arange(len(size)), np.flatnonzero(np.diff(block)) + 1):
+            a = np.repeat(cut, size[cut])
+            upto = np.cumsum(size[cut])
+            b = begin[a] + np.arange(len(a)) - np.repeat(upto - size[cut], size[cut])
+            a, b = a[a != b], b[a != b]
+            found = (p[a] - p[b]) ** 2 // p[b] - (p[a] - zero[b]) ** 2 // zero[b]
+            found += (zero[a] - zero[b]) ** 2 // zero[b] - (zero[a] - p[b]) ** 2 // p[b]
+            code, at = _compact((lang[a] * n + source[a]) * n + source[b], max(1, len(langs.dictionary)) * n * n)
+            total = np.zeros(len(code), np.int64)
+            np.add.at(total, at, found)
+            codes.append(code)
+            values.append(total)
+        code = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [
+                langs.dictionary.take(pa.array(code // n // n)), sources.dictionary.take(pa.array(code // n % n)),
+                sources.dictionary.take(pa.array(code % n)), pa.array(np.concatenate(values) if values else code),
+            ],
+            ["lang", "source", "item", "value"],
+        )

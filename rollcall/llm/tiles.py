@@ -106,3 +106,24 @@ def gathered(parts: list[bytes], index: np.ndarray, dtype) -> tuple[np.ndarray,
     np.cumsum(n, out=total[1:])
     take = np.repeat(begins[index] - total[:-1], n) + np.arange(total[-1])
     return flat[take], total
+
+
+class Spans:
+    """Byte strings end to end."""
+
+    def __init__(self, parts: list[bytes]):
+        self.flat = np.frombuffer(b"".join(parts), np.uint8)
+        self.sizes = np.array([len(x) for x in parts], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+
+    def take(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the chosen strings, and where each begins and the last ends."""
+        return taken(self.flat, self.begins, self.sizes, index)
+
+
+def taken(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray, index: np.ndarray):
+    """Spans of `flat`, and where each begins and the last ends."""
+    n = sizes[index]
+    at = np.zeros(len(n) + 1, np.int64)
+    np.cumsum(n, out=at[1:])
+    return flat[np.repeat(begins[index] - at[:-1], n) + np.arange(at[-1])], at

@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from rollcall.llm import divergence, prepare, queries
@@ -50,28 +51,54 @@ def test_kept_terms(spark, levels, most, monkeypatch):
     wanted = {k for k, v in wanted.items() if len(v) >= 3}
     rows = docs.na.fill("").selectExpr("lang", "source", "cast(text AS binary) AS text")
     terms = materialize(
-        rows.mapInArrow(divergence._write_terms, "lang string, source string, terms array<binary>, times array<long>"), "t"
+        rows.mapInArrow(divergence._write_terms, divergence._TERMS), "t"
     )
     kept, n = divergence.kept_terms(terms, 3, levels)
-    found = [(r.lang, bytes(r.part).decode()) for r in kept.collect()]
+    found = [tuple(bytes(r.key)[1:].decode().split("\n")[::-1]) for r in kept.collect()]
     assert len(found) == n == len(set(found)) and set(found) == wanted
 
 
 def test_refinement_discards(spark):
-    """No prefix below the threshold is looked at again: what a level counts begins with
-    something that has survived the one before (but for the filter's wrong hits)."""
-    alive = divergence.Filter(spark.createDataFrame([("l", b"ab")], "lang string, part binary"), 1)
-    assert alive.may_hold([b"l", b"l", b"m"], [b"ab", b"ac", b"ab"]).tolist() == [True, False, False]
+    """Of longer terms, only those whose prefix has survived are counted at a level."""
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["l", "m"]), pa.array([b"ab\nabc\nabd\nac\nacd\n", b"abc\n"], pa.binary())], ["lang", "terms"]
+    )
+    alive = divergence.Filter(spark.createDataFrame([(b"0ab\nl",)], "key binary"), 1)
+    rows = [r for b in divergence._counted(2, 3, alive)(iter([batch])) for r in b.to_pylist()]
+    assert {r["key"]: r["docs"] for r in rows} == {b"1abc\nl": 1, b"1abd\nl": 1}
+    rows = [r for b in divergence._counted(0, 1, None)(iter([batch])) for r in b.to_pylist()]
+    assert {r["key"]: r["docs"] for r in rows} == {b"0a\nl": 1, b"0a\nm": 1}
 
 
 def test_filter_holds_all(spark):
-    rows = [(f"l{k % 3}", str(k).encode()) for k in range(5000)]
-    alive = divergence.Filter(spark.createDataFrame(rows, "lang string, part binary"), len(rows))
-    assert alive.may_hold([a.encode() for a, _ in rows], [b for _, b in rows]).all()
-    others = alive.may_hold([b"l0"] * 5000, [b"x%d" % k for k in range(5000)])
+    rows = [(b"1%d\nl%d" % (k, k % 3),) for k in range(5000)]
+    alive = divergence.Filter(spark.createDataFrame(rows, "key binary"), len(rows))
+    assert alive.may_hold([k for k, in rows]).all()
+    others = alive.may_hold([b"1x%d\nl0" % k for k in range(5000)])
     assert others.mean() < 0.05 and alive.bits <= 2 * divergence.BITS_EACH * len(rows)
 
 
+@pytest.mark.parametrize("pairs", [3, 1 << 20])
+def test_pairs_by_blocks(pairs, monkeypatch):
+    monkeypatch.setattr(divergence, "PAIRS", pairs)
+    terms = [("l", [("a", 5, 1), ("b", 7, 2), ("c", 1, 1)]), ("m", [("a", 9, 3)]), ("l", [("c", 8, 1), ("a", 2, 1)])]
+    kind = pa.list_(pa.struct([("source", pa.string()), ("p", pa.int64()), ("zero", pa.int64())]))
+    here = [[dict(zip(("source", "p", "zero"), x)) for x in h] for _, h in terms]
+    batch = pa.RecordBatch.from_arrays([pa.array([x for x, _ in terms]), pa.array(here, kind)], ["lang", "here"])
+    wanted = Counter()
+    f = lambda x, y: (x - y) ** 2 // y
+    for lang, h in terms:
+        for s, p, p0 in h:
+            for i, q, q0 in h:
+                if s != i:
+                    wanted[lang, s, i] += f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0)
+    found = Counter()
+    for b in divergence._both(iter([batch])):
+        for r in b.to_pylist():
+            found[r["lang"], r["source"], r["item"]] += r["value"]
+    assert found == wanted
+
+
 def test_shares_are_exact(spark):
     rows = [(0, 0, 1), (9_000_000_000_000, 9_000_000_000_000, 5), (3, 7, 2), (0, 0, 0), (10**15, 10**15 + 7, 11)]
     frame = spark.createDataFrame(rows, "n long, total long, v long")
