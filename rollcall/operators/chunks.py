@@ -1,32 +1,38 @@
 """Ordered work on groups of any size.
 
 A window over `partitionBy(group)` puts each group in one task, which fails when one
-group holds a third of the table. Here the rows are first laid out in ranges of (group,
-order), as many as there are shuffle partitions: a group then lies in one range, or in
-neighbouring ones if it is large, whatever its size. (group, chunk) takes the place of
-the group in windows, the chunk being the range for groups that lie in several, and
-what a chunk needs from earlier ones (a running count, the last value) is carried over
-in a small table.
-
-There is one plan for all inputs. Where the ranges are cut affects speed only: a chunk
+group holds a third of the table. Here quantiles of (group, order) are drawn once, as
+bounds between as many ranges as there are shuffle partitions; a group that several
+bounds fall into is cut at them, and (group, chunk) takes its place in windows. What a
+chunk needs from earlier ones (a running count, the last value) is carried over in a
+small table. Rows stay where they are until the window deals them: nothing is sorted
+by range or written.
+
+There is one plan for all inputs. Where the bounds lie affects speed only: a chunk
 number that grows with the order is all the callers rely on.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rollcall.operators.scratch import materialize, shuffle_partitions
+from rollcall.operators.scratch import shuffle_partitions
+
+#: Rows drawn for each range.
+DRAWN = 16
 
 
 @dataclass
 class Chunked:
-    """Rows with a `chunk` column, 0 for groups that lie in one range; and (group,
-    chunk) of the groups that lie in several."""
+    """Rows with a `chunk` column, 0 for groups that are not cut; and (group, chunk) of
+    the groups that are."""
 
     rows: DataFrame
     group: str
@@ -54,27 +60,51 @@ class Chunked:
 def cut_hot_groups(
     df: DataFrame, group: str, order: list[str], *, partitions: int | None = None
 ) -> Chunked:
-    """Lay the rows out in ranges and find the groups that lie in several.
+    """Draw bounds and cut the groups that two or more of them fall into.
 
-    The ranges are written once, because their sampled bounds must not be drawn
-    again. A group in several ranges is the last of one and the first of the next, so
-    the groups are found from the first and last of every range: two rows per range
-    at most, which is the bound of what is broadcast. `partitions` is the number of
-    ranges, by default that of shuffle partitions. Null is a group like any other.
+    A group with fewer has less than three ranges' share of the rows, to the accuracy of
+    the draw. `partitions` is the number of ranges, by default that of shuffle
+    partitions; the bounds, one less, are what is broadcast, and DRAWN keys a range are
+    what the driver sees. Null is a group like any other.
     """
     n = partitions or shuffle_partitions(df.sparkSession)
-    key = F.struct(F.col(group).alias("g"))
-    placed = materialize(
-        df.repartitionByRange(n, group, *order).withColumn("_range", F.spark_partition_id() + 1), "ranges"
+    bounds = _bounds(df.select(group, *order), n)
+    of_group = {g: [b[1:] for b in found] for g, found in groupby(bounds, key=lambda b: b[0])}
+    several = {g: found for g, found in of_group.items() if len(found) > 1}
+    kinds = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order])
+    cut = df.sparkSession.createDataFrame(
+        [(g, found[:: _width(found)], found, _width(found)) for g, found in several.items()],
+        T.StructType([
+            T.StructField("_group", df.schema[group].dataType), T.StructField("_heads", T.ArrayType(kinds)),
+            T.StructField("_bounds", T.ArrayType(kinds)), T.StructField("_width", T.IntegerType()),
+        ]),
+    )
+    cuts = df.sparkSession.createDataFrame(
+        [(g, chunk) for g, found in several.items() for chunk in range(1, len(found) + 2)],
+        T.StructType([T.StructField(group, df.schema[group].dataType), T.StructField("chunk", T.IntegerType())]),
     )
-    ends = placed.groupBy("_range").agg(F.array(F.min(key), F.max(key)).alias("e"))
-    ends = ends.select("_range", F.explode("e").alias("e")).distinct()
-    several = ends.groupBy("e").agg(F.collect_list("_range").alias("r")).where(F.size("r") > 1)
-    cuts = materialize(several.select(F.col("e.g").alias(group), F.explode("r").alias("chunk")), "cuts")
-    cut = cuts.select(F.col(group).alias("_group"), "chunk")
-    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("chunk"))
-    rows = placed.join(F.broadcast(cut), same, "left").withColumn("chunk", F.coalesce("chunk", F.lit(0)))
-    return Chunked(rows.drop("_group", "_range"), group, cuts)
+    key = F.struct(*order)
+    # Bounds up to the row: first whole blocks of them by their heads, then inside one block.
+    block = F.size(F.filter("_heads", lambda b: b <= key))
+    before = F.greatest(block - 1, F.lit(0)) * F.col("_width")
+    inside = F.size(F.filter(F.slice("_bounds", before + 1, F.col("_width")), lambda b: b <= key))
+    chunk = F.when(F.col("_width").isNull(), 0).otherwise(before + inside + 1)
+    rows = df.join(F.broadcast(cut), F.col(group).eqNullSafe(F.col("_group")), "left").withColumn("chunk", chunk)
+    return Chunked(rows.select(*df.columns, "chunk"), group, cuts)
+
+
+def _width(found: list) -> int:
+    return math.isqrt(len(found)) + 1
+
+
+def _bounds(keys: DataFrame, n: int) -> list[tuple]:
+    """Quantiles of the keys, in Spark's order (nulls first)."""
+    total = keys.count()
+    if n < 2 or not total:
+        return []
+    drawn = keys.sample(min(1.0, DRAWN * n / total), seed=17).collect()
+    ordered = sorted(map(tuple, drawn), key=lambda k: [(x is not None, x) if x is not None else (False,) for x in k])
+    return [ordered[len(ordered) * k // n] for k in range(1, n)] if len(ordered) >= n else []
 
 
 def with_previous(

@@ -16,6 +16,8 @@ that is too large for a task (see `operators.chunks`).
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -52,7 +54,8 @@ def reconcile(
         F.col("last_error").alias("_error0"),
         ids.hours_after(F.col("webhook_submitted_at"), timeout_hours).alias("_deadline"),
     )
-    chunked = cut_hot_groups(with_outcome(responses), "event_id", ORDER, **cutting)
+    chunked = cut_hot_groups(responses, "event_id", ORDER, **cutting)
+    chunked = replace(chunked, rows=with_outcome(chunked.rows, "chunk"))
     start = _carried(chunked, chunked.spread(pool))
     keys = ["event_id", "chunk"]
     rows = chunked.rows.join(start, keys)

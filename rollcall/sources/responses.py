@@ -28,13 +28,15 @@ def stream_responses(
     return reader.load(path)
 
 
-def with_outcome(responses: DataFrame) -> DataFrame:
-    """Narrow rows for folding: the meaning of each response, without its body."""
+def with_outcome(responses: DataFrame, *keep: str) -> DataFrame:
+    """Narrow rows for folding: the meaning of each response, without its body, and the
+    columns to keep."""
     meaning = response_outcome(F.col("status"), F.col("body"), F.col("delivery_failed"))
-    return responses.select("event_id", "ts", "seq", meaning.alias("o")).select(
+    return responses.select("event_id", "ts", "seq", *keep, meaning.alias("o")).select(
         "event_id",
         "ts",
         "seq",
+        *keep,
         F.col("o.state").alias("st"),
         F.col("o.attempts_added").alias("inc"),
         F.col("o.error").alias("err"),

@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall import settings as S
@@ -100,6 +100,14 @@ def table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema) if found is None else found
 
 
+def write_counting(df: DataFrame, path: str, **counts: Column) -> dict:
+    """Write a table, replacing it, and return aggregates observed on the way: nothing is
+    read again for them."""
+    seen = Observation()
+    df.observe(seen, *[c.alias(name) for name, c in counts.items()]).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
 class StateLog:
     """Reader and writer of one state root."""
 
@@ -176,10 +184,11 @@ class StateLog:
         return generation
 
     # ---- log --------------------------------------------------------------------
-    def append(self, rows: DataFrame, writer: str, batch: int) -> None:
-        """Append images as one batch of one writer; repeating it replaces it."""
+    def append(self, rows: DataFrame, writer: str, batch: int, **counts: Column) -> dict[str, int]:
+        """Append images as one batch of one writer; repeating it replaces it. Returns the
+        number of `rows` and the given aggregates of them, counted while they are written."""
         path = f"{self._log_path(self.generation)}/writer={writer}/batch={batch}"
-        rows.select(*LOG_COLUMNS).write.mode("overwrite").parquet(path)
+        return write_counting(rows.select(*LOG_COLUMNS), path, rows=F.count("*"), **counts)
 
     def next_batch(self, writer: str) -> int:
         rows = self.log().where(F.col("writer") == writer)
@@ -204,12 +213,28 @@ class StateLog:
         """
         generation, facts = self._facts_now()
         snapshot = facts.get("snapshot")
-        rows = self._uncovered(generation, snapshot)
-        if before is not None:
-            writer, batch = before
-            rows = rows.where((F.col("writer") != writer) | (F.col("batch") < batch))
+        rows = self._before(self._uncovered(generation, snapshot), before)
         return self._latest(rows, snapshot, columns)
 
+    @staticmethod
+    def _before(rows: DataFrame, before: tuple[str, int] | None) -> DataFrame:
+        if before is None:
+            return rows
+        writer, batch = before
+        return rows.where((F.col("writer") != writer) | (F.col("batch") < batch))
+
+    def current_images(self, found: DataFrame, *, before: tuple[str, int] | None = None) -> DataFrame:
+        """Whole images by event, time and sequence number, as `current` (narrow) has named
+        them: the wide columns are read for these alone and are not shuffled to find them."""
+        generation, facts = self._facts_now()
+        snapshot = facts.get("snapshot")
+        rows = self._held(self._before(self._uncovered(generation, snapshot), before), snapshot)
+        keys = found.select(*[F.col(c).alias(f"_{c}") for c in ("event_id", *LOG_ORDER)])
+        same = F.lit(True)
+        for c in ("event_id", *LOG_ORDER):
+            same = same & (rows[c] == keys[f"_{c}"])
+        return rows.join(keys, same, "left_semi")
+
     def _uncovered(self, generation: int, snapshot) -> DataFrame:
         """Images the snapshot does not hold; whole directories are left out."""
         rows = self.log(generation)
@@ -217,11 +242,15 @@ class StateLog:
             rows = rows.where((F.col("writer") != writer) | (F.col("batch") > batch))
         return rows
 
-    def _latest(self, rows: DataFrame, snapshot, columns: list[str] | None = None) -> DataFrame:
+    def _held(self, rows: DataFrame, snapshot) -> DataFrame:
+        """The given images and those of the snapshot."""
         rows = rows.select(*LOG_COLUMNS)
         if snapshot is not None:
             rows = rows.unionByName(self.spark.read.schema(LOG_SCHEMA).parquet(snapshot["path"]))
-        return current_state(rows, columns)
+        return rows
+
+    def _latest(self, rows: DataFrame, snapshot, columns: list[str] | None = None) -> DataFrame:
+        return current_state(self._held(rows, snapshot), columns)
 
     # ---- compaction -------------------------------------------------------------
     def compact(self, as_of) -> None:

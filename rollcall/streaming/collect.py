@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,11 +28,13 @@ from rollcall.operators.latest import latest_per_key
 from rollcall.plans.reconcile import reconcile, reconciled_images
 from rollcall.plans.transitions import overdue, pending_remaining, polled, timeout_message
 from rollcall.sources.responses import RESPONSE_SCHEMA
-from rollcall.sources.statelog import LOG_COLUMNS, StateLog, table_or_empty
+from rollcall.sources.statelog import LOG_COLUMNS, LOG_ORDER, StateLog, table_or_empty, table_or_none, write_counting
 
 WRITER = "collect"
 DELIVERY = ["ts", "status", "body", "delivery_failed"]
 BASE_COLUMNS = ["event_id", "state", "attempts", "last_error", "webhook_submitted_at"]
+NARROW = [*BASE_COLUMNS, "last_attempt_at", *LOG_ORDER]
+CLOCK_SCHEMA = "newest timestamp_ntz"
 BASE_SCHEMA = (
     "event_id string, state string, attempts int, last_error string, "
     "webhook_submitted_at timestamp_ntz, batch bigint"
@@ -87,10 +89,13 @@ class Collector:
         self.drained = False
 
     # ---- tables kept next to the log ------------------------------------------
-    def _save(self, df: DataFrame, table: str, batch: int) -> DataFrame:
-        path = f"{self.history}/{table}/batch={batch}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+    def _path(self, table: str, batch: int) -> str:
+        return f"{self.history}/{table}/batch={batch}"
+
+    def _save(self, df: DataFrame, table: str, batch: int, **counts) -> tuple[DataFrame, dict]:
+        """Write a table of this batch; it as written, and aggregates observed on the way."""
+        seen = write_counting(df, self._path(table, batch), rows=F.count("*"), **counts)
+        return self.spark.read.schema(df.schema).parquet(self._path(table, batch)), seen
 
     def _saved(self, table: str, schema: str) -> DataFrame:
         """All batches of a table; none yet is an empty one."""
@@ -98,62 +103,96 @@ class Collector:
 
     # ---- one micro-batch ---------------------------------------------------------
     def apply(self, responses: DataFrame, batch: int) -> None:
-        fresh = self._save(first_delivery(responses), "responses", batch)
-        clock = self._clock(fresh, batch)
+        """What a batch reads: its own responses, the narrow columns of the current state,
+        the whole images of the events it changes, and the recorded starts of those. Only
+        events that an older response reaches read the history of responses."""
+        fresh, seen = self._save(first_delivery(responses), "responses", batch, newest=F.max("ts"))
+        clock = self._clock(seen.get("newest"), batch)
         if clock is None:
             return
-        # The state rows this batch can change: those polled, those heard from. The
-        # current state is worked out once, every later step reads this table.
-        spans = fresh.groupBy("event_id").agg(F.min("ts").alias("_oldest"))
-        current = self.log.current(before=(WRITER, batch)).join(spans, "event_id", "left")
-        heard, open_ = F.col("_oldest").isNotNull(), polled(self.max_attempts)
-        active = self._save(current.where(heard | open_), "active", batch)
-
         late = overdue(clock, self.timeout_hours)
-        known = self._started(active.where(open_ & (heard | late)), batch)
-        changed = self._fold(active, fresh, known, batch, clock)
-        silent = active.where(~heard & open_ & late)
-        images = self._swept(changed, clock).unionByName(self._swept(silent, clock, stamp=True))
-        self.log.append(images, WRITER, batch)
+        heard, open_ = F.col("_oldest").isNotNull(), polled(self.max_attempts)
+        spans = fresh.groupBy("event_id").agg(F.min("ts").alias("_oldest"))
+        current = self.log.current(NARROW, before=(WRITER, batch)).join(spans, "event_id", "left")
+        watched, before = Observation(), None
+        if self.watch:
+            current = current.observe(watched, F.count_if(open_).alias("open"))
+        disordered = F.coalesce(F.col("_oldest") <= F.col("last_attempt_at"), F.lit(False))
+        touched, counts = self._save(
+            current.where(heard | (open_ & late)), "touched", batch,
+            open=F.count_if(open_), disordered=F.count_if(disordered),
+        )
+        if self.watch:
+            before = watched.get["open"] - counts["open"]
+        changed, silent = touched.where(heard), touched.where(~heard)
+        known = self._started(touched.where(open_), batch)
+        wide = self.log.current_images(touched, before=(WRITER, batch))
+        folded = self._fold(changed, fresh, known if counts["disordered"] else None, batch)
+        images = self._swept(reconciled_images(wide, folded, clock), clock)
+        timed_out = wide.join(silent.select("event_id"), "event_id", "left_semi")
+        images = images.unionByName(self._swept(timed_out, clock, stamp=True))
+        written = self.log.append(images, WRITER, batch, open=F.count_if(open_))
         if self.compact_every and batch and batch % self.compact_every == 0:
             self.log.compact(clock)
+            self._roll_starts(batch)
         if self.watch:
-            self.drained = self.remaining() == 0
-
-    def _clock(self, fresh: DataFrame, batch: int):
-        """Newest response of this batch and all earlier ones."""
-        self._save(fresh.agg(F.max("ts").alias("newest")), "clock", batch)
-        clocks = self._saved("clock", "newest timestamp_ntz, batch bigint")
-        return clocks.where(F.col("batch") <= batch).agg(F.max("newest")).first()[0]
+            self.drained = before + written["open"] == 0
+
+    def _clock(self, newest, batch: int):
+        """Newest response of this batch and all earlier ones: that of the batch before is
+        read, not those of all."""
+        last = table_or_none(self.spark, self._path("clock", batch - 1), CLOCK_SCHEMA)
+        if last is None:
+            last = self._saved("clock", CLOCK_SCHEMA + ", batch bigint").where(F.col("batch") < batch)
+        known = last.agg(F.max("newest")).first()[0]
+        clock = max((t for t in (known, newest) if t is not None), default=None)
+        row = self.spark.createDataFrame([(clock,)], CLOCK_SCHEMA).coalesce(1)
+        row.write.mode("overwrite").parquet(self._path("clock", batch))
+        return clock
 
     def _started(self, rows: DataFrame, batch: int) -> DataFrame | None:
         """Record where polling of the given rows starts, unless that is recorded
         already: it is needed to fold an event again. Returns the earlier records."""
         rows, known = rows.select(*BASE_COLUMNS), None
         if batch > 0:
-            known = self._saved("base", BASE_SCHEMA).where(F.col("batch") < batch)
+            known = self._starts(batch)
             keys = known.select("event_id", "webhook_submitted_at")
             same_start = rows.webhook_submitted_at.eqNullSafe(keys.webhook_submitted_at)
             rows = rows.join(keys, (rows.event_id == keys.event_id) & same_start, "left_anti")
-        self._save(rows, "base", batch)
+        rows.write.mode("overwrite").parquet(self._path("base", batch))
         return known
 
-    def _fold(self, active, fresh, known, batch, clock) -> DataFrame:
+    def _starts(self, batch: int) -> DataFrame:
+        """Recorded starts before a batch: the table they were last rolled into, and what
+        has been recorded since."""
+        rolled = self._saved("base-rolled", BASE_SCHEMA + ", rolled bigint").where(F.col("rolled") < batch)
+        last = rolled.agg(F.max("rolled")).first()[0]
+        since = self._saved("base", BASE_SCHEMA).where(F.col("batch") < batch)
+        if last is None:
+            return since
+        return since.where(F.col("batch") > last).unionByName(rolled.where(F.col("rolled") == last).drop("rolled"))
+
+    def _roll_starts(self, batch: int) -> None:
+        """All starts up to a batch in one table. That of a batch that is repeated is
+        replaced, and readers of that batch do not look at it."""
+        self._starts(batch + 1).write.mode("overwrite").parquet(f"{self.history}/base-rolled/rolled={batch}")
+
+    def _fold(self, changed: DataFrame, fresh: DataFrame, known: DataFrame | None, batch: int) -> DataFrame:
+        """Results of the events heard from; `known` is None where all came in order."""
         limits = {"max_attempts": self.max_attempts, "timeout_hours": self.timeout_hours}
         if known is None:
-            return reconciled_images(active, reconcile(active, fresh, **limits), clock)
-        disordered = active.where(F.col("_oldest") <= F.col("last_attempt_at")).select("event_id")
+            return reconcile(changed, fresh, **limits)
+        disordered = changed.where(F.col("_oldest") <= F.col("last_attempt_at")).select("event_id")
         again = latest_per_key(known, "event_id", ["batch"]).join(disordered, "event_id")
-        again = again.withColumnRenamed("batch", "_since")
-        since = again.agg(F.min("_since")).first()[0]
-        if since is None:
-            return reconciled_images(active, reconcile(active, fresh, **limits), clock)
-        again = self._save(again, "again", batch)
+        again, counts = self._save(again.withColumnRenamed("batch", "_since"), "again", batch, since=F.min("_since"))
+        if not counts["rows"]:
+            return reconcile(changed, fresh, **limits)
         in_order = fresh.join(again.select("event_id"), "event_id", "left_anti")
         history = self._saved("responses", RESPONSE_SCHEMA + ", batch bigint")
         # Repeats are dropped by (event, seq) before the rows meet by event: a hot
         # event is then never gathered in one task.
-        history = history.where(F.col("batch").between(since, batch))
+        history = history.where(F.col("batch").between(counts["since"], batch))
+        history = history.join(again.select("event_id"), "event_id", "left_semi")
         delivery = F.min(F.struct("batch", *DELIVERY))
         once = history.groupBy("event_id", "seq").agg(delivery.alias("d")).select(
             "event_id", "seq", "d.*"
@@ -161,8 +200,11 @@ class Collector:
         whole = once.join(again.select("event_id", "_since"), "event_id").where(
             F.col("batch") >= F.col("_since")
         ).drop("_since", "batch")
-        folded = reconcile(active, in_order, **limits).unionByName(reconcile(again, whole, **limits))
-        return reconciled_images(active, folded, clock)
+        # An event starts from its recorded start with its whole history, or from where it
+        # is with what is new: either way one row and its responses in order.
+        rest = changed.join(again.select("event_id"), "event_id", "left_anti")
+        starts = rest.select(*BASE_COLUMNS).unionByName(again.select(*BASE_COLUMNS))
+        return reconcile(starts, in_order.unionByName(whole.select(*in_order.columns)), **limits)
 
     def _swept(self, rows: DataFrame, clock, *, stamp: bool = False) -> DataFrame:
         """Time out overdue rows among images; `stamp` makes images of state rows."""
