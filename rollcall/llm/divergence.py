@@ -18,15 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rollcall.llm.tiles import Spans, text_chunks
+from rollcall.llm.tiles import taken, text_chunks
 from rollcall.operators.scratch import materialize
 
 #: Shares are counted in billionths.
 UNIT = 1_000_000_000
 #: Bytes of the prefixes that are counted, before whole terms are.
-LEVELS = (4, 12, 36)
+LEVELS = (3, 8)
 #: Bytes of text, bytes of documents' terms, and pairs of sources, that a task works out together.
-CHUNK_BYTES, CHUNK_TERMS, PAIRS = 2 << 20, 12 << 20, 1 << 20
+CHUNK_BYTES, CHUNK_TERMS, PAIRS = 4 << 20, 12 << 20, 1 << 20
 #: The filter of surviving prefixes has so many bits for each, and at most MOST_BITS (16 MB).
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 15, 1 << 27
 #: Parts into which what belongs to one language is dealt where sources meet each other.
@@ -56,8 +56,9 @@ def document_terms(texts: list[bytes]) -> tuple[pa.BinaryArray, pa.BinaryArray]:
     rank[order] = np.arange(len(order))
     both, times = np.unique((document << 32) | rank[words.indices.to_numpy()], return_counts=True)
     lists = np.searchsorted(both >> 32, np.arange(len(texts) + 1))
-    lines = Spans([t + b"\n" for t in words.dictionary.take(pa.array(order)).to_pylist()])
-    flat, at = lines.take(both & 0xFFFFFFFF)
+    lines = pc.binary_join_element_wise(words.dictionary.take(pa.array(order)), pa.scalar(b"", pa.binary()), b"\n")
+    ends = np.frombuffer(lines.buffers()[1], np.int32)[: len(lines) + 1].astype(np.int64)
+    flat, at = taken(np.frombuffer(lines.buffers()[2] or b"", np.uint8), ends[:-1], np.diff(ends), both & 0xFFFFFFFF)
     return _binary(at[lists].astype(np.int32), flat), _binary((4 * lists).astype(np.int32), times.astype("<u4"))
 
 
@@ -174,48 +175,69 @@ class Filter:
 
 
 # ---- refinement ------------------------------------------------------------------------------
-def kept_terms(terms: DataFrame, threshold: int, levels: Sequence[int] = LEVELS) -> tuple[DataFrame, int]:
-    """(key): the terms in at least `threshold` documents of their language, and how many
-    there are. `terms` is a written table (lang, source, terms, times).
+def surviving(terms: DataFrame, threshold: int, levels: Sequence[int] = LEVELS) -> Filter | None:
+    """What may be a term of at least `threshold` documents of its language: a filter of
+    the whole terms up to the last length, and of the prefixes of longer ones. `terms` is
+    a written table (lang, source, terms, times).
 
     At each length a term that is longer counts for its prefix, one that ends for itself,
     both once a document; the next length looks only at longer terms whose prefix has
-    survived. So a rare term is dropped with its first rare prefix and never counted as
-    a whole. Partial counts are summed per task before they are shuffled."""
-    kept, alive, before, total = None, None, 0, 0
-    for length in (*levels, None):
-        counted = terms.select("lang", "terms").mapInArrow(_counted(before, length, alive), "key binary, docs long")
+    survived. So a rare term is dropped with its first rare prefix and not counted at
+    any later length. Partial counts are summed per task before they are shuffled."""
+    kept, found, total, before = None, None, 0, 0
+    for length in levels:
+        counted = terms.select("lang", "terms").mapInArrow(_counted(before, length, found), "key binary, docs long")
         survivors = counted.groupBy("key").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= threshold)
         survivors = materialize(survivors.withColumn("done", F.expr("substring(key, 1, 1) = X'31'")), "prefixes")
-        done = survivors.where("done").select("key")
-        kept = done if kept is None else kept.unionByName(done)
         counts = {r["done"]: r["n"] for r in survivors.groupBy("done").agg(F.count("*").alias("n")).collect()}
         total += counts.get(True, 0)
+        done = survivors.where("done").select("key")
+        kept = done if kept is None else kept.unionByName(done)
+        found = Filter(kept.unionByName(survivors.where("NOT done").select("key")), total + counts.get(False, 0))
+        before = length
         if not counts.get(False):
             break
-        alive, before = Filter(survivors.where("NOT done"), counts[False]), length
-    return kept, total
+    return found
+
+
+class _Terms:
+    """The distinct (language, term) pairs of a chunk that a filter lets pass: all of them,
+    or the terms longer than `before` whose prefix of that length survives."""
+
+    def __init__(self, chunk: _Chunk, langs: list[bytes], lang: np.ndarray, before: int, alive: Filter | None, short: bool):
+        n = max(1, len(langs))
+        both, self.of_pair = _compact(chunk.term * n + lang, n * len(chunk.terms))
+        term, self.lang = both // n, both % n
+        sizes = pc.binary_length(chunk.terms).to_numpy(zero_copy_only=False)[term]
+        self.words = chunk.terms.take(pa.array(term))
+        self.passes = (sizes > before) | short
+        if alive is not None and before:
+            heads = pc.binary_slice(self.words, 0, before).dictionary_encode()
+            code = (heads.indices.to_numpy().astype(np.int64) * n + self.lang) * 2 + (sizes > before)
+            code[~self.passes] = -1
+            found, at = _compact(code + 1, 2 * n * len(heads.dictionary) + 1)
+            names = heads.dictionary.to_pylist()
+            keys = [
+                _key(OPEN if c % 2 else DONE, names[c // 2 // n], langs[c // 2 % n]) for c in (found - 1).tolist() if c >= 0
+            ]
+            hit = alive.may_hold(keys)
+            self.passes &= np.concatenate([np.zeros(len(found) - len(keys), bool), hit])[at]
+        self.sizes = sizes
 
 
-def _counted(before: int, length: int | None, alive: Filter | None):
+def _counted(before: int, length: int, alive: Filter | None):
     def work(batches):
         for chunk, _ in _chunks(batches, 1):
             langs = [x.encode() for x, in chunk.names]
-            sizes = pc.binary_length(chunk.terms).to_numpy(zero_copy_only=False)[chunk.term]
-            longer = np.flatnonzero(sizes > before)
-            words, group = chunk.terms.take(pa.array(chunk.term[longer])), chunk.group[longer]
-            if alive is not None:
-                parts = pc.binary_slice(words, 0, before).to_pylist()
-                hit = alive.may_hold([_key(OPEN, part, langs[g]) for part, g in zip(parts, group.tolist())])
-                longer, words, group = longer[hit], words.filter(pa.array(hit)), group[hit]
-            done = np.ones(len(longer), bool) if length is None else sizes[longer] <= length
-            parts = (words if length is None else pc.binary_slice(words, 0, length)).dictionary_encode()
-            n = max(1, len(langs))
-            code = (parts.indices.to_numpy().astype(np.int64) * 2 + done) * n + group
+            own = _Terms(chunk, langs, chunk.group, before, alive, False)
+            longer = np.flatnonzero(own.passes)
+            done, n = own.sizes[longer] <= length, max(1, len(langs))
+            parts = pc.binary_slice(own.words.take(pa.array(longer)), 0, length).dictionary_encode()
+            code = (parts.indices.to_numpy().astype(np.int64) * 2 + done) * n + own.lang[longer]
             found, of_pair = _compact(code, 2 * n * len(parts.dictionary))
-            key = np.full(len(chunk.term), -1, np.int64)
+            key = np.full(len(own.passes), -1, np.int64)
             key[longer] = of_pair
-            of_item = key[chunk.pair]
+            of_item = key[own.of_pair][chunk.pair]
             chosen = of_item >= 0
             of_item, document = of_item[chosen], chunk.document[chosen]
             # A document's terms are in order, so those of one prefix are neighbours.
@@ -223,36 +245,40 @@ def _counted(before: int, length: int | None, alive: Filter | None):
             once[1:] = (of_item[1:] != of_item[:-1]) | (document[1:] != document[:-1])
             docs = np.bincount(of_item[once], minlength=len(found)).astype(np.int64)
             names = parts.dictionary.to_pylist()
-            keys = [
-                _key(DONE if x // n % 2 else OPEN, names[x // n // 2], langs[x % n]) for x in found.tolist()
-            ]
+            keys = [_key(DONE if x // n % 2 else OPEN, names[x // n // 2], langs[x % n]) for x in found.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(docs)], ["key", "docs"])
 
     return work
 
 
-def term_counts(terms: DataFrame, kept: DataFrame, n_kept: int, threshold: int) -> DataFrame:
-    """(lang, part, source, n, first): how often each kept term occurs in each source;
-    `first` marks one row of each term. What may be kept is summed per chunk, and its
-    documents once more, which tells those that are not kept from those that are: the
-    kept terms need not be joined. One exchange, by term."""
-    may = Filter(kept, n_kept)
+def term_counts(
+    terms: DataFrame, threshold: int, levels: Sequence[int] = LEVELS
+) -> DataFrame:
+    """(lang, part, source, n, first): how often each term that at least `threshold`
+    documents of its language hold occurs in each source; `first` marks one row a term.
+
+    The last refinement, of complete terms: those that the prefixes leave are counted by
+    document and by occurrence in one pass, and those with too few documents dropped. A
+    document has one source, so documents add up over sources. One exchange, by term."""
+    may = surviving(terms, threshold, levels)
+    last = levels[-1] if levels else 0
 
     def work(batches):
         for chunk, table in _chunks(batches, 2):
-            langs = [x.encode() for x, _ in chunk.names]
-            words = chunk.terms.take(pa.array(chunk.term)).to_pylist()
-            keys = [_key(DONE, word, langs[g]) for word, g in zip(words, chunk.group.tolist())]
-            hit = may.may_hold(keys)
+            langs = sorted({x for x, _ in chunk.names})
+            of_group = np.array([langs.index(x) for x, _ in chunk.names], np.int64)
+            own = _Terms(chunk, [x.encode() for x in langs], of_group[chunk.group], last, may, True)
+            names = [x.encode() for x in langs]
+            keys = pa.array([_key(b"", w, names[g]) for w, g in zip(own.words.to_pylist(), own.lang.tolist())], pa.binary())
             times = np.frombuffer(b"".join(table.column(3).to_pylist()), "<u4").astype(np.int64)
-            n = np.zeros(len(keys), np.int64)
+            n = np.zeros(len(chunk.term), np.int64)
             np.add.at(n, chunk.pair, times)
-            docs = np.bincount(chunk.pair, minlength=len(keys)).astype(np.int64)
-            chosen = np.flatnonzero(hit).tolist()
+            docs = np.bincount(chunk.pair, minlength=len(n)).astype(np.int64)
+            hit = own.passes[own.of_pair]
+            sources = pa.array([x for _, x in chunk.names], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([keys[k] for k in chosen], pa.binary()),
-                    pa.array([chunk.names[g][1] for g in chunk.group[hit].tolist()], pa.string()),
+                    keys.take(pa.array(own.of_pair[hit])), sources.take(pa.array(chunk.group[hit])),
                     pa.array(n[hit]), pa.array(docs[hit]),
                 ],
                 ["key", "source", "n", "docs"],
@@ -260,14 +286,14 @@ def term_counts(terms: DataFrame, kept: DataFrame, n_kept: int, threshold: int)
 
     found = terms.mapInArrow(work, "key binary, source string, n long, docs long").repartition("key")
     summed = found.groupBy("key", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    of_term = W.partitionBy("key")
-    counted = summed.withColumns({
-        "all": F.sum("docs").over(of_term), "first": F.row_number().over(of_term.orderBy("source")) == 1
-    }).where(F.col("all") >= threshold)
-    text = F.decode(F.substring("key", 2, 1 << 30), "UTF-8")
+    of_term = summed.groupBy("key").agg(
+        F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("here")
+    ).where(F.col("docs") >= threshold)
+    text = F.decode("key", "UTF-8")
     part = F.substring_index(text, "\n", 1)
     lang = F.substr(text, (F.char_length(part) + 2).cast("int"))
-    return counted.select(lang.alias("lang"), part.alias("part"), "source", "n", "first")
+    each = of_term.select(lang.alias("lang"), part.alias("part"), F.posexplode("here").alias("place", "x"))
+    return each.select("lang", "part", "x.source", "x.n", (F.col("place") == 0).alias("first"))
 
 
 # ---- divergence -------------------------------------------------------------------------------
@@ -312,8 +338,7 @@ def audit(
         F.coalesce(F.col(text_col), blank).cast("binary").alias("text"),
     )
     terms = materialize(rows.mapInArrow(_write_terms, _TERMS), "terms")
-    kept, n_kept = kept_terms(terms, threshold, levels)
-    counts = materialize(term_counts(terms, kept, n_kept, threshold), "term-counts")
+    counts = materialize(term_counts(terms, threshold, levels), "term-counts")
 
     of_lang = counts.where("first").groupBy("lang").agg(F.count("*").alias("v"))
     sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))

@@ -53,9 +53,9 @@ def test_kept_terms(spark, levels, most, monkeypatch):
     terms = materialize(
         rows.mapInArrow(divergence._write_terms, divergence._TERMS), "t"
     )
-    kept, n = divergence.kept_terms(terms, 3, levels)
-    found = [tuple(bytes(r.key)[1:].decode().split("\n")[::-1]) for r in kept.collect()]
-    assert len(found) == n == len(set(found)) and set(found) == wanted
+    counts = divergence.term_counts(terms, 3, levels).collect()
+    found = [(r.lang, r.part) for r in counts if r.first]
+    assert len(found) == len(set(found)) and set(found) == {(r.lang, r.part) for r in counts} == wanted
 
 
 def test_refinement_discards(spark):
