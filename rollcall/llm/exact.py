@@ -43,7 +43,7 @@ def _hit(bits: Column, position: Column) -> Column:
 
 def exact_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 64,
-    digest_all: bool = False, carry: bool = False,
+    digest_all: bool = False,
 ) -> DataFrame:
     """One row per row of `docs`: id, points (code points of the text), digest (SHA-256
     of the squeezed text), keep_id, group_size, kept.
@@ -56,37 +56,70 @@ def exact_duplicates(
     join that brings its result back is one that adaptive execution splits.
 
     Of equal texts the one with most code points in the original, then the smallest
-    id, stays; null ids come last. Rows repeated under one id are counted each in
-    group_size and share one decision. An empty table gives an empty result; other
-    columns of `docs` are not looked at, but with `carry` the whole row goes along as
-    `doc`: then texts are hashed once more on the way out, instead of being written to
-    a table with their digests, and those of groups are shuffled.
+    id, stays; null ids come last. Exactly one row of a group stays: of rows that are
+    alike in both (repeated rows, null ids) the first as their hashes were written.
+    Rows repeated under one id are counted each in group_size. An empty table gives an
+    empty result; other columns of `docs` are not looked at.
     """
-    extra = ["doc"] * carry
-    whole = [F.struct("*").alias("doc")] if carry else []
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *whole)
-    text = squeezed(F.col("text"))
-    probe = [F.char_length(text).alias("n"), F.xxhash64(F.substring(text, 1, prefix_chars)).alias("p")]
-    filters = materialize(surviving_filter(rows.select(*probe)), "dedup-filter")
-
-    found = rows.select(
-        "id", *extra, F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("points"), text.alias("text"), *probe
-    ).withColumn("bucket", F.bitmap_bucket_number(_filter_bit()))
-    found = found.join(F.broadcast(filters), "bucket", "left").withColumn(
-        "again", _hit(F.col("bits"), F.bitmap_bit_position(_filter_bit()))
-    )
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = _found(rows, prefix_chars)
     wanted = F.lit(True) if digest_all else F.col("again")
-    digest = F.when(wanted, F.sha2("text", 256)).alias("digest")
-    hashed = materialize(found.select("id", "points", "again", digest), "dedup-hashed")
+    digest = F.when(wanted, F.sha2("squeezed", 256)).alias("digest")
+    hashed = found.select("id", "points", "again", digest, F.monotonically_increasing_id().alias("row"))
+    hashed = materialize(hashed, "dedup-hashed")
     again = hashed.where("again")
-    first = F.struct((-F.col("points")).alias("p"), F.col("id").isNull().alias("nothing"), F.col("id").alias("id"))
-    groups = again.groupBy("digest").agg(F.count("*").alias("group_size"), F.min(first)["id"].alias("keep_id"))
+    groups = again.groupBy("digest").agg(F.count("*").alias("group_size"), F.min(_first("row")).alias("first"))
     groups = materialize(groups, "dedup-groups")  # apart from the join, so that the join can be split
-    if carry:
-        hashed = found.select("id", "doc", "points", "again", digest)
-        again = hashed.where("again")
     alone = hashed.where("NOT again").select(
-        "id", *extra, "points", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
+        "id", "points", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")
+    )
+    together = again.join(groups, "digest").select(
+        "id", "points", "digest", F.col("first.id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept")
     )
-    together = again.join(groups, "digest").select("id", *extra, "points", "digest", "keep_id", "group_size")
-    return alone.unionByName(together).withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))
+    return alone.unionByName(together)
+
+
+def one_of_each(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 64
+) -> DataFrame:
+    """The rows of `docs` that stay, whole: of equal texts the one that exact_duplicates
+    names, of rows alike in its id and length any one.
+
+    Decided on narrow rows; texts of groups are hashed once more on the way out, instead
+    of being written with their digests, and only they are shuffled. Which rows are alike
+    is known from counts, so that nothing hangs on the order in which rows are read.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct("*").alias("doc"))
+    found = _found(rows, prefix_chars)
+    digest = F.sha2("squeezed", 256).alias("digest")
+    hashed = materialize(found.where("again").select("id", "points", digest), "dedup-hashed")
+    alike = hashed.groupBy("digest", "points", "id").agg(F.count("*").alias("alike"))
+    groups = materialize(alike.groupBy("digest").agg(F.min(_first("alike")).alias("first")), "dedup-groups")
+    again = found.where("again").select("id", "points", digest, "doc")
+    best = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("points") == -F.col("first.p"))
+    alone = found.where("NOT again").select("doc")
+    single = again.join(groups.where("first.alike = 1"), "digest").where(best).select("doc")
+    kept = alone.unionByName(single)
+    several = groups.where("first.alike > 1")
+    if not several.isEmpty():
+        one = again.join(several, "digest").where(best).groupBy("digest").agg(F.first("doc").alias("doc"))
+        kept = kept.unionByName(one.select("doc"))
+    return kept.select("doc.*")
+
+
+def _found(rows: DataFrame, prefix_chars: int) -> DataFrame:
+    """Rows with points, the squeezed text, and `again`, whether a text may occur twice."""
+    text = squeezed(F.col("text"))
+    probe = [F.char_length(text).alias("n"), F.xxhash64(F.substring(text, 1, prefix_chars)).alias("p")]
+    filters = materialize(surviving_filter(rows.select(*probe)), "dedup-filter")
+    own = [c for c in rows.columns if c != "text"]
+    points = F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("points")
+    found = rows.select(*own, points, text.alias("squeezed"), *probe).withColumn("bucket", F.bitmap_bucket_number(_filter_bit()))
+    return found.join(F.broadcast(filters), "bucket", "left").withColumn(
+        "again", _hit(F.col("bits"), F.bitmap_bit_position(_filter_bit()))
+    )
+
+
+def _first(last: str) -> Column:
+    """What orders the rows of a group; the column `last` comes after the contract's order."""
+    return F.struct((-F.col("points")).alias("p"), F.col("id").isNull().alias("nothing"), F.col("id").alias("id"), last)

@@ -249,32 +249,56 @@ def _link_batch(key, fps, home, bits) -> pa.RecordBatch:
 
 def near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, bits: int = 4,
-    anchor_rows: int = ANCHOR_ROWS, carry: bool = False,
+    anchor_rows: int = ANCHOR_ROWS,
 ) -> DataFrame:
     """One row per row of `docs`: id, fp (a signed long), component (the smallest id that
-    links lead to, its own included).
+    links lead to, its own included), kept.
 
     Rows of one fingerprint are one node from the start, whatever their number; the
     components are worked out over distinct fingerprints and joined back to narrow
     rows. A null text counts as empty and has fingerprint zero like any text without
     words. A null id links like others and is never a component's name unless all are
-    null. Repeated rows share a component; no rows, no result. With `carry` the whole row
-    goes along as `doc`: it is joined to the narrow result by id and text hash.
+    null. Repeated rows share a component; exactly one row of a component is kept, one
+    with the smallest id (of several the first as fingerprints were written). No rows,
+    no result.
     """
-    rows = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "fingerprints")
-    nodes = materialize(rows.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    return _decided(docs, id_col, text_col, shingle, bits, anchor_rows).select("id", "fp", "component", "kept")
+
+
+def _decided(docs, id_col, text_col, shingle, bits, anchor_rows) -> DataFrame:
+    rows = fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle)
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "fingerprints")
+    first = F.struct(F.col("id").isNull().alias("nothing"), "id", "row", "hash")
+    nodes = materialize(rows.groupBy("fp").agg(F.min(first).alias("least")), "nodes")
     roots = components(near_links(nodes, bits=bits, anchor_rows=anchor_rows))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     rooted = materialize(rooted, "rooted")
-    names = materialize(rooted.groupBy("root").agg(F.min("least").alias("component")), "names")
-    named = materialize(rooted.join(names, "root").select("fp", "component"), "named")
-    decided = rows.join(named, "fp").select("id", "hash", "fp", "component")
-    if not carry:
-        return decided.drop("hash")
+    names = materialize(rooted.groupBy("root").agg(F.min("least").alias("first")), "names")
+    named = materialize(rooted.join(names, "root").select("fp", "first"), "named")
+    return rows.join(named, "fp").select(
+        "id", "hash", "fp", F.col("first.id").alias("component"), (F.col("row") == F.col("first.row")).alias("kept")
+    )
+
+
+def one_of_each(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, bits: int = 4,
+    anchor_rows: int = ANCHOR_ROWS,
+) -> DataFrame:
+    """The rows of `docs` that stay, whole: one of each component, as near_duplicates keeps
+    them. Rows are found again by id and text hash; of rows alike in both any one stays,
+    which is decided by counts and not by the order in which rows are read."""
+    decided = materialize(_decided(docs, id_col, text_col, shingle, bits, anchor_rows), "decided")
+    alike = decided.groupBy("id", "hash").agg(F.count("*").alias("alike"), F.max("kept").alias("kept"))
+    wanted = materialize(alike.where("kept").select(F.col("id").alias("_id"), F.col("hash").alias("_hash"), "alike"), "wanted")
     whole = docs.select(
-        F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash")
+        F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash")
     )
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
-    return whole.join(decided.distinct(), same).select("id", "fp", "component", "doc")
+    kept = whole.join(wanted.where("alike = 1"), same, "left_semi").select("doc")
+    several = wanted.where("alike > 1")
+    if not several.isEmpty():
+        one = whole.join(several, same, "left_semi").groupBy("id", "hash").agg(F.first("doc").alias("doc"))
+        kept = kept.unionByName(one.select("doc"))
+    return kept.select("doc.*")
