@@ -162,8 +162,9 @@ class BytePairs:
 
     def counts_of(self, words: list[bytes]) -> list[bytes]:
         """Token counts of every prefix of each distinct word, byte by byte, as
-        little-endian unsigned 32-bit integers. A cut inside a special string counts
-        all of it; a cut contraction is an apostrophe and a letter."""
+        little-endian unsigned 32-bit integers. A special string counts one wherever it
+        is cut, as a word does not know what stands before it (tokencounts sees to that);
+        a cut contraction is an apostrophe and a letter."""
         known = self._counted
         new = [w for w in words if w not in known]
         if len(known) + len(new) > CACHE_WORDS:

@@ -2,9 +2,10 @@
 
 Words are marked (a space is written as the mark and begins a word), sorted and walked
 depth first as a trie: what has been worked out for a prefix serves every word that
-begins with it. The models in reach are of the BPE kind, where the best-scored path is
-not the encoding. So the forward state of a prefix is the last piece of its encoding,
-the one piece that ends it and fits what stands before, instead of a best score.
+begins with it. For a unigram model the forward state of a prefix is its best score and
+the last piece of the path that has it (Viterbi). For a BPE model the best-scored path
+is not the encoding, and the state is the one piece that ends the prefix's encoding and
+fits what stands before. Which it is, the model's file says; other kinds are refused.
 """
 
 from __future__ import annotations
@@ -34,9 +35,56 @@ def word_starts(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return starts | first
 
 
+#: Kinds of model and of piece, as the model's file numbers them (fixed values).
+UNIGRAM, BPE = 1, 2
+UNKNOWN_PIECE, CONTROL_PIECE, USER_PIECE, UNUSED_PIECE, BYTE_PIECE = 2, 3, 4, 5, 6
+#: How far below the least score of a piece an unknown character counts (fixed value).
+UNKNOWN_PENALTY = 10.0
+
+
+def _fields(data: bytes):
+    """(number, value) of a message's fields: integers, or bytes for what has a length."""
+
+    def varint(at: int) -> tuple[int, int]:
+        value = shift = 0
+        while True:
+            byte = data[at]
+            value |= (byte & 0x7F) << shift
+            at, shift = at + 1, shift + 7
+            if byte < 0x80:
+                return value, at
+
+    at = 0
+    while at < len(data):
+        tag, at = varint(at)
+        if tag & 7 == 0:
+            value, at = varint(at)
+        else:
+            size, at = {1: (8, at), 5: (4, at)}.get(tag & 7) or varint(at)
+            value, at = data[at : at + size], at + size
+        yield tag >> 3, value
+
+
+def model_kind(data: bytes) -> tuple[int, set[int]]:
+    """The kind of a model, and the kinds of pieces it has, from its file."""
+    kind, pieces = UNIGRAM, set()
+    for number, value in _fields(data):
+        if number == 1:
+            pieces.add(dict(_fields(value)).get(3, 1))
+        elif number == 2:
+            kind = dict(_fields(value)).get(3, UNIGRAM)
+    return kind, pieces
+
+
 class Pieces:
     def __init__(self, path: str):
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        with open(path, "rb") as file:
+            data = file.read()
+        self.kind, kinds = model_kind(data)
+        if self.kind not in (UNIGRAM, BPE) or USER_PIECE in kinds:
+            raise ValueError("only unigram and BPE models without pieces of the user's are supported")
+        model = sentencepiece.SentencePieceProcessor(model_proto=data)
+        self.unknown = model.unk_id()
         self.score: dict[str, float] = {}
         self.ids: dict[str, int] = {}
         self.byte: list[int] = [0] * 256
@@ -58,6 +106,8 @@ class Pieces:
             if len(piece) > 1:
                 tails.setdefault(piece[-2:], set()).add(len(piece))
         self.tails = {k: (*sorted(v, reverse=True), 1) for k, v in tails.items()}
+        self.no_piece = min(self.score.values(), default=0.0) - UNKNOWN_PENALTY
+        self.spelled = BYTE_PIECE in kinds
         self._fits: dict[tuple[str, str], bool] = {}
         self._known: dict[bytes, bytes] = {}
 
@@ -81,6 +131,41 @@ class Pieces:
 
     def walk(self, words: list[str]):
         """For sorted words, the last piece of every prefix; the list is reused."""
+        return self._best_paths(words) if self.kind == UNIGRAM else self._merges(words)
+
+    def _best_paths(self, words: list[str]):
+        """By best score: of paths alike the one whose last piece is longest. Sums of the
+        model's single-precision scores are exact here; the library rounds them as it goes
+        along a text, so of paths with one score it may take another."""
+        score, tails = self.score, self.tails
+        last, best, before = [""], [0.0], ""
+        for word in words:
+            same = 0
+            for a, b in zip(word, before):
+                if a != b:
+                    break
+                same += 1
+            del last[same + 1 :], best[same + 1 :]
+            before = word
+            for end in range(same + 1, len(word) + 1):
+                found, piece = None, ""
+                for size in tails.get(word[end - 2 : end], (1,)) if end > 1 else (1,):
+                    if size > end:
+                        continue
+                    t = word[end - size : end]
+                    own = score.get(t)
+                    if own is None:
+                        if size > 1:
+                            continue
+                        own = self.no_piece
+                    total = best[end - size] + own
+                    if found is None or total > found:
+                        found, piece = total, t
+                last.append(piece)
+                best.append(found)
+            yield last
+
+    def _merges(self, words: list[str]):
         ids, tails, fits = self.ids, self.tails, self._fits
         last, before = [""], ""
         for word in words:
@@ -122,8 +207,10 @@ class Pieces:
                 end -= len(piece)
                 if piece in self.ids:
                     out.append(self.ids[piece])
-                else:  # a character without a piece is spelled in bytes
+                elif self.spelled:  # a character without a piece is spelled in bytes
                     out += [self.byte[b] for b in reversed(piece.encode())]
+                elif not out or out[-1] != self.unknown:  # or is unknown, together with its neighbours
+                    out.append(self.unknown)
             known[word.encode()] = np.array(out[::-1], "<u4").tobytes()
         return [known[w] for w in words]
 
@@ -133,7 +220,11 @@ class Pieces:
         return tiled.expanded(self.ids_of(tiled.words), "<u4")
 
     def decoded(self, ids: np.ndarray, borders: np.ndarray) -> list[bytes]:
-        """Texts of ids; the space that encoding puts first is taken away."""
+        """Texts of ids; the space that encoding puts first is taken away. An id that the
+        model does not have is an error that names it."""
+        outside = ids[(ids < 0) | (ids >= len(self.data))]
+        if len(outside):
+            raise ValueError(f"the model has no piece {outside[0]}")
         data, at = gathered(self.data, ids, np.uint8)
         data, at = data.tobytes(), at[borders]
         return [data[a + (data[a : a + 1] == b" ") : b] for a, b in zip(at, at[1:])]
@@ -147,7 +238,8 @@ def load(path: str) -> Pieces:
 
 def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: id and the model's ids of the text, a null text having
-    none. A map over partitions; long texts are whole, words worked out once a chunk."""
+    none. A map over partitions; long texts are whole, words worked out once a chunk.
+    Repeated rows are repeated, null ids are ids like any other; no rows, no result."""
 
     def work(batches):
         pieces = load(path)

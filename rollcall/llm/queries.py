@@ -120,21 +120,26 @@ def op5(spark, folder):
              coalesce(n_repeat_words, 0) AS n_repeat_words
       FROM cut LEFT JOIN covered USING (doc_id)
     ), judged AS (
-      SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-             5 * n_symbols > word_chars OR 2 * n_dup_lines > n_lines OR 2 * n_capitals > word_chars
-             OR word_chars < 2 * n_words OR word_chars > 15 * n_words AS more_failed
+      SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
+             + 4 * (5 * n_symbols > word_chars)::BIGINT + 8 * (2 * n_dup_lines > n_lines)::BIGINT
+             + 16 * (2 * n_capitals > word_chars)::BIGINT + 32 * (word_chars < 2 * n_words)::BIGINT
+             + 64 * (word_chars > 15 * n_words)::BIGINT AS failures
       FROM measured
     )
-    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-           NOT base_failed AND NOT more_failed AS kept
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals,
+           failures & 3 > 0 AS base_failed, failures = 0 AS kept, failures,
+           count(*) OVER (PARTITION BY failures) AS pattern_rows,
+           CASE WHEN bit_count(failures) = 1 THEN count(*) OVER (PARTITION BY failures) ELSE 0 END AS kept_without
     FROM judged
     """,
 )
 def op6(spark, folder):
-    rows, _ = rules.written(table(spark, folder, "documents"), "2")  # the ablations stay as a table
-    return rows.select(
-        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        rules.rejected("base").alias("base_failed"), (~rules.rejected("2")).alias("kept"),
+    rows, _ = rules.written(table(spark, folder, "documents"), "2")  # per rule, they are a table as well
+    patterns = F.broadcast(rules.by_pattern(rows, "2"))  # at most a row per subset of the rules
+    return rows.join(patterns, "failures").select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",
+        "n_capitals", rules.rejected("base").alias("base_failed"), (~rules.rejected("2")).alias("kept"), "failures",
+        "pattern_rows", "kept_without",
     )
 
 

@@ -145,3 +145,16 @@ def ablations(rows: DataFrame, version: str) -> DataFrame:
         F.sum(F.when(F.col("r.only"), F.col("n")).otherwise(0)).alias("kept_without"),
         F.sum(F.when(F.col("kept"), F.col("n")).otherwise(0)).alias("kept"),
     )
+
+
+def by_pattern(rows: DataFrame, version: str) -> DataFrame:
+    """Ablation counts per pattern of failure bits, at most 2^rules rows (failures,
+    pattern_rows, kept_without): texts that fail just these rules and, where a policy
+    rejects them by one rule alone, the texts it would keep without that rule (else 0)."""
+    hit = F.col("failures").bitwiseAND(F.lit(mask(version)))
+    counts = rows.groupBy("failures").agg(F.count("*").alias("pattern_rows")).withColumn("hit", hit)
+    alone = (F.col("hit") != 0) & (F.col("hit").bitwiseAND(F.col("hit") - 1) == 0)
+    freed = counts.where(alone).groupBy("hit").agg(F.sum("pattern_rows").alias("kept_without"))
+    return counts.join(freed, "hit", "left").select(
+        "failures", "pattern_rows", F.coalesce("kept_without", F.lit(0).cast("long")).alias("kept_without")
+    )

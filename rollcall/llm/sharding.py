@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from rollcall.llm.numbering import place_in_group
 from rollcall.operators.scratch import materialize
 
-#: Small groups are scheduled in this many lots; a group larger than an even lot goes alone.
-LOTS = 1 << 16
+#: Small groups are scheduled in this many lots for each shard; a group larger than an
+#: even lot goes alone.
+LOTS = 1 << 12
 
 
 def least_loaded(sizes: list[tuple], shards: int) -> dict:
@@ -31,13 +32,16 @@ def shard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     Rows of equal text (null counts as empty) are a group and stay together; size is
     the text's UTF-8 bytes plus one. What the heap sees is bounded whatever the
-    input: a group larger than total / LOTS is an item of its own (fewer than LOTS
-    such groups exist), and all others go by hash into LOTS lots, one item each. So
-    at most 2 x LOTS pairs of key and size reach the driver, and the shards differ
-    by no more than about the largest item. slot numbers a shard's rows from 0.
-    A null id is an id like any other; an empty table gives no rows.
+    input: with L = LOTS x shards, a group larger than total / L is an item of its own
+    (fewer than L such groups exist), and all others go by hash into L lots, one item
+    each. So at most 2 x L pairs of key and size reach the driver, a shard has
+    thousands of items however many shards there are, and shards differ by no more than
+    about the largest item. Items of one size are taken in order of digest or lot, groups
+    of their own first. slot numbers a shard's rows from 0, repeated rows each of them,
+    in any order among rows alike. A null id is an id like any other; an empty table
+    gives no rows.
     """
-    spark = docs.sparkSession
+    spark, lots = docs.sparkSession, LOTS * shards
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = materialize(
         docs.select(
@@ -50,10 +54,10 @@ def shard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     )
     groups = materialize(rows.groupBy("digest").agg(F.sum("size").alias("size")), "shard-groups")
     total = groups.agg(F.sum("size")).first()[0] or 0
-    lot = F.pmod(F.xxhash64("digest"), F.lit(LOTS))
-    alone = groups.where(F.col("size") * LOTS > F.lit(total))
-    lots = groups.where(F.col("size") * LOTS <= F.lit(total)).groupBy(lot.alias("lot")).agg(F.sum("size").alias("size"))
-    items = [((0, r["digest"]), r["size"]) for r in alone.collect()] + [((1, r["lot"]), r["size"]) for r in lots.collect()]
+    lot = F.pmod(F.xxhash64("digest"), F.lit(lots))
+    alone = groups.where(F.col("size") * lots > F.lit(total))
+    dealt = groups.where(F.col("size") * lots <= F.lit(total)).groupBy(lot.alias("lot")).agg(F.sum("size").alias("size"))
+    items = [((0, r["digest"]), r["size"]) for r in alone.collect()] + [((1, r["lot"]), r["size"]) for r in dealt.collect()]
     chosen = least_loaded(items, shards)
     of_group = spark.createDataFrame(
         [(k[1], s) for k, s in chosen.items() if k[0] == 0], "digest string, group_shard int"

@@ -22,7 +22,7 @@ def token_index(
     `counts`: its k-th element is the token count of the first k code points.
 
     Counts are those of the library for the byte-level vocabulary at `path`, nothing
-    added, special strings in a text as one token (a cut inside one counts all of it).
+    added, special strings in a text as one token; a cut inside one makes it plain text.
     A null text counts as empty and has an empty table. A map over partitions,
     nothing is shuffled; distinct words are worked out once per chunk of bounded
     bytes, a longer text being a chunk of its own. The id column is a long; repeated
@@ -73,6 +73,7 @@ def _tables(tiled: Tiled, counts, last, pairs) -> pa.ListArray:
     of_run = dict(zip(distinct, [int.from_bytes(c[-4:], "little") for c in pairs.counts_of(distinct)]))
     for j, run in zip(after, runs):
         table[at[j] + len(heads[index[j]]) - 1] = before[j - 1] - of_text[j] + of_run[run]
+    _cut_specials(table, at, tiled, first, before, of_text, pairs)
     inside = gathered(tiled.words, index, np.uint8)[0] & 0xC0 == 0x80
     whole = np.ones(len(inside), bool)
     whole[:-1] = ~inside[1:]
@@ -80,6 +81,22 @@ def _tables(tiled: Tiled, counts, last, pairs) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(points.astype(np.int32)), pa.array(table[whole]))
 
 
+def _cut_specials(table, at, tiled: Tiled, first, before, of_text, pairs) -> None:
+    """A special string that is cut is plain text, and what stands before may run into it:
+    its prefixes are encoded together with the word before, if the text has one."""
+    whole = np.array([w in pairs.special for w in tiled.words], bool)
+    known: dict[tuple[bytes, bytes], list[int]] = {}
+    for j in np.flatnonzero(whole[tiled.index]).tolist():
+        mark = tiled.words[tiled.index[j]]
+        word, base = b"", before[j]
+        if j and not first[j] and not whole[tiled.index[j - 1]]:
+            word, base = tiled.words[tiled.index[j - 1]], before[j - 1]
+        if (word, mark) not in known:
+            cuts = [(word + mark[:k]).decode("utf-8", "ignore") for k in range(1, len(mark))]
+            known[word, mark] = [len(pairs.library.encode(t, allowed_special="all")) for t in cuts]
+        table[at[j] : at[j] + len(mark) - 1] = known[word, mark] + (base - of_text[j])
+
+
 def _first_point(word: bytes) -> bytes:
     """The bytes of a word's first code point."""
     size = 1
