@@ -4,16 +4,20 @@ Plain Parquet has no update: every change appends the whole new image of a row,
 and the current state is the latest image per event. Layout under one root:
 
     log/generation=G/writer=NAME/batch=N/   images appended by one batch
-    snapshot/generation=G/id=N/             compacted current state
+    snapshot/generation=G/id=N/             compacted current state, bucketed by event
     meta/                                   small facts: sources, phases, resets
 
 A batch directory is overwritten as a whole, so repeating a batch (a restarted
 streaming query) replaces its images instead of adding them twice.
+
+A snapshot is one of Spark's bucketed tables: whatever joins or groups it by event (what
+has been appended since, changes, responses, the roster) comes to where it lies.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -22,6 +26,7 @@ from pyspark.sql import functions as F
 from rollcall import settings as S
 from rollcall.functions.ids import moment
 from rollcall.operators.latest import latest_per_key
+from rollcall.operators.scratch import shuffle_partitions
 
 STATE_COLUMNS = [
     "row_position", "event_id", "drive_case", "transcript_file_id", "transcript_gcs_uri",
@@ -235,6 +240,18 @@ class StateLog:
             same = same & (rows[c] == keys[f"_{c}"])
         return rows.join(keys, same, "left_semi")
 
+    def current_of(self, events: DataFrame, columns: list[str] | None = None) -> DataFrame:
+        """The current images of some events (a column `event_id`). Snapshot and log are
+        reduced to them where they lie; only what is left is moved."""
+        generation, facts = self._facts_now()
+        snapshot, wanted = facts.get("snapshot"), events.select("event_id").distinct()
+        needed = list(dict.fromkeys(["event_id", *LOG_ORDER, *(columns or LOG_COLUMNS)]))
+        rows = self._uncovered(generation, snapshot).select(*needed).join(wanted, "event_id", "left_semi")
+        if snapshot is not None:
+            held = self._snapshot(snapshot).select(*needed).join(wanted, "event_id", "left_semi")
+            rows = rows.unionByName(held)
+        return current_state(rows).select(*(columns or LOG_COLUMNS))
+
     def _uncovered(self, generation: int, snapshot) -> DataFrame:
         """Images the snapshot does not hold; whole directories are left out."""
         rows = self.log(generation)
@@ -250,7 +267,24 @@ class StateLog:
         return rows
 
     def _latest(self, rows: DataFrame, snapshot, columns: list[str] | None = None) -> DataFrame:
-        return current_state(self._held(rows, snapshot), columns)
+        rows = rows.select(*LOG_COLUMNS)
+        if snapshot is None:
+            return current_state(rows, columns)
+        columns = columns or LOG_COLUMNS
+        needed = list(dict.fromkeys(["event_id", *LOG_ORDER, *columns]))
+        return newer_of(self._snapshot(snapshot).select(*needed), current_state(rows, needed)).select(*columns)
+
+    def _snapshot(self, fact) -> DataFrame:
+        """A snapshot as the bucketed table it was written as."""
+        name, buckets = _table_name(fact["path"]), fact["target"]
+        if not buckets:  # one that was written before snapshots were bucketed
+            return self.spark.read.schema(LOG_SCHEMA).parquet(fact["path"])
+        if not self.spark.catalog.tableExists(name):  # as in a session that did not write it
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({LOG_SCHEMA}) USING parquet "
+                f"CLUSTERED BY (event_id) SORTED BY (event_id) INTO {int(buckets)} BUCKETS LOCATION '{fact['path']}'"
+            )
+        return self.spark.table(name)
 
     # ---- compaction -------------------------------------------------------------
     def compact(self, as_of) -> None:
@@ -269,10 +303,28 @@ class StateLog:
         rows = self._uncovered(generation, last)
         for writer, batch in newest.items():
             rows = rows.where((F.col("writer") != writer) | (F.col("batch") < batch))
-        self._latest(rows, last).write.mode("overwrite").parquet(path)
+        buckets = shuffle_partitions(self.spark)
+        bucketed = self._latest(rows, last).write.format("parquet").bucketBy(buckets, "event_id").sortBy("event_id")
+        self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+        bucketed.option("path", path).mode("overwrite").saveAsTable(_table_name(path))
         covered = _covered(last) | {writer: batch - 1 for writer, batch in newest.items()}
         note = ",".join(f"{writer}={batch}" for writer, batch in sorted(covered.items()))
-        self._note(generation, "snapshot", as_of, path=path, rows=number, note=note)
+        self._note(generation, "snapshot", as_of, path=path, rows=number, target=str(buckets), note=note)
+
+
+def newer_of(held: DataFrame, tail: DataFrame) -> DataFrame:
+    """Per event the later of two images, of tables with one row per event and the same
+    columns. A join by event: the side that lies bucketed by it is not moved."""
+    names = held.columns
+    later = tail.select(*[F.col(c).alias(f"_{c}") for c in names])
+    joined = held.join(later, F.col("event_id") == F.col("_event_id"), "full_outer")
+    ours, theirs = F.struct(*LOG_ORDER), F.struct(*[f"_{c}" for c in LOG_ORDER])
+    keep = F.col("_event_id").isNull() | (F.col("event_id").isNotNull() & (ours > theirs))
+    return joined.select(*[F.when(keep, F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in names])
+
+
+def _table_name(path: str) -> str:
+    return f"rollcall_snapshot_{hashlib.md5(path.encode()).hexdigest()}"
 
 
 def _covered(snapshot) -> dict[str, int]:

@@ -141,10 +141,12 @@ class Collector:
     def _clock(self, newest, batch: int):
         """Newest response of this batch and all earlier ones: that of the batch before is
         read, not those of all."""
-        last = table_or_none(self.spark, self._path("clock", batch - 1), CLOCK_SCHEMA)
-        if last is None:
-            last = self._saved("clock", CLOCK_SCHEMA + ", batch bigint").where(F.col("batch") < batch)
-        known = last.agg(F.max("newest")).first()[0]
+        known = None
+        if batch > 0:
+            last = table_or_none(self.spark, self._path("clock", batch - 1), CLOCK_SCHEMA)
+            if last is None:
+                last = self._saved("clock", CLOCK_SCHEMA + ", batch bigint").where(F.col("batch") < batch)
+            known = last.agg(F.max("newest")).first()[0]
         clock = max((t for t in (known, newest) if t is not None), default=None)
         row = self.spark.createDataFrame([(clock,)], CLOCK_SCHEMA).coalesce(1)
         row.write.mode("overwrite").parquet(self._path("clock", batch))
@@ -159,6 +161,9 @@ class Collector:
             keys = known.select("event_id", "webhook_submitted_at")
             same_start = rows.webhook_submitted_at.eqNullSafe(keys.webhook_submitted_at)
             rows = rows.join(keys, (rows.event_id == keys.event_id) & same_start, "left_anti")
+        else:
+            nothing = self.spark.createDataFrame([], BASE_SCHEMA)
+            nothing.write.mode("overwrite").parquet(f"{self.history}/base-rolled/rolled=-1")
         rows.write.mode("overwrite").parquet(self._path("base", batch))
         return known
 

@@ -375,6 +375,43 @@ def test_patches_of_one_key(spark):
     assert sorted(map(tuple, transitions.dim_patch(base, patch, ["k"], ["n"]).collect())) == [("a", "0", "2"), ("b", "x", "y")]
 
 
+def test_the_snapshot_is_not_moved(spark, folder):
+    """Over a compacted log the current state, and that of some events, is found where the
+    snapshot lies: what has been appended since, or is asked for, comes to it."""
+    log = statelog.StateLog(spark, folder)
+    run_phase_1(spark, log, T0)
+    run_phase_1(spark, log, T0 + HOUR)
+    log.compact(T0 + HOUR)
+    log.append(transitions.retry_rows(log.current(), ["studio-row-6"], T0 + 2 * HOUR), "retry", 1)
+    whole = {r.event_id: r for r in statelog.current_state(log.log().select(*statelog.LOG_COLUMNS)).collect()}
+    assert {r.event_id: r for r in log.current().collect()} == whole
+    some = spark.createDataFrame([("studio-row-6",), ("studio-row-3",), ("gone",), ("studio-row-3",)], "event_id string")
+    assert {r.event_id: r for r in log.current_of(some).collect()} == {e: whole[e] for e in ("studio-row-6", "studio-row-3")}
+
+    def moved(df):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        [at] = [k for k, line in enumerate(lines) if "Bucketed: true" in line]
+        depth = lambda line: len(line) - len(line.lstrip(" :+-*(0123456789)"))
+        above, level = [], depth(lines[at])
+        for line in reversed(lines[:at]):
+            if depth(line) < level:
+                above.append(line.strip(" :+-"))
+                level = depth(line)
+        join = next(k for k, line in enumerate(above) if "SortMergeJoin" in line)
+        return [line for line in above[:join] if "Exchange" in line]
+
+    assert moved(log.current()) == [] and moved(log.current(["event_id", "state"])) == []
+    assert moved(log.current_of(some)) == []
+    # A session that has not written the snapshot knows it from the facts.
+    for name in [x.name for x in spark.catalog.listTables() if x.name.startswith("rollcall_snapshot_")]:
+        spark.sql(f"DROP TABLE {name}")
+    assert {r.event_id: r for r in statelog.StateLog(spark, folder).current().collect()} == whole
+
+
 def test_several_changes_of_one_event(spark, folder):
     log = statelog.StateLog(spark, folder)
     run_phase_1(spark, log, T0)

@@ -1,13 +1,14 @@
 """Streaming jobs: any cut of the responses into batches gives the batch result."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from rollcall import settings as S
-from rollcall.plans import submit
+from rollcall.plans import submit, transitions
 from rollcall.sources import responses as R
 from rollcall.sources import roster, statelog
 from rollcall.streaming import collect, ingest
@@ -148,6 +149,46 @@ def test_stream_until_drained(spark, folder):
     assert {s for s, _, _ in found(log).values()}.isdisjoint({"submitted", "failed_pdf_404"})
 
 
+def test_what_a_batch_reads_does_not_grow(spark, folder):
+    """Twenty batches of the same size: the tables of a batch that are read again hold as
+    much at the end as after the first few."""
+    events = {f"studio-row-{k}": ("submitted", 0, None, T0) for k in range(12)}
+    log = seeded(spark, folder, events)
+    collector = collect.Collector(log, f"{folder}/history", compact_every=4)
+    reads = []
+
+    def counted(df):
+        return df.count()
+
+    for number in range(20):
+        rows = [
+            (number * 100 + k, T0 + dt.timedelta(minutes=number * 10 + k), e, 429, None, False)
+            for k, e in enumerate(events)
+        ]
+        collector.apply(spark.createDataFrame(rows, R.RESPONSE_SCHEMA), number)
+        if number % 4 == 3:
+            generation, facts = log._facts_now()
+            tail = log._uncovered(generation, facts.get("snapshot"))
+            clock = spark.read.parquet(f"{folder}/history/clock/batch={number}")
+            reads.append((counted(tail), counted(collector._starts(number + 1)), counted(clock)))
+        touched = spark.read.parquet(f"{folder}/history/touched/batch={number}")
+        assert touched.count() == len(events) and "excel_row_json" not in touched.columns
+        # Everything came in order: no batch has looked at the history of responses.
+        assert not os.path.exists(f"{folder}/history/again")
+    assert len(set(reads[1:])) == 1 and reads[-1][1:] == (len(events), 1)
+    assert found(log) == expected(events, [(1, T0 + dt.timedelta(minutes=201), "studio-row-0", 429, None, False)])
+
+
+def test_counts_while_writing(spark, folder):
+    """What is swept is counted where it is written."""
+    events = {f"studio-row-{k}": ("submitted", 0, None, T0 if k % 3 else None) for k in range(9)}
+    log = seeded(spark, folder, events)
+    swept = transitions.timeout_sweep(log.current(), T0 + dt.timedelta(hours=49))
+    open_ = F.count_if(transitions.polled())
+    assert log.append(swept, "sweep", 1, open=open_) == {"rows": 6, "open": 0}
+    assert log.append(swept.limit(0), "sweep", 2, open=open_) == {"rows": 0, "open": 0}
+
+
 def test_once(spark, folder):
     states, rows = scenario(24, events=20)
     log = seeded(spark, folder, states)

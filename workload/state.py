@@ -14,7 +14,7 @@ from rollcall.sources import roster as R
 from rollcall.sources.statelog import LOG_COLUMNS, STATE_COLUMNS, StateLog, current_where
 from workload import sqltext as Q
 from workload.fixtures import AS_OF
-from workload.ingestion import prepared, state_now
+from workload.ingestion import compacted_log, prepared, state_now
 from workload.registry import query
 
 AT = dt.datetime.fromisoformat(AS_OF)
@@ -182,7 +182,8 @@ _CHANGED = """SELECT 'studio-row-' || CAST(user_id * 3 AS STRING) AS event_id, '
     FROM state_now s JOIN ({_CHANGED}) c ON c.event_id = s.event_id WHERE c.n = 1""",
 )
 def state_append(t):
-    """Many changes of an event in one table: the last one makes its image."""
+    """Many changes of an event in one table, over a compacted log: the last one makes its
+    image."""
     seq = F.col("event_id")
     changes = t("events").where(F.col("event_type") == "error").select(
         ids.event_id(F.col("user_id") * 3).alias("event_id"),
@@ -191,8 +192,8 @@ def state_append(t):
         F.when(seq % 2 == 0, F.concat(F.lit("said at "), seq.cast("string"))).alias("last_error"),
         "ts", seq.alias("change"),
     )
-    log = log_of(t).join(changes.select("event_id"), "event_id", "left_semi")
-    new = transitions.patch_images(current_where(log, ["state"], F.lit(True)), changes, AT, order=["ts", "change"])
+    state = compacted_log(t).current_of(changes)
+    new = transitions.patch_images(state, changes, AT, order=["ts", "change"])
     return new.select(*_IMAGE, "drive_case", "last_attempt_at")
 
 
