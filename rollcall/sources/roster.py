@@ -8,10 +8,10 @@ from pyspark.sql import types as T
 
 from rollcall import settings as S
 from rollcall.functions.text import denumber, fold_header_name
-from rollcall.operators.ordering import dense_index, dense_index_by_ordinal
+from rollcall.operators.ordering import dense_index, dense_index_by_ordinal, scan_index
 
-# Where a row stood in the source, in reading order.
-SOURCE_ORDER = ["_src_file", "_src_block", "_src_row"]
+# Where a row stood in the source, in reading order: its file, and the block a task read.
+SOURCE_ORDER = ["_src_file", "_src_block"]
 
 
 class MissingColumns(ValueError):
@@ -93,7 +93,6 @@ def read_roster_file(
         "*",
         F.col("_metadata.file_path").alias("_src_file"),
         F.col("_metadata.file_block_start").alias("_src_block"),
-        F.monotonically_increasing_id().alias("_src_row"),
     )
 
 
@@ -105,33 +104,36 @@ def read_roster(
     multi_line: bool = False,
 ) -> DataFrame:
     """A ready roster from a file: canonical columns, blank rows dropped, numeric
-    text repaired (CSV has no types: `numeric_text`), `row_position` in file order.
-    Cells with line breaks need `multi_line`."""
+    text repaired (CSV has no types: `numeric_text`), `row_position` in file order, files
+    in order of their paths. Rows are numbered where they are read. Cells with line
+    breaks need `multi_line`."""
     raw = read_roster_file(spark, path, fmt, schema, multi_line)
     places = raw.select(*SOURCE_ORDER).columns
     cells = [c for c in raw.columns if c not in places]
     keep = [F.col(f"`{c}`") for c in cells]
     named = canonicalize(raw.select(*keep, *places))
-    return prepare(named, SOURCE_ORDER, drop_order=True, numeric_text=fmt == "csv")
+    rows = _cleaned(named, SOURCE_ORDER, numeric_text=fmt == "csv")
+    return scan_index(rows, SOURCE_ORDER, S.POSITION).drop(*SOURCE_ORDER)
 
 
-def prepare(
-    df: DataFrame, order: list[str], *, drop_order: bool = False, numeric_text: bool = False
-) -> DataFrame:
+def _cleaned(df: DataFrame, order: list[str], *, numeric_text: bool) -> DataFrame:
+    require_columns(df)
+    cells = [c for c in df.columns if c not in order]
+    return repair_numbers(drop_blank(df, cells), numeric_text=numeric_text)
+
+
+def prepare(df: DataFrame, order: list[str], *, numeric_text: bool = False) -> DataFrame:
     """Validate, clean and number a roster whose columns are canonical already.
 
     `order` is a total order of the source rows. With a single integer column only
-    that is numbered; nulls and repeats in it are refused.
+    that is numbered; nulls and repeats in it are refused. (Files need no order: see
+    `read_roster`.)
     """
-    require_columns(df)
-    cells = [c for c in df.columns if c not in order]
-    rows = repair_numbers(drop_blank(df, cells), numeric_text=numeric_text)
+    rows = _cleaned(df, order, numeric_text=numeric_text)
     kind = dict(rows.dtypes)[order[0]]
     if len(order) == 1 and kind in ("bigint", "int"):
-        numbered = dense_index_by_ordinal(rows, order[0], S.POSITION)
-    else:
-        numbered = dense_index(rows, order, S.POSITION)
-    return numbered.drop(*order) if drop_order else numbered
+        return dense_index_by_ordinal(rows, order[0], S.POSITION)
+    return dense_index(rows, order, S.POSITION)
 
 
 def snapshot(columns: list[str]) -> Column:

@@ -1,5 +1,6 @@
 """Reading rosters: headers, blank rows, positions, snapshots, annotated output."""
 
+import hashlib
 import os
 
 import pytest
@@ -153,3 +154,53 @@ def test_annotation_of_unknown_rows_is_empty(spark):
         [], "row_position long, event_id string, state string, last_error string, pdf_drive_link string"
     )
     assert tuple(reports.annotate(rows, state).select(*S.ANNOTATION_COLUMNS).first()) == ("", "", "")
+
+
+@pytest.mark.parametrize("block, fan", [(7, 2), (64, 3), (1 << 16, 1 << 10)])
+def test_file_fingerprint(spark, folder, monkeypatch, block, fan):
+    """Of bytes, whatever they are: line breaks or none, at the end or not, long lines."""
+    monkeypatch.setattr(fingerprint, "BLOCK", block)
+    monkeypatch.setattr(fingerprint, "FAN", fan)
+    files = {
+        "a.csv": b"x,y\n1,2\n", "b.csv": b"x,y\r\n1,2", "c.bin": bytes(range(256)) * 3, "d.csv": b"", "e.csv": b"\n\n\n",
+        "f.csv": ("é" * 100 + "\n").encode() * 5 + b"last", "g.csv": b"z" * 500,
+    }
+    wanted = {}
+    for name, data in files.items():
+        with open(f"{folder}/{name}", "wb") as file:
+            file.write(data)
+        level = [hashlib.sha256(data[k : k + block]).hexdigest() for k in range(0, len(data), block)]
+        while len(level) > 1:
+            level = [hashlib.sha256("".join(level[k : k + fan]).encode()).hexdigest() for k in range(0, len(level), fan)]
+        if data:  # an empty file has no row
+            wanted[name] = (len(data), level[0])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")  # several splits of a file
+    try:
+        rows = fingerprint.file_fingerprint(spark, folder).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r.file.rsplit("/", 1)[1]: (r.length, r.sha256_tree) for r in rows} == wanted
+
+
+def test_positions_over_splits_and_files(spark, folder):
+    """Rows are numbered in file order over several files and splits, blank rows taking no
+    number, and rows are not exchanged for it."""
+    header = ",".join(S.ROSTER_COLUMNS)
+    n = 0
+    for name in ("a", "b", "c"):
+        with open(f"{folder}/{name}.csv", "w") as file:
+            file.write(header + "\n")
+            for k in range(60):
+                blank = k % 7 == 3
+                n += not blank
+                cells = [""] * len(S.ROSTER_COLUMNS) if blank else [f"r{n}"] * len(S.ROSTER_COLUMNS)
+                file.write(",".join(cells) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        rows = roster.read_roster(spark, folder, "csv")
+        found = [(r[S.POSITION], r.school) for r in rows.collect()]
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(found) == [(k, f"r{k}") for k in range(1, n + 1)]
+    assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan

@@ -193,6 +193,27 @@ def source_fingerprint(t):
     return roster_print(t)
 
 
+_LINE = "concat_ws(';', CAST(row_position AS STRING), school, teacher, subject, transcriptLink)"
+_FILE = f"""bytes AS (
+    SELECT hex(encode(string_agg({_LINE} || chr(10), '' ORDER BY row_position))) AS h FROM roster),
+  blocks AS (
+    SELECT k, sha256(unhex(substr(h, CAST(k * {2 * fingerprint.BLOCK} + 1 AS BIGINT), {2 * fingerprint.BLOCK}))) AS digest
+    FROM bytes, (SELECT unnest(range(0, (SELECT (length(h) + {2 * fingerprint.BLOCK - 1}) // {2 * fingerprint.BLOCK} FROM bytes))) AS k))"""
+
+
+@query(
+    "source_file_fingerprint",
+    f"""WITH {_FILE} SELECT (SELECT length(h) // 2 FROM bytes) AS length,
+    CASE WHEN count(*) = 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY k)) END AS sha256_tree FROM blocks""",
+)
+def source_file_fingerprint(t):
+    """The whole roster written as one text file, and the fingerprint of its bytes."""
+    path = new_path(t.spark, "roster-file")
+    ordered = t("roster").orderBy(S.POSITION).coalesce(1)
+    ordered.select(F.expr(_LINE)).write.text(path)
+    return fingerprint.file_fingerprint(t.spark, path).drop("file")
+
+
 @query(
     "output_provenance",
     f"""WITH {_PRINT} SELECT 'roster.parquet' AS source_path, source_digest, source_rows,
