@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -542,6 +543,29 @@ def test_nothing_to_learn_from(spark):
     assert [r.lang_pred for r in langid.identify(rows).collect()] == ["und"]
 
 
+def test_a_language_that_was_not_learned(spark):
+    """Each language left out in turn: its texts are rejected, down to short ones, the
+    others' are not; so are letters at random and other scripts."""
+    syllables = {"aa": ["ka", "lo", "mi", "ten"], "bb": ["schu", "ver", "ung", "brö"], "cc": ["да", "ни", "ско", "вет"], "dd": ["नि", "का", "रु", "ते"]}
+    r = random.Random(3)
+
+    def text(lang, words):
+        return " ".join("".join(r.choice(syllables[lang]) for _ in range(r.randint(1, 4))) for _ in range(words))
+
+    rows = [(k, text(lang, r.choice([12, 30, 200])), lang) for lang in syllables for k in range(0, 400) if zlib.crc32(f"{lang}{k}".encode())]
+    rows = [(n, t, lang) for n, (_, t, lang) in enumerate(rows)]
+    rows += [(5000 + k, "".join(r.choice("qwxyzjvp ") for _ in range(30)), None) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").cache()
+    real = {n: lang for n, _, lang in rows}
+    for out in [None, *syllables]:
+        frame = docs.selectExpr("doc_id", "text", f"IF(lang = '{out}', NULL, lang) AS lang") if out else docs
+        found = langid.identify(frame).collect()
+        wrong = [x for x in found if x.rejected != (real[x.id] in (None, out))]
+        assert len(wrong) <= 4, (out, wrong[:5])
+        assert all(x.lang_pred == real[x.id] for x in found if not x.rejected and real[x.id])
+        assert all(x.score < 0.5 for x in found if real[x.id] == out and out and x.rejected)
+
+
 def plain_kneser_ney(grams):
     """Interpolated Kneser-Ney over a Counter of symbol triples, from its definition."""
     pairs = Counter((b, c) for a, b, c in grams)
@@ -555,7 +579,7 @@ def plain_kneser_ney(grams):
     total1 = sum(singles.values())
 
     def p1(c):
-        return max(singles[c] - d1, 0) / total1 + max(d1 * len(singles) / total1, 1e-6) / langid.SYMBOLS
+        return max(singles[c] - d1, 0) / total1 + max(d1 * len(singles) / total1, 1e-6) / (len(singles) + 1)
 
     def p2(b, c):
         own = [n for (x, _), n in pairs.items() if x == b]
@@ -572,25 +596,56 @@ def plain_kneser_ney(grams):
     return p3
 
 
+def triple(gram):
+    return int(gram) >> 42, int(gram) >> 21 & langid._ONE, int(gram) & langid._ONE
+
+
 def test_smoothing_by_definition():
-    text = prose(9, 300)
-    symbols = langid.Symbols([text])
-    triples = [(int(g) >> 14, int(g) >> 7 & 127, int(g) & 127) for g in symbols.gram]
-    grams = Counter(triples)
+    symbols = langid.Symbols([prose(9, 300)])
+    triples = [triple(g) for g in symbols.gram]
     keys, counts = np.unique(symbols.gram, return_counts=True)
     model = langid.Smoothed(keys, counts)
-    p3 = plain_kneser_ney(grams)
-    asked = triples[:60] + [(a, b, 5) for a, b, _ in triples[:10]] + [(99, 98, 97), (99, triples[0][0], 3)]
-    got = model.log(np.array([a << 14 | b << 7 | c for a, b, c in asked], np.uint32))
-    assert np.allclose(got, np.log([p3(*x) for x in asked]), atol=1e-4)
+    p3 = plain_kneser_ney(Counter(triples))
+    asked = triples[:60] + [(a, b, 5) for a, b, _ in triples[:10]] + [(99, 98, 97), (99, triples[0][0], 3), (0x65E5, 0x672C, 0x8A9E)]
+    got = model.log(np.array([a << 42 | b << 21 | c for a, b, c in asked], np.int64))
+    assert np.allclose(got, np.log([p3(*x) for x in asked]), atol=1e-9)
 
 
 def test_symbols():
-    one = langid.Symbols(["Ab, c", "", "  ñ", "..."])
-    shown = [(int(g) >> 14, int(g) >> 7 & 127, int(g) & 127) for g in one.gram]
-    n = 27 + ord("ñ") % 101
-    assert shown == [(0, 0, 1), (0, 1, 2), (1, 2, 0), (2, 0, 3), (0, 0, n)]
-    assert one.text.tolist() == [0, 0, 0, 0, 2] and one.letters.tolist() == [3, 0, 1, 0]
+    one = langid.Symbols(["Ab, c", "", "  Ñ", "...", "日नि"])
+    a, b, c, n = (ord(x) for x in "abcñ")
+    day, na, mark = (ord(x) for x in ("日", "न", "ि"))
+    assert [triple(g) for g in one.gram] == [
+        (0, 0, a), (0, a, b), (a, b, 0), (b, 0, c), (0, 0, n), (0, 0, day), (0, day, na), (day, na, mark)
+    ]
+    assert one.text.tolist() == [0, 0, 0, 0, 2, 4, 4, 4] and one.letters.tolist() == [3, 0, 1, 0, 3]
+
+
+@pytest.mark.parametrize("size", [2, 3, 5, 40])
+def test_windows_know_what_stands_before(monkeypatch, size):
+    """A text in windows has the triples, and the scores, of the text as a whole."""
+    texts_ = [prose(3, 40), None, "", "a" + "1" * 90 + "b c", "...", "日本 ñ, ... x", "12 34", "ab"]
+    whole = [sorted(map(triple, langid.Symbols([t or ""]).gram)) for t in texts_]
+    counts = pd.DataFrame([("l", int(g), 1) for g in langid.Symbols([prose(4, 90)]).gram], columns=["lang", "gram", "n"])
+    model = langid.Model(counts.groupby(["lang", "gram"], as_index=False).sum())
+    wanted = model.entropies(texts_)
+    monkeypatch.setattr(langid, "WINDOW", size)
+    cut = [[] for _ in texts_]
+    for rows, parts, goes_on in langid.windows(texts_):
+        symbols = langid.Symbols(parts, goes_on)
+        for g, t in zip(symbols.gram, symbols.text):
+            cut[rows[t]].append(triple(g))
+    assert [sorted(x) for x in cut] == whole
+    got = model.entropies(texts_)
+    assert np.allclose(got[0], wanted[0]) and (got[1] == wanted[1]).all() and (got[2] == wanted[2]).all()
+
+
+def test_frequent_triples(spark):
+    rows = [("a", g, 1 + g % 5) for g in range(100)] + [("b", g, 1) for g in range(30)]
+    counts = spark.createDataFrame(rows, "lang string, gram long, n long")
+    assert langid.frequent(counts, 1000).count() == 130
+    found = Counter((r.lang, r.n) for r in langid.frequent(counts, 90).collect())
+    assert found == {("a", 5): 20, ("a", 4): 20, ("b", 1): 30}  # 45 for each language
 
 
 # ---- licenses -------------------------------------------------------------------------
