@@ -14,7 +14,7 @@ def _lookup(table: dict[str, str], key: Column) -> Column:
 
 
 # Case by kind of transcript link; `=` marks a video link equal to it.
-_CASES = {
+CASES = {
     "empty": "E", "empty=": "E", "doc": "A", "doc=": "D3", "file": "B", "file=": "D2",
     "folder": "C", "folder=": "D1",
 }
@@ -45,7 +45,7 @@ def url_kind(url: Column) -> Column:
 
 def case_of(kind: Column, same: Column) -> Column:
     key = F.concat(kind, F.when(same, "=").otherwise(""))
-    return F.coalesce(_lookup(_CASES, key), F.lit("F"))
+    return F.coalesce(_lookup(CASES, key), F.lit("F"))
 
 
 def is_folder_case(case: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.functions.responses import response_outcome
+from rollcall.functions.responses import parsed_body, response_outcome
 
 RESPONSE_SCHEMA = (
     "seq bigint, ts timestamp_ntz, event_id string, status int, body string, "
@@ -31,8 +31,9 @@ def stream_responses(
 def with_outcome(responses: DataFrame, *keep: str) -> DataFrame:
     """Narrow rows for folding: the meaning of each response, without its body, and the
     columns to keep."""
-    meaning = response_outcome(F.col("status"), F.col("body"), F.col("delivery_failed"))
-    return responses.select("event_id", "ts", "seq", *keep, meaning.alias("o")).select(
+    body = parsed_body(F.col("status"), F.col("body")).alias("_parsed")
+    meaning = response_outcome(F.col("status"), F.col("body"), F.col("delivery_failed"), parsed=F.col("_parsed"))
+    return responses.select("*", body).select("event_id", "ts", "seq", *keep, meaning.alias("o")).select(
         "event_id",
         "ts",
         "seq",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rollcall import settings as S
 from workload.fixtures import AS_OF, BLOB_PREFIX, BUCKET, DOC, DOCX, SECRET
 
 CELLS = (
@@ -33,26 +34,18 @@ def denumbered(x: str) -> str:
     )
 
 
-_ID = "([A-Za-z0-9_-]+)"
-DOC_RE = f"^https?://docs[.]google[.]com/document(/u/[0-9]+)?/d/{_ID}"
-FILE_RE = f"^https?://drive[.]google[.]com/file(/u/[0-9]+)?/d/{_ID}"
-FOLDER_RE = f"^https?://drive[.]google[.]com/drive(/u/[0-9]+)?/folders/{_ID}"
-
-
 def kind(u: str) -> str:
-    return f"""CASE WHEN {u} = '' THEN 'empty'
-    WHEN regexp_matches({u}, '{DOC_RE}') THEN 'doc'
-    WHEN regexp_matches({u}, '{FILE_RE}') THEN 'file'
-    WHEN regexp_matches({u}, '{FOLDER_RE}') THEN 'folder'
-    WHEN regexp_matches({u}, '^https?://docs[.]google[.]com/spreadsheets/') THEN 'F_sheet'
-    WHEN regexp_matches({u}, '^https?://(www[.])?google[.]com/url[?]') THEN 'F_redirect'
-    ELSE 'F_other' END"""
+    known = "".join(
+        f" WHEN regexp_matches({u}, '{pattern}') THEN '{name}'" for name, pattern in S.LINK_PATTERNS + S.UNSUPPORTED_PATTERNS
+    )
+    return f"CASE WHEN {u} = '' THEN 'empty'{known} ELSE '{S.UNSUPPORTED_OTHER}' END"
 
 
 def link_id(u: str) -> str:
-    return f"""CASE WHEN regexp_matches({u}, '{DOC_RE}') THEN regexp_extract({u}, '{DOC_RE}', 2)
-    WHEN regexp_matches({u}, '{FILE_RE}') THEN regexp_extract({u}, '{FILE_RE}', 2)
-    WHEN regexp_matches({u}, '{FOLDER_RE}') THEN regexp_extract({u}, '{FOLDER_RE}', 2) END"""
+    found = "".join(
+        f" WHEN regexp_matches({u}, '{pattern}') THEN regexp_extract({u}, '{pattern}', 1)" for _, pattern in S.LINK_PATTERNS
+    )
+    return f"CASE{found} END"
 
 
 # Roster rows with their link facts: `cases` as the name of a table expression.
