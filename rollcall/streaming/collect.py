@@ -18,12 +18,13 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollcall import settings as S
 from rollcall.functions.ids import moment
+from rollcall.operators.keyfilter import passing
 from rollcall.operators.latest import latest_per_key
 from rollcall.plans.reconcile import reconcile, reconciled_images
 from rollcall.plans.transitions import overdue, pending_remaining, polled, timeout_message
@@ -41,16 +42,11 @@ BASE_SCHEMA = (
 )
 
 
-def deduplicated(responses: DataFrame, lateness: str | None = None) -> DataFrame:
-    """Drop repeated deliveries of a response.
-
-    By default nothing else is dropped, however late it comes, and the stream remembers
-    the key of every response. With a `lateness` it forgets keys older than that, and
-    responses that come later still are dropped by the watermark. (`Collector` needs
-    neither: it takes repeats as they come.)
-    """
-    if lateness is None:
-        return responses.dropDuplicates(["event_id", "seq"])
+def deduplicated(responses: DataFrame, lateness: str) -> DataFrame:
+    """Drop repeated deliveries of a response within the stream itself. It forgets keys older
+    than `lateness`, and responses that come later still are dropped by the watermark:
+    where nothing may be dropped, use `Deduplicator`. (`Collector` needs neither: it takes
+    repeats as they come.)"""
     timed = responses.withColumn("event_time", F.col("ts").cast("timestamp"))
     once = timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(
         ["event_id", "seq"]
@@ -58,6 +54,51 @@ def deduplicated(responses: DataFrame, lateness: str | None = None) -> DataFrame
     return once.drop("event_time")
 
 
+class Deduplicator:
+    """Writes each response once, however late it or a repeat of it comes.
+
+    What has been seen is what has been written: the stream keeps no keys, so its state
+    does not grow. A batch is compared with the keys of earlier batches only. Of those
+    are read the files that can hold its sequence numbers (Parquet knows their range),
+    of these the rows that a filter of the batch's keys lets pass, and only they move. A
+    repeated batch replaces what it wrote.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _written(self) -> DataFrame:
+        return table_or_empty(self.spark, f"{self.path}/once", RESPONSE_SCHEMA + ", batch bigint")
+
+    def responses(self) -> DataFrame:
+        """All responses written so far."""
+        return self._written().drop("batch")
+
+    def apply(self, responses: DataFrame, batch: int) -> int:
+        """Write what is new in a batch; returns how many responses that are."""
+        given = f"{self.path}/given/batch={batch}"
+        seen = write_counting(
+            first_delivery(responses), given, rows=F.count("*"), least=F.min("seq"), most=F.max("seq")
+        )
+        fresh = self.spark.read.schema(responses.schema).parquet(given)
+        if batch > 0 and seen["rows"]:
+            keys = fresh.select(_response_key().alias("key"))
+            known = self._written().where((F.col("batch") < batch) & F.col("seq").between(seen["least"], seen["most"]))
+            known = passing(known.select("event_id", "seq"), _response_key(), keys, "key")
+            same = fresh["seq"].eqNullSafe(known["seq"]) & fresh["event_id"].eqNullSafe(known["event_id"])
+            fresh = fresh.join(known, same, "left_anti")
+        return write_counting(fresh, f"{self.path}/once/batch={batch}", rows=F.count("*"))["rows"]
+
+    def start(self, responses: DataFrame, checkpoint: str) -> StreamingQuery:
+        """Take everything there is."""
+        writer = responses.writeStream.foreachBatch(lambda rows, batch: self.apply(rows, batch) and None)
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _response_key() -> Column:
+    return F.concat_ws(":", "event_id", F.col("seq").cast("string"))
+
+
 def first_delivery(responses: DataFrame) -> DataFrame:
     """One row per response. Of deliveries that differ the first counts: by batch, and
     within one by time, status, body and delivery. The fold over a history goes by the

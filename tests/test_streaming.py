@@ -98,15 +98,35 @@ def test_empty_batches(spark, folder, empty):
 
 
 def test_late_and_repeated_responses_are_kept_once(spark, folder):
-    """By default nothing is too late."""
-    days = [40, 0, 39, 1, 40]
+    """Nothing is too late, weeks after the first delivery, and the stream keeps no keys."""
+    days = [40, 0, 39, 1, 40, 0, None, None]
     for i, day in enumerate(days):
+        event = None if day is None else "studio-row-1"
+        row = (day, T0 + dt.timedelta(days=day or 0), event, 404 + i, None, False)
+        spark.createDataFrame([row, row], R.RESPONSE_SCHEMA).coalesce(1).write.parquet(f"{folder}/in/{i}")
+    once = collect.Deduplicator(spark, f"{folder}/out")
+    stream = R.stream_responses(spark, f"{folder}/in/*", files_per_batch=1)
+    query = once.start(stream, f"{folder}/check")
+    query.awaitTermination()
+    rows = once.responses().collect()
+    assert sorted((r["seq"] is None, r["seq"], r["status"]) for r in rows if r["seq"] is not None) == [
+        (False, 0, 405), (False, 1, 407), (False, 39, 406), (False, 40, 404)
+    ]
+    assert all(not p["stateOperators"] for p in query.recentProgress)
+    again = spark.createDataFrame([(39, T0, "studio-row-1", 1, None, False), (41, T0, "studio-row-1", 2, None, False)], R.RESPONSE_SCHEMA)
+    assert [once.apply(again, 50), once.apply(again, 50), once.apply(again.limit(0), 51)] == [1, 1, 0]
+    assert once.responses().where("seq IN (39, 41)").count() == 2
+
+
+def test_the_watermark_forgets(spark, folder):
+    """With a lateness the state is bounded by it, and what is later still is dropped."""
+    for i, day in enumerate([0, 0, 40, 80, 1]):
         row = (day, T0 + dt.timedelta(days=day), "studio-row-1", 404, None, False)
         spark.createDataFrame([row], R.RESPONSE_SCHEMA).coalesce(1).write.parquet(f"{folder}/in/{i}")
-    once = collect.deduplicated(R.stream_responses(spark, f"{folder}/in/*", files_per_batch=1))
+    once = collect.deduplicated(R.stream_responses(spark, f"{folder}/in/*", files_per_batch=1), "1 day")
     sink = once.writeStream.format("parquet").option("checkpointLocation", f"{folder}/check")
     sink.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
-    assert sorted(r["seq"] for r in spark.read.parquet(f"{folder}/out").collect()) == [0, 1, 39, 40]
+    assert sorted(r["seq"] for r in spark.read.parquet(f"{folder}/out").collect()) == [0, 40, 80]
 
 
 def test_deliveries_that_differ(spark, folder):
