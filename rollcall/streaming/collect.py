@@ -6,8 +6,9 @@ does not depend on how responses are cut into batches:
 
 * responses newer than everything applied to their event are folded on from the
   current state;
-* an event with an older one among them is folded again from where its polling
-  started, over its whole response history;
+* an event with an older one among them is folded again: from its state at the last
+  midnight that no older response has come before (a mark, kept when its first
+  response of a day is applied), or else from where its polling started;
 * rows that stay silent time out by the clock of the stream (its newest response).
 
 Every write of a batch goes to a directory of its own that a repeated batch
@@ -36,6 +37,10 @@ DELIVERY = ["ts", "status", "body", "delivery_failed"]
 BASE_COLUMNS = ["event_id", "state", "attempts", "last_error", "webhook_submitted_at"]
 NARROW = [*BASE_COLUMNS, "last_attempt_at", *LOG_ORDER]
 CLOCK_SCHEMA = "newest timestamp_ntz"
+MARK_SCHEMA = (
+    "event_id string, state string, attempts int, last_error string, webhook_submitted_at timestamp_ntz, "
+    "mark_at timestamp_ntz"
+)
 BASE_SCHEMA = (
     "event_id string, state string, attempts int, last_error string, "
     "webhook_submitted_at timestamp_ntz, batch bigint"
@@ -95,6 +100,10 @@ class Deduplicator:
         return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _midnight(column: str) -> Column:
+    return F.col(column).cast("date").cast("timestamp_ntz")
+
+
 def _response_key() -> Column:
     return F.concat_ws(":", "event_id", F.col("seq").cast("string"))
 
@@ -159,10 +168,14 @@ class Collector:
         if self.watch:
             current = current.observe(watched, F.count_if(open_).alias("open"))
         disordered = F.coalesce(F.col("_oldest") <= F.col("last_attempt_at"), F.lit(False))
+        crossing = heard & ~disordered & F.coalesce(F.col("last_attempt_at") < _midnight("_oldest"), F.lit(False))
         touched, counts = self._save(
             current.where(heard | (open_ & late)), "touched", batch,
-            open=F.count_if(open_), disordered=F.count_if(disordered),
+            open=F.count_if(open_), disordered=F.count_if(disordered), crossing=F.count_if(crossing),
         )
+        if counts["crossing"]:
+            marks = touched.where(crossing).select(*BASE_COLUMNS, _midnight("_oldest").alias("mark_at"))
+            marks.write.mode("overwrite").parquet(self._path("marks", batch))
         if self.watch:
             before = watched.get["open"] - counts["open"]
         changed, silent = touched.where(heard), touched.where(~heard)
@@ -228,30 +241,64 @@ class Collector:
         limits = {"max_attempts": self.max_attempts, "timeout_hours": self.timeout_hours}
         if known is None:
             return reconcile(changed, fresh, **limits)
-        disordered = changed.where(F.col("_oldest") <= F.col("last_attempt_at")).select("event_id")
-        again = latest_per_key(known, "event_id", ["batch"]).join(disordered, "event_id")
-        again, counts = self._save(again.withColumnRenamed("batch", "_since"), "again", batch, since=F.min("_since"))
+        disordered = changed.where(F.col("_oldest") <= F.col("last_attempt_at")).select("event_id", "_oldest")
+        starts = latest_per_key(known, "event_id", ["batch"]).join(disordered, "event_id")
+        again, counts = self._save(
+            self._marked(starts.withColumnRenamed("batch", "_since"), batch), "again", batch,
+            since=F.min("_since"), least=F.min("_from"), latest=F.max("_from"), whole=F.count_if(F.col("_from").isNull()),
+        )
         if not counts["rows"]:
             return reconcile(changed, fresh, **limits)
         in_order = fresh.join(again.select("event_id"), "event_id", "left_anti")
+        places = again.select("event_id", "_since", "_from")
         history = self._saved("responses", RESPONSE_SCHEMA + ", batch bigint")
+        history = history.where(F.col("batch").between(counts["since"], batch))
+        recent = history if counts["whole"] else history.where(F.col("ts") >= F.lit(counts["least"]))
+        used = (F.col("batch") >= F.col("_since")) & F.coalesce(F.col("ts") >= F.col("_from"), F.lit(True))
         # Repeats are dropped by (event, seq) before the rows meet by event: a hot
         # event is then never gathered in one task.
-        history = history.where(F.col("batch").between(counts["since"], batch))
-        history = history.join(again.select("event_id"), "event_id", "left_semi")
+        recent = recent.join(places, "event_id").where(used)
         delivery = F.min(F.struct("batch", *DELIVERY))
-        once = history.groupBy("event_id", "seq").agg(delivery.alias("d")).select(
-            "event_id", "seq", "d.*"
-        )
-        whole = once.join(again.select("event_id", "_since"), "event_id").where(
-            F.col("batch") >= F.col("_since")
-        ).drop("_since", "batch")
-        # An event starts from its recorded start with its whole history, or from where it
-        # is with what is new: either way one row and its responses in order.
+        once = recent.groupBy("event_id", "seq").agg(delivery.alias("d")).select("event_id", "seq", "d.*")
+        if counts["least"] is not None:
+            # What a mark holds already may come again later: the first delivery counts.
+            keys = fresh.join(again.where("_from IS NOT NULL").select("event_id"), "event_id", "left_semi")
+            held = history.where((F.col("batch") < batch) & (F.col("ts") < F.lit(counts["latest"])))
+            held = passing(held.select("event_id", "seq", "ts", "batch"), _response_key(), keys.select(_response_key().alias("key")), "key")
+            held = held.join(places, "event_id").where((F.col("batch") >= F.col("_since")) & (F.col("ts") < F.col("_from")))
+            once = once.join(held.select("event_id", "seq"), ["event_id", "seq"], "left_anti")
+        whole = once.drop("batch")
+        # An event starts from a mark or its recorded start with what came after, or from where
+        # it is with what is new: either way one row and its responses in order.
         rest = changed.join(again.select("event_id"), "event_id", "left_anti")
         starts = rest.select(*BASE_COLUMNS).unionByName(again.select(*BASE_COLUMNS))
         return reconcile(starts, in_order.unionByName(whole.select(*in_order.columns)), **limits)
 
+    def _marked(self, starts: DataFrame, batch: int) -> DataFrame:
+        """Where events are folded again from: `_from` and the state of their last mark
+        before the oldest response that is late, if one still holds, else their start.
+        A mark holds until a later batch brings a response from before it."""
+        marks = self._saved("marks", MARK_SCHEMA + ", batch bigint").where(F.col("batch") < batch)
+        late = self._saved("again", "event_id string, _oldest timestamp_ntz, batch bigint").where(F.col("batch") < batch)
+        own = starts.select(
+            F.col("event_id").alias("_event"), F.col("webhook_submitted_at").alias("_submitted"), "_since", "_oldest"
+        )
+        fits = (
+            (F.col("event_id") == F.col("_event")) & F.col("webhook_submitted_at").eqNullSafe(F.col("_submitted"))
+            & (F.col("batch") >= F.col("_since")) & (F.col("mark_at") <= F.col("_oldest"))
+        )
+        marks = marks.join(own, fits).select(*BASE_COLUMNS, "mark_at", "batch")
+        passed = late.select(F.col("event_id").alias("_event"), F.col("_oldest").alias("_late"), F.col("batch").alias("_batch"))
+        broken = (F.col("event_id") == F.col("_event")) & (F.col("_batch") > F.col("batch")) & (F.col("_late") < F.col("mark_at"))
+        held = marks.join(passed, broken, "left_anti")
+        best = held.groupBy("event_id").agg(F.max(F.struct("mark_at", "batch", "state", "attempts", "last_error")).alias("m"))
+        found = starts.join(best, "event_id", "left")
+        there = F.col("m").isNotNull()
+        return found.select(
+            "event_id", *[F.when(there, F.col(f"m.{c}")).otherwise(F.col(c)).alias(c) for c in ("state", "attempts", "last_error")],
+            "webhook_submitted_at", "_since", "_oldest", F.col("m.mark_at").alias("_from"),
+        )
+
     def _swept(self, rows: DataFrame, clock, *, stamp: bool = False) -> DataFrame:
         """Time out overdue rows among images; `stamp` makes images of state rows."""
         late = overdue(clock, self.timeout_hours)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rollcall import settings as S
 from rollcall.plans import submit, transitions
+from rollcall.plans.reconcile import reconcile
 from rollcall.sources import responses as R
 from rollcall.sources import roster, statelog
 from rollcall.streaming import collect, ingest
@@ -199,6 +200,46 @@ def test_what_a_batch_reads_does_not_grow(spark, folder):
     assert found(log) == expected(events, [(1, T0 + dt.timedelta(minutes=201), "studio-row-0", 429, None, False)])
 
 
+def test_late_responses_are_folded_from_the_last_mark(spark, folder, monkeypatch):
+    """A late response reads what came after the midnight before it, not the whole history;
+    one from before a mark goes back to an earlier one, and repeats count once."""
+    events = {f"studio-row-{k}": ("submitted", 0, None, None) for k in range(4)}
+    log = seeded(spark, folder, events)
+    collector = collect.Collector(log, f"{folder}/history", compact_every=None)
+    seen = []
+    monkeypatch.setattr(collect, "reconcile", lambda state, rows, **kw: seen.append(rows.count()) or reconcile(state, rows, **kw))
+    rows, seq = [], 0
+
+    def batch(number, *parts):
+        nonlocal seq
+        own = []
+        for event, day, hour, status in parts:
+            seq += 1
+            own.append((seq, T0 + dt.timedelta(days=day, hours=hour), event, status, "x" * 300 if status == 500 else None, False))
+        rows.extend(own)
+        collector.apply(spark.createDataFrame(own, R.RESPONSE_SCHEMA), number)
+        return own
+
+    for day in range(6):
+        batch(day, *[(e, day, hour, 404 if hour else 429) for e in events for hour in (0, 6)])
+    assert seen == [8] * 6
+    a = "studio-row-1"
+    batch(6, (a, 5, 1, 500))  # late within the last day: from its midnight on
+    assert seen[-1] == 3
+    again = batch(7, (a, 2, 3, 500))  # from the midnight of the third day on: the later marks are broken
+    assert seen[-1] == 2 * 4 + 2
+    batch(8, (a, 5, 2, 429))  # no mark after the third day holds
+    assert seen[-1] == 2 * 4 + 3
+    collector.apply(spark.createDataFrame([*again, *again], R.RESPONSE_SCHEMA), 9)
+    assert found(log) == expected(events, rows)
+    # A response that a mark holds, delivered again with a later time, is the first one.
+    held = rows[2]
+    moved = (held[0], T0 + dt.timedelta(days=5, hours=1), *held[2:])
+    collector.apply(spark.createDataFrame([moved, (9_999, T0 + dt.timedelta(days=5, hours=3), held[2], 429, None, False)], R.RESPONSE_SCHEMA), 10)
+    rows.append((9_999, T0 + dt.timedelta(days=5, hours=3), held[2], 429, None, False))
+    assert found(log) == expected(events, rows)
+
+
 def test_counts_while_writing(spark, folder):
     """What is swept is counted where it is written."""
     events = {f"studio-row-{k}": ("submitted", 0, None, T0 if k % 3 else None) for k in range(9)}
