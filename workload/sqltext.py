@@ -19,6 +19,22 @@ def slug(x: str) -> str:
     return f"coalesce(nullif({text}, ''), 'UNKNOWN')"
 
 
+IMAGE = [
+    "row_position", "event_id", "drive_case", "transcript_file_id", "transcript_gcs_uri", "webhook_message_id",
+    "webhook_submitted_at", "pdf_drive_id", "pdf_drive_link", "state", "last_error", "last_attempt_at", "attempts",
+    "excel_row_json", "log_ts", "log_seq",
+]
+
+
+def image(of: str = "", **fields: str) -> str:
+    """All columns of a row image: those given, and the stamps of a change, replace its own."""
+    stamped = {
+        "last_attempt_at": f"TIMESTAMP '{AS_OF}'", "log_ts": f"greatest({of}log_ts, TIMESTAMP '{AS_OF}')",
+        "log_seq": f"{of}log_seq + 1",
+    } | fields
+    return ", ".join(f"{stamped.get(c, of + c)} AS {c}" for c in IMAGE)
+
+
 def link(x: str) -> str:
     return f"CASE WHEN {x} IS NULL OR lower(trim({x})) = 'sin dato' THEN '' ELSE trim({x}) END"
 

@@ -123,29 +123,27 @@ def state_retry_class(t):
 
 
 # ---- transitions ------------------------------------------------------------------
-_IMAGE = ["row_position", "event_id", "state", "last_error", "attempts", "excel_row_json", "log_seq"]
+_NULL = "CAST(NULL AS STRING)"
 
 
 @query(
     "timeout_sweep",
-    f"""SELECT row_position, event_id, 'failed_timeout_pending_analysis' AS state,
-      'timeout after 48h in submitted' AS last_error, attempts, excel_row_json, log_seq + 1 AS log_seq
+    f"""SELECT {Q.image(state="'failed_timeout_pending_analysis'", last_error="'timeout after 48h in submitted'")}
     FROM state_now WHERE state = 'submitted'
       AND webhook_submitted_at < TIMESTAMP '{AS_OF}' - INTERVAL 48 HOURS""",
 )
 def timeout_sweep(t):
     late = current_where(log_of(t), ["state", "webhook_submitted_at"], transitions.overdue(AT))
-    return transitions.timeout_sweep(late, AT).select(*_IMAGE)
+    return transitions.timeout_sweep(late, AT)
 
 
 @query(
     "retry_failed",
-    f"""SELECT row_position, event_id, 'pending' AS state, CAST(NULL AS STRING) AS last_error,
-      attempts, excel_row_json, log_seq + 1 AS log_seq FROM state_now WHERE state IN {_RETRYABLE}""",
+    f"""SELECT {Q.image(state="'pending'", last_error=_NULL)} FROM state_now WHERE state IN {_RETRYABLE}""",
 )
 def retry_failed(t):
     failed = current_where(log_of(t), ["state"], transitions.retryable())
-    return transitions.retry_failed(failed, AT).select(*_IMAGE)
+    return transitions.retry_failed(failed, AT)
 
 
 _LISTED = "SELECT DISTINCT 'studio-row-' || CAST(user_id * 3 AS STRING) AS event_id FROM events WHERE event_type = 'error'"
@@ -158,14 +156,13 @@ def listed_events(t):
 
 @query(
     "retry_rows",
-    f"""SELECT row_position, event_id, 'pending' AS state, CAST(NULL AS STRING) AS last_error,
-      0 AS attempts, excel_row_json, log_seq + 1 AS log_seq FROM state_now
+    f"""SELECT {Q.image(state="'pending'", last_error=_NULL, attempts="0")} FROM state_now
     WHERE event_id IN ({_LISTED})""",
 )
 def retry_rows(t):
     listed = listed_events(t)
     log = log_of(t).join(listed, "event_id", "left_semi")
-    return transitions.retry_rows(current_where(log, ["state"], F.lit(True)), listed, AT).select(*_IMAGE)
+    return transitions.retry_rows(current_where(log, ["state"], F.lit(True)), listed, AT)
 
 
 _CHANGED = """SELECT 'studio-row-' || CAST(user_id * 3 AS STRING) AS event_id, 'change ' || CAST(event_id AS STRING) AS drive_case,
@@ -176,9 +173,7 @@ _CHANGED = """SELECT 'studio-row-' || CAST(user_id * 3 AS STRING) AS event_id, '
 
 @query(
     "state_append",
-    f"""SELECT s.row_position, s.event_id, 'failed_phase1' AS state, c.last_error,
-      s.attempts, s.excel_row_json, s.log_seq + 1 AS log_seq, c.drive_case,
-      TIMESTAMP '{AS_OF}' AS last_attempt_at
+    f"""SELECT {Q.image("s.", state="'failed_phase1'", last_error="c.last_error", drive_case="c.drive_case")}
     FROM state_now s JOIN ({_CHANGED}) c ON c.event_id = s.event_id WHERE c.n = 1""",
 )
 def state_append(t):
@@ -193,8 +188,7 @@ def state_append(t):
         "ts", seq.alias("change"),
     )
     state = compacted_log(t).current_of(changes)
-    new = transitions.patch_images(state, changes, AT, order=["ts", "change"])
-    return new.select(*_IMAGE, "drive_case", "last_attempt_at")
+    return transitions.patch_images(state, changes, AT, order=["ts", "change"])
 
 
 @query(

@@ -99,7 +99,8 @@ def stream_drain(t):
 @query(
     "stream_ingest",
     f"""SELECT row_position, 'studio-row-' || CAST(row_position AS STRING) AS event_id,
-    'pending' AS state, {Q.denumbered('grade')} AS grade, teacher, transcriptLink FROM roster""",
+    'pending' AS state, {Q.denumbered('infrastructureCode')} AS infrastructureCode,
+    {Q.denumbered('grade')} AS grade, {Q.CELLS} FROM roster""",
 )
 def stream_ingest(t):
     """The roster arrives twice, and once with another grade in the same files; every
@@ -113,7 +114,7 @@ def stream_ingest(t):
     log = statelog.StateLog(t.spark, new_path(t.spark, "state"))
     stream = t.spark.readStream.schema(roster.roster_schema()).option("maxFilesPerTrigger", 4).parquet(f"{path}/*")
     ingest.Ingestor(log, AT).start(stream, f"{path}-checkpoint").awaitTermination()
-    cells = [F.get_json_object("excel_row_json", f"$.{c}").alias(c) for c in ("grade", "teacher", "transcriptLink")]
+    cells = [F.get_json_object("excel_row_json", f"$.{c}").alias(c) for c in S.ROSTER_COLUMNS]
     return log.log().select(S.POSITION, "event_id", "state", *cells)
 
 

@@ -215,41 +215,48 @@ def projected_duration(t):
     return submit.projected_duration(outcomes(t).where(F.col("outcome") == submit.ELIGIBLE))
 
 
-_APPLIED = f"""WITH {Q.GATED}
-    SELECT g.event_id,
-      CASE WHEN NOT r.published THEN 'failed_gcs_upload' WHEN r.status = 202 THEN 'submitted'
-        ELSE 'failed_webhook' END AS state,
-      CASE WHEN NOT r.published THEN r.publish_error
-        WHEN r.status = 400 THEN '400: ' || left(r.body, 300) ELSE s.last_error END AS last_error,
-      CAST(s.attempts + CASE WHEN r.published AND r.status = 202 THEN 0 ELSE 1 END AS INT) AS attempts,
-      CASE WHEN r.published AND r.status = 202 THEN r.message_id ELSE s.webhook_message_id END AS webhook_message_id,
-      CASE WHEN r.published AND r.status = 202 THEN r.sent_at ELSE s.webhook_submitted_at END AS webhook_submitted_at,
-      CASE WHEN r.published THEN {Q.URI.replace('event_id', 'g.event_id')} ELSE s.transcript_gcs_uri END AS transcript_gcs_uri
-    FROM gated g JOIN state_now s ON s.event_id = g.event_id
-      JOIN submission_results r ON r.event_id = g.event_id WHERE outcome = 'eligible'"""
+_SENT = "r.published AND r.status = 202"
+_FIELDS = {
+    "drive_case": "g.drive_case",
+    "transcript_file_id": "g.asset_file_id",
+    "transcript_gcs_uri": f"CASE WHEN r.published THEN {Q.URI.replace('event_id', 'g.event_id')} ELSE s.transcript_gcs_uri END",
+    "webhook_message_id": f"CASE WHEN {_SENT} THEN r.message_id ELSE s.webhook_message_id END",
+    "webhook_submitted_at": f"CASE WHEN {_SENT} THEN r.sent_at ELSE s.webhook_submitted_at END",
+    "state": "CASE WHEN NOT r.published THEN 'failed_gcs_upload' WHEN r.status = 202 THEN 'submitted' ELSE 'failed_webhook' END",
+    "last_error": """CASE WHEN NOT r.published THEN r.publish_error
+        WHEN r.status = 400 THEN '400: ' || left(r.body, 300) ELSE s.last_error END""",
+    "attempts": f"CAST(s.attempts + CASE WHEN {_SENT} THEN 0 ELSE 1 END AS INT)",
+}
 
 
-@query("apply_submissions", _APPLIED)
+@query(
+    "apply_submissions",
+    f"""WITH {Q.GATED} SELECT {Q.image("s.", **_FIELDS)}
+    FROM gated g JOIN state_now s ON s.event_id = g.event_id
+      JOIN submission_results r ON r.event_id = g.event_id WHERE outcome = 'eligible'""",
+)
 def apply_submissions(t):
     box = submit.addressed(outcomes(t), BUCKET, BLOB_PREFIX)
-    new = submit.apply_submissions(state_now(t), box, t("submission_results"), AT)
-    return new.select(
-        "event_id", "state", "last_error", "attempts", "webhook_message_id",
-        "webhook_submitted_at", "transcript_gcs_uri",
-    )
+    return submit.apply_submissions(state_now(t), box, t("submission_results"), AT)
+
+
+_READ = "outcome = 'failed_drive_read'"
+_STOPPED = {
+    "state": "g.outcome",
+    "last_error": "g.outcome_error",
+    "attempts": f"CAST(s.attempts + CASE WHEN {_READ} THEN 1 ELSE 0 END AS INT)",
+    "drive_case": f"CASE WHEN {_READ} THEN g.drive_case ELSE s.drive_case END",
+    "transcript_file_id": f"CASE WHEN {_READ} THEN g.asset_file_id ELSE s.transcript_file_id END",
+}
 
 
 @query(
     "gate_images",
-    f"""WITH {Q.GATED}
-    SELECT g.event_id, g.outcome AS state, g.outcome_error AS last_error,
-      CAST(s.attempts + CASE WHEN outcome = 'failed_drive_read' THEN 1 ELSE 0 END AS INT) AS attempts,
-      CASE WHEN outcome = 'failed_drive_read' THEN g.drive_case ELSE s.drive_case END AS drive_case
+    f"""WITH {Q.GATED} SELECT {Q.image("s.", **_STOPPED)}
     FROM gated g JOIN state_now s ON s.event_id = g.event_id WHERE outcome <> 'eligible'""",
 )
 def gate_images(t):
-    new = submit.gated_images(outcomes(t), state_now(t), AT)
-    return new.select("event_id", "state", "last_error", "attempts", "drive_case")
+    return submit.gated_images(outcomes(t), state_now(t), AT)
 
 
 @query(
