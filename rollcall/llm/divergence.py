@@ -8,7 +8,9 @@ complete terms. Every count is exact; arithmetic is on whole numbers.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ UNIT = 1_000_000_000
 LEVELS = (3, 8)
 #: Bytes of text, bytes of documents' terms, and pairs of sources, that a task works out together.
 CHUNK_BYTES, CHUNK_TERMS, PAIRS = 4 << 20, 12 << 20, 1 << 20
+#: First prefixes that a task holds counts of before it hands them on.
+MOST_HEADS = 1 << 18
 #: The filter of surviving prefixes has so many bits for each, and at most MOST_BITS (16 MB).
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 15, 1 << 27
 #: Parts into which what belongs to one language is dealt where sources meet each other.
@@ -37,10 +41,21 @@ _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8
 
 
 # ---- terms of documents -----------------------------------------------------------------
-def document_terms(texts: list[bytes]) -> tuple[pa.BinaryArray, pa.BinaryArray]:
+@dataclass
+class DocumentTerms:
     """Of each text its distinct terms, in the order of their bytes, each with a line break
-    behind it; and how often each occurs, as unsigned 32-bit numbers. Terms are runs of
-    ASCII letters and of bytes beyond ASCII, A-Z in lower case."""
+    behind it; and how often each occurs, as unsigned 32-bit numbers. Per item (a term of
+    a text, in order) its text and its place in `words`, which is in order."""
+
+    terms: pa.BinaryArray
+    times: pa.BinaryArray
+    document: np.ndarray
+    rank: np.ndarray
+    words: pa.BinaryArray
+
+
+def document_terms(texts: list[bytes]) -> DocumentTerms:
+    """Terms are runs of ASCII letters and of bytes beyond ASCII, A-Z in lower case."""
     raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     letter = _LETTER[raw]
     starts = letter.copy()
@@ -56,10 +71,14 @@ def document_terms(texts: list[bytes]) -> tuple[pa.BinaryArray, pa.BinaryArray]:
     rank[order] = np.arange(len(order))
     both, times = np.unique((document << 32) | rank[words.indices.to_numpy()], return_counts=True)
     lists = np.searchsorted(both >> 32, np.arange(len(texts) + 1))
-    lines = pc.binary_join_element_wise(words.dictionary.take(pa.array(order)), pa.scalar(b"", pa.binary()), b"\n")
+    ordered = words.dictionary.take(pa.array(order))
+    lines = pc.binary_join_element_wise(ordered, pa.scalar(b"", pa.binary()), b"\n")
     ends = np.frombuffer(lines.buffers()[1], np.int32)[: len(lines) + 1].astype(np.int64)
     flat, at = taken(np.frombuffer(lines.buffers()[2] or b"", np.uint8), ends[:-1], np.diff(ends), both & 0xFFFFFFFF)
-    return _binary(at[lists].astype(np.int32), flat), _binary((4 * lists).astype(np.int32), times.astype("<u4"))
+    return DocumentTerms(
+        _binary(at[lists].astype(np.int32), flat), _binary((4 * lists).astype(np.int32), times.astype("<u4")),
+        both >> 32, both & 0xFFFFFFFF, ordered,
+    )
 
 
 def _binary(borders: np.ndarray, data: np.ndarray) -> pa.BinaryArray:
@@ -68,15 +87,57 @@ def _binary(borders: np.ndarray, data: np.ndarray) -> pa.BinaryArray:
     )
 
 
-_TERMS = "lang string, source string, terms binary, times binary"
+_TERMS = "lang string, source string, terms binary, times binary, docs long"
 
 
-def _write_terms(batches):
-    for batch in batches:
-        for first, texts in text_chunks(batch.column(2), CHUNK_BYTES):
-            found = document_terms(texts)
-            keys = [batch.column(k).slice(first, len(texts)) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*keys, *found], ["lang", "source", "terms", "times"])
+def _write_terms(length: int | None):
+    """Documents with their terms; and, where `length` is given, rows (terms: a key, docs)
+    that count the first prefixes, so that no level has to read the terms for them."""
+
+    def work(batches):
+        heads: Counter[bytes] = Counter()
+
+        def counted():
+            columns = [pa.nulls(len(heads), pa.string())] * 2
+            columns += [pa.array(heads.keys(), pa.binary()), pa.nulls(len(heads), pa.binary()), pa.array(heads.values(), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, _TERM_COLUMNS)
+
+        for batch in batches:
+            for first, texts in text_chunks(batch.column(2), CHUNK_BYTES):
+                found = document_terms(texts)
+                keys = [batch.column(k).slice(first, len(texts)) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [*keys, found.terms, found.times, pa.nulls(len(texts), pa.int64())], _TERM_COLUMNS
+                )
+                if length is not None:
+                    heads.update(_heads(found, keys[0], length))
+                if len(heads) > MOST_HEADS:
+                    yield counted()
+                    heads.clear()
+        if heads:
+            yield counted()
+
+    return work
+
+
+_TERM_COLUMNS = [x.split(" ")[0] for x in _TERMS.split(", ")]
+
+
+def _heads(found: DocumentTerms, lang: pa.Array, length: int) -> dict[bytes, int]:
+    """Documents by key of the first prefixes. A document's terms are in order, so those of
+    one prefix are neighbours."""
+    langs = lang.dictionary_encode()
+    n = max(1, len(langs.dictionary))
+    parts = pc.binary_slice(found.words, 0, length).dictionary_encode()
+    done = pc.binary_length(found.words).to_numpy(zero_copy_only=False) <= length
+    code = (parts.indices.to_numpy().astype(np.int64) * 2 + done)[found.rank]
+    once = np.ones(len(code), bool)
+    once[1:] = (code[1:] != code[:-1]) | (found.document[1:] != found.document[:-1])
+    code = code[once] * n + langs.indices.to_numpy()[found.document[once]]
+    codes, at = _compact(code, 2 * n * len(parts.dictionary))
+    names, of_lang = parts.dictionary.to_pylist(), [x.encode() for x in langs.dictionary.to_pylist()]
+    keys = [_key(DONE if c // n % 2 else OPEN, names[c // n // 2], of_lang[c % n]) for c in codes.tolist()]
+    return dict(zip(keys, np.bincount(at, minlength=len(codes)).tolist()))
 
 
 class _Chunk:
@@ -178,7 +239,7 @@ class Filter:
 def surviving(terms: DataFrame, threshold: int, levels: Sequence[int] = LEVELS) -> Filter | None:
     """What may be a term of at least `threshold` documents of its language: a filter of
     the whole terms up to the last length, and of the prefixes of longer ones. `terms` is
-    a written table (lang, source, terms, times).
+    a written table as _write_terms makes it for the first length.
 
     At each length a term that is longer counts for its prefix, one that ends for itself,
     both once a document; the next length looks only at longer terms whose prefix has
@@ -186,7 +247,11 @@ def surviving(terms: DataFrame, threshold: int, levels: Sequence[int] = LEVELS)
     any later length. Partial counts are summed per task before they are shuffled."""
     kept, found, total, before = None, None, 0, 0
     for length in levels:
-        counted = terms.select("lang", "terms").mapInArrow(_counted(before, length, found), "key binary, docs long")
+        if found is None:
+            counted = terms.where("docs IS NOT NULL").select(F.col("terms").alias("key"), "docs")
+        else:
+            rows = terms.where("docs IS NULL").select("lang", "terms")
+            counted = rows.mapInArrow(_counted(before, length, found), "key binary, docs long")
         survivors = counted.groupBy("key").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= threshold)
         survivors = materialize(survivors.withColumn("done", F.expr("substring(key, 1, 1) = X'31'")), "prefixes")
         counts = {r["done"]: r["n"] for r in survivors.groupBy("done").agg(F.count("*").alias("n")).collect()}
@@ -284,7 +349,8 @@ def term_counts(
                 ["key", "source", "n", "docs"],
             )
 
-    found = terms.mapInArrow(work, "key binary, source string, n long, docs long").repartition("key")
+    rows = terms.where("docs IS NULL").select("lang", "source", "terms", "times")
+    found = rows.mapInArrow(work, "key binary, source string, n long, docs long").repartition("key")
     summed = found.groupBy("key", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     of_term = summed.groupBy("key").agg(
         F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("here")
@@ -337,12 +403,12 @@ def audit(
         F.coalesce(F.col(lang_col), blank).alias("lang"), F.coalesce(F.col(source_col), blank).alias("source"),
         F.coalesce(F.col(text_col), blank).cast("binary").alias("text"),
     )
-    terms = materialize(rows.mapInArrow(_write_terms, _TERMS), "terms")
+    terms = materialize(rows.mapInArrow(_write_terms(levels[0] if levels else None), _TERMS), "terms")
     counts = materialize(term_counts(terms, threshold, levels), "term-counts")
 
     of_lang = counts.where("first").groupBy("lang").agg(F.count("*").alias("v"))
     sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
-    groups = terms.select("lang", "source").distinct().join(sums, ["lang", "source"], "left").join(of_lang, "lang", "left")
+    groups = terms.where("docs IS NULL").select("lang", "source").distinct().join(sums, ["lang", "source"], "left").join(of_lang, "lang", "left")
     groups = groups.na.fill(0, ["total", "own", "v"]).withColumn("zero", _share(F.lit(0), F.col("total"), F.col("v")))
     groups = materialize(groups, "term-groups")
     shares = counts.join(groups.select("lang", "source", "total", "v", "zero"), ["lang", "source"])

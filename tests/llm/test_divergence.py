@@ -43,6 +43,7 @@ def test_kept_terms(spark, levels, most, monkeypatch):
     """Whatever the levels are and however full the filter is: terms in three documents."""
     monkeypatch.setattr(divergence, "MOST_BITS", most)
     monkeypatch.setattr(divergence, "CHUNK_TERMS", 200)
+    monkeypatch.setattr(divergence, "MOST_HEADS", 50)
     docs = many(spark)
     wanted = defaultdict(set)
     for r in docs.collect():
@@ -51,7 +52,7 @@ def test_kept_terms(spark, levels, most, monkeypatch):
     wanted = {k for k, v in wanted.items() if len(v) >= 3}
     rows = docs.na.fill("").selectExpr("lang", "source", "cast(text AS binary) AS text")
     terms = materialize(
-        rows.mapInArrow(divergence._write_terms, divergence._TERMS), "t"
+        rows.mapInArrow(divergence._write_terms(levels[0] if levels else None), divergence._TERMS), "t"
     )
     counts = divergence.term_counts(terms, 3, levels).collect()
     found = [(r.lang, r.part) for r in counts if r.first]
@@ -66,8 +67,11 @@ def test_refinement_discards(spark):
     alive = divergence.Filter(spark.createDataFrame([(b"0ab\nl",)], "key binary"), 1)
     rows = [r for b in divergence._counted(2, 3, alive)(iter([batch])) for r in b.to_pylist()]
     assert {r["key"]: r["docs"] for r in rows} == {b"1abc\nl": 1, b"1abd\nl": 1}
-    rows = [r for b in divergence._counted(0, 1, None)(iter([batch])) for r in b.to_pylist()]
-    assert {r["key"]: r["docs"] for r in rows} == {b"0a\nl": 1, b"0a\nm": 1}
+    found = divergence.document_terms([b"ab abc abd AC acd", b"abc", b"abc b"])
+    assert divergence._heads(found, pa.array(["l", "m", "l"]), 1) == {b"0a\nl": 2, b"0a\nm": 1, b"1b\nl": 1}
+    assert divergence._heads(found, pa.array(["l", "m", "l"]), 2) == {
+        b"0ab\nl": 2, b"1ab\nl": 1, b"0ab\nm": 1, b"1ac\nl": 1, b"0ac\nl": 1, b"1b\nl": 1
+    }
 
 
 def test_filter_holds_all(spark):
