@@ -612,19 +612,19 @@ def test_smoothing_by_definition():
 
 
 def test_symbols():
-    one = langid.Symbols(["Ab, c", "", "  Ñ", "...", "日नि"])
+    one = langid.Symbols(["Ab, c", "", "  Ñ", "...", "日नि", "🎉\ufe0f \u0301\u0301 !"])
     a, b, c, n = (ord(x) for x in "abcñ")
     day, na, mark = (ord(x) for x in ("日", "न", "ि"))
     assert [triple(g) for g in one.gram] == [
         (0, 0, a), (0, a, b), (a, b, 0), (b, 0, c), (0, 0, n), (0, 0, day), (0, day, na), (day, na, mark)
     ]
-    assert one.text.tolist() == [0, 0, 0, 0, 2, 4, 4, 4] and one.letters.tolist() == [3, 0, 1, 0, 3]
+    assert one.text.tolist() == [0, 0, 0, 0, 2, 4, 4, 4] and one.letters.tolist() == [3, 0, 1, 0, 2, 0]
 
 
 @pytest.mark.parametrize("size", [2, 3, 5, 40])
 def test_windows_know_what_stands_before(monkeypatch, size):
     """A text in windows has the triples, and the scores, of the text as a whole."""
-    texts_ = [prose(3, 40), None, "", "a" + "1" * 90 + "b c", "...", "日本 ñ, ... x", "12 34", "ab"]
+    texts_ = [prose(3, 40), None, "", "a" + "1" * 90 + "b c", "...", "日本 ñ, ... x", "12 34", "ab", "निका e\u0301\u0301x🎉\ufe0fरु ते" * 4]
     whole = [sorted(map(triple, langid.Symbols([t or ""]).gram)) for t in texts_]
     counts = pd.DataFrame([("l", int(g), 1) for g in langid.Symbols([prose(4, 90)]).gram], columns=["lang", "gram", "n"])
     model = langid.Model(counts.groupby(["lang", "gram"], as_index=False).sum())
