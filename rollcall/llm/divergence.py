@@ -28,7 +28,7 @@ UNIT = 1_000_000_000
 #: Bytes of the prefixes that are counted, before whole terms are.
 LEVELS = (3, 8)
 #: Bytes of text, bytes of documents' terms, and pairs of sources, that a task works out together.
-CHUNK_BYTES, CHUNK_TERMS, PAIRS = 4 << 20, 12 << 20, 1 << 20
+CHUNK_BYTES, CHUNK_TERMS, PAIRS = 4 << 20, 5 << 20, 1 << 19
 #: First prefixes that a task holds counts of before it hands them on.
 MOST_HEADS = 1 << 18
 #: The filter of surviving prefixes has so many bits for each, and at most MOST_BITS (16 MB).
