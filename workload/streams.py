@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from rollcall import settings as S
-from rollcall.operators.scratch import new_path
+from rollcall.operators.scratch import new_path, shuffle_partitions
 from rollcall.plans import submit
 from rollcall.plans.transitions import collect_pool
 from rollcall.sources import responses as R
@@ -34,19 +34,26 @@ def seeded_log(t) -> statelog.StateLog:
     return log
 
 
-def response_files(t, files: int) -> str:
-    """The response log as files of consecutive responses."""
-    path = new_path(t.spark, "response-files")
-    t("response_log").repartitionByRange(files, "seq").write.parquet(path)
-    return path
+def response_files(t, parts: int) -> tuple[str, int]:
+    """The response log in parts of consecutive responses, written one after the other;
+    and how many files a part has, at most."""
+    path, files = new_path(t.spark, "response-files"), shuffle_partitions(t.spark)
+    log = t("response_log")
+    shares = [k / parts for k in range(1, parts)]
+    bounds = log.agg(F.percentile_approx("seq", shares, F.lit(10_000)).alias("b")).first()["b"] or []
+    part = sum((F.coalesce(F.col("seq") > b, F.lit(False)).cast("int") for b in bounds), F.lit(0))
+    for k in range(parts):
+        log.where(part == k).repartition(files).write.mode("append").parquet(path)
+    return path, files
 
 
-def collected(t, files: int, drain: bool = False) -> statelog.StateLog:
-    """The state log after all responses, in as many micro-batches as files."""
+def collected(t, parts: int, drain: bool = False) -> statelog.StateLog:
+    """The state log after all responses, in about as many micro-batches as parts."""
     log = seeded_log(t)
     work = new_path(t.spark, "collect")
     collector = collect.Collector(log, f"{work}/history")
-    stream = R.stream_responses(t.spark, response_files(t, files), files_per_batch=1)
+    path, files = response_files(t, parts)
+    stream = R.stream_responses(t.spark, path, files_per_batch=files)
     query_ = collector.start(stream, f"{work}/checkpoint", once=True)
     if drain:
         collector.run_until_drained(query_)
@@ -108,11 +115,12 @@ def stream_ingest(t):
     path = new_path(t.spark, "roster-files")
     rows = prepared(t).select(*roster.roster_schema().names)
     other = rows.withColumn("transcriptLink", F.lit("~ later"))
-    both = rows.unionByName(other).repartition(3, S.POSITION)
+    parts = max(3, shuffle_partitions(t.spark))
+    both = rows.unionByName(other).repartition(parts, S.POSITION)
     both.write.parquet(f"{path}/first")
     both.write.parquet(f"{path}/second")
     log = statelog.StateLog(t.spark, new_path(t.spark, "state"))
-    stream = t.spark.readStream.schema(roster.roster_schema()).option("maxFilesPerTrigger", 4).parquet(f"{path}/*")
+    stream = t.spark.readStream.schema(roster.roster_schema()).option("maxFilesPerTrigger", parts + 1).parquet(f"{path}/*")
     ingest.Ingestor(log, AT).start(stream, f"{path}-checkpoint").awaitTermination()
     cells = [F.get_json_object("excel_row_json", f"$.{c}").alias(c) for c in S.ROSTER_COLUMNS]
     return log.log().select(S.POSITION, "event_id", "state", *cells)
