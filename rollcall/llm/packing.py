@@ -22,6 +22,9 @@ from rollcall.llm.tiles import text_chunks
 from rollcall.operators.scratch import materialize
 
 CAPACITY = 1024
+#: Bytes of text that are cut into tokens at a time: a worker that has served other
+#: operators before has little memory left.
+TEXT_BYTES = 2 << 20
 END_OF_DOCUMENT = 2
 
 
@@ -135,7 +138,7 @@ def token_pieces(
         pairs = bpe.load(path)
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for first, texts in text_chunks(batch.column(1)):
+            for first, texts in text_chunks(batch.column(1), TEXT_BYTES):
                 tiled = pairs.tiled(texts)
                 ids, borders = tiled.expanded(pairs.ids_of(tiled.words), "<u4")
                 yield _pieces(names[first : first + len(texts)], ids, borders, capacity, end, keep_ids)
