@@ -3,8 +3,9 @@
 Symbols are code points: letters and the marks that belong to them, in lower case, and one
 symbol for everything between words. A model counts triples of symbols; three code
 points of 21 bits are one sorted 63-bit key. The counts cover the whole corpus and are
-summed in Spark; what leaves it are the most frequent triples of each language, as many
-as MODEL_GRAMS allows over all languages, as sorted arrays.
+summed in Spark. Up to MODEL_GRAMS triples over all languages are given to every task as
+sorted arrays; the models of more triples stay tables in Spark, tasks know the most
+frequent ones, and the rest of each text is joined with the tables.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -26,8 +28,8 @@ from rollcall.operators.scratch import materialize
 
 _BITS = 21
 _ONE, _TWO = (1 << _BITS) - 1, (1 << 2 * _BITS) - 1
-#: Triples that the models of all languages hold together, at most; rarer ones are left
-#: to pairs. Shared out evenly: with four languages, a million each.
+#: Numbers of triples, over all languages, that a task holds at most. What goes beyond is
+#: joined, so this decides where a triple is looked up, never what is found.
 MODEL_GRAMS = 1 << 22
 #: Code points handled at a time. A longer text is read in windows that know the two
 #: symbols before them.
@@ -198,7 +200,8 @@ def count_grams(training: DataFrame) -> DataFrame:
 def frequent(counts: DataFrame, most: int) -> DataFrame:
     """Of (lang, gram, n) the triples that occur most, at most `most` over all languages,
     as many for each: the least count that a language's share has room for is read from
-    a histogram of its counts. `counts` should be a written table."""
+    a histogram of its counts. `counts` should be a written table. This chooses what tasks
+    know by themselves; `Spread` holds all triples."""
     held = counts.groupBy("lang", "n").agg(F.count("*").alias("grams"))
     upto = F.sum("grams").over(W.partitionBy("lang").orderBy(F.desc("n")))
     langs = F.lit(max(1, counts.select("lang").distinct().count()))
@@ -207,7 +210,10 @@ def frequent(counts: DataFrame, most: int) -> DataFrame:
 
 
 def _discount(counts: np.ndarray) -> float:
-    once, twice = (counts == 1).sum(), (counts == 2).sum()
+    return _discount_of((counts == 1).sum(), (counts == 2).sum())
+
+
+def _discount_of(once: int, twice: int) -> float:
     return float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9))
 
 
@@ -259,7 +265,7 @@ class Smoothed:
 
 
 class Model:
-    """All languages; some MODEL_GRAMS triples and what belongs to them."""
+    """All languages and all their triples, where these are MODEL_GRAMS or fewer."""
 
     def __init__(self, counts: pd.DataFrame):
         self.langs = sorted(counts["lang"].unique())
@@ -293,6 +299,132 @@ class Model:
         return total / np.maximum(n, 1)[:, None], n, letters, heads
 
 
+class Shared:
+    """Some triples with their logarithms in every language."""
+
+    def __init__(self, langs: list[str], keys: np.ndarray, logs: np.ndarray):
+        order = np.argsort(keys)
+        self.langs, self.keys, self.values = langs, keys[order], logs[order]
+
+    def logs(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logarithms by language, 0 for triples that are not held; and which are not."""
+        if not len(self.keys):
+            return np.zeros((len(grams), len(self.langs))), np.ones(len(grams), bool)
+        at = np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)
+        lacks = self.keys[at] != grams
+        return np.where(lacks[:, None], 0.0, self.values[at]), lacks
+
+    def sums(self, symbols: Symbols, goes_on: list[bool], rows: np.ndarray, size: int):
+        """Of the symbols of a window, whose texts are `rows` of a batch of `size`: the
+        negative logarithms of triples held, summed by text, tier and language; symbols
+        by text and tier; and (text, tier, triple, times) of triples not held. Tier 0 has a
+        text's first CLASSES[0] symbols, the next ones those up to CLASSES[1], and so on;
+        the last has the rest, and all of parts that go on."""
+        grams, at = _distinct(symbols.gram)
+        logs, lacks = self.logs(grams)
+        tiers = len(CLASSES) + 1
+        begins = np.flatnonzero(np.concatenate([[True], symbols.text[1:] != symbols.text[:-1]]))
+        place = np.arange(len(at)) - np.repeat(begins, np.diff(np.append(begins, len(at))))
+        tier = np.where(np.array(goes_on, bool)[symbols.text], tiers - 1, np.searchsorted(CLASSES, place, side="right"))
+        cell = rows[symbols.text] * tiers + tier
+        found = np.stack([np.bincount(cell, -logs[at, k], size * tiers) for k in range(len(self.langs))], axis=1)
+        n = np.bincount(cell, minlength=size * tiers)
+        absent = lacks[at]
+        codes, times = np.unique(cell[absent] * len(grams) + at[absent], return_counts=True)
+        cell, gram = codes // len(grams), grams[codes % len(grams)]
+        return found.reshape(size, tiers, -1), n.reshape(size, tiers), (cell // tiers, cell % tiers, gram, times)
+
+
+def _dense(column: pa.ListArray, langs: int, *fields: str) -> list[np.ndarray]:
+    """Fields of lists of (k, ...) as arrays by row and language number k, 0 where a list
+    lacks a language or is null."""
+    at = np.repeat(np.arange(len(column)), pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+    held = column.flatten()
+    out = []
+    for field in fields:
+        dense = np.zeros((len(column), langs))
+        dense[at, pc.struct_field(held, "k").to_numpy()] = pc.struct_field(held, field).to_numpy()
+        out.append(dense)
+    return out
+
+
+def _vectors(values: np.ndarray) -> pa.ListArray:
+    rows, size = values.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * size), pa.array(values.ravel()))
+
+
+class Spread:
+    """The same models as tables in Spark, for any number of triples: (lang, gram, n) as
+    written, pairs and contexts counted from them. `shared` has the most frequent triples,
+    with all languages MODEL_GRAMS numbers at most."""
+
+    def __init__(self, counts: DataFrame):
+        spark = counts.sparkSession
+        self.langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+        numbers = spark.createDataFrame([(k, name) for k, name in enumerate(self.langs)], "k int, lang string")
+        triples = counts.join(F.broadcast(numbers), "lang").select("k", F.col("gram").alias("key"), "n")
+        by = lambda key: ("k", F.expr(key).alias("key"))
+        pairs = materialize(triples.groupBy(*by(f"key & {_TWO}")).agg(F.count("*").alias("n")), "gram-pairs")
+        singles = pairs.groupBy(*by(f"key & {_ONE}")).agg(F.count("*").alias("n"))
+        firsts = pairs.groupBy(*by(f"shiftright(key, {_BITS})")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
+        contexts = triples.groupBy(*by(f"shiftright(key, {_BITS})")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
+        self.triples, self.pairs, self.singles, self.firsts, self.contexts = triples, pairs, singles, firsts, contexts
+
+        def of_langs(table: DataFrame) -> np.ndarray:
+            summed = table.groupBy("k").agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count("*"), F.sum("n"))
+            return np.array([r[1:] for r in sorted(summed.collect())])
+
+        first, second, third = of_langs(singles), of_langs(pairs), of_langs(triples)
+        self.d1, self.d2, self.d3 = (np.array([_discount_of(x[0], x[1]) for x in table]) for table in (first, second, third))
+        self.total = np.maximum(first[:, 3], 1)
+        self.rest = np.maximum(self.d1 * first[:, 2] / self.total, 1e-6) / (first[:, 2] + 1)
+        most = frequent(counts, MODEL_GRAMS // len(self.langs)).select("gram").distinct()
+        held = self.logarithms(most).toArrow().combine_chunks()
+        logs = held.column("logs").combine_chunks() if len(held) else None
+        logs = logs.flatten().to_numpy().reshape(len(held), -1) if len(held) else np.zeros((0, len(self.langs)))
+        self.shared = Shared(self.langs, held.column("gram").to_numpy().astype(np.int64), logs)
+
+    def logarithms(self, asked: DataFrame) -> DataFrame:
+        """(gram, logs) for distinct triples `gram`, learned or not: the logarithm of the
+        last symbol given the two before, in each language. What pairs say is found first,
+        once for each pair."""
+        langs, d1, d2, d3, total, rest = len(self.langs), self.d1, self.d2, self.d3, self.total, self.rest
+
+        def held(table: DataFrame, key: str) -> DataFrame:
+            fields = [c for c in table.columns if c != "key"]
+            return table.groupBy(F.col("key").alias(key)).agg(F.collect_list(F.struct(*fields)).alias(f"of_{key}"))
+
+        def share(n, d, column):
+            """Discounted shares of counts in their context, and the context's weight for
+            what is shorter: all, where it was not seen."""
+            seen, kinds = _dense(column, langs, "n", "kinds")
+            return np.maximum(n - d, 0) / np.maximum(seen, 1), np.where(seen > 0, d * kinds / np.maximum(seen, 1), 1.0)
+
+        def of_pairs(batches):
+            for batch in batches:
+                (pairs,), (singles,) = _dense(batch.column(1), langs, "n"), _dense(batch.column(3), langs, "n")
+                one = np.where(singles > 0, np.maximum(singles - d1, 0) / total, 0.0) + rest
+                own, weight = share(pairs, d2, batch.column(2))
+                yield pa.RecordBatch.from_arrays([batch.column(0), _vectors(own + weight * one)], ["pair", "short"])
+
+        def of_triples(batches):
+            for batch in batches:
+                short = batch.column(1).flatten().to_numpy().reshape(len(batch), langs)
+                (n,) = _dense(batch.column(2), langs, "n")
+                own, weight = share(n, d3, batch.column(3))
+                yield pa.RecordBatch.from_arrays([batch.column(0), _vectors(np.log(own + weight * short))], ["gram", "logs"])
+
+        asked = asked.selectExpr("gram", f"shiftright(gram, {_BITS}) AS context", f"gram & {_TWO} AS pair")
+        pairs = asked.select("pair").distinct().selectExpr("pair", f"shiftright(pair, {_BITS}) AS first", f"pair & {_ONE} AS single")
+        for key, table in (("pair", self.pairs), ("first", self.firsts), ("single", self.singles)):
+            pairs = pairs.join(held(table, key), key, "left")
+        short = pairs.select("pair", "of_pair", "of_first", "of_single").mapInArrow(of_pairs, "pair long, short array<double>")
+        found = asked.join(short, "pair")
+        for key, table in (("gram", self.triples), ("context", self.contexts)):
+            found = found.join(held(table, key), key, "left")
+        return found.select("gram", "short", "of_gram", "of_context").mapInArrow(of_triples, "gram long, logs array<double>")
+
+
 def _confidence(entropy: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Weight of the best language among all. Symbols of a text are not independent: their
     evidence counts as that of the square root of their number, times four."""
@@ -300,55 +432,138 @@ def _confidence(entropy: np.ndarray, n: np.ndarray) -> np.ndarray:
     return 1 / np.exp(-gap).sum(axis=1)
 
 
-def train(training: DataFrame) -> Model:
-    """A model of all rows (text, lang). Only the triples that `frequent` leaves are
-    collected, MODEL_GRAMS at most."""
+def train(training: DataFrame) -> Model | Spread:
+    """A model of all rows (text, lang), with all their triples."""
     rows = training.where("lang IS NOT NULL AND text IS NOT NULL")
     counts = materialize(count_grams(rows), "grams")
-    return Model(frequent(counts, MODEL_GRAMS).toPandas())
+    return Model(counts.toPandas()) if counts.count() <= MODEL_GRAMS else Spread(counts)
 
 
 _FOUND = "lang_pred string, score double, entropy double, n_symbols long, heads array<struct<lang:string,entropy:double>>"
+_HEAD = pa.struct([("lang", pa.string()), ("entropy", pa.float64())])
+
 
+def _schema(rows: DataFrame, keep: list[str], more: str) -> T.StructType:
+    return T.StructType(rows.select(*keep).schema.fields + T.StructType.fromDDL(more).fields)
 
-def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+
+def _found(langs: list[str], entropy, n, letters, first) -> list[pa.Array]:
+    """The columns of _FOUND from what `Model.entropies` returns."""
+    best = entropy.argmin(axis=1)
+    sure = np.where(letters > 0, _confidence(entropy, n), 0.0)
+    least = np.where(letters > 0, entropy.min(axis=1), 0.0)
+    names = [langs[k] if some else UNKNOWN for k, some in zip(best, letters > 0)]
+    has = ~np.isnan(first[:, :, 0])
+    which = np.where(has[:, :, None], first, np.inf).argmin(axis=2)
+    low = np.where(has, np.min(np.where(has[:, :, None], first, np.inf), axis=2), 0.0)
+    heads = [
+        [{"lang": langs[k], "entropy": e} for k, e, h in zip(*x) if h]
+        for x in zip(which.tolist(), low.tolist(), has.tolist())
+    ]
+    return [pa.array(names, pa.string()), pa.array(sure), pa.array(least), pa.array(n), pa.array(heads, pa.list_(_HEAD))]
+
+
+def score(docs: DataFrame, model: Model | Spread, keep: list[str]) -> DataFrame:
     """The columns `keep` and lang_pred, score, entropy, n_symbols for rows with `text`;
     and `heads`, best language and cross-entropy of the text's first symbols, for each of
     CLASSES that it is long enough for."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    if isinstance(model, Spread):
+        return _score_joined(docs, model, keep)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*keep, "text")
-    schema = T.StructType(rows.schema.fields[: len(keep)] + T.StructType.fromDDL(_FOUND).fields)
-    head = pa.struct([("lang", pa.string()), ("entropy", pa.float64())])
+    schema = _schema(rows, keep, _FOUND)
 
     def work(batches):
         model = shared.value
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
-            n, sure, least = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
-            names, heads = [UNKNOWN] * len(texts), [[]] * len(texts)
             if model.langs:
-                entropy, n, letters, first = model.entropies(texts)
-                best = entropy.argmin(axis=1)
-                sure = np.where(letters > 0, _confidence(entropy, n), 0.0)
-                least = np.where(letters > 0, entropy.min(axis=1), 0.0)
-                names = [model.langs[k] if some else UNKNOWN for k, some in zip(best, letters > 0)]
-                has = ~np.isnan(first[:, :, 0])
-                which = np.where(has[:, :, None], first, np.inf).argmin(axis=2)
-                low = np.where(has, np.min(np.where(has[:, :, None], first, np.inf), axis=2), 0.0)
-                heads = [
-                    [{"lang": model.langs[k], "entropy": e} for k, e, h in zip(*x) if h]
-                    for x in zip(which.tolist(), low.tolist(), has.tolist())
-                ]
-            columns = [
-                *batch.columns[: len(keep)], pa.array(names, pa.string()), pa.array(sure), pa.array(least), pa.array(n),
-                pa.array(heads, pa.list_(head)),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score", "entropy", "n_symbols", "heads"])
+                found = _found(model.langs, *model.entropies(texts))
+            else:
+                none = np.zeros(len(texts))
+                heads = pa.array([[]] * len(texts), pa.list_(_HEAD))
+                found = [pa.array([UNKNOWN] * len(texts), pa.string()), pa.array(none), pa.array(none), pa.array(none.astype(np.int64)), heads]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *found], schema.names)
 
     return rows.mapInArrow(work, schema)
 
 
+_PARTS = "number long, gram long, tier int, times long, letters long, symbols array<long>, sums array<double>"
+#: Rows of triples to look up that are passed on at a time.
+_PASSED = 1 << 16
+
+
+def _score_joined(docs: DataFrame, model: Spread, keep: list[str]) -> DataFrame:
+    """`score` with a model in tables. A pass over the texts writes a row for each with
+    what its frequent triples give, and a row for each other triple in it; these meet
+    their logarithms in a join and are summed by text."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.shared)
+    rows = docs.select(*keep, F.monotonically_increasing_id().alias("number"), "text")
+    schema = _schema(rows, keep, _PARTS)
+    langs, tiers, width = model.langs, len(CLASSES) + 1, len(keep)
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())]
+
+    def parts(batches):
+        model = shared.value
+        for batch in batches:
+            number = batch.column(width).to_numpy()
+            texts = batch.column(width + 1).to_pylist()
+            sums, n = np.zeros((len(texts), tiers, len(langs))), np.zeros((len(texts), tiers), np.int64)
+            letters = np.zeros(len(texts), np.int64)
+            for own, pieces, goes_on in windows(texts):
+                symbols = Symbols(pieces, goes_on)
+                np.add.at(letters, own, symbols.letters)
+                if not len(symbols.gram):
+                    continue
+                more, count, (text, tier, gram, times) = model.sums(symbols, goes_on, own, len(texts))
+                sums, n = sums + more, n + count
+                for at in range(0, len(text), _PASSED):
+                    some = slice(at, at + _PASSED)
+                    told = [number[text[some]], gram[some], tier[some].astype(np.int32), times[some]]
+                    size = len(told[0])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *[pa.nulls(size, c.type) for c in batch.columns[:width]],
+                            *[pa.array(x, t) for x, t in zip(told, kinds)], *[pa.nulls(size, t) for t in kinds[4:]],
+                        ], schema.names,
+                    )
+            empty = [pa.nulls(len(texts), t) for t in kinds[1:4]]
+            told = [pa.array(letters), _vectors(n), _vectors(sums.reshape(len(texts), -1))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(number), *empty, *told], schema.names)
+
+    for field in schema.fields:
+        field.nullable = True
+    written = materialize(rows.mapInArrow(parts, schema), "language-parts")
+    asked = written.where("gram IS NOT NULL").select("number", "tier", "gram", "times")
+    logs = model.logarithms(asked.select("gram").distinct())
+    summed = [F.sum(-F.col("logs")[k] * F.col("times")).alias(f"s{k}") for k in range(len(langs))]
+    rest = asked.join(logs, "gram").groupBy("number", "tier").agg(*summed)
+    rest = rest.groupBy("number").agg(
+        F.collect_list(F.struct(F.col("tier").alias("k"), F.array(*[f"s{k}" for k in range(len(langs))]).alias("sums"))).alias("rest")
+    )
+    texts = written.where("gram IS NULL").select(*keep, "number", "letters", "symbols", "sums").join(rest, "number", "left")
+    final = _schema(rows, keep, _FOUND)
+
+    def whole(batches):
+        for batch in batches:
+            letters, symbols, sums, rest = batch.columns[width:]
+            size = len(batch)
+            n = symbols.flatten().to_numpy().reshape(size, tiers)
+            total = sums.flatten().to_numpy().reshape(size, tiers, len(langs)).copy()
+            held = rest.flatten()
+            at = np.repeat(np.arange(size), pc.fill_null(pc.list_value_length(rest), 0).to_numpy(zero_copy_only=False))
+            more = pc.struct_field(held, "sums").flatten().to_numpy().reshape(len(held), len(langs))
+            total[at, pc.struct_field(held, "k").to_numpy()] += more
+            upto, there = np.cumsum(total, axis=1), np.cumsum(n, axis=1)
+            sizes = np.array(CLASSES)
+            first = np.where((there[:, :-1] >= sizes)[:, :, None], upto[:, :-1] / sizes[:, None], np.nan)
+            entropy = upto[:, -1] / np.maximum(there[:, -1:], 1)
+            found = _found(langs, entropy, there[:, -1].copy(), letters.to_numpy(), first)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *found], final.names)
+
+    return texts.select(*keep, "letters", "symbols", "sums", "rest").mapInArrow(whole, final)
+
+
 def limits(scored: DataFrame) -> tuple[DataFrame, list[float | None]]:
     """(lang, l0, l1, ...): the cross-entropy beyond which a text of a length class is not
     of its language, from what the first symbols of all learned texts have; and the same
@@ -379,7 +594,8 @@ def identify(
     score is the weight of the language among all, less the further the text is beyond
     its limit. A null id is held out with the id text as empty. Repeated rows are
     repeated, and counted each. With `carry` the whole row goes along as `doc`: texts are
-    then scored a second time rather than written to a table with their scores.
+    then scored a second time rather than written to a table with their scores; where the
+    model is in tables, rows are written with numbers and joined with what was found.
     """
     rows = docs.select(
         *([F.struct("*").alias("doc")] if carry else []), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
@@ -387,10 +603,15 @@ def identify(
     )
     model = train(rows.where("NOT held_out"))
     rows = rows.withColumn("learned", F.expr("NOT held_out AND lang IS NOT NULL"))
-    scored = materialize(score(rows, model, ["id", "held_out", "learned"]), "languages")
+    joined = carry and isinstance(model, Spread)
+    if joined:
+        rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "language-rows")
+    scored = materialize(score(rows, model, ["id", "held_out", "learned"] + ["row"] * joined), "languages")
     own, others = limits(scored)
     own = materialize(own.withColumnRenamed("lang", "lang_pred"), "language-limits")  # a row per language
-    if carry:
+    if joined:
+        scored = scored.join(rows.select("row", "doc"), "row")
+    elif carry:
         scored = score(rows, model, ["doc", "id", "held_out"])
     judged = scored.join(own, "lang_pred", "left")
     # The limit of the text's class, or else of the longest one below that is known.

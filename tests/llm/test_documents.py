@@ -648,6 +648,42 @@ def test_frequent_triples(spark):
     assert found == {("a", 5): 20, ("a", 4): 20, ("b", 1): 30}  # 45 for each language
 
 
+@pytest.mark.parametrize("most, carry", [(0, False), (150, True)])
+def test_models_beyond_what_tasks_hold(spark, monkeypatch, most, carry):
+    """Nothing changes with the triples that tasks hold, be it a language's commonest ones."""
+    languages = {"aa": prose, "bb": lambda *x: prose(*x)[::-1], "cc": lambda *x: prose(*x).translate({97: 0x65E5, 101: 0x92D})}
+    rows = [(k, languages[lang](k, 5 + k % 90), lang) for k in range(60) for lang in languages]
+    rows += [(n, t, None) for n, t in texts()] + [(900, "qxqx zzjq ÿþ 日本語", "aa"), (901, "क्षि " * 900, None), (902, prose(1, 900), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    names = ["id", "held_out", "lang_pred", "rejected", "score", "entropy"] + ["doc"] * carry
+
+    def told():
+        found = langid.identify(docs, carry=carry).select(names).collect()
+        return sorted((tuple(r) for r in found), key=lambda r: (r[0] is None, r[0] or 0, r[2], r[5]))
+
+    monkeypatch.setattr(langid, "WINDOW", 700)
+    wanted = told()
+    assert {r[2] for r in wanted} == {"aa", "bb", "cc", "und"}
+    monkeypatch.setattr(langid, "MODEL_GRAMS", most)
+    got = told()
+    assert [r[:4] + r[6:] for r in got] == [r[:4] + r[6:] for r in wanted]
+    assert np.allclose([r[4:6] for r in got], [r[4:6] for r in wanted], rtol=0, atol=1e-9)
+
+
+def test_smoothing_in_tables(spark, monkeypatch):
+    """Logarithms of triples learned and not, as one language's sorted arrays have them."""
+    counts = [(lang, int(g), n) for lang, seed in (("aa", 3), ("bb", 70)) for g, n in Counter(langid.Symbols([prose(seed, 200)]).gram).items()]
+    table = spark.createDataFrame(counts, "lang string, gram long, n long")
+    monkeypatch.setattr(langid, "MODEL_GRAMS", 80)
+    spread, whole = langid.Spread(table), langid.Model(table.toPandas())
+    asked = sorted({g for _, g, _ in counts} | {g + 1 for _, g, _ in counts} | {5, 99 << 42 | 98 << 21 | 97, 0x65E5 << 42})
+    got = {r.gram: r.logs for r in spread.logarithms(spark.createDataFrame([(g,) for g in asked], "gram long")).collect()}
+    wanted = np.stack([m.log(np.array(asked)) for m in whole.models], axis=1)
+    assert len(got) == len(asked) and np.allclose([got[g] for g in asked], wanted, rtol=0, atol=1e-12)
+    held, lacks = spread.shared.logs(np.array(asked))
+    assert 0 < (~lacks).sum() <= 80 and np.allclose(held[~lacks], wanted[~lacks], rtol=0, atol=1e-12)
+
+
 # ---- licenses -------------------------------------------------------------------------
 def test_licenses(spark):
     mit = licenses.TEMPLATES["mit-permission"]
