@@ -41,6 +41,14 @@ def test_stages_decide_like_their_operators(spark, tmp_path):
     )
 
 
+def test_language_stage_with_models_in_tables(spark, tmp_path, monkeypatch):
+    """Rows stay as they do where tasks hold all triples."""
+    docs = documents(spark)
+    wanted = bag(STAGES["language ID"](spark, docs, str(tmp_path)))
+    monkeypatch.setattr(langid, "MODEL_GRAMS", 20)
+    assert wanted and bag(STAGES["language ID"](spark, docs, str(tmp_path))) == wanted
+
+
 def test_run_is_its_stages(spark, tmp_path):
     folder = given(spark, tmp_path)
     rows = documents(spark)
