@@ -49,6 +49,24 @@ def test_language_stage_with_models_in_tables(spark, tmp_path, monkeypatch):
     assert wanted and bag(STAGES["language ID"](spark, docs, str(tmp_path))) == wanted
 
 
+@pytest.mark.parametrize("chosen", ["false", "n = 1", "true"])
+def test_language_stage_whichever_triples_tasks_hold(spark, monkeypatch, chosen):
+    """What `frequent` leaves out is found in tables: it decides nothing, be it that it
+    chooses no triple, only the rarest or all of them."""
+    docs = documents(spark)
+
+    def told():
+        rows = langid.identify(docs, carry=True).select("doc", "lang_pred", "rejected", "entropy", "score").collect()
+        return sorted(((repr(r.doc), r.lang_pred, r.rejected), (r.entropy, r.score)) for r in rows)
+
+    wanted = told()
+    monkeypatch.setattr(langid, "MODEL_GRAMS", 20)
+    monkeypatch.setattr(langid, "frequent", lambda counts, most: counts.where(chosen).select("lang", "gram", "n"))
+    got = told()
+    assert len({row[1] for row, _ in wanted}) > 2 and [row for row, _ in got] == [row for row, _ in wanted]
+    assert [x for _, x in got] == [pytest.approx(x, rel=0, abs=1e-9) for _, x in wanted]
+
+
 def test_run_is_its_stages(spark, tmp_path):
     folder = given(spark, tmp_path)
     rows = documents(spark)
